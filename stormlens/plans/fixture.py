@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from stormlens.operators.calendar import densify
-from stormlens.operators.clean import filter_prefix, to_station_days
+from stormlens.functions.calendar import parse_obs_date
+from stormlens.operators.clean import clean_sentinels, filter_prefix, to_station_days
 from stormlens.sources.readings import load_fixture_readings
 
 PREFIX = "1371"
@@ -37,6 +38,13 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_station_days(region_readings(spark, sf_dir))
 
 
+def named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region readings with id, name and text timestamp kept, sentinels recoded."""
+    r = clean_sentinels(region_readings(spark, sf_dir))
+    return r.select("station_id", "name", "data_timestamp",
+                    parse_obs_date("data_timestamp").alias("obs_date"), "rain_mm", "trace")
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense (station, obs_date) calendar with daily means (NULL = no reading)."""
     return densify(cleaned(spark, sf_dir), START, END)
@@ -68,6 +76,11 @@ cleaned AS (
   SELECT station_id AS station, CAST(substr(data_timestamp, 1, 10) AS DATE) AS obs_date,
          CASE WHEN rain_mm = 9999e0 THEN NULL WHEN rain_mm = 8888e0 THEN 0e0
               ELSE rain_mm END AS rain_mm
+  FROM region),
+named AS (
+  SELECT station_id, name, data_timestamp, CAST(substr(data_timestamp, 1, 10) AS DATE) AS obs_date,
+         CASE WHEN rain_mm = 9999e0 THEN NULL WHEN rain_mm = 8888e0 THEN 0e0
+              ELSE rain_mm END AS rain_mm, trace
   FROM region)"""
 
 GRID_SQL = f"""
