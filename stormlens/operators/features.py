@@ -180,10 +180,13 @@ def day_over_day(panel: DataFrame, date, value_col: str = "rain_mm") -> DataFram
         F.coalesce(F.max(F.when(F.col("obs_date") == d, F.col(value_col))), F.lit(0.0)).alias("today"),
         F.coalesce(F.max(F.when(F.col("obs_date") == F.date_sub(d, 1), F.col(value_col))),
                    F.lit(0.0)).alias("yesterday"))
-    per = per.withColumn("change", F.col("today") - F.col("yesterday"))
-    mean_change = F.avg("change").over(Window.partitionBy())
-    return per.withColumn("trend_class", F.when(mean_change > 5, "naik")
-                          .when(mean_change < -5, "turun").otherwise("stabil"))
+    per = per.withColumn("change", F.col("today") - F.col("yesterday")).withColumn("_k", F.lit(1))
+    # Network mean change: a one-row aggregate joined back by a constant key
+    # (broadcast of one row; no un-partitioned window funnelling rows into one task).
+    mean = per.groupBy("_k").agg(F.avg("change").alias("mean_change"))
+    m = F.col("mean_change")
+    return per.join(F.broadcast(mean), on="_k").drop("_k").withColumn(
+        "trend_class", F.when(m > 5, "naik").when(m < -5, "turun").otherwise("stabil"))
 
 
 # --- reshape --------------------------------------------------------------------
