@@ -4,3 +4,4 @@ from stormlens.plans import clean_queries  # noqa: F401
 from stormlens.plans.registry import ORACLES, QUERIES  # noqa: F401
 from stormlens.plans import profile_queries  # noqa: F401,E402
 from stormlens.plans import feature_queries  # noqa: F401,E402
+from stormlens.plans import forecast_queries  # noqa: F401,E402
