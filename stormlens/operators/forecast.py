@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormlens.functions.calendar import days_in_month
@@ -43,7 +43,7 @@ def seasonal_mean_forecast(monthly: DataFrame, start_month, horizon: int = 36,
           else _dt.date.fromisoformat(str(start_month))).replace(day=1)
     clim = monthly.groupBy("series", F.month("month").alias("cal_month")) \
         .agg(F.avg("total").alias("pred"))
-    future = monthly.select("series").distinct().select(
+    future = clim.select("series").distinct().select(
         "series", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))).alias("_k")
     ).select("series", F.add_months(F.lit(m0), F.col("_k")).alias("month"))
     out = future.withColumn("cal_month", F.month("month")).join(clim, ["series", "cal_month"], "left")
@@ -78,10 +78,9 @@ def disaggregate(monthly_fc: DataFrame, climatology: DataFrame, mode: str = "sha
                              F.explode(F.sequence(F.lit(1), F.lit(12))).alias("cal_month"))
     clim = months.join(climatology, ["series", "station", "cal_month"], "left") \
         .withColumn("clim", F.coalesce("clim", F.lit(fallback)))
-    stats = clim.groupBy("series", "cal_month").agg(F.sum("clim").alias("_csum"),
-                                                    F.avg("clim").alias("_cmean"),
-                                                    F.count(F.lit(1)).alias("_cn"))
-    clim = clim.join(stats, ["series", "cal_month"])
+    w = Window.partitionBy("series", "cal_month")
+    clim = clim.withColumns({"_csum": F.sum("clim").over(w), "_cmean": F.avg("clim").over(w),
+                             "_cn": F.count(F.lit(1)).over(w)})
     j = days.join(clim, ["series", "cal_month"])
     target = F.col("pred") / F.col("_dim")
     if mode == "share":

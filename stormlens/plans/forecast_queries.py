@@ -13,6 +13,7 @@ from stormlens.operators.features import unpivot_forecast
 from stormlens.plans import fixture as fx
 from stormlens.plans.feature_queries import UPLOAD_SQL, UPLOAD_STATIONS, upload_wide
 from stormlens.plans.registry import register
+from stormlens.session import cut_lineage
 
 
 def clip_sql(expr: str, scale: float, lo, hi, gain: float = 1.0) -> str:
@@ -196,7 +197,10 @@ clim AS (SELECT 'network' AS series, station, month(obs_date) AS cal_month, avg(
 
 
 def _hist(spark, sf_dir):
-    return cut_range(fx.grid(spark, sf_dir), fx.START, HIST_END)
+    # The history panel feeds several aggregates (monthly totals, climatology and
+    # its station list): materialise it once in the shared checkpoint folder
+    # instead of re-deriving it from the raw scan for every consumer.
+    return cut_lineage(cut_range(fx.grid(spark, sf_dir), fx.START, HIST_END))
 
 
 @register("a15_monthly_totals", fx.sql(MONTHLY_SQL, body="SELECT * FROM monthly"),
