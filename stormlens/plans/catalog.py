@@ -6,3 +6,4 @@ from stormlens.plans import profile_queries  # noqa: F401,E402
 from stormlens.plans import feature_queries  # noqa: F401,E402
 from stormlens.plans import forecast_queries  # noqa: F401,E402
 from stormlens.plans import eval_queries  # noqa: F401,E402
+from stormlens.plans import impute_queries  # noqa: F401,E402
