@@ -178,9 +178,10 @@ def fold_train_test(folded: DataFrame, i: int):
     return train, test
 
 
-def portable_hash(key: Column, seed: int = 0) -> Column:
+def portable_hash(key: Column, seed=0) -> Column:
     """Deterministic 0..10006 hash from an integer key, identical in SQL engines."""
-    return F.pmod(key * F.lit(7919) + F.lit(seed), F.lit(10007))
+    s = seed if isinstance(seed, Column) else F.lit(seed)
+    return F.pmod(key * F.lit(7919) + s, F.lit(10007))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str = "label", k: int = 5, seed: int = 0) -> DataFrame:
@@ -196,13 +197,19 @@ def stratified_folds(df: DataFrame, key: str, label: str = "label", k: int = 5,
 
 def hide_mask(df: DataFrame, key: str, cols, frac: float = 0.1, seed: int = 0) -> DataFrame:
     """Per column, hide exactly floor(frac·n) values (chosen by a portable hash
-    order, without replacement). Adds ``hide_<col>`` 0/1 flags."""
+    order, without replacement). Adds ``hide_<col>`` 0/1 flags.
+
+    All columns are ranked in ONE pass: the keys are repeated once per column
+    (long form), ranked with ``bucketed_rank`` partitioned by column, and the
+    flags pivoted back with an explicit column list."""
+    cols = list(cols)
+    keys = df.select(key).withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))))
+    h = portable_hash(F.col(key), F.lit(seed) + F.lit(101) * (F.col("_c") + 1))
+    o = keys.withColumn("_h", h).withColumn("_o", F.col("_h") * F.lit(10 ** 12) + F.col(key))
+    r = bucketed_rank(o, "_o", F.floor(F.col("_h") * 256 / 10007), ["_c"])
     n = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    out = df.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k").drop("_k")
-    for i, c in enumerate(cols):
-        h = portable_hash(F.col(key), seed + 101 * (i + 1))
-        o = out.withColumn("_h", h).withColumn("_o", F.col("_h") * F.lit(10 ** 12) + F.col(key))
-        r = bucketed_rank(o, "_o", F.floor(F.col("_h") * 256 / 10007))
-        out = r.withColumn(f"hide_{c}", (F.col("_rank") <= F.floor(F.col("_n") * frac)).cast("int")) \
-            .drop("_h", "_o", "_rank")
-    return out.drop("_n")
+    r = r.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k")
+    flags = r.withColumn("_hide", (F.col("_rank") <= F.floor(F.col("_n") * frac)).cast("int")) \
+        .groupBy(key).pivot("_c", list(range(len(cols)))).agg(F.first("_hide"))
+    flags = flags.select(key, *[F.col(f"`{i}`").alias(f"hide_{c}") for i, c in enumerate(cols)])
+    return df.join(flags, key, "left")
