@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stormlens.operators.neighbours import knn_join
 from stormlens.operators.prep import bucketed_rank
+from stormlens.session import cut_lineage
 
 
 def smote(train: DataFrame, features, id_col: str, label: str = "label", k: int = 5,
@@ -23,6 +24,9 @@ def smote(train: DataFrame, features, id_col: str, label: str = "label", k: int
     """Returns ``train`` ∪ synthetic minority rows (``synthetic`` = 1 on new rows)."""
     features = list(features)
     spark = train.sparkSession
+    # the training rows are read by the class counts, the neighbour search and the
+    # final union: materialise them once in the shared checkpoint folder.
+    train = cut_lineage(train)
     minority = train.filter(F.col(label) == 1).select(F.col(id_col).cast("long").alias("_id"), *features)
     counts = train.groupBy(label).count().collect()
     n = {r[0]: r[1] for r in counts}

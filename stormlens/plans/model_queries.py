@@ -170,7 +170,7 @@ pr AS (SELECT a.rid AS lid, b.rid AS rid,
        FROM mi a, mi b WHERE a.rid <> b.rid),
 rk AS (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY dist, rid) AS rank FROM pr),
 syn AS (SELECT i, i % n_min AS idx, CAST((i // n_min) % 5 + 1 AS BIGINT) AS rank,
-               ((i * 7919) % 1000) / 1000e0 AS lam FROM cnt, range(0, (SELECT n_maj - n_min FROM cnt)) t(i))"""
+               ((i * 7919) % 1000) / 1000e0 AS lam FROM cnt, range(0, CAST((SELECT n_maj - n_min FROM cnt) AS BIGINT)) t(i))"""
 
 
 @register("e10_smote", fx.sql(SMOTE_SQL, body="""
