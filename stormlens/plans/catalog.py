@@ -8,3 +8,4 @@ from stormlens.plans import forecast_queries  # noqa: F401,E402
 from stormlens.plans import eval_queries  # noqa: F401,E402
 from stormlens.plans import impute_queries  # noqa: F401,E402
 from stormlens.plans import model_queries  # noqa: F401,E402
+from stormlens.plans import stream_queries  # noqa: F401,E402
