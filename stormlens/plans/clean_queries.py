@@ -261,3 +261,73 @@ def j2_map_names_default(spark, sf_dir):
     r = fx.readings(spark, sf_dir).select("rid", "name")
     j = r.join(F.broadcast(_name_dim(spark)), on="name", how="left")
     return j.select("rid", F.coalesce("short_name", "name").alias("station_name"))
+
+
+# --- labels and rule comparison ----------------------------------------------------
+
+@register("x8_label_extreme", fx.sql("""
+thr AS (SELECT station, quantile_cont(rain_mm, 0.95) AS threshold FROM grid WHERE rain_mm IS NOT NULL
+        GROUP BY station)""", body="""
+SELECT g.station, g.obs_date, g.rain_mm, t.threshold, CAST(coalesce(g.rain_mm > t.threshold, false) AS INT) AS label
+FROM grid g LEFT JOIN thr t USING (station)"""),
+          "station:s obs_date:d rain_mm:f threshold:f label:i")
+def x8_label_extreme(spark, sf_dir):
+    """Strict ``value > P95`` label per station; a missing day is 0."""
+    return L.label_extreme(fx.grid(spark, sf_dir))
+
+
+@register("x8_label_fit_until", fx.sql("""
+thr AS (SELECT station, quantile_cont(rain_mm, 0.95) AS threshold FROM grid
+        WHERE rain_mm IS NOT NULL AND obs_date < DATE '2000-01-01' GROUP BY station)""", body="""
+SELECT g.station, sum(CAST(coalesce(g.rain_mm > t.threshold, false) AS INT)) AS n_pos, max(t.threshold) AS threshold
+FROM grid g LEFT JOIN thr t USING (station) GROUP BY g.station"""), "station:s n_pos:i threshold:f")
+def x8_label_fit_until(spark, sf_dir):
+    """X8 with the threshold fitted on the training period only (leak guard, T3)."""
+    lab = L.label_extreme(fx.grid(spark, sf_dir), fit_until="2000-01-01")
+    return lab.groupBy("station").agg(F.sum("label").alias("n_pos"), F.max("threshold").alias("threshold"))
+
+
+@register("x9_compare_thresholds", fx.sql("""
+q AS (SELECT station, quantile_cont(rain_mm, 0.95) AS thr_q FROM grid WHERE rain_mm IS NOT NULL GROUP BY station),
+qw AS (SELECT station, quantile_cont(rain_mm, 0.95) AS thr_q_wet FROM grid WHERE rain_mm > 0 GROUP BY station),
+c AS (SELECT g.station, count(g.rain_mm) AS n_valid, count_if(g.rain_mm > q.thr_q) AS n_p,
+             count_if(g.rain_mm > 150) AS n_mm150, count_if(g.rain_mm > 50) AS n_mm50, any_value(q.thr_q) AS thr_q
+      FROM grid g JOIN q USING (station) GROUP BY g.station)""", body="""
+SELECT c.station, qw.thr_q_wet, r.rule, r.threshold, r.n_extreme, r.n_extreme * 100.0 / c.n_valid AS pct_extreme
+FROM c JOIN qw USING (station),
+LATERAL (SELECT 'p' AS rule, c.thr_q AS threshold, c.n_p AS n_extreme
+         UNION ALL SELECT 'mm150', 150.0, c.n_mm150 UNION ALL SELECT 'mm50', 50.0, c.n_mm50) r"""),
+          "station:s thr_q_wet:f rule:s threshold:f n_extreme:i pct_extreme:f")
+def x9_compare_thresholds(spark, sf_dir):
+    """Extreme-day counts under P95, 150 mm and 50 mm per station."""
+    return L.compare_thresholds(fx.grid(spark, sf_dir))
+
+
+# --- typed CSV hand-off ---------------------------------------------------------------
+
+@register("s3_csv_roundtrip", fx.sql(body="SELECT station, obs_date, rain_mm FROM grid"),
+          "station:s obs_date:d rain_mm:f")
+def s3_csv_roundtrip(spark, sf_dir):
+    """S3 + S2: write the dense panel as CSV with a header (partitioned by year) into
+    the shared folder, read it back with an explicit schema and date parsing."""
+    import os
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from stormlens.session import ensure_checkpoint_dir
+    from stormlens.sources.readings import read_csv_typed, write_table
+    path = os.path.join(ensure_checkpoint_dir(spark), f"csv-{uuid.uuid4().hex}")
+    g = fx.grid(spark, sf_dir).withColumn("year", F.year("obs_date"))
+    write_table(g, path, fmt="csv", partition_by=("year",))
+    schema = T.StructType([T.StructField("station", T.StringType()), T.StructField("obs_date", T.StringType()),
+                           T.StructField("rain_mm", T.DoubleType())])
+    return read_csv_typed(spark, path, schema, date_cols=("obs_date",)).select("station", "obs_date", "rain_mm")
+
+
+@register("s5_timestamp_to_day", fx.sql(body="""
+SELECT o_orderkey AS rid, CAST(o_orderdate AS DATE) AS obs_date FROM orders"""), "rid:i obs_date:d")
+def s5_timestamp_to_day(spark, sf_dir):
+    """Day of a timestamp column (zone-less timestamps: no shift)."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select(F.col("o_orderkey").alias("rid"), parse_obs_date("o_orderdate").alias("obs_date"))
