@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormlens.operators.profile import station_quantile
@@ -17,13 +17,19 @@ def label_extreme(panel: DataFrame, thresholds: DataFrame | None = None, q: floa
     quantile on days before that date only (avoids the label leak of fitting on the
     test period, trap T3); None keeps the whole-period behaviour.
 
-    The threshold table has one row per station; it is joined with a plain
-    equi-join so the planner broadcasts it when small and AQE re-checks at run time.
+    By default the quantile is a window aggregate over ``partitionBy(station)``: it
+    shares the Exchange + Sort of the per-station feature windows (one pass over
+    the panel, no second derivation of it and no join back); on the dense calendar
+    each partition is bounded by the number of days. An explicit ``thresholds``
+    table (one row per station) is joined instead.
     """
-    if thresholds is None:
-        fit = panel if fit_until is None else panel.filter(F.col("obs_date") < F.lit(fit_until).cast("date"))
-        thresholds = station_quantile(fit, q=q, value_col=value_col)
     lab = F.coalesce((F.col(value_col) > F.col("threshold")), F.lit(False)).cast("int")
+    if thresholds is None:
+        v = F.col(value_col)
+        if fit_until is not None:
+            v = F.when(F.col("obs_date") < F.lit(fit_until).cast("date"), v)
+        thr = F.percentile(v, q).over(Window.partitionBy("station"))
+        return panel.withColumn("threshold", thr).withColumn(out, lab)
     return panel.join(thresholds.select("station", "threshold"), on="station", how="left") \
         .withColumn(out, lab)
 
