@@ -109,9 +109,8 @@ def attribution_summary(attr: DataFrame, features) -> DataFrame:
     long = attr.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"phi_{c}").alias("phi"))
                                           for c in features])))
     per = long.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs"))
-    tot = per.agg(F.sum("mean_abs").alias("_t")).withColumn("_k", F.lit(1))
-    return per.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k").select(
-        "feature", "mean_abs", (F.col("mean_abs") * 100.0 / F.col("_t")).alias("share_pct"))
+    tot = per.agg(F.sum("mean_abs")).scalar()
+    return per.select("feature", "mean_abs", (F.col("mean_abs") * 100.0 / tot).alias("share_pct"))
 
 
 def attribution_direction(attr: DataFrame, features) -> DataFrame:

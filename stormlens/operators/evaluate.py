@@ -63,9 +63,8 @@ def class_report(pred: DataFrame, t: float = 0.5, **kw) -> DataFrame:
 def period_metrics(pred: DataFrame, start, end, t: float = 0.5, date_col: str = "obs_date") -> DataFrame:
     """V4: metrics over a date period plus the number of distinct days in it."""
     sub = pred.filter(F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    m = binary_metrics(sub, t).withColumn("_k", F.lit(1))
-    days = sub.groupBy(F.lit(1).alias("_k")).agg(F.count_distinct(date_col).alias("n_days"))
-    return m.join(days, "_k", "left").drop("_k")
+    n_days = sub.agg(F.count_distinct(date_col)).scalar()
+    return binary_metrics(sub, t).withColumn("n_days", n_days)
 
 
 def threshold_sweep(pred: DataFrame, cents=DEFAULT_SWEEP, label: str = "label",
@@ -89,8 +88,7 @@ def threshold_sweep(pred: DataFrame, cents=DEFAULT_SWEEP, label: str = "label",
     j = thr.join(counts.withColumnRenamed("bucket", "b"), F.col("b") >= F.col("bucket"), "left")
     agg = j.groupBy("bucket", "cents").agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("tp"),
                                            F.coalesce(F.sum("neg"), F.lit(0)).alias("fp"))
-    tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("_k", F.lit(1))
-    out = agg.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k").drop("_k")
+    out = agg.withColumns({"P": counts.agg(F.sum("pos")).scalar(), "N": counts.agg(F.sum("neg")).scalar()})
     out = out.withColumns({"fn": F.col("P") - F.col("tp"), "tn": F.col("N") - F.col("fp")})
     m = _metric_cols(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
     return out.select((F.col("cents") / 100.0).alias("threshold"), m["precision"].alias("precision"),
@@ -131,12 +129,11 @@ def pick_threshold(sweep: DataFrame, rule: str) -> DataFrame:
 
 def compare_models(metrics: DataFrame, baseline: str) -> DataFrame:
     """V7: metric rows of several models / feature sets with the F1 and recall
-    change against a baseline model (its one row joined back by a constant key)."""
-    base = metrics.filter(F.col("model") == baseline).select(
-        F.lit(1).alias("_k"), F.col("f1").alias("_bf1"), F.col("recall").alias("_brec"))
-    return metrics.withColumn("_k", F.lit(1)).join(F.broadcast(base), "_k", "left").select(
-        *metrics.columns, (F.col("f1") - F.col("_bf1")).alias("delta_f1"),
-        (F.col("recall") - F.col("_brec")).alias("delta_recall"))
+    change against a baseline model (its values as scalar subqueries)."""
+    base = metrics.filter(F.col("model") == baseline)
+    bf1, brec = base.agg(F.max("f1")).scalar(), base.agg(F.max("recall")).scalar()
+    return metrics.select(*metrics.columns, (F.col("f1") - bf1).alias("delta_f1"),
+                          (F.col("recall") - brec).alias("delta_recall"))
 
 
 def best_model(metrics: DataFrame, metric: str = "f1") -> DataFrame:

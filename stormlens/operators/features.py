@@ -89,28 +89,22 @@ def neighbour_mean(panel: DataFrame, cols, members=None, targets=None,
     ``members`` is the neighbour set (None = every station). The three neighbour
     definitions in use are all "members except myself": (a) the other targets, (b)
     every non-target station, (c) every other station. Instead of expanding
-    (station, neighbour) pairs, one per-day aggregate of the members' sums and
-    counts is joined back and each row removes its own contribution:
-    ``(Σ − own) / (n − own_present)``. The per-day table has one row per calendar
-    day (a bounded dimension), so the join back is a broadcast; AQE re-checks the
-    size at run time and falls back to a sort-merge join beyond the threshold.
-    ``targets`` restricts the output rows (None = all stations).
+    (station, neighbour) pairs, the members' sum and count per day are window
+    aggregates over ``partitionBy(obs_date)`` and each row removes its own
+    contribution: ``(Σ − own) / (n − own_present)``. One exchange on the date; on
+    the dense calendar every date partition holds exactly one row per station, so
+    no date can be hot. ``targets`` restricts the output rows (None = all).
     """
     is_member = F.lit(True) if members is None else F.col("station").isin(list(members))
-    aggs = []
-    for c in cols:
-        aggs += [F.sum(F.when(is_member, F.col(c))).alias(f"_s_{c}"),
-                 F.count(F.when(is_member, F.col(c))).alias(f"_n_{c}")]
-    per_day = panel.groupBy("obs_date").agg(*aggs)
-    rows = panel if targets is None else panel.filter(F.col("station").isin(list(targets)))
-    out = rows.join(F.broadcast(per_day), on="obs_date", how="left")
+    w = Window.partitionBy("obs_date")
     new = {}
     for c in cols:
         own = F.when(is_member & F.col(c).isNotNull(), F.col(c))
-        n = F.col(f"_n_{c}") - F.when(own.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-        s = F.col(f"_s_{c}") - F.coalesce(own, F.lit(0.0))
-        new[f"{prefix}{c}{suffix}"] = F.when(n > 0, s / n)
-    return out.withColumns(new).drop(*[f"_{k}_{c}" for c in cols for k in ("s", "n")])
+        n = F.count(F.when(is_member, F.col(c))).over(w) - F.when(own.isNotNull(), F.lit(1)).otherwise(F.lit(0))
+        s_ = F.sum(F.when(is_member, F.col(c))).over(w) - F.coalesce(own, F.lit(0.0))
+        new[f"{prefix}{c}{suffix}"] = F.when(n > 0, s_ / n)
+    out = panel.withColumns(new)
+    return out if targets is None else out.filter(F.col("station").isin(list(targets)))
 
 
 def neighbour_mean_edges(panel: DataFrame, edges: DataFrame, cols,
@@ -180,13 +174,12 @@ def day_over_day(panel: DataFrame, date, value_col: str = "rain_mm") -> DataFram
         F.coalesce(F.max(F.when(F.col("obs_date") == d, F.col(value_col))), F.lit(0.0)).alias("today"),
         F.coalesce(F.max(F.when(F.col("obs_date") == F.date_sub(d, 1), F.col(value_col))),
                    F.lit(0.0)).alias("yesterday"))
-    per = per.withColumn("change", F.col("today") - F.col("yesterday")).withColumn("_k", F.lit(1))
-    # Network mean change: a one-row aggregate joined back by a constant key
-    # (broadcast of one row; no un-partitioned window funnelling rows into one task).
-    mean = per.groupBy("_k").agg(F.avg("change").alias("mean_change"))
-    m = F.col("mean_change")
-    return per.join(F.broadcast(mean), on="_k").drop("_k").withColumn(
-        "trend_class", F.when(m > 5, "naik").when(m < -5, "turun").otherwise("stabil"))
+    per = per.withColumn("change", F.col("today") - F.col("yesterday"))
+    # Network mean change as a scalar subquery (computed once, inlined).
+    m = per.agg(F.avg("change")).scalar()
+    return per.withColumn("mean_change", m).withColumn(
+        "trend_class", F.when(F.col("mean_change") > 5, "naik")
+        .when(F.col("mean_change") < -5, "turun").otherwise("stabil"))
 
 
 # --- reshape --------------------------------------------------------------------

@@ -133,48 +133,58 @@ def split_date(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date") ->
 
 def date_split(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date") -> DataFrame:
     """``split`` = train (date < cut) / test (date >= cut); all stations of a
-    date stay on the same side. The one-row cut table is broadcast."""
-    cut = split_date(df, frac, date_col).select("cut_date").withColumn("_k", F.lit(1))
-    out = df.withColumn("_k", F.lit(1)).join(F.broadcast(cut), "_k").drop("_k")
-    return out.withColumn("split", F.when(F.col(date_col) < F.col("cut_date"), "train").otherwise("test"))
+    date stay on the same side. The cut date is fitted once (one aggregate job, one
+    value) and applied as a literal, so later date filters prune and push down."""
+    cut = split_date(df, frac, date_col).first()
+    c = F.lit(cut["cut_date"]) if cut else F.lit(None).cast("date")
+    return df.withColumns({"cut_date": c,
+                           "split": F.when(F.col(date_col) < c, "train").otherwise("test")})
 
 
 def class_weights(df: DataFrame, label: str = "label", mode: str = "balanced",
                   out: str = "weight") -> DataFrame:
     """``balanced`` → n / (2·n_class) per row; ``ratio`` → positives get neg/pos
     (scale_pos_weight), negatives 1. Class counts are a 2-row aggregate, broadcast."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"),
-                     F.sum(F.when(F.col(label) == 1, F.col("_nc"))).alias("_pos"),
-                     F.sum(F.when(F.col(label) != 1, F.col("_nc"))).alias("_neg"))
-    w = counts.withColumn("_k", F.lit(1)).join(tot.withColumn("_k", F.lit(1)), "_k")
+    # fit: the class counts (one small aggregate, one row per class)
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    n = sum(counts.values())
+    pos = counts.get(1, 0)
+    neg = n - pos
+    y = F.col(label)
     if mode == "balanced":
-        w = w.withColumn(out, F.col("_n") / (2.0 * F.col("_nc")))
+        expr = None
+        for cls, nc in counts.items():
+            expr = (F.when(y == F.lit(cls), F.lit(n / (2.0 * nc))) if expr is None
+                    else expr.when(y == F.lit(cls), F.lit(n / (2.0 * nc))))
+        w = expr if expr is not None else F.lit(None).cast("double")
     else:
-        w = w.withColumn(out, F.when(F.col(label) == 1, F.col("_neg") / F.col("_pos")).otherwise(1.0))
-    return df.join(F.broadcast(w.select(label, out)), label, "left")
+        w = F.when(y == 1, F.lit(neg / pos if pos else None)).otherwise(F.lit(1.0))
+    return df.withColumn(out, w)
 
 
 def time_folds(df: DataFrame, n_splits: int = 5, date_col: str = "obs_date") -> DataFrame:
     """Expanding-window folds over DISTINCT dates (T5): test blocks of
     ``n_dates // (n_splits+1)`` dates at the end; fold i trains on every earlier
     date. Adds ``fold`` (0..n_splits-1 for test blocks, -1 for train-only dates)."""
+    # fit: the first date of every test block (n_splits values), then a literal CASE
     r = ranked_dates(df, date_col)
-    n = r.agg(F.count(F.lit(1)).alias("_n"))
-    r = r.withColumn("_k", F.lit(1)).join(F.broadcast(n.withColumn("_k", F.lit(1))), "_k")
-    ts = F.floor(F.col("_n") / (n_splits + 1))
-    start = F.col("_n") - ts * n_splits
-    fold = F.when(F.col("_rank") - 1 >= start, F.floor((F.col("_rank") - 1 - start) / ts)).otherwise(-1)
-    folds = r.select(date_col, fold.cast("int").alias("fold"))
-    return df.join(F.broadcast(folds), date_col, "left")
+    n = r.count()
+    ts = n // (n_splits + 1)
+    start = n - ts * n_splits
+    firsts = [start + i * ts + 1 for i in range(n_splits)]  # 1-based ranks
+    rows = r.filter(F.col("_rank").isin(firsts)).select(date_col, "_rank").collect()
+    bounds = [row[0] for row in sorted(rows, key=lambda x: x[1])]
+    d = F.col(date_col)
+    fold = F.lit(-1)
+    for i, b in enumerate(bounds):
+        fold = F.when(d >= F.lit(b), F.lit(i)).otherwise(fold)
+    return df.withColumn("fold", fold.cast("int"))
 
 
 def fold_train_test(folded: DataFrame, i: int):
     """(train, test) of fold i: test = fold i; train = every date before it."""
     test = folded.filter(F.col("fold") == i)
-    first_test = test.agg(F.min("obs_date").alias("_f0")).withColumn("_k", F.lit(1))
-    train = folded.withColumn("_k", F.lit(1)).join(F.broadcast(first_test), "_k") \
-        .filter(F.col("obs_date") < F.col("_f0")).drop("_k", "_f0")
+    train = folded.filter(F.col("obs_date") < test.agg(F.min("obs_date")).scalar())
     return train, test
 
 
@@ -207,9 +217,8 @@ def hide_mask(df: DataFrame, key: str, cols, frac: float = 0.1, seed: int = 0) -
     h = portable_hash(F.col(key), F.lit(seed) + F.lit(101) * (F.col("_c") + 1))
     o = keys.withColumn("_h", h).withColumn("_o", F.col("_h") * F.lit(10 ** 12) + F.col(key))
     r = bucketed_rank(o, "_o", F.floor(F.col("_h") * 256 / 10007), ["_c"])
-    n = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    r = r.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k")
-    flags = r.withColumn("_hide", (F.col("_rank") <= F.floor(F.col("_n") * frac)).cast("int")) \
+    n = df.agg(F.count(F.lit(1))).scalar()
+    flags = r.withColumn("_hide", (F.col("_rank") <= F.floor(n * frac)).cast("int")) \
         .groupBy(key).pivot("_c", list(range(len(cols)))).agg(F.first("_hide"))
     flags = flags.select(key, *[F.col(f"`{i}`").alias(f"hide_{c}") for i, c in enumerate(cols)])
     return df.join(flags, key, "left")

@@ -167,7 +167,7 @@ def o5_arg_extrema(spark, sf_dir):
     a = s.agg(F.max_by("threshold", F.struct(F.col("f1"), -F.col("threshold"))).alias("best_f1_threshold"))
     b = s.filter(F.col("recall") >= 0.7).agg(
         F.min_by("threshold", F.struct(F.col("fp"), F.col("threshold"))).alias("min_fp_threshold"))
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return a.withColumn("min_fp_threshold", b.scalar())
 
 
 LR7_SQL = """

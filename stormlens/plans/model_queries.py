@@ -33,8 +33,14 @@ FEATURES = NUMERIC + ONE_HOT
 SMOTE_FEATURES = ["lag1", "roll7", "roll30", "nbr_lag1_avg", "nbr_roll7_avg"]
 
 
+def imputed_grid(spark, sf_dir):
+    """The dense calendar with gaps filled by KNN (as the trainer does before any feature)."""
+    from stormlens.operators.impute import knn_impute
+    return cut_lineage(knn_impute(fx.grid(spark, sf_dir), fx.STATIONS).drop("imputed"))
+
+
 def labelled_panel(spark, sf_dir):
-    g = fx.grid(spark, sf_dir)
+    g = imputed_grid(spark, sf_dir)
     feats = build_features(g, targets=fx.TARGETS, members=fx.TARGETS, rolls=(7, 30))
     lab = label_extreme(feats)
     lab = drop_incomplete(lab, ["rain_mm"] + NUMERIC)
@@ -135,8 +141,13 @@ def s6_save_load(spark, sf_dir):
 
 
 def _smote_train(spark, sf_dir):
-    lab = E.date_split(labelled_panel(spark, sf_dir))
-    return lab.filter("split = 'train'").select("rid", "label", *SMOTE_FEATURES)
+    """Training rows of the observed (not imputed) panel - the SQL oracle rebuilds them."""
+    g = fx.grid(spark, sf_dir)
+    feats = build_features(g, targets=fx.TARGETS, members=fx.TARGETS, rolls=(7, 30))
+    lab = drop_incomplete(label_extreme(feats), ["rain_mm"] + NUMERIC)
+    lab = lab.withColumn("rid", F.datediff("obs_date", F.lit("1970-01-01")) * 10
+                         + F.substring("station", 5, 1).cast("int"))
+    return E.date_split(lab).filter("split = 'train'").select("rid", "label", *SMOTE_FEATURES)
 
 
 SMOTE_SQL = """
