@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SWEEP = tuple(range(5, 100, 5))  # 0.05 … 0.95
@@ -82,13 +82,17 @@ def threshold_sweep(pred: DataFrame, cents=DEFAULT_SWEEP, label: str = "label",
     counts = pred.groupBy(bucket.alias("bucket")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     spark = pred.sparkSession
+    nb = len(cents)
+    zeros = spark.createDataFrame([(b, 0, 0) for b in range(nb + 1)], "bucket int, pos long, neg long")
+    full = counts.unionByName(zeros).groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # rows clearing threshold j are those with bucket >= j: cumulative sums from the
+    # top bucket down, over a table of len(cents)+1 rows (a bounded single task).
+    down = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy()
+    cum = full.select("bucket", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"),
+                      F.sum("pos").over(every).alias("P"), F.sum("neg").over(every).alias("N"))
     thr = spark.createDataFrame([(i + 1, c) for i, c in enumerate(cents)], "bucket int, cents int")
-    # rows clearing threshold j are those with bucket >= j: a small inequality join
-    # between two tables of <= len(cents)+1 rows.
-    j = thr.join(counts.withColumnRenamed("bucket", "b"), F.col("b") >= F.col("bucket"), "left")
-    agg = j.groupBy("bucket", "cents").agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("tp"),
-                                           F.coalesce(F.sum("neg"), F.lit(0)).alias("fp"))
-    out = agg.withColumns({"P": counts.agg(F.sum("pos")).scalar(), "N": counts.agg(F.sum("neg")).scalar()})
+    out = thr.join(cum, "bucket")
     out = out.withColumns({"fn": F.col("P") - F.col("tp"), "tn": F.col("N") - F.col("fp")})
     m = _metric_cols(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
     return out.select((F.col("cents") / 100.0).alias("threshold"), m["precision"].alias("precision"),

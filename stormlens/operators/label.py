@@ -41,9 +41,9 @@ def compare_thresholds(panel: DataFrame, q: float = 0.95, fixed=(150.0, 50.0),
     One aggregate pass per station computes the quantile; a second pass counts
     exceedances of every rule at once (rules are columns, then unpivoted)."""
     v = F.col(value_col)
-    thr = station_quantile(panel, q=q, value_col=value_col, out="thr_q")
-    wet = station_quantile(panel, q=q, rain_only=True, value_col=value_col, out="thr_q_wet")
-    joined = panel.join(thr, "station", "left").join(wet, "station", "left")
+    w = Window.partitionBy("station")  # one pass: quantiles as station windows
+    joined = panel.withColumns({"thr_q": F.percentile(v, q).over(w),
+                                "thr_q_wet": F.percentile(F.when(v > 0, v), q).over(w)})
     rules = {"p": F.col("thr_q")}
     for t in fixed:
         rules[f"mm{int(t)}"] = F.lit(float(t))

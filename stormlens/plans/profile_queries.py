@@ -188,9 +188,9 @@ SELECT a.station, a.threshold, w.threshold_wet FROM
  JOIN (SELECT station, quantile_cont(rain_mm, 0.95) AS threshold_wet FROM grid WHERE rain_mm > 0
   GROUP BY station) w USING (station)"""), "station:s threshold:f threshold_wet:f")
 def a23_p95(spark, sf_dir):
-    g = fx.grid(spark, sf_dir)
-    return P.station_quantile(g).join(
-        P.station_quantile(g, rain_only=True, out="threshold_wet"), "station")
+    v = F.col("rain_mm")
+    return fx.grid(spark, sf_dir).groupBy("station").agg(
+        F.percentile(v, 0.95).alias("threshold"), F.percentile(F.when(v > 0, v), 0.95).alias("threshold_wet"))
 
 
 _PROFILE_COLS = (("rid", "bigint"), ("station_id", "string"), ("name", "string"),
