@@ -80,6 +80,28 @@ def add_interaction(panel: DataFrame, a: str = "nbr_lag1_avg", b: str = "roll7",
     return panel.withColumn(out, F.col(a) * F.col(b))
 
 
+def chunked(panel: DataFrame, fn, halo: int, chunk_days: int = 3650, date_col: str = "obs_date") -> DataFrame:
+    """Run a bounded-lookback feature block ``fn`` on (station, time chunk) partitions.
+
+    Every row is assigned to its chunk of ``chunk_days`` calendar days; the last
+    ``halo`` days of each chunk are also copied into the next chunk as look-back
+    context. ``fn`` runs unchanged with the station key replaced by
+    ``station#chunk`` (so its window partitions are chunk-sized and spread over
+    more tasks), then the context copies are dropped. Exact for every feature whose
+    look-back is at most ``halo`` rows on the dense calendar (lags, rolling means /
+    maxima up to ``halo`` days); not for unbounded run lengths."""
+    day = F.datediff(F.col(date_col), F.lit("1970-01-01"))
+    chunk = F.floor(day / chunk_days)
+    in_halo = (day - chunk * chunk_days) >= (chunk_days - halo)
+    homes = F.when(in_halo, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    ex = panel.withColumns({"_home": chunk, "_station": F.col("station")}) \
+        .withColumn("_chunk", F.explode(homes)) \
+        .withColumn("station", F.concat_ws("#", F.col("_station"), F.col("_chunk").cast("string")))
+    out = fn(ex)
+    return out.filter(F.col("_chunk") == F.col("_home")) \
+        .withColumn("station", F.col("_station")).drop("_home", "_chunk", "_station")
+
+
 # --- neighbours -------------------------------------------------------------
 
 def neighbour_mean(panel: DataFrame, cols, members=None, targets=None,

@@ -9,7 +9,7 @@ from stormlens.functions.calendar import add_calendar
 from stormlens.operators import clean as C
 from stormlens.operators import features as FE
 from stormlens.plans import fixture as fx
-from stormlens.plans.registry import register
+from stormlens.plans.registry import ORACLES, register
 
 W = "WINDOW w AS (PARTITION BY station ORDER BY obs_date)"
 SEASON_SQL = """CASE WHEN month(obs_date) IN (12, 1, 2, 3) THEN 'Hujan_Intensif'
@@ -52,6 +52,14 @@ def w2_rolling(spark, sf_dir):
     return FE.add_rolling(fx.grid(spark, sf_dir), (7, 30, 365))
 
 
+@register("w2_rolling_chunked")
+def w2_rolling_chunked(spark, sf_dir):
+    """W2 on (station, 2-year chunk) partitions with a 365-day halo - identical
+    result to the per-station windows (same oracle)."""
+    return FE.chunked(fx.grid(spark, sf_dir), lambda p: FE.add_rolling(p, (7, 30, 365)), halo=365,
+                      chunk_days=730)
+
+
 @register("w3_max3", fx.sql(body=f"""
 SELECT station, obs_date, rain_mm, max(rain_mm) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS max3
 FROM grid {W}"""), "station:s obs_date:d rain_mm:f max3:f")
@@ -239,3 +247,6 @@ fc AS ({" UNION ALL ".join(f"SELECT obs_date, '{s}' AS station, coalesce(\"{s}\"
           "obs_date:d station:s rain_mm:f")
 def u5_unpivot_forecast(spark, sf_dir):
     return FE.unpivot_forecast(upload_wide(spark, sf_dir), UPLOAD_STATIONS)
+
+
+ORACLES["w2_rolling_chunked"] = ORACLES["w2_rolling"]

@@ -76,3 +76,19 @@ def test_risk_levels(spark):
     df = spark.createDataFrame([(0.24,), (0.25,), (0.40,), (0.60,)], "p double")
     got = [r[0] for r in df.select(risk_level("p")).collect()]
     assert got == ["Aman", "Waspada", "Siaga", "Bahaya"]
+
+
+def test_confusion_to_metrics_golden(spark):
+    # TN 1376, FP 485, FN 61, TP 49 → acc .7230, precision .0918, recall .4455, F1 .1522
+    from stormlens.operators.evaluate import binary_metrics, class_report
+    rows = ([(0, 0.1)] * 1376 + [(0, 0.9)] * 485 + [(1, 0.1)] * 61 + [(1, 0.9)] * 49)
+    pred = spark.createDataFrame(rows, "label int, proba double")
+    m = binary_metrics(pred, 0.5).first()
+    assert (m.tn, m.fp, m.fn, m.tp) == (1376, 485, 61, 49)
+    assert round(m.accuracy, 4) == 0.7230
+    assert round(m.precision, 4) == 0.0918
+    assert round(m.recall, 4) == 0.4455
+    assert round(m.f1, 4) == 0.1522
+    rep = {r["class"]: r for r in class_report(pred, 0.5).collect()}
+    assert rep["1"].support == 110 and rep["0"].support == 1861
+    assert round(rep["accuracy"].f1, 4) == 0.7230
