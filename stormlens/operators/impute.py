@@ -43,47 +43,72 @@ def _vec_key(cols):
     return F.to_json(F.array(*[F.col(f"`{c}`") for c in cols]))
 
 
+def _empty_candidates() -> pd.DataFrame:
+    return pd.DataFrame({"rkey": pd.Series(dtype=str), "col": pd.Series(dtype="int32"),
+                         "dist": pd.Series(dtype="float64"), "ddate": pd.Series(dtype="int32"),
+                         "val": pd.Series(dtype="float64")})
+
+
+def _topk(R: np.ndarray, D: np.ndarray, rkeys: np.ndarray, dates: np.ndarray, k: int) -> pd.DataFrame:
+    """Exact top-k donors per (receiver, missing column) for one tile.
+
+    ``D`` rows must be sorted by ``dates`` (stable argsort then breaks distance ties
+    by date). Distances are accumulated column by column, left to right - the same
+    summation order as the SQL oracle."""
+    p = R.shape[1]
+    pr, pd_ = ~np.isnan(R), ~np.isnan(D)
+    sq = np.zeros((R.shape[0], D.shape[0]))
+    m = np.zeros((R.shape[0], D.shape[0]), dtype=np.int32)
+    for j in range(p):
+        both = pr[:, j][:, None] & pd_[:, j][None, :]
+        diff = np.where(both, R[:, j][:, None] - D[:, j][None, :], 0.0)
+        sq = sq + np.where(both, diff * diff, 0.0)
+        m = m + both
+    with np.errstate(divide="ignore", invalid="ignore"):
+        dist = np.where(m > 0, np.sqrt((p / np.maximum(m, 1)) * sq), np.inf)
+    out = []
+    for c in range(p):
+        ri = np.flatnonzero(~pr[:, c])
+        di = np.flatnonzero(pd_[:, c])
+        if ri.size == 0 or di.size == 0:
+            continue
+        sub = dist[np.ix_(ri, di)]
+        kk = min(k, di.size)
+        order = np.argsort(sub, axis=1, kind="stable")[:, :kk]
+        dsel = np.take_along_axis(sub, order, axis=1)
+        rows, ranks = np.nonzero(np.isfinite(dsel))
+        didx = di[order[rows, ranks]]
+        out.append(pd.DataFrame({"rkey": rkeys[ri[rows]], "col": np.int32(c),
+                                 "dist": dsel[rows, ranks], "ddate": dates[didx].astype("int32"),
+                                 "val": D[didx, c]}))
+    return pd.concat(out, ignore_index=True) if out else _empty_candidates()
+
+
 def _tile_kernel(p: int, k: int):
     vcols = [f"v{j}" for j in range(p)]
 
     def kernel(_key, rec: pd.DataFrame, don: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"rkey": pd.Series(dtype=str), "col": pd.Series(dtype="int32"),
-                              "dist": pd.Series(dtype="float64"), "ddate": pd.Series(dtype="int32"),
-                              "val": pd.Series(dtype="float64")})
         if rec.empty or don.empty:
-            return empty
+            return _empty_candidates()
         don = don.sort_values("ddate", kind="stable")
         R = rec[vcols].to_numpy(dtype="float64", na_value=np.nan)
         D = don[vcols].to_numpy(dtype="float64", na_value=np.nan)
-        pr, pd_ = ~np.isnan(R), ~np.isnan(D)
-        sq = np.zeros((R.shape[0], D.shape[0]))
-        m = np.zeros((R.shape[0], D.shape[0]), dtype=np.int32)
-        for j in range(p):  # column by column, left to right: same summation order as SQL
-            both = pr[:, j][:, None] & pd_[:, j][None, :]
-            diff = np.where(both, R[:, j][:, None] - D[:, j][None, :], 0.0)
-            sq = sq + np.where(both, diff * diff, 0.0)
-            m = m + both
-        with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.where(m > 0, np.sqrt((p / np.maximum(m, 1)) * sq), np.inf)
-        dates = don["ddate"].to_numpy()
-        rkeys = rec["rkey"].to_numpy()
-        out = []
-        for c in range(p):
-            ri = np.flatnonzero(~pr[:, c])
-            di = np.flatnonzero(pd_[:, c])
-            if ri.size == 0 or di.size == 0:
-                continue
-            sub = dist[np.ix_(ri, di)]
-            kk = min(k, di.size)
-            order = np.argsort(sub, axis=1, kind="stable")[:, :kk]  # donors sorted by date → ties by date
-            dsel = np.take_along_axis(sub, order, axis=1)
-            ok = np.isfinite(dsel)
-            rows, ranks = np.nonzero(ok)
-            didx = di[order[rows, ranks]]
-            out.append(pd.DataFrame({"rkey": rkeys[ri[rows]], "col": np.int32(c),
-                                     "dist": dsel[rows, ranks], "ddate": dates[didx].astype("int32"),
-                                     "val": D[didx, c]}))
-        return pd.concat(out, ignore_index=True) if out else empty
+        return _topk(R, D, rec["rkey"].to_numpy(), don["ddate"].to_numpy(), k)
+    return kernel
+
+
+def _array_kernel(k: int):
+    """Tile kernel for region vectors stored as arrays (one region per tile)."""
+    def kernel(key, rec: pd.DataFrame, don: pd.DataFrame) -> pd.DataFrame:
+        if rec.empty or don.empty:
+            out = _empty_candidates()
+        else:
+            don = don.sort_values("ddate", kind="stable")
+            R = np.array([np.asarray(v, dtype="float64") for v in rec["vec"]], dtype="float64")
+            D = np.array([np.asarray(v, dtype="float64") for v in don["vec"]], dtype="float64")
+            out = _topk(R, D, rec["rkey"].to_numpy(), don["ddate"].to_numpy(), k)
+        out.insert(0, "region", pd.Series([key[0]] * len(out), dtype=str))
+        return out
     return kernel
 
 
@@ -123,12 +148,7 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
     cands = rec_x.groupBy("rb", "db").cogroup(don_x.groupBy("rb", "db")) \
         .applyInPandas(_tile_kernel(p, k), CAND_SCHEMA)
 
-    top = Window.partitionBy("rkey", "col").orderBy("dist", "ddate")
-    best = cands.withColumn("_r", F.row_number().over(top)).filter(F.col("_r") <= k)
-    has_zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("rkey", "col"))
-    w = F.when(has_zero == 1, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist"))
-    est = best.withColumn("_w", w).groupBy("rkey", "col").agg(
-        (F.sum(F.col("_w") * F.col("val")) / F.sum("_w")).alias("est"))
+    est = _weighted_estimates(cands, ["rkey"], k)
     est_wide = est.groupBy("rkey").pivot("col", list(range(p))).agg(F.first("est"))
     est_wide = est_wide.select("rkey", *[F.col(f"`{j}`").alias(f"e{j}") for j in range(p)])
 
@@ -144,10 +164,100 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
     return filled.select(F.col("_key").alias(key), *outs)
 
 
-def knn_impute(panel: DataFrame, stations, k: int = 5, block: int = 1024,
-               value_col: str = "rain_mm", clip_min: float | None = 0.0) -> DataFrame:
-    """I4 on the long panel: pivot with the explicit station list, impute, unpivot.
-    Adds ``imputed`` (1 where the value was filled)."""
+def _weighted_estimates(cands: DataFrame, keys, k: int) -> DataFrame:
+    """Merge tile candidates: top-k by (distance, date) per cell, 1/d weights (only
+    zero-distance donors when any is at distance 0), weighted mean."""
+    cell = [*keys, "col"]
+    best = cands.withColumn("_r", F.row_number().over(Window.partitionBy(*cell).orderBy("dist", "ddate"))) \
+        .filter(F.col("_r") <= k)
+    has_zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy(*cell))
+    w = F.when(has_zero == 1, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist"))
+    return best.withColumn("_w", w).groupBy(*cell).agg(
+        (F.sum(F.col("_w") * F.col("val")) / F.sum("_w")).alias("est"))
+
+
+REGION_CAND_SCHEMA = "region string, " + CAND_SCHEMA
+
+
+def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5, block: int = 1024,
+                       value_col: str = "rain_mm", clip_min: float | None = 0.0) -> DataFrame:
+    """I4 for many regions at once, each imputed from its own stations only.
+
+    A region's day-vector is an array over its stations (ordered by station id),
+    built by one (region, day) aggregate - no wide pivot, so the number of regions
+    and stations is unbounded; a vector holds one region's stations. Tiles are
+    (region, receiver block, donor block); blocks come from a row number inside
+    the region (a region holds at most one distinct vector per calendar day).
+    Returns the panel with ``value_col`` filled and ``imputed`` flags.
+    """
+    base = panel.select(F.col(region_col).cast("string").alias("region"), "station", "obs_date",
+                        F.col(value_col).cast("double").alias("_v"))
+    by_region = Window.partitionBy("region")
+    st = base.select("region", "station").distinct().withColumns({
+        "_idx": (F.row_number().over(by_region.orderBy("station")) - 1).cast("int"),
+        "_p": F.count(F.lit(1)).over(by_region).cast("int")})
+    cells = cut_lineage(base.join(st, ["region", "station"]))
+    vec = cells.groupBy("region", "obs_date").agg(
+        F.map_from_entries(F.collect_list(F.struct("_idx", "_v"))).alias("_m"), F.max("_p").alias("_p"))
+    vec = vec.select("region", "obs_date", F.transform(
+        F.sequence(F.lit(0), F.col("_p") - 1), lambda i: F.try_element_at(F.col("_m"), i)).alias("vec"))
+    vec = cut_lineage(vec.withColumn("rkey", F.to_json("vec")))
+
+    donors = (vec.withColumn("_r", F.row_number().over(Window.partitionBy("region", "rkey").orderBy("obs_date")))
+              .filter(F.col("_r") <= k)
+              .select("region", F.datediff("obs_date", F.lit("1970-01-01")).alias("ddate"), "vec"))
+    gap = F.exists("vec", lambda x: x.isNull())
+    receivers = vec.filter(gap).select("region", "rkey", "vec").distinct()
+
+    def blocks(df, order, name):
+        rn = F.row_number().over(by_region.orderBy(F.xxhash64(order), order))
+        return df.withColumns({name: F.floor((rn - 1) / block).cast("int"),
+                               f"n_{name}": F.ceil(F.count(F.lit(1)).over(by_region) / block).cast("int")})
+
+    # each block table is read twice (its block counts, its replication): materialise
+    # once - bounded by one distinct vector per (region, day)
+    rec_b = cut_lineage(blocks(receivers, "rkey", "rb"))
+    don_b = cut_lineage(blocks(donors, "ddate", "db"))
+    # per-region block counts (one row per region), under fresh names for the joins
+    # (one row per region; materialised so the two cogroup sides share no lineage)
+    n_db = cut_lineage(don_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_db").alias("_nd")))
+    n_rb = cut_lineage(rec_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_rb").alias("_nr")))
+    rec_x = rec_b.drop("n_rb").join(n_db, F.col("region") == F.col("_rg")) \
+        .withColumn("db", F.explode(F.sequence(F.lit(0), F.col("_nd") - 1))).drop("_rg", "_nd")
+    don_x = don_b.drop("n_db").join(n_rb, F.col("region") == F.col("_rg")) \
+        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1))).drop("_rg", "_nr")
+    # fresh attribute ids on both sides (both descend from the same vector frame)
+    rec_x = rec_x.select(*[F.col(c).alias(c) for c in rec_x.columns])
+    don_x = don_x.select(*[F.col(c).alias(c) for c in don_x.columns])
+    cands = rec_x.groupBy("region", "rb", "db").cogroup(don_x.groupBy("region", "rb", "db")) \
+        .applyInPandas(_array_kernel(k), REGION_CAND_SCHEMA)
+    est = _weighted_estimates(cands, ["region", "rkey"], k)
+
+    # back to (station, day): receiver days × their estimated columns
+    filled = vec.filter(gap).select("region", "obs_date", "rkey").join(est, ["region", "rkey"]) \
+        .join(st.select("region", F.col("_idx").alias("col"), "station"), ["region", "col"]) \
+        .select("station", "obs_date", "est")
+    means = cells.groupBy("station").agg(F.avg("_v").alias("_mean"))
+    out = cells.join(filled, ["station", "obs_date"], "left").join(means, "station", "left")
+    val = F.coalesce(F.col("_v"), F.col("est"), F.col("_mean"))
+    if clip_min is not None:
+        val = F.when(val.isNotNull(), F.greatest(val, F.lit(clip_min)))
+    return out.select(F.col("region").alias(region_col), "station", "obs_date", val.alias(value_col),
+                      (F.col("_v").isNull() & val.isNotNull()).cast("int").alias("imputed"))
+
+
+def knn_impute(panel: DataFrame, stations=None, k: int = 5, block: int = 1024,
+               value_col: str = "rain_mm", clip_min: float | None = 0.0,
+               region_col: str | None = None) -> DataFrame:
+    """I4 on the long panel. With ``region_col`` every region is imputed from its
+    own stations (``knn_impute_regions``); otherwise the explicit station list is
+    pivoted, imputed and unpivoted. Adds ``imputed`` (1 where the value was filled)."""
+    if region_col is not None:
+        return knn_impute_regions(panel, region_col, k, block, value_col, clip_min)
+    if stations is None:  # the whole panel is one region
+        one = knn_impute_regions(panel.withColumn("_region", F.lit("all")), "_region", k, block,
+                                 value_col, clip_min)
+        return one.drop("_region")
     wide = to_wide(panel, stations, value_col)
     filled = knn_impute_wide(wide, stations, k, block, clip_min=clip_min)
     long = filled.unpivot(["obs_date"], list(stations), "station", "_v")

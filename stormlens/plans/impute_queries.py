@@ -152,3 +152,43 @@ def i7_imputation_backtest(spark, sf_dir):
     mean = per.agg(F.lit("mean").alias("station"), F.avg("rmse_linear").alias("rmse_linear"),
                    F.avg("rmse_knn").alias("rmse_knn"), F.sum("n_hidden").alias("n_hidden"))
     return per.withColumn("best", best).unionByName(mean.withColumn("best", best))
+
+
+# --- many regions at once ---------------------------------------------------------------
+
+REGION_A = fx.STATIONS                                        # prefix 1371
+REGION_B = tuple(s.replace("1371", "1301", 1) for s in fx.STATIONS)  # prefix 1301
+
+ALL_GRID_SQL = f"""
+cleaned_all AS (SELECT station_id AS station, CAST(substr(data_timestamp, 1, 10) AS DATE) AS obs_date,
+                       CASE WHEN rain_mm = 9999e0 THEN NULL WHEN rain_mm = 8888e0 THEN 0e0
+                            ELSE rain_mm END AS rain_mm FROM readings),
+daily_all AS (SELECT station, obs_date, avg(rain_mm) AS rain_mm FROM cleaned_all
+              WHERE obs_date BETWEEN DATE '{fx.START}' AND DATE '{fx.END}' GROUP BY station, obs_date),
+grid_all AS (SELECT s.station, d.obs_date, a.rain_mm
+             FROM (SELECT DISTINCT station FROM daily_all) s CROSS JOIN days d
+             LEFT JOIN daily_all a ON a.station = s.station AND a.obs_date = d.obs_date),
+wide_a AS (SELECT obs_date, {", ".join(f"avg(CASE WHEN station = '{s}' THEN rain_mm END) AS \"{s}\"" for s in REGION_A)}
+           FROM grid_all GROUP BY obs_date),
+wide_b AS (SELECT obs_date, {", ".join(f"avg(CASE WHEN station = '{s}' THEN rain_mm END) AS \"{s}\"" for s in REGION_B)}
+           FROM grid_all GROUP BY obs_date),"""
+
+
+def _long_sql(out: str, stations) -> str:
+    return " UNION ALL ".join(f"SELECT '{s}' AS station, obs_date, \"{s}\" AS rain_mm FROM {out}" for s in stations)
+
+
+@register("i4_knn_impute_regions", fx.sql(ALL_GRID_SQL + knn_sql("wide_a", REGION_A, prefix="ka") + ","
+                                          + knn_sql("wide_b", REGION_B, prefix="kb").lstrip("\n"),
+                                          body=_long_sql("ka_out", REGION_A) + " UNION ALL "
+                                          + _long_sql("kb_out", REGION_B)),
+          "station:s obs_date:d rain_mm:f")
+def i4_knn_impute_regions(spark, sf_dir):
+    """I4 over every station of the network, each region (id prefix) imputed from
+    its own stations only, all regions in the same jobs."""
+    from stormlens.operators.calendar import densify
+    from stormlens.operators.clean import to_station_days
+    from stormlens.operators.impute import knn_impute
+    g = densify(to_station_days(fx.readings(spark, sf_dir)), fx.START, fx.END)
+    g = g.withColumn("region", F.substring("station", 1, 4))
+    return knn_impute(g, k=5, region_col="region").select("station", "obs_date", "rain_mm")
