@@ -74,6 +74,35 @@ def add_dry_run(panel: DataFrame, wet_above: float = 0.1, value_col: str = "rain
     return panel.withColumn(out, _run_before(wet, first_null=True))
 
 
+def run_before_chunked(panel: DataFrame, flag_break: Column, out: str, first_null: bool,
+                       chunk_days: int = 3650, date_col: str = "obs_date") -> DataFrame:
+    """W5/W6 on (station, time chunk) window partitions with a two-pass carry.
+
+    Pass 1 (inside each chunk): the last breaking day strictly before the row.
+    Pass 2 (a stations × chunks summary table): the last breaking day of all
+    earlier chunks and the station's first day, joined back by (station, chunk).
+    The run is then (day − 1 − last break) in calendar days - equal to the row
+    count on the dense calendar, so exact, with no window spanning a whole
+    station history."""
+    day = F.datediff(F.col(date_col), F.lit("1970-01-01"))
+    p = panel.withColumns({"_day": day, "_chunk": F.floor(day / chunk_days), "_brk": flag_break})
+    w = Window.partitionBy("station", "_chunk").orderBy(date_col)
+    p = p.withColumn("_lb", F.max(F.when(F.col("_brk"), F.col("_day"))).over(
+        w.rowsBetween(Window.unboundedPreceding, -1)))
+    summ = p.groupBy("station", "_chunk").agg(F.max(F.when(F.col("_brk"), F.col("_day"))).alias("_cb"),
+                                              F.min("_day").alias("_c0"))
+    ws = Window.partitionBy("station").orderBy("_chunk")
+    summ = summ.select("station", "_chunk",
+                       F.max("_cb").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+                       F.min("_c0").over(Window.partitionBy("station")).alias("_first"))
+    j = p.join(summ, ["station", "_chunk"], "left")
+    last = F.coalesce(F.col("_lb"), F.col("_carry"), F.col("_first") - 1)
+    run = (F.col("_day") - F.lit(1) - last).cast("int")
+    if first_null:
+        run = F.when(F.col("_day") > F.col("_first"), run)
+    return j.withColumn(out, run).drop("_day", "_chunk", "_brk", "_lb", "_carry", "_first")
+
+
 def add_interaction(panel: DataFrame, a: str = "nbr_lag1_avg", b: str = "roll7",
                     out: str = "spatial_x_roll7") -> DataFrame:
     """W7."""

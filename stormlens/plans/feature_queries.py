@@ -250,3 +250,23 @@ def u5_unpivot_forecast(spark, sf_dir):
 
 
 ORACLES["w2_rolling_chunked"] = ORACLES["w2_rolling"]
+
+
+@register("w5_wet_run_chunked")
+def w5_wet_run_chunked(spark, sf_dir):
+    """W5 on (station, 2-year chunk) partitions with the two-pass carry (same oracle)."""
+    wet = F.coalesce(F.col("rain_mm") > 0, F.lit(False))
+    return FE.run_before_chunked(fx.grid(spark, sf_dir), ~wet, "consec_rain", first_null=False,
+                                 chunk_days=730).select("station", "obs_date", "rain_mm", "consec_rain")
+
+
+@register("w6_dry_run_chunked")
+def w6_dry_run_chunked(spark, sf_dir):
+    """W6 on (station, 2-year chunk) partitions with the two-pass carry (same oracle)."""
+    wet = F.coalesce(F.col("rain_mm") > 0.1, F.lit(False))
+    return FE.run_before_chunked(fx.grid(spark, sf_dir), wet, "dry_days", first_null=True,
+                                 chunk_days=730).select("station", "obs_date", "rain_mm", "dry_days")
+
+
+ORACLES["w5_wet_run_chunked"] = ORACLES["w5_wet_run"]
+ORACLES["w6_dry_run_chunked"] = ORACLES["w6_dry_run"]

@@ -5,7 +5,7 @@ The modelling panel follows the studied trainer: dense calendar → lags / rolli
 means / neighbour means of the target stations → per-station P95 label → complete
 rows → one-hot station → 80/20 date split → robust scaling fitted on the training
 dates → class weights. Model fits have no SQL equivalent: these entries are
-checked by rows and by the property tests in ``tests/test_models.py``.
+checked by rows and by the property tests in ``tests/test_properties.py``.
 """
 
 from __future__ import annotations
