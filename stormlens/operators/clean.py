@@ -48,15 +48,13 @@ def search_names(df: DataFrame, keywords, id_col: str = "station_id",
     """case-insensitive plain-text keyword search on station names.
 
     Returns one row per (keyword, id, name) found, and a row with NULL id / name
-    for a keyword that matches nothing. The keyword list is a literal (a handful of
-    words), so each keyword is its own ``contains`` predicate on the distinct
-    catalog - no join against the data.
-    """
-    catalog = df.select(id_col, name_col).distinct()
-    hits = reduce(lambda a, b: a.unionByName(b), [
-        catalog.filter(F.lower(F.col(name_col)).contains(kw.lower()))
-               .withColumn("keyword", F.lit(kw))
-        for kw in keywords])
+    for a keyword that matches nothing. One pass over the data: the distinct
+    (id, name) catalog is aggregated once, each catalog row carries the literal
+    keyword list (explode), and a ``contains`` predicate keeps the matches."""
+    kw = F.array(*[F.lit(k) for k in keywords])
+    hits = (df.select(id_col, name_col).distinct()
+            .select(id_col, name_col, F.explode(kw).alias("keyword"))
+            .filter(F.lower(F.col(name_col)).contains(F.lower(F.col("keyword")))))
     kw_df = df.sparkSession.createDataFrame([(k,) for k in keywords], "keyword string")
     return F.broadcast(kw_df).join(hits, on="keyword", how="left") \
         .select("keyword", id_col, name_col, F.col(id_col).isNotNull().cast("int").alias("found"))
