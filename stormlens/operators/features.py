@@ -203,8 +203,10 @@ def features_with_seed(history: DataFrame, future: DataFrame, seed_days: int = 3
 
     The seed is the last ``seed_days`` calendar days before the first future day
     (per station); features are computed over seed ∪ future and seed rows dropped."""
+    # one row per station: joined without a hint - AQE broadcasts it only when the
+    # measured size is small and keeps a sort-merge join otherwise
     first_future = future.groupBy("station").agg(F.min("obs_date").alias("_f0"))
-    seed = (history.join(F.broadcast(first_future), on="station")
+    seed = (history.join(first_future, on="station")
             .filter((F.col("obs_date") < F.col("_f0"))
                     & (F.col("obs_date") >= F.date_sub(F.col("_f0"), seed_days)))
             .drop("_f0").withColumn("_seed", F.lit(True)))
