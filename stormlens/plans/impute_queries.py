@@ -192,3 +192,41 @@ def i4_knn_impute_regions(spark, sf_dir):
     g = densify(to_station_days(fx.readings(spark, sf_dir)), fx.START, fx.END)
     g = g.withColumn("region", F.substring("station", 1, 4))
     return knn_impute(g, k=5, region_col="region").select("station", "obs_date", "rain_mm")
+
+
+# --- flagship on the imputed calendar (the studied step chain: impute → features → label) ---
+
+IMPUTED_FLAGSHIP_SQL = fx.sql(WIDE_SQL, knn_sql("wide", ST).lstrip("\n"), """
+ig AS (""" + _long_sql("k_out", ST) + """),
+feats AS (
+  SELECT *, lag(rain_mm, 1) OVER w AS lag1, lag(rain_mm, 2) OVER w AS lag2, lag(rain_mm, 3) OVER w AS lag3,
+         avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7,
+         avg(rain_mm) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS roll30
+  FROM ig WINDOW w AS (PARTITION BY station ORDER BY obs_date)),
+thr AS (SELECT station, quantile_cont(rain_mm, 0.95) AS threshold FROM ig WHERE rain_mm IS NOT NULL
+        GROUP BY station),
+lab AS (SELECT f.*, CAST(coalesce(f.rain_mm > t.threshold, false) AS INT) AS label
+        FROM feats f LEFT JOIN thr t USING (station))""", body="""
+SELECT station, count(*) AS n_rows, sum(label) AS n_pos, sum(label) * 100.0 / count(*) AS pct_pos,
+       CASE WHEN sum(label) > 0 THEN (100.0 - sum(label) * 100.0 / count(*))
+            / (sum(label) * 100.0 / count(*)) END AS imbalance_ratio
+FROM lab WHERE rain_mm IS NOT NULL AND lag1 IS NOT NULL AND lag2 IS NOT NULL AND lag3 IS NOT NULL
+  AND roll7 IS NOT NULL AND roll30 IS NOT NULL
+GROUP BY station""")
+
+
+@register("a21_class_balance_imputed", IMPUTED_FLAGSHIP_SQL,
+          "station:s n_rows:i n_pos:i pct_pos:f imbalance_ratio:f")
+def a21_class_balance_imputed(spark, sf_dir):
+    """Flagship: KNN-imputed dense calendar → lags / rolling means → per-station P95
+    label → complete rows → class balance of extreme days per station."""
+    from stormlens.operators import clean as C
+    from stormlens.operators import features as FE
+    from stormlens.operators import label as L
+    from stormlens.operators import profile as PR
+    from stormlens.operators.impute import knn_impute
+    panel = knn_impute(fx.grid(spark, sf_dir), ST, k=5).drop("imputed")
+    feats = FE.add_rolling(FE.add_lags(panel, (1, 2, 3)), (7, 30))
+    lab = L.label_extreme(feats)
+    complete = C.drop_incomplete(lab, ["rain_mm", "lag1", "lag2", "lag3", "roll7", "roll30"])
+    return PR.class_balance(complete, "label", by="station")

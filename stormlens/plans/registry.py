@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stormlens.session import ship_package
+
 # Means of 0.1 mm readings over 2^k days land EXACTLY on a 6-digit rounding
 # midpoint (e.g. 22.6384375); two engines summing in different orders then round
 # to different sides. Both sides add this fixed shift before rounding, which moves
@@ -67,6 +69,7 @@ def register(name: str, sql: str | None = None, spec: str | None = None):
     """Decorator: register a query under ``name`` with an optional oracle."""
     def deco(fn):
         def run(spark, sf_dir):
+            ship_package(spark)  # pandas-UDF operators need the package on the workers
             return portable(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -62,3 +64,38 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``stormlens`` importable in the Python workers (``addPyFile``).
+
+    The pandas-UDF operators (KNN tiles, SMOTE neighbours, tree attribution,
+    seasonal ARMA) run functions of this package inside executor Python workers;
+    the package is zipped once per application into the shared checkpoint folder
+    and registered with the SparkContext, as ``--py-files`` would on submit."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    target_dir = ensure_checkpoint_dir(spark)
+    if target_dir.startswith("file:"):
+        target_dir = target_dir[len("file:"):]
+    if "://" in target_dir:  # a remote shared folder: build locally, the driver serves it
+        target_dir = tempfile.mkdtemp(prefix="stormlens-pkg-")
+    os.makedirs(target_dir, exist_ok=True)
+    path = os.path.join(target_dir, f"stormlens-{app}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

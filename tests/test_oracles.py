@@ -17,7 +17,7 @@ def con():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert "station" in df.columns
 
 
