@@ -33,7 +33,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stormlens.operators.features import to_wide
 from stormlens.session import cut_lineage
@@ -120,7 +119,6 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
     """I4 on a wide frame ``(key, c1..cp)``: returns the same frame with gaps filled."""
     cols = list(cols)
     p = len(cols)
-    spark = wide.sparkSession
     v = {c: f"v{j}" for j, c in enumerate(cols)}
     base = wide.select(F.col(key).alias("_key"), *[F.col(f"`{c}`").cast("double").alias(v[c]) for c in cols])
     vnames = [v[c] for c in cols]

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormlens.operators.profile import station_quantile
-
 
 def label_extreme(panel: DataFrame, thresholds: DataFrame | None = None, q: float = 0.95,
                   value_col: str = "rain_mm", out: str = "label",
