@@ -270,3 +270,26 @@ def w6_dry_run_chunked(spark, sf_dir):
 
 ORACLES["w5_wet_run_chunked"] = ORACLES["w5_wet_run"]
 ORACLES["w6_dry_run_chunked"] = ORACLES["w6_dry_run"]
+
+
+@register("u5_upload_csv")
+def u5_upload_csv(spark, sf_dir):
+    """U5 + D8 from a file: the wide forecast is written as an upload CSV (date +
+    one column per station) into the shared folder, read back with an explicit
+    schema and unpivoted; a station absent from the file counts as 0 mm."""
+    import os
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from stormlens.session import ensure_checkpoint_dir
+    from stormlens.sources.readings import read_csv_typed, write_table
+    path = os.path.join(ensure_checkpoint_dir(spark), f"upload-{uuid.uuid4().hex}")
+    write_table(upload_wide(spark, sf_dir), path, fmt="csv")
+    schema = T.StructType([T.StructField("obs_date", T.StringType())]
+                          + [T.StructField(s, T.DoubleType()) for s in fx.TARGETS])
+    wide = read_csv_typed(spark, path, schema, date_cols=("obs_date",))
+    return FE.unpivot_forecast(wide, UPLOAD_STATIONS)
+
+
+ORACLES["u5_upload_csv"] = ORACLES["u5_unpivot_forecast"]
