@@ -171,3 +171,36 @@ def test_seasonal_ar_repeats_pure_season(spark):
     monthly = spark.createDataFrame(rows, "series string, month date, total double")
     fc = seasonal_ar_forecast(monthly, "2005-01-01", 12).orderBy("month").toPandas()
     assert np.allclose(fc["pred"].to_numpy(), pattern, atol=1e-6)
+
+
+def _newton_logistic(X, y, s, iters=50):
+    """Independent solve of  ½‖w‖² + Σ s_i · logloss_i  (intercept not penalised)."""
+    n, p = X.shape
+    A = np.hstack([X, np.ones((n, 1))])
+    beta = np.zeros(p + 1)
+    reg = np.diag([1.0] * p + [0.0])
+    for _ in range(iters):
+        mu = 1.0 / (1.0 + np.exp(-(A @ beta)))
+        grad = A.T @ (s * (mu - y)) + reg @ beta
+        H = (A * (s * mu * (1 - mu))[:, None]).T @ A + reg
+        beta -= np.linalg.solve(H, grad)
+    return beta
+
+
+def test_logistic_matches_the_c1_objective(spark, toy):
+    feats = ["x1", "x2", "x3"]
+    weighted = E.class_weights(toy, mode="balanced", out="weight")
+    pdf = weighted.orderBy("rid").toPandas()
+    exp = _newton_logistic(pdf[feats].to_numpy(), pdf["label"].to_numpy(float), pdf["weight"].to_numpy())
+    m = M.fit_logistic(weighted, feats).stages[-1]
+    got = np.append(m.coefficients.toArray(), m.intercept)
+    assert np.allclose(got, exp, atol=1e-3)
+
+
+def test_boosted_trees_beat_the_prior(spark, toy):
+    feats = ["x1", "x2", "x3"]
+    weighted = E.class_weights(toy, mode="ratio", out="weight")
+    scored = M.score(M.fit_gbt(weighted, feats, max_iter=30, max_depth=3, step=0.1), toy).toPandas()
+    pos, neg = scored[scored.label == 1]["proba"], scored[scored.label == 0]["proba"]
+    auc = (pos.to_numpy()[:, None] > neg.to_numpy()[None, :]).mean()
+    assert auc > 0.8
