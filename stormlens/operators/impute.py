@@ -217,9 +217,9 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
     rec_b = cut_lineage(blocks(receivers, "rkey", "rb"))
     don_b = cut_lineage(blocks(donors, "ddate", "db"))
     # per-region block counts (one row per region), under fresh names for the joins
-    # (one row per region; materialised so the two cogroup sides share no lineage)
-    n_db = cut_lineage(don_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_db").alias("_nd")))
-    n_rb = cut_lineage(rec_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_rb").alias("_nr")))
+    # (one row per region each)
+    n_db = don_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_db").alias("_nd"))
+    n_rb = rec_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_rb").alias("_nr"))
     rec_x = rec_b.drop("n_rb").join(n_db, F.col("region") == F.col("_rg")) \
         .withColumn("db", F.explode(F.sequence(F.lit(0), F.col("_nd") - 1))).drop("_rg", "_nd")
     don_x = don_b.drop("n_db").join(n_rb, F.col("region") == F.col("_rg")) \
