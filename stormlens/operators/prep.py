@@ -5,10 +5,12 @@ Scalers follow the fit/transform pattern: ``fit_*`` runs ONE aggregate job and
 returns a handful of numbers per column (like an MLlib estimator's summary);
 ``apply_*`` is then a pure column expression, code-generated, no join.
 
-Orderings that must be global (the k-th distinct date, stratified round-robin
-folds) use ``bucketed_rank``: rows are assigned to buckets that are monotone in
-the order key, per-bucket counts (a tiny table) give each bucket's offset, and
-rows are ranked inside their bucket - so no step sorts everything in one task.
+Orderings that must be global use per-bucket counts instead of one sort: the
+k-th distinct date comes from distinct-date counts per year plus a window over
+one year's dates (``dates_at_ranks``); row ranks for stratified folds and the hide
+mask use ``bucketed_rank`` (buckets monotone in the order key, per-bucket counts
+give each bucket's offset, rows ranked inside their bucket) - no step sorts
+everything in one task.
 """
 
 from __future__ import annotations
@@ -122,21 +124,48 @@ def ranked_dates(df: DataFrame, date_col: str = "obs_date") -> DataFrame:
     return bucketed_rank(d, date_col, F.year(date_col))
 
 
-def split_date(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date") -> DataFrame:
-    """The cut date = the (int(n·frac)+1)-th smallest distinct date (one row)."""
-    r = ranked_dates(df, date_col)
-    n = r.agg(F.count(F.lit(1)).alias("n"))
-    k = (F.floor(F.col("n") * F.lit(frac)).cast("long") + 1).alias("_rank")
-    return r.join(F.broadcast(n.select("n", k)), "_rank").select(
-        F.col(date_col).alias("cut_date"), "n")
+def year_counts(df: DataFrame, date_col: str = "obs_date"):
+    """(distinct dates with their year, [(year, number of distinct dates)]) - the
+    second is one row per calendar year, collected by one small aggregate."""
+    d = df.select(F.col(date_col).alias("_d")).distinct().withColumn("_y", F.year("_d"))
+    per_year = sorted((r["_y"], r["n"]) for r in d.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect())
+    return d, per_year
+
+
+def dates_at_ranks(d: DataFrame, per_year, ranks) -> list:
+    """The distinct dates at the given 1-based ranks, exactly: the per-year counts
+    locate each rank's year and offset, and one window over the distinct dates of
+    only those years (<= 366 each) picks them."""
+    wanted, before = {}, 0
+    for y, c in per_year:
+        for k in ranks:
+            if before < k <= before + c:
+                wanted[(y, k - before)] = k
+        before += c
+    if not wanted:
+        return [None for _ in ranks]
+    years = sorted({y for y, _ in wanted})
+    rn = F.row_number().over(Window.partitionBy("_y").orderBy("_d"))
+    rows = d.filter(F.col("_y").isin(years)).withColumn("_r", rn) \
+        .filter(F.struct("_y", "_r").isin([F.struct(F.lit(y), F.lit(r)) for y, r in wanted])) \
+        .select("_y", "_r", "_d").collect()
+    found = {wanted[(r["_y"], r["_r"])]: r["_d"] for r in rows}
+    return [found.get(k) for k in ranks]
+
+
+def split_date(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date"):
+    """The cut date = the (int(n·frac)+1)-th smallest distinct date (one value)."""
+    d, per_year = year_counts(df, date_col)
+    n = sum(c for _, c in per_year)
+    return dates_at_ranks(d, per_year, [int(n * frac) + 1])[0]
 
 
 def date_split(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date") -> DataFrame:
     """``split`` = train (date < cut) / test (date >= cut); all stations of a
     date stay on the same side. The cut date is fitted once (one aggregate job, one
     value) and applied as a literal, so later date filters prune and push down."""
-    cut = split_date(df, frac, date_col).first()
-    c = F.lit(cut["cut_date"]) if cut else F.lit(None).cast("date")
+    cut = split_date(df, frac, date_col)
+    c = F.lit(cut) if cut is not None else F.lit(None).cast("date")
     return df.withColumns({"cut_date": c,
                            "split": F.when(F.col(date_col) < c, "train").otherwise("test")})
 
@@ -167,13 +196,11 @@ def time_folds(df: DataFrame, n_splits: int = 5, date_col: str = "obs_date") ->
     ``n_dates // (n_splits+1)`` dates at the end; fold i trains on every earlier
     date. Adds ``fold`` (0..n_splits-1 for test blocks, -1 for train-only dates)."""
     # fit: the first date of every test block (n_splits values), then a literal CASE
-    r = ranked_dates(df, date_col)
-    n = r.count()
+    d, per_year = year_counts(df, date_col)
+    n = sum(c for _, c in per_year)
     ts = n // (n_splits + 1)
     start = n - ts * n_splits
-    firsts = [start + i * ts + 1 for i in range(n_splits)]  # 1-based ranks
-    rows = r.filter(F.col("_rank").isin(firsts)).select(date_col, "_rank").collect()
-    bounds = [row[0] for row in sorted(rows, key=lambda x: x[1])]
+    bounds = dates_at_ranks(d, per_year, [start + i * ts + 1 for i in range(n_splits)])
     d = F.col(date_col)
     fold = F.lit(-1)
     for i, b in enumerate(bounds):
