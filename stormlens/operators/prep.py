@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stormlens.session import cut_lineage
 
 # --- exact scalers ------------------------------------------------------------------
 
@@ -127,7 +128,9 @@ def ranked_dates(df: DataFrame, date_col: str = "obs_date") -> DataFrame:
 def year_counts(df: DataFrame, date_col: str = "obs_date"):
     """(distinct dates with their year, [(year, number of distinct dates)]) - the
     second is one row per calendar year, collected by one small aggregate."""
-    d = df.select(F.col(date_col).alias("_d")).distinct().withColumn("_y", F.year("_d"))
+    # the distinct dates (one row per calendar day) are read twice - here and by
+    # the pick - so they are materialised once instead of re-deriving the panel
+    d = cut_lineage(df.select(F.col(date_col).alias("_d")).distinct().withColumn("_y", F.year("_d")))
     per_year = sorted((r["_y"], r["n"]) for r in d.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect())
     return d, per_year
 
