@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from stormlens.session import cut_lineage
 
+
 # --- exact scalers ------------------------------------------------------------------
 
 def fit_robust(fit_df: DataFrame, cols) -> dict:
