@@ -125,17 +125,21 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
     # The wide frame (one row per calendar day) is read by four consumers:
     # materialise it once in the shared checkpoint folder.
     base = cut_lineage(base.withColumn("rkey", _vec_key(vnames)))
-    # column means over the whole frame (fallback when no donor has a defined distance)
-    means = base.agg(*[F.avg(n).alias(n) for n in vnames]).first()
+    any_gap = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in vnames])
+    # one job: column means over the whole frame (fallback when no donor has a
+    # defined distance) and the row counts that size the tiles (upper bounds of the
+    # de-duplicated receiver / donor counts - smaller blocks, same exact result)
+    stats = base.agg(*[F.avg(n).alias(n) for n in vnames], F.count(F.lit(1)).alias("_rows"),
+                     F.count_if(any_gap).alias("_gaps")).first()
+    means = stats
 
     # donors: at most k representatives (earliest dates) per distinct vector
     wv = Window.partitionBy("rkey").orderBy("_key")
     donors = (base.withColumn("_r", F.row_number().over(wv)).filter(F.col("_r") <= k)
               .select(F.datediff("_key", F.lit("1970-01-01")).alias("ddate"), *vnames))
-    any_gap = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in vnames])
     receivers = base.filter(any_gap).select("rkey", *vnames).distinct()
 
-    n_rec, n_don = receivers.count(), donors.count()
+    n_rec, n_don = stats["_gaps"], stats["_rows"]
     if n_rec == 0:
         return wide
     nr, nd = max(1, math.ceil(n_rec / block)), max(1, math.ceil(n_don / block))
