@@ -39,3 +39,10 @@ def test_flagship_threshold_is_a_window(spark):
 def test_neighbour_means_do_not_rescan(spark):
     plan = _plan(spark, "w8_neighbour_all")
     assert plan.count("FileScan parquet") <= 2
+
+
+def test_knn_donor_dedup_limits_before_the_shuffle(spark):
+    plan = _plan(spark, "i4_knn_impute")
+    # repeated day-vectors are cut to k rows per vector inside each task first
+    assert any("WindowGroupLimit" in line and "Partial" in line for line in plan.splitlines())
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
