@@ -143,7 +143,8 @@ def score(docs: DataFrame, ratios: np.ndarray, text: str = "text", bits: int = B
 
 def trusted_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(text, target): every document once, marked when its label has quality 1."""
-    good = labels.groupBy(F.col(id).alias("__id")).agg((F.max("quality") == 1).alias("target")).filter("target")
+    good = labels.groupBy(F.col(id).alias("__id")).agg((F.max("quality") == 1).alias("target")).filter("target") \
+        .hint("merge")  # labels grow with the documents: never broadcast, the same join at every size
     return docs.select(F.col(id).alias("__id"), F.col(text).alias("text")).join(good, "__id", "left") \
         .select("text", F.coalesce("target", F.lit(False)).alias("target"))
 
