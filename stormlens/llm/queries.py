@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormlens.llm import language_id as lid
+from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
 from stormlens.session import ship_package
 
@@ -39,6 +40,11 @@ def op1(spark, sf_dir):
     return rules.quality_rules(docs, table(spark, sf_dir, "labels"))
 
 
+@query("op7_ngram_jaccard")
+def op7(spark, sf_dir):
+    return join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query("op9_language_id")
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
