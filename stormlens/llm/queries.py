@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from stormlens.llm import decontaminate, mixing, token_store
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
+from stormlens.llm.storage import scratch_path
 from stormlens.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +34,40 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: The same sampling as one sort of each source; sources fill up in the order of capacity / weight.
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, greatest(length(coalesce(text, '')), 1) AS n,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':mix-1'), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM documents),
+k AS (
+  SELECT *, -ln(u) / (4.0::DOUBLE
+      / CASE WHEN length(translate(t, '#*$%&|<>!', '')) < n * 0.98::DOUBLE THEN 2 ELSE 1 END
+      / CASE WHEN length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) < n * 0.8::DOUBLE THEN 2 ELSE 1 END) AS key
+  FROM d),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM k GROUP BY source),
+f AS (
+  SELECT *, 3 * source_size::DOUBLE AS cap,
+    sum(source_size) OVER ()::DOUBLE - coalesce(sum(3 * source_size::DOUBLE) OVER o, 0) AS left_over,
+    sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS open
+  FROM s WINDOW o AS (ORDER BY 3 * source_size::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (
+  SELECT *, first_value(CASE WHEN cap / w > left_over / open THEN left_over / open END IGNORE NULLS) OVER (
+    ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS level FROM f),
+t AS (SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * w) END AS target FROM g),
+p AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, md5(t)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM k)
+SELECT doc_id, size, source_size, target, CAST(size * (e + CASE WHEN size > 0 AND start + size / 2.0::DOUBLE <= target - e * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM (SELECT doc_id, size, source_size, target, p.start, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS e
+      FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source) AS q
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,6 +78,24 @@ def op1(spark, sf_dir):
     return rules.quality_rules(docs, table(spark, sf_dir, "labels"))
 
 
+@query("op2_token_orc")
+def op2(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.digest(spark, path)
+
+
+@query("op3_decontaminate")
+def op3(spark, sf_dir):
+    """Every (document, test item) that leaks; documents without a row are clean."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_mixing", MIXING_SQL)
+def op5(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op7_ngram_jaccard")
 def op7(spark, sf_dir):
     return join.jaccard_components(table(spark, sf_dir, "documents"))
