@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stormlens.llm import decontaminate, mixing, token_store
+from stormlens.llm import decontaminate, line_templates, mixing, token_store, url_filter
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
@@ -101,7 +101,18 @@ def op7(spark, sf_dir):
     return join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op8_line_templates")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query("op9_language_id")
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return lid.language_id(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op10_url_filter")
+def op10(spark, sf_dir):
+    return url_filter.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
