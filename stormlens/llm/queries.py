@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stormlens.llm import decontaminate, line_templates, mixing, token_store, url_filter
+from stormlens.llm import decontaminate, line_templates, mixing, page_text, quality_classifier, token_store, url_filter
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
@@ -91,11 +91,22 @@ def op3(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op4_quality_classifier")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_classifier.quality_classifier(docs, table(spark, sf_dir, "labels"))
+
+
 @query("op5_mixing", MIXING_SQL)
 def op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_page_text")
+def op6(spark, sf_dir):
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_ngram_jaccard")
 def op7(spark, sf_dir):
     return join.jaccard_components(table(spark, sf_dir, "documents"))
