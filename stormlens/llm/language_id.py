@@ -24,8 +24,9 @@ from stormlens.llm.arrays import with_columns
 BITS = 16
 ORDERS = 3
 SAMPLE_ROWS = 8000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
+STEPS = 24_000
+SCALE = 30.0
+ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.05, 1e-4
 UNKNOWN = "und"
 _PIECE = 1 << 20
 
@@ -72,7 +73,7 @@ def document_frequencies(texts: DataFrame, bits: int = BITS) -> DataFrame:
     return texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray, classes: int, size: int, epochs: int = EPOCHS,
+def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray, classes: int, size: int, epochs: int,
              alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> np.ndarray:
     """Weights (size x classes) of a softmax by follow-the-regularised-leader; many are 0."""
     z, n = np.zeros((size, classes)), np.zeros((size, classes))
@@ -129,9 +130,10 @@ class LanguageModel:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", bits: int = BITS,
-          sample_rows: int = SAMPLE_ROWS, epochs: int = EPOCHS) -> LanguageModel | None:
+          sample_rows: int = SAMPLE_ROWS, steps: int = STEPS) -> LanguageModel | None:
     """Fit on ``docs`` (the training documents). The sample is drawn by a hash of the id and
-    the text, about ``sample_rows`` / languages rows of each language, 2 * ``sample_rows`` at most."""
+    the text, about ``sample_rows`` / languages rows of each language, 2 * ``sample_rows`` at most;
+    it is gone over as often as ``steps`` updates need."""
     docs = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang")) \
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}  # one row a language
@@ -142,7 +144,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     rows = {r.bucket: r.n for r in document_frequencies(docs.select("text"), bits).collect()}  # 2**bits + 1 at most
     total = rows.pop(-1, 0)
     seen = np.fromiter(rows, np.int64, len(rows))
-    idf[seen] = np.log((1 + total) / (1 + np.fromiter(rows.values(), np.float64, len(rows)))) + 1
+    idf[seen] = SCALE * (np.log((1 + total) / (1 + np.fromiter(rows.values(), np.float64, len(rows)))) + 1)
 
     share = F.lit(0.0)
     for name, n in counts.items():
@@ -167,7 +169,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
         vecs.append((i, np.frombuffer(r["x"], "<f4").astype(np.float64) * idf[i]))
     marks = np.array([number[r["lang"]] for r in sample], np.int64)
     cut = len(vecs) // 5
-    w = fit_ftrl(vecs[cut:], marks[cut:], len(languages), 1 << bits, epochs)
+    w = fit_ftrl(vecs[cut:], marks[cut:], len(languages), 1 << bits, -(-steps // max(1, len(vecs) - cut)))
     heat = temperature(np.array([x @ w[i] for i, x in vecs[:cut]]).reshape(cut, len(languages)), marks[:cut])
     return LanguageModel(languages, (w * idf[:, None]).astype(np.float32), heat, bits)
 
