@@ -35,10 +35,11 @@ def tidy(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, text_hash, pos, line, size, leaf, template): one row a line that isn't blank."""
+    """(id, text_hash, pos, line, size, fields, leaf, template): one row a line that isn't blank."""
     exploded = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")) \
         .withColumn("line", tidy(F.col("line"))).filter("line <> ''") \
-        .withColumn("size", F.length("line") - F.length(F.translate("line", " ", "")) + 1)
+        .withColumn("size", F.length("line") - F.length(F.translate("line", " ", "")) + 1) \
+        .withColumn("fields", ((F.length("line") - F.length(F.replace("line", F.lit(FIELD), F.lit("")))) / len(FIELD)).cast("int"))
     return exploded.withColumn("leaf", F.xxhash64("size", F.substring_index("line", " ", LEAD))) \
         .withColumn("template", F.xxhash64("line", F.lit(0)))
 
@@ -52,7 +53,7 @@ def generalised(found: DataFrame, leaves: DataFrame, min_docs: int, share: float
     """(id, text_hash, pos, template): the lines of frequent leaves with their rare tokens generalised."""
     tokens = found.join(leaves, "leaf") \
         .select("id", "text_hash", "pos", "size", "leaf", "leaf_texts", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    tokens = tokens.withColumn("token", F.xxhash64("token"))
+    tokens = tokens.filter(F.col("token") != FIELD).withColumn("token", F.xxhash64("token"))
     often = in_texts(tokens, "leaf", "at", "token").withColumnRenamed("texts", "token_texts").filter(F.col("token_texts") >= min_docs)
     kept = tokens.join(often, ["leaf", "at", "token"]).filter(F.col("token_texts") >= share * F.col("leaf_texts"))
     shape = kept.groupBy("id", "text_hash", "pos", "size", "leaf").agg(
@@ -65,8 +66,9 @@ def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs:
               similarity: float = SIMILARITY) -> DataFrame:
     """(id, text_hash, pos): the lines whose template recurs, each once."""
     found = lines(docs, id, text)
-    narrow = materialise(found.select("id", "text_hash", "pos", "leaf", "template"), "lines")
-    often = in_texts(narrow, "template").filter(F.col("texts") >= min_docs).select("template")
+    plain = (F.col("size") - F.col("fields") >= similarity * F.col("size")).alias("plain")
+    narrow = materialise(found.select("id", "text_hash", "pos", "leaf", "template", plain), "lines")
+    often = in_texts(narrow.filter("plain"), "template").filter(F.col("texts") >= min_docs).select("template")
     literal = narrow.join(often, "template").select("id", "text_hash", "pos")
     rest = narrow.join(often, "template", "left_anti")
     leaves = materialise(in_texts(rest, "leaf").filter(F.col("texts") >= min_docs).withColumnRenamed("texts", "leaf_texts"), "leaves")
