@@ -7,9 +7,10 @@ any number of tasks may read different stripes at once. Counts are columns of th
 positions come from them without reading a token.
 
 The tokenizer is the given vocabulary file in the tokenizers library. Texts are encoded in
-chunks that end before a single space between two non-blank characters, where this kind of
-vocabulary (byte-level, a space starts a piece) always splits; a chunk's ids are kept for its
-next occurrence. Texts with other runs of white space are encoded whole.
+chunks that end where this kind of vocabulary (byte-level, pieces of letters, digits or marks, a
+space starts a piece) always splits: before a single space, around a single line end, between
+a letter and marks. A chunk's ids are kept for its next occurrence. Texts with other runs of
+white space or special strings are encoded whole.
 
 Defined results: a null text is an empty one (the end id only); rows with one id stand
 together in an order fixed by their texts; a null id comes first; an empty table is written
@@ -18,6 +19,7 @@ as an empty folder with the schema.
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,43 +28,58 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 END = 2
-CACHE = 400_000
+CACHE = 600_000
+LONGEST = 40
 SCHEMA = "id long, n_tokens int, ids array<int>, part int, pos int"
-WHOLE = re.compile(r"\s\s|[^\S ]\Z|\A\s|\s\Z|<\|")
+LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: A full stop or comma that doesn't stand between a letter and white space.
+ODD_MARK = re.compile(rf"[.,](?:(?<![{LETTER}][.,])|(?=[^ \n]))")
+#: A run of letters and the marks after it are always pieces of their own.
+WORD_AND_MARKS = re.compile(rf"( ?[{LETTER}]+)([.,;:!?#$%&*|]+)\Z")
 
 
-class Encoder:
-    """Text to little-endian 32-bit ids, with a bounded memory of chunks."""
+class Encoder(dict):
+    """Chunk of text -> its ids as little-endian 32-bit bytes. Holds the chunks met most recently:
+    when ``CACHE`` are known they become the older half, which is dropped at the next turn."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def encode(self, texts: list[str], end: int) -> list[bytes]:
-        """The ids of each text with ``end`` after it."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known, split, new = self.known, [], {}
-        for t in texts:
-            if WHOLE.search(t):
-                chunks = [t] if t else []
-            else:
-                chunks = t.replace(" ", "\0 ").split("\0") if "\0" not in t else [t]
-            split.append(chunks)
-            for c in chunks:
-                if c not in known and c not in new:
-                    new[c] = None
-        todo = list(new)
-        for a in range(0, len(todo), 4096):
-            part = todo[a:a + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                new[c] = np.array(e.ids, "<u4").tobytes()
-        known.update((c, new[c]) for c in todo if len(c) <= 64)
-        last = np.array([end], "<u4").tobytes()
-        find = lambda c: known[c] if c in known else new[c]
-        return [b"".join([*map(known.__getitem__, chunks), last]) if all(len(c) <= 64 for c in chunks)
-                else b"".join([*map(find, chunks), last]) for chunks in split]
+        super().__init__()
+        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            parts = WORD_AND_MARKS.match(chunk)
+            ids = self[parts[1]] + self[parts[2]] if parts else self.whole(chunk)
+        if len(chunk) <= LONGEST:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        blanks = text.count(" ") + text.count("\n")
+        if len(text.split()) != blanks + 1 or "<|" in text or "\0" in text:  # white space other than single ones inside
+            return self.whole(text)
+        if not ODD_MARK.search(text):
+            text = text.replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0")
+        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python process; later tasks go on with what it knows."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text: str = "text", end: int = END,
@@ -79,11 +96,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id",
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        encoder, part, pos = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, last = encoder(tokenizer).encode, array("I", [end]).tobytes()
+        part, pos = TaskContext.get().partitionId(), 0
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 b = batch.slice(a, 512)
-                ids = encoder.encode(b.column("text").to_pylist(), end)
+                ids = [encode(t.as_py()) + last for t in b.column("text")]
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array(np.diff(ends), pa.int32()),

@@ -19,8 +19,18 @@ def want(texts):
 
 def test_chunks_give_the_ids_of_whole_texts(prose):
     texts = [x or "" for x in ODD] + [prose(k) for k in range(5)]
-    got = token_store.Encoder(PATH).encode(texts, token_store.END)
-    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want(texts)
+    texts += ["it's, he's. They're", "a_b, c_. d", "x.y .z ,w", "one.\nTwo,\nthree", "3.14, 2.5. 7,", "αβγ, δ. abcδ. ²x. x².", "é́. a\u0301, b", "a.\u00a0b c", "end..", "and&&& then### it!! 'tis' 's. x'.", "\0a b."]
+    encoder = token_store.Encoder(PATH)
+    for _ in range(2):
+        assert [np.frombuffer(encoder.encode(t), "<u4").tolist() + [token_store.END] for t in texts] == want(texts)
+
+
+def test_a_small_memory_changes_nothing(prose, monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE", 5)
+    texts = [prose(k) + ". " + prose(k + 1, 9) + ", x" for k in range(5)]
+    encoder = token_store.Encoder(PATH)
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() + [token_store.END] for t in texts] == want(texts)
+    assert len(encoder) <= 5 and len(encoder.older) <= 5
 
 
 def test_files_round_trip_in_order_and_prune_by_id(spark, documents):
