@@ -112,7 +112,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id",
 
     t.mapInArrow(run, SCHEMA).write.option("orc.stripe.size", stripe_mb << 20).option("orc.create.index", "true") \
         .option("orc.row.index.stride", 1000).option("orc.bloom.filter.columns", "id").option("orc.bloom.filter.fpp", 0.01) \
-        .option("orc.compress", "ZSTD").orc(path)
+        .option("orc.compress", "SNAPPY").orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
