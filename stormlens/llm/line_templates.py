@@ -30,18 +30,23 @@ FIELD = "<*>"
 
 def tidy(line: Column) -> Column:
     """The line's tokens between single spaces, those with a digit as ``<*>``."""
-    line = F.when(line.rlike(r"[\t\x0B\f\r]|  |\A | \z"), F.trim(F.regexp_replace(line, r"[ \t\x0B\f\r]+", " "))).otherwise(line)
-    return F.when(line.rlike(r"\p{Nd}"), F.regexp_replace(line, r"[^ ]*\p{Nd}[^ ]*", FIELD)).otherwise(line)
+    uneven = line.startswith(" ") | line.endswith(" ")
+    for blank in ("  ", "\t", "\r", "\x0b", "\f"):
+        uneven = uneven | line.contains(blank)
+    line = F.when(uneven, F.trim(F.regexp_replace(line, r"[ \t\x0B\f\r]+", " "))).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
 
 
-def lines(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, text_hash, pos, line, size, fields, leaf, template): one row a line that isn't blank."""
-    exploded = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")) \
-        .withColumn("line", tidy(F.col("line"))).filter("line <> ''") \
-        .withColumn("size", F.length("line") - F.length(F.translate("line", " ", "")) + 1) \
-        .withColumn("fields", ((F.length("line") - F.length(F.replace("line", F.lit(FIELD), F.lit("")))) / len(FIELD)).cast("int"))
-    return exploded.withColumn("leaf", F.xxhash64("size", F.substring_index("line", " ", LEAD))) \
-        .withColumn("template", F.xxhash64("line", F.lit(0)))
+def lines(docs: DataFrame, id: str, text: str, similarity: float) -> DataFrame:
+    """(id, text_hash, pos, size, leaf, template, plain): one row a line that isn't blank;
+    plain: enough of its tokens are no fields."""
+    exploded = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line")) \
+        .withColumn("line", tidy(F.col("line"))).filter("line <> ''")
+    size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    fields = F.when(F.col("line").contains(FIELD), (F.length("line") - F.length(F.replace("line", F.lit(FIELD), F.lit("")))) / len(FIELD)).otherwise(0)
+    return exploded.withColumn("size", size).select(
+        "id", "text_hash", "pos", "size", F.xxhash64("size", F.substring_index("line", " ", LEAD)).alias("leaf"),
+        F.xxhash64("line", F.lit(0)).alias("template"), (F.col("size") - fields >= similarity * F.col("size")).alias("plain"))
 
 
 def in_texts(rows: DataFrame, *key: str) -> DataFrame:
@@ -49,11 +54,21 @@ def in_texts(rows: DataFrame, *key: str) -> DataFrame:
     return rows.select(*key, "text_hash").distinct().groupBy(*key).agg(F.count("*").alias("texts"))
 
 
-def generalised(found: DataFrame, leaves: DataFrame, min_docs: int, share: float, similarity: float) -> DataFrame:
+def tokens_of(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, text_hash, pos, size, leaf, leaf_texts, at, token): the plain tokens of the wanted lines,
+    read again from their documents; rows equal in id and text count once."""
+    wanted = wanted.groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")) \
+        .agg(F.collect_set(F.struct("pos", "size", "leaf", "leaf_texts")).alias("lines"))
+    texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    found = texts.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))) \
+        .dropDuplicates(["id", "text_hash"]).withColumn("split", F.split("text", "\n", -1))
+    picked = found.select("id", "text_hash", F.explode(F.transform("lines", lambda x: F.struct(x.alias("where"), F.get("split", x["pos"]).alias("line")))).alias("x"))
+    line = picked.select("id", "text_hash", F.col("x.where.*"), F.posexplode(F.split(tidy(F.col("x.line")), " ", -1)).alias("at", "token"))
+    return line.filter(F.col("token") != FIELD).withColumn("token", F.xxhash64("token"))
+
+
+def generalised(tokens: DataFrame, min_docs: int, share: float, similarity: float) -> DataFrame:
     """(id, text_hash, pos, template): the lines of frequent leaves with their rare tokens generalised."""
-    tokens = found.join(leaves, "leaf") \
-        .select("id", "text_hash", "pos", "size", "leaf", "leaf_texts", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    tokens = tokens.filter(F.col("token") != FIELD).withColumn("token", F.xxhash64("token"))
     often = in_texts(tokens, "leaf", "at", "token").withColumnRenamed("texts", "token_texts").filter(F.col("token_texts") >= min_docs)
     kept = tokens.join(often, ["leaf", "at", "token"]).filter(F.col("token_texts") >= share * F.col("leaf_texts"))
     shape = kept.groupBy("id", "text_hash", "pos", "size", "leaf").agg(
@@ -64,15 +79,15 @@ def generalised(found: DataFrame, leaves: DataFrame, min_docs: int, share: float
 
 def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, share: float = SHARE,
               similarity: float = SIMILARITY) -> DataFrame:
-    """(id, text_hash, pos): the lines whose template recurs, each once."""
-    found = lines(docs, id, text)
-    plain = (F.col("size") - F.col("fields") >= similarity * F.col("size")).alias("plain")
-    narrow = materialise(found.select("id", "text_hash", "pos", "leaf", "template", plain), "lines")
-    often = in_texts(narrow.filter("plain"), "template").filter(F.col("texts") >= min_docs).select("template")
-    literal = narrow.join(often, "template").select("id", "text_hash", "pos")
-    rest = narrow.join(often, "template", "left_anti")
-    leaves = materialise(in_texts(rest, "leaf").filter(F.col("texts") >= min_docs).withColumnRenamed("texts", "leaf_texts"), "leaves")
-    general = materialise(generalised(found.join(often, "template", "left_anti"), leaves, min_docs, share, similarity), "general")
+    """(id, text_hash, pos): the lines whose template recurs, each once. Texts are read once for
+    the hashes of all lines and once for the tokens of lines in frequent leaves."""
+    found = materialise(lines(docs, id, text, similarity), "lines")
+    often = in_texts(found.filter("plain"), "template").filter(F.col("texts") >= min_docs).select("template")
+    literal = found.join(often, "template").select("id", "text_hash", "pos")
+    rest = found.join(often, "template", "left_anti")
+    leaves = in_texts(rest, "leaf").filter(F.col("texts") >= min_docs).withColumnRenamed("texts", "leaf_texts")
+    tokens = materialise(tokens_of(docs, rest.join(leaves, "leaf"), id, text), "tokens")
+    general = materialise(generalised(tokens, min_docs, share, similarity), "general")
     often = in_texts(general, "template").filter(F.col("texts") >= min_docs).select("template")
     return literal.union(general.join(often, "template").select("id", "text_hash", "pos")).distinct()
 
@@ -84,7 +99,7 @@ def drop_recurring_lines(docs: DataFrame, id: str = "doc_id", text: str = "text"
         .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("pos").alias("__gone"))
     marked = docs.drop("n_lines", "n_dropped").withColumn("__text", F.xxhash64(text))
     joined = marked.join(gone, F.col(id).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left")
-    split = F.split(F.col(text), "\n")
+    split = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(split, lambda line, at: ~F.array_contains("__gone", at)), "\n")
     out = {text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left),
            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).cast("long"),
