@@ -39,8 +39,9 @@ PERCENT = 80
 BLOCK = 512
 HEAVY = 1e-6
 MIN_HEAVY = 64
-POSTINGS_PER_BLOCK = 8_000_000
-MIN_BLOCKS = 32
+POSTINGS_PER_BLOCK = 2_000_000
+MIN_BLOCKS = 64
+BATCH_ROWS = 1024
 _NEVER = np.uint32(0xFFFFFFFF)
 
 
@@ -59,6 +60,13 @@ def shingle_sets(column, words: int = WORDS):
                 yield h[:0]
 
 
+def small_batches(batches):
+    """Batches of at most ``BATCH_ROWS`` rows, which bounds what a task holds at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(a, BATCH_ROWS)
+
+
 def signature(s: np.ndarray) -> int:
     """A signed 64-bit number for a whole set; 0 for the empty one."""
     if not len(s):
@@ -72,7 +80,7 @@ def document_sets(docs: DataFrame, id: str, text: str, words: int = WORDS) -> Da
     null and the n-grams that are frequent in that task with their counts."""
     def run(batches):
         total, n = {}, 0
-        for batch in batches:
+        for batch in small_batches(batches):
             sets = list(shingle_sets(batch.column("text"), words))
             sizes = [len(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -81,7 +89,7 @@ def document_sets(docs: DataFrame, id: str, text: str, words: int = WORDS) -> Da
             n += sum(sizes)
             if n:
                 u, c = np.unique(np.concatenate(sets), return_counts=True)
-                often = c >= max(MIN_HEAVY // 8, HEAVY * sum(sizes))
+                often = c >= 2  # what is missed stands at most once in each batch
                 for k, v in zip(u[often].tolist(), c[often].tolist()):
                     total[k] = total.get(k, 0) + v
         if total:
@@ -114,7 +122,7 @@ def column_blocks(docs: DataFrame, text: str, heavy: np.ndarray, blocks: int, wo
 
     def run(batches):
         often = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             known = {}
             for s in shingle_sets(batch.column(0), words):
                 if len(s):
