@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 END = 2
-CACHE = 600_000
+CACHE = 300_000
 LONGEST = 40
 SCHEMA = "id long, n_tokens int, ids array<int>, part int, pos int"
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
