@@ -98,7 +98,7 @@ def level_from_rank(rank) -> Column:
 
 def round_half_even(x, digits: int) -> Column:
     """banker's rounding on the decimal value."""
-    return F.bround(_col(x), digits)
+    return F.bround(F.round(_col(x), 10), digits)  # first drop what the order of a sum leaves behind
 
 
 def pct_text(x, digits: int = 1) -> Column:

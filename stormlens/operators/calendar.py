@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormlens.operators.clean import daily_mean
@@ -46,18 +46,29 @@ def densify(station_days: DataFrame, start, end, stations: DataFrame | None = No
             value_col: str = "rain_mm", aggregate: bool = True) -> DataFrame:
     """J3 (+I3): dense (station, obs_date) grid over [start, end], duplicates averaged.
 
-    Plan: partial+final hash aggregate of the readings on (station, obs_date); the
-    generated spine is hash-partitioned on the same keys and left-joined (the
-    aggregate's output partitioning already satisfies the join, so only the spine
-    moves). Days without a reading carry NULL.
+    Plan: one scan. Partial + final hash aggregate of the readings on (station, obs_date);
+    then every station-day stands for the days up to the station's next one (the first also
+    for those before it), cut to the range and exploded; days without a reading carry
+    NULL. A station with readings only outside the range keeps its (empty) days. With a
+    given ``stations`` frame its calendar is generated and left-joined instead.
     """
     s, e = _as_date(start), _as_date(end)
-    rows = station_days.filter(F.col("obs_date").between(F.lit(s), F.lit(e)))
+    if stations is not None:
+        rows = station_days.filter(F.col("obs_date").between(F.lit(s), F.lit(e)))
+        daily = daily_mean(rows, value_col=value_col) if aggregate else rows
+        return date_spine(stations, s, e).join(daily, on=["station", "obs_date"], how="left")
+    # a station known only from undated rows keeps its place: a day before the range stands for them
+    rows = station_days.withColumn("obs_date", F.coalesce("obs_date", F.lit(s - _dt.timedelta(days=1))))
     daily = daily_mean(rows, value_col=value_col) if aggregate else rows
-    if stations is None:
-        stations = daily.select("station").distinct()
-    spine = date_spine(stations, s, e)
-    return spine.join(daily, on=["station", "obs_date"], how="left")
+    w = Window.partitionBy("station").orderBy("obs_date")
+    first = F.when(F.lag("obs_date").over(w).isNull(), F.least(F.lit(s), F.col("obs_date"))).otherwise(F.col("obs_date"))
+    last = F.coalesce(F.date_sub(F.lead("obs_date").over(w), 1), F.lit(e))
+    spans = daily.withColumns({"_from": F.greatest(first, F.lit(s)), "_to": F.least(last, F.lit(e))}) \
+        .filter(F.col("_from") <= F.col("_to"))
+    days = spans.withColumn("_day", F.explode(F.sequence("_from", "_to")))
+    others = [c for c in daily.columns if c not in ("station", "obs_date")]
+    return days.select("station", F.col("_day").alias("obs_date"),
+                       *[F.when(F.col("_day") == F.col("obs_date"), F.col(c)).alias(c) for c in others])
 
 
 def month_spine(series: DataFrame, start_month, n_months: int, key_col: str) -> DataFrame:

@@ -56,10 +56,26 @@ def search_names(df: DataFrame, keywords, id_col: str = "station_id",
             .select(id_col, name_col, F.explode(kw).alias("keyword"))
             .filter(F.lower(F.col(name_col)).contains(F.lower(F.col("keyword")))))
     kw_df = df.sparkSession.createDataFrame([(k,) for k in keywords], "keyword string")
-    return F.broadcast(kw_df).join(hits, on="keyword", how="left") \
+    return kw_df.join(hits, on="keyword", how="left") \
         .select("keyword", id_col, name_col, F.col(id_col).isNotNull().cast("int").alias("found"))
 
 
+def map_names(df: DataFrame, names, col: str = "name", out: str = "short_name", keep_unmatched: bool = False) -> DataFrame:
+    """Look names up. Unmatched names give NULL, or themselves with ``keep_unmatched``.
+    ``names`` is a dictionary (becomes a literal map, no join) or a frame (name, mapped name)
+    of any size, joined without a hint."""
+    if isinstance(names, DataFrame):
+        key, value = names.columns
+        dim = names.select(F.col(key).alias("_from"), F.col(value).alias("_mapped"))
+        df = df.join(dim, F.col(col) == F.col("_from"), "left").drop("_from")
+        found = F.col("_mapped")
+    else:
+        pairs = [F.lit(x) for pair in names.items() for x in pair]
+        found = F.try_element_at(F.create_map(*pairs), F.col(col)) if pairs else F.lit(None).cast("string")
+    found = F.coalesce(found, F.col(col)) if keep_unmatched else found
+    return df.withColumn(out, found).drop("_mapped")
+
+
 def valid_only(df: DataFrame, col: str) -> DataFrame:
     """F5."""
     return df.filter(F.col(col).isNotNull())

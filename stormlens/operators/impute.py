@@ -34,7 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormlens.operators.features import to_wide
+from stormlens.operators.features import to_long, to_wide
+from stormlens.operators.prep import hide_mask
 from stormlens.session import cut_lineage
 
 
@@ -140,8 +141,8 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
     receivers = base.filter(any_gap).select("rkey", *vnames).distinct()
 
     n_rec, n_don = stats["_gaps"], stats["_rows"]
-    if n_rec == 0:
-        return wide
+    if n_rec == 0:  # nothing to fill; the frame is clipped all the same
+        return base.select(F.col("_key").alias(key), *[_clipped(F.col(v[c]), clip_min).alias(c) for c in cols])
     nr, nd = max(1, math.ceil(n_rec / block)), max(1, math.ceil(n_don / block))
     rec_x = receivers.withColumn("rb", F.pmod(F.xxhash64("rkey"), F.lit(nr))) \
         .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(nd - 1))))
@@ -160,12 +161,15 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
         mean = means[vnames[j]]
         fill = F.coalesce(F.col(f"e{j}"), F.lit(mean).cast("double"))
         val = F.when(F.col(vnames[j]).isNull(), fill).otherwise(F.col(vnames[j]))
-        if clip_min is not None:  # I5: the whole imputed frame is clipped
-            val = F.when(val.isNotNull(), F.greatest(val, F.lit(clip_min)))
-        outs.append(val.alias(c))
+        outs.append(_clipped(val, clip_min).alias(c))
     return filled.select(F.col("_key").alias(key), *outs)
 
 
+def _clipped(value, clip_min: float | None):
+    """I5, the one rule of every path: observed and filled values alike are at least ``clip_min``."""
+    return value if clip_min is None else F.when(value.isNotNull(), F.greatest(value, F.lit(clip_min)))
+
+
 def _weighted_estimates(cands: DataFrame, keys, k: int) -> DataFrame:
     """Merge tile candidates: top-k by (distance, date) per cell, 1/d weights (only
     zero-distance donors when any is at distance 0), weighted mean."""
@@ -200,9 +204,15 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
         "_p": F.count(F.lit(1)).over(by_region).cast("int")})
     cells = cut_lineage(base.join(st, ["region", "station"]))
     vec = cells.groupBy("region", "obs_date").agg(
-        F.map_from_entries(F.collect_list(F.struct("_idx", "_v"))).alias("_m"), F.max("_p").alias("_p"))
-    vec = vec.select("region", "obs_date", F.transform(
-        F.sequence(F.lit(0), F.col("_p") - 1), lambda i: F.try_element_at(F.col("_m"), i)).alias("vec"))
+        F.collect_list(F.struct("_idx", "_v")).alias("_s"), F.max("_p").alias("_p"))
+    # every place once: sorted pairs with an empty one for each place before its value; the last
+    # pair of a place counts
+    empty = F.transform(F.sequence(F.lit(0), F.col("_p") - 1), lambda i: F.struct(
+        i.alias("_idx"), F.lit(None).cast("double").alias("_v")))
+    vec = vec.withColumn("_s", F.array_sort(F.concat("_s", empty), lambda a, b: F.when(a["_idx"] != b["_idx"], a["_idx"] - b["_idx"])
+                                            .otherwise(a["_v"].isNotNull().cast("int") - b["_v"].isNotNull().cast("int"))))
+    last = F.filter("_s", lambda x, i: (i == F.size("_s") - 1) | (F.get("_s", i + 1)["_idx"] != x["_idx"]))
+    vec = vec.select("region", "obs_date", F.transform(last, lambda x: x["_v"]).alias("vec"))
     vec = cut_lineage(vec.withColumn("rkey", F.to_json("vec")))
 
     donors = (vec.withColumn("_r", F.row_number().over(Window.partitionBy("region", "rkey").orderBy("obs_date")))
@@ -241,9 +251,7 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
         .select("station", "obs_date", "est")
     means = cells.groupBy("station").agg(F.avg("_v").alias("_mean"))
     out = cells.join(filled, ["station", "obs_date"], "left").join(means, "station", "left")
-    val = F.coalesce(F.col("_v"), F.col("est"), F.col("_mean"))
-    if clip_min is not None:
-        val = F.when(val.isNotNull(), F.greatest(val, F.lit(clip_min)))
+    val = _clipped(F.coalesce(F.col("_v"), F.col("est"), F.col("_mean")), clip_min)
     return out.select(F.col("region").alias(region_col), "station", "obs_date", val.alias(value_col),
                       (F.col("_v").isNull() & val.isNotNull()).cast("int").alias("imputed"))
 
@@ -264,7 +272,7 @@ def knn_impute(panel: DataFrame, stations=None, k: int = 5, block: int = 1024,
     filled = knn_impute_wide(wide, stations, k, block, clip_min=clip_min)
     long = filled.unpivot(["obs_date"], list(stations), "station", "_v")
     return panel.join(long, ["station", "obs_date"], "left").select(
-        "station", "obs_date", F.coalesce(F.col(value_col), F.col("_v")).alias(value_col),
+        "station", "obs_date", _clipped(F.coalesce(F.col(value_col).cast("double"), F.col("_v")), clip_min).alias(value_col),
         (F.col(value_col).isNull() & F.col("_v").isNotNull()).cast("int").alias("imputed"))
 
 
@@ -279,15 +287,41 @@ def interpolate_linear(panel: DataFrame, value_col: str = "rain_mm", by: str = "
     pos = F.row_number().over(w) if by == "position" else F.datediff(F.col(order), F.lit("1970-01-01"))
     d = panel.withColumn("_pos", pos)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = w.rowsBetween(0, Window.unboundedFollowing)
+    # the next value seen from the other end: a growing frame, where a frame that reaches to
+    # the end would be evaluated anew for every row
+    fwd = Window.partitionBy(part).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
     v = F.col(value_col)
     d = d.withColumns({
         "_pv": F.last(v, ignorenulls=True).over(back),
         "_pp": F.last(F.when(v.isNotNull(), F.col("_pos")), ignorenulls=True).over(back),
-        "_nv": F.first(v, ignorenulls=True).over(fwd),
-        "_np": F.first(F.when(v.isNotNull(), F.col("_pos")), ignorenulls=True).over(fwd)})
+        "_nv": F.last(v, ignorenulls=True).over(fwd),
+        "_np": F.last(F.when(v.isNotNull(), F.col("_pos")), ignorenulls=True).over(fwd)})
     interp = F.col("_pv") + (F.col("_nv") - F.col("_pv")) * (F.col("_pos") - F.col("_pp")) \
         / (F.col("_np") - F.col("_pp"))
     est = (F.when(v.isNotNull(), v).when(F.col("_pv").isNull(), F.col("_nv"))
            .when(F.col("_nv").isNull(), F.col("_pv")).otherwise(interp))
     return d.withColumn(out or value_col, est).drop("_pos", "_pv", "_pp", "_nv", "_np")
+
+
+def imputation_backtest(wide: DataFrame, stations, frac: float = 0.1, k: int = 5, date_col: str = "obs_date") -> DataFrame:
+    """On the days complete at every station, hide ``frac`` of each station's values, fill
+    them by linear interpolation (row positions) and by KNN, and compare: RMSE of both per
+    station, the better one, and a row ``mean`` over the stations."""
+    st = list(stations)
+    comp = wide.dropna(subset=st).withColumn("_day", F.datediff(date_col, F.lit("1970-01-01")))
+    hidden = hide_mask(comp, "_day", st, frac)
+    test = hidden.select(date_col, *[F.when(F.col(f"hide_{s}") == 1, None).otherwise(F.col(s)).alias(s) for s in st])
+    truth = hidden.unpivot([date_col], st, "station", "v").join(
+        hidden.select(date_col, *[F.col(f"hide_{s}").alias(s) for s in st])
+        .unpivot([date_col], st, "station", "h"), [date_col, "station"]).filter("h = 1")
+    lin = interpolate_linear(to_long(test, st, value_col="v"), "v", by="position", out="lin", order=date_col)
+    knn = to_long(knn_impute_wide(test, st, k=k, key=date_col), st, value_col="knn")
+    both = truth.join(lin.select("station", date_col, "lin"), [date_col, "station"]).join(knn, [date_col, "station"])
+    per = both.groupBy("station").agg(
+        F.sqrt(F.avg(F.pow(F.col("lin") - F.col("v"), 2))).alias("rmse_linear"),
+        F.sqrt(F.avg(F.pow(F.col("knn") - F.col("v"), 2))).alias("rmse_knn"),
+        F.count(F.lit(1)).alias("n_hidden"))
+    best = F.when(F.col("rmse_knn") < F.col("rmse_linear"), "knn").otherwise("linear")
+    mean = per.agg(F.lit("mean").alias("station"), F.avg("rmse_linear").alias("rmse_linear"),
+                   F.avg("rmse_knn").alias("rmse_knn"), F.sum("n_hidden").alias("n_hidden"))
+    return per.withColumn("best", best).unionByName(mean.withColumn("best", best))

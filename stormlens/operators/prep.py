@@ -105,8 +105,8 @@ def one_hot(df: DataFrame, cols, levels: dict | None = None, prefix: dict | None
 
 # --- global ranks without a global sort -----------------------------------------------
 
-def bucketed_rank(df: DataFrame, order_col: str, bucket: Column, partition_cols=()) -> DataFrame:
-    """Adds ``_rank`` (1-based, ties broken by the order column only, so pass a
+def bucketed_rank(df: DataFrame, order_col, bucket: Column, partition_cols=()) -> DataFrame:
+    """Adds ``_rank`` (1-based, ties broken by the order column or columns only, so pass a
     unique order key) = rows before the row's bucket + row number inside it.
 
     ``bucket`` must be non-decreasing in ``order_col``."""
@@ -115,7 +115,7 @@ def bucketed_rank(df: DataFrame, order_col: str, bucket: Column, partition_cols=
     counts = b.groupBy(*parts, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     wo = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
-    rn = F.row_number().over(Window.partitionBy(*parts, "_bucket").orderBy(order_col))
+    rn = F.row_number().over(Window.partitionBy(*parts, "_bucket").orderBy(*([order_col] if isinstance(order_col, str) else order_col)))
     return b.withColumn("_rn", rn).join(offsets, [*parts, "_bucket"]) \
         .withColumn("_rank", F.col("_off") + F.col("_rn")).drop("_off", "_rn", "_bucket")
 
@@ -222,18 +222,23 @@ def fold_train_test(folded: DataFrame, i: int):
 def portable_hash(key: Column, seed=0) -> Column:
     """Deterministic 0..10006 hash from an integer key, identical in SQL engines."""
     s = seed if isinstance(seed, Column) else F.lit(seed)
-    return F.pmod(key * F.lit(7919) + s, F.lit(10007))
+    return F.pmod(F.pmod(key, F.lit(10007)) * F.lit(7919) + s, F.lit(10007))
+
+
+def _hash_buckets(df: DataFrame, rows_per_bucket: int = 50_000) -> int:
+    """Into how many hash ranges to cut ``df`` so that one holds about that many rows."""
+    return min(10007, max(16, -(-df.count() // rows_per_bucket)))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str = "label", k: int = 5, seed: int = 0) -> DataFrame:
     """Stratified shuffled k folds. Within each class, rows are ordered by a
     portable hash (then the key) and dealt round-robin into k folds, so every fold
-    gets floor/ceil(n_class / k) rows of each class. The rank is bucketed by the
-    hash (256 ranges), so the hot majority class is ranked by many tasks."""
+    gets floor/ceil(n_class / k) rows of each class. The rank is bucketed by hash
+    ranges whose number follows the row count, so the hot majority class is ranked
+    by many tasks. Any key of an integer type will do."""
     h = portable_hash(F.col(key), seed)
-    ordered = df.withColumn("_h", h).withColumn("_o", F.col("_h") * F.lit(10 ** 12) + F.col(key))
-    r = bucketed_rank(ordered, "_o", F.floor(F.col("_h") * 256 / 10007), [label])
-    return r.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_o", "_rank")
+    r = bucketed_rank(df.withColumn("_h", h), ["_h", key], F.floor(F.col("_h") * _hash_buckets(df) / 10007), [label])
+    return r.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank")
 
 
 def hide_mask(df: DataFrame, key: str, cols, frac: float = 0.1, seed: int = 0) -> DataFrame:
@@ -246,8 +251,8 @@ def hide_mask(df: DataFrame, key: str, cols, frac: float = 0.1, seed: int = 0) -
     cols = list(cols)
     keys = df.select(key).withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))))
     h = portable_hash(F.col(key), F.lit(seed) + F.lit(101) * (F.col("_c") + 1))
-    o = keys.withColumn("_h", h).withColumn("_o", F.col("_h") * F.lit(10 ** 12) + F.col(key))
-    r = bucketed_rank(o, "_o", F.floor(F.col("_h") * 256 / 10007), ["_c"])
+    buckets = _hash_buckets(df)
+    r = bucketed_rank(keys.withColumn("_h", h), ["_h", key], F.floor(F.col("_h") * buckets / 10007), ["_c"])
     n = df.agg(F.count(F.lit(1))).scalar()
     flags = r.withColumn("_hide", (F.col("_rank") <= F.floor(n * frac)).cast("int")) \
         .groupBy(key).pivot("_c", list(range(len(cols)))).agg(F.first("_hide"))

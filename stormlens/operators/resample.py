@@ -33,11 +33,13 @@ def smote(train: DataFrame, features, id_col: str, label: str = "label", k: int
     n_min, n_maj = n.get(1, 0), sum(v for c, v in n.items() if c != 1)
     base_rows = train.withColumn("synthetic", F.lit(0))
     n_new = n_maj - n_min
-    if n_min < 2 or n_new <= 0:
+    if n_new <= 0:
         return base_rows
-    kk = min(k, n_min - 1)
+    if n_min <= k:
+        raise ValueError(f"{k} neighbours need at least {k + 1} minority rows, there are {n_min}")
+    kk = k
     lo, hi = minority.agg(F.min("_id"), F.max("_id")).first()
-    width = max(1, (hi - lo + 1) // 256 + 1)
+    width = max(1, (hi - lo + 1) // max(16, -(-n_min // 50_000)) + 1)
     idx = bucketed_rank(minority, "_id", F.floor((F.col("_id") - F.lit(lo)) / F.lit(width))) \
         .withColumn("_idx", F.col("_rank") - 1).drop("_rank")
     nbrs = knn_join(minority, minority, "_id", "_id", features, k=kk, exclude_self=True, block=block)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormlens.functions.risk import (
-    LEVELS, level_from_rank, level_rank, rain_to_risk, risk_level, risk_level_rain,
+    LEVELS, level_from_rank, level_rank, rain_to_risk, risk_level, risk_level_rain, round_half_even,
 )
 
 ALERT_LEVELS = ("Siaga", "Bahaya")
@@ -21,8 +21,8 @@ def score_forecast(daily: DataFrame, variant: str = "clip100", level_by: str = "
     half-even for presentation, the level taken from the unrounded value."""
     risk = rain_to_risk("rain_mm", variant)
     level = risk_level(risk) if level_by == "risk" else risk_level_rain("rain_mm")
-    return daily.withColumns({"level": level, "risk": F.bround(risk, risk_digits),
-                              "rain_mm": F.bround(F.col("rain_mm"), rain_digits)})
+    return daily.withColumns({"level": level, "risk": round_half_even(risk, risk_digits),
+                              "rain_mm": round_half_even("rain_mm", rain_digits)})
 
 
 def modal_level(group_cols, df: DataFrame, level_col: str = "level") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stormlens.functions.calendar import parse_obs_date
@@ -11,6 +13,8 @@ from stormlens.operators import label as L
 from stormlens.operators import profile as P
 from stormlens.plans import fixture as fx
 from stormlens.plans.registry import register
+from stormlens.session import ensure_checkpoint_dir
+from stormlens.sources.readings import RAW_COLUMNS, read_readings, write_table
 
 READ_SPEC = "rid:i station_id:s name:s data_timestamp:s rain_mm:f trace:s"
 TS_DATE = "CAST(substr(data_timestamp, 1, 10) AS DATE)"
@@ -53,10 +57,20 @@ register("a21_class_balance", FLAGSHIP_SQL, CB_SPEC)(flagship)
 
 # --- sources --------------------------------------------------------------------
 
-@register("s1_read_readings", fx.sql(body="SELECT * FROM readings"), READ_SPEC)
+@register("s1_read_readings", fx.sql(body="""
+SELECT station_id, name, data_timestamp, rain_mm, CASE WHEN substr(data_timestamp, 1, 4) = '1997' THEN NULL ELSE trace END AS trace
+FROM readings"""), "station_id:s name:s data_timestamp:s rain_mm:f trace:s")
 def s1_read_readings(spark, sf_dir):
-    """S1 on the fixture: the raw reading table."""
-    return fx.readings(spark, sf_dir)
+    """The readings as yearly CSV exports under one glob - years differ in the order of
+    their columns and 1997 has no trace column - read back by name."""
+    r = fx.readings(spark, sf_dir).withColumn("year", F.substring("data_timestamp", 1, 4).cast("int"))
+    raw = {v: k for k, v in RAW_COLUMNS.items()}
+    orders = [["station_id", "name", "data_timestamp", "rain_mm", "trace"], ["rain_mm", "trace", "station_id", "data_timestamp", "name"]]
+    top = f"{ensure_checkpoint_dir(spark)}/exports-{uuid.uuid4().hex}"
+    for name, rows, columns in (("even", r.filter("year % 2 = 0"), orders[0]), ("odd", r.filter("year % 2 = 1 and year <> 1997"), orders[1]),
+                                ("1997", r.filter("year = 1997"), orders[1][:1] + orders[1][2:])):
+        write_table(rows.select(*[F.col(c).alias(raw[c]) for c in columns]), f"{top}/{name}", fmt="csv")
+    return read_readings(spark, f"{top}/*/part-*")
 
 
 @register("s4_parse_obs_date", fx.sql(body=f"""
@@ -169,10 +183,9 @@ def f10_incomplete_rows(spark, sf_dir):
 
 @register("f11_present", fx.sql(body="""
 SELECT obs_date AS "TANGGAL", station AS "STASIUN", rain_mm AS "Curah_Hujan_mm"
-FROM grid WHERE obs_date >= DATE '2001-07-01'"""), "TANGGAL:d STASIUN:s Curah_Hujan_mm:f")
+FROM grid"""), "TANGGAL:d STASIUN:s Curah_Hujan_mm:f")
 def f11_present(spark, sf_dir):
-    g = C.cut_range(fx.grid(spark, sf_dir), "2001-07-01", "2001-08-01")
-    return C.present(g, {"obs_date": "TANGGAL", "station": "STASIUN", "rain_mm": "Curah_Hujan_mm"})
+    return C.present(fx.grid(spark, sf_dir), {"obs_date": "TANGGAL", "station": "STASIUN", "rain_mm": "Curah_Hujan_mm"})
 
 
 # --- cleaning -------------------------------------------------------------------
@@ -194,16 +207,15 @@ def i2_duplicate_keys(spark, sf_dir):
 
 @register("i3_daily_mean", fx.sql(body="SELECT * FROM daily"), "station:s obs_date:d rain_mm:f")
 def i3_daily_mean(spark, sf_dir):
-    return C.daily_mean(C.cut_range(fx.cleaned(spark, sf_dir), fx.START, fx.END))
+    return C.daily_mean(fx.cleaned(spark, sf_dir))
 
 
 @register("i5_clip_lower", fx.sql(body="""
 SELECT rid, CASE WHEN rain_mm IS NOT NULL THEN greatest(rain_mm - 50e0, 0e0) END AS shifted
-FROM readings WHERE rain_mm < 9000e0 OR rain_mm IS NULL"""), "rid:i shifted:f")
+FROM readings"""), "rid:i shifted:f")
 def i5_clip_lower(spark, sf_dir):
     """I5 on values shifted by −50 mm so that negatives exist."""
-    r = fx.readings(spark, sf_dir).filter((F.col("rain_mm") < 9000) | F.col("rain_mm").isNull())
-    r = r.select("rid", (F.col("rain_mm") - 50.0).alias("shifted"))
+    r = fx.readings(spark, sf_dir).select("rid", (F.col("rain_mm") - 50.0).alias("shifted"))
     return C.clip_lower(r, "shifted", 0.0)
 
 
@@ -233,11 +245,7 @@ def u1_union_by_name(spark, sf_dir):
 # --- dictionary joins -------------------------------------------------------------
 
 # A station dimension: long name → short name; two names are deliberately unmapped.
-NAME_MAP = {"URGENT": "Parak_Karakah", "HIGH": "Nanggalo", "MEDIUM": "Lubuk_Minturun"}
-
-
-def _name_dim(spark):
-    return spark.createDataFrame(list(NAME_MAP.items()), "name string, short_name string")
+NAME_MAP = {"URGENT": "North_Ridge", "HIGH": "Mill_Creek", "MEDIUM": "Old_Harbour"}
 
 
 @register("j1_map_names", fx.sql(f"""
@@ -246,9 +254,8 @@ dim AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in NAME_MAP.
 SELECT r.rid, r.name, d.short_name FROM readings r LEFT JOIN dim d USING (name)"""),
           "rid:i name:s short_name:s")
 def j1_map_names(spark, sf_dir):
-    """Dictionary lookup, unmatched → NULL (broadcast dimension)."""
-    r = fx.readings(spark, sf_dir).select("rid", "name")
-    return r.join(F.broadcast(_name_dim(spark)), on="name", how="left").select("rid", "name", "short_name")
+    """Dictionary lookup, unmatched → NULL."""
+    return C.map_names(fx.readings(spark, sf_dir), NAME_MAP, "name", "short_name").select("rid", "name", "short_name")
 
 
 @register("j2_map_names_default", fx.sql(f"""
@@ -258,9 +265,8 @@ SELECT r.rid, coalesce(d.short_name, r.name) AS station_name FROM readings r LEF
           "rid:i station_name:s")
 def j2_map_names_default(spark, sf_dir):
     """Lookup with pass-through default (``dict.get(x, x)``)."""
-    r = fx.readings(spark, sf_dir).select("rid", "name")
-    j = r.join(F.broadcast(_name_dim(spark)), on="name", how="left")
-    return j.select("rid", F.coalesce("short_name", "name").alias("station_name"))
+    r = C.map_names(fx.readings(spark, sf_dir), NAME_MAP, "name", "station_name", keep_unmatched=True)
+    return r.select("rid", "station_name")
 
 
 # --- labels and rule comparison ----------------------------------------------------

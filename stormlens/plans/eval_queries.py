@@ -305,30 +305,23 @@ def e7_class_weights(spark, sf_dir):
 @register("e8_time_folds", fx.sql(FEAT_LABEL_SQL, """
 fd AS (SELECT obs_date, CASE WHEN r - 1 >= n - floor(n / 6) * 5 THEN floor((r - 1 - (n - floor(n / 6) * 5))
           / floor(n / 6)) ELSE -1 END AS fold FROM rk)""", body="""
-SELECT CAST(fold AS INT) AS fold, count(*) AS n_rows, min(l.obs_date) AS first_date,
-       max(l.obs_date) AS last_date, sum(label) AS n_pos FROM lab l JOIN fd USING (obs_date) GROUP BY 1"""),
-          "fold:i n_rows:i first_date:d last_date:d n_pos:i")
+SELECT l.station, l.obs_date, l.label, CAST(fold AS INT) AS fold FROM lab l JOIN fd USING (obs_date)"""),
+          "station:s obs_date:d label:i fold:i")
 def e8_time_folds(spark, sf_dir):
-    f = E.time_folds(_labelled(spark, sf_dir), 5)
-    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.min("obs_date").alias("first_date"),
-                                 F.max("obs_date").alias("last_date"), F.sum("label").alias("n_pos"))
+    return E.time_folds(_labelled(spark, sf_dir), 5).select("station", "obs_date", "label", "fold")
 
 
 @register("e9_stratified_folds", fx.sql(PRED_SQL, """
-rk AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY (rid * 7919 + 3) % 10007, rid) AS r FROM pred)""",
-                                       body="SELECT (r - 1) % 5 AS fold, label, count(*) AS n FROM rk GROUP BY 1, 2"),
-          "fold:i label:i n:i")
+rk AS (SELECT rid, label, row_number() OVER (PARTITION BY label ORDER BY (rid * 7919 + 3) % 10007, rid) AS r FROM pred)""",
+                                       body="SELECT rid, label, (r - 1) % 5 AS fold FROM rk"),
+          "rid:i label:i fold:i")
 def e9_stratified_folds(spark, sf_dir):
-    f = E.stratified_folds(predictions(spark, sf_dir), "rid", "label", k=5, seed=3)
-    return f.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
+    return E.stratified_folds(predictions(spark, sf_dir), "rid", "label", k=5, seed=3).select("rid", "label", "fold")
 
 
 @register("e11_hide_mask", fx.sql(PRED_SQL, """
 rk AS (SELECT rid, proba, row_number() OVER (ORDER BY (rid * 7919 + 101) % 10007, rid) AS r,
               count(*) OVER () AS n FROM pred)""", body="""
-SELECT count_if(r <= floor(n * 0.1)) AS n_hidden, sum(CASE WHEN r <= floor(n * 0.1) THEN proba END) AS sum_hidden
-FROM rk"""), "n_hidden:i sum_hidden:f")
+SELECT rid, proba, CAST(r <= floor(n * 0.1) AS INT) AS hide_proba FROM rk"""), "rid:i proba:f hide_proba:i")
 def e11_hide_mask(spark, sf_dir):
-    m = E.hide_mask(predictions(spark, sf_dir), "rid", ["proba"], 0.1)
-    return m.agg(F.sum("hide_proba").alias("n_hidden"),
-                 F.sum(F.when(F.col("hide_proba") == 1, F.col("proba"))).alias("sum_hidden"))
+    return E.hide_mask(predictions(spark, sf_dir), "rid", ["proba"], 0.1).select("rid", "proba", "hide_proba")

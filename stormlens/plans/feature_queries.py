@@ -229,15 +229,14 @@ UPLOAD_STATIONS = fx.TARGETS + ("137199a",)
 
 
 def upload_wide(spark, sf_dir):
-    """FIXTURES §5 uploaded forecast: daily values of the three targets for
-    2001-07-01…07-30, wide (one column per station)."""
-    g = C.cut_range(fx.grid(spark, sf_dir), "2001-07-01", "2001-07-30")
-    return FE.to_wide(C.keep_stations(g, "station", fx.TARGETS), fx.TARGETS)
+    """FIXTURES §5 uploaded forecast: daily values of the three targets, wide (one column
+    per station)."""
+    return FE.to_wide(C.keep_stations(fx.grid(spark, sf_dir), "station", fx.TARGETS), fx.TARGETS)
 
 
 UPLOAD_SQL = f"""
 up AS (SELECT obs_date, {", ".join(f"avg(CASE WHEN station = '{s}' THEN rain_mm END) AS \"{s}\"" for s in fx.TARGETS)}
-       FROM grid WHERE obs_date BETWEEN DATE '2001-07-01' AND DATE '2001-07-30' GROUP BY obs_date),
+       FROM grid GROUP BY obs_date),
 fc AS ({" UNION ALL ".join(f"SELECT obs_date, '{s}' AS station, coalesce(\"{s}\", 0e0) AS rain_mm FROM up"
                           for s in fx.TARGETS)}
        UNION ALL SELECT obs_date, '137199a' AS station, 0e0 AS rain_mm FROM up)"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stormlens.operators.calendar import densify
 from stormlens.functions.calendar import parse_obs_date
@@ -18,8 +19,6 @@ from stormlens.operators.clean import clean_sentinels, filter_prefix, to_station
 from stormlens.sources.readings import load_fixture_readings
 
 PREFIX = "1371"
-START = dt.date(1995, 1, 1)
-END = dt.date(2001, 8, 1)
 STATIONS = ("137110a", "137120a", "137130a", "137140a", "137150a")
 TARGETS = STATIONS[:3]
 NON_TARGETS = STATIONS[3:]
@@ -45,9 +44,23 @@ def named(spark: SparkSession, sf_dir: str) -> DataFrame:
                     parse_obs_date("data_timestamp").alias("obs_date"), "rain_mm", "trace")
 
 
+def named_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``named`` for every station of the network."""
+    r = clean_sentinels(readings(spark, sf_dir))
+    return r.select("station_id", "name", "data_timestamp",
+                    parse_obs_date("data_timestamp").alias("obs_date"), "rain_mm", "trace")
+
+
+def bounds(spark: SparkSession, sf_dir: str, everything: bool = False) -> tuple[dt.date, dt.date]:
+    """First and last reading date of the region (or of all stations), from the data."""
+    rows = to_station_days(readings(spark, sf_dir)) if everything else cleaned(spark, sf_dir)
+    r = rows.agg(F.min("obs_date"), F.max("obs_date")).first()
+    return r[0], r[1]
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense (station, obs_date) calendar with daily means (NULL = no reading)."""
-    return densify(cleaned(spark, sf_dir), START, END)
+    return densify(cleaned(spark, sf_dir), *bounds(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -81,18 +94,20 @@ named AS (
   SELECT station_id, name, data_timestamp, CAST(substr(data_timestamp, 1, 10) AS DATE) AS obs_date,
          CASE WHEN rain_mm = 9999e0 THEN NULL WHEN rain_mm = 8888e0 THEN 0e0
               ELSE rain_mm END AS rain_mm, trace
-  FROM region)"""
-
-GRID_SQL = f"""
-daily AS (
-  SELECT station, obs_date, avg(rain_mm) AS rain_mm FROM cleaned
-  WHERE obs_date BETWEEN DATE '{START}' AND DATE '{END}'
-  GROUP BY station, obs_date),
-days AS (SELECT CAST(unnest(generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY)) AS DATE)
-         AS obs_date),
+  FROM region),
+named_all AS (
+  SELECT station_id, name, data_timestamp, CAST(substr(data_timestamp, 1, 10) AS DATE) AS obs_date,
+         CASE WHEN rain_mm = 9999e0 THEN NULL WHEN rain_mm = 8888e0 THEN 0e0
+              ELSE rain_mm END AS rain_mm, trace
+  FROM readings)"""
+
+GRID_SQL = """
+daily AS (SELECT station, obs_date, avg(rain_mm) AS rain_mm FROM cleaned GROUP BY station, obs_date),
+days AS (SELECT CAST(unnest(generate_series((SELECT min(obs_date) FROM cleaned), (SELECT max(obs_date) FROM cleaned),
+                                            INTERVAL 1 DAY)) AS DATE) AS obs_date),
 grid AS (
   SELECT s.station, d.obs_date, daily.rain_mm
-  FROM (SELECT DISTINCT station FROM daily) s CROSS JOIN days d
+  FROM (SELECT DISTINCT station FROM cleaned) s CROSS JOIN days d
   LEFT JOIN daily ON daily.station = s.station AND daily.obs_date = d.obs_date)"""
 
 SQL_PREFIX = "WITH " + ",".join([READINGS_SQL, CLEANED_SQL, GRID_SQL])

@@ -3,19 +3,30 @@ disaggregation (X3-X7, X10, A15-A20, O7, P1, P3, P4)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from stormlens.functions import risk as R
 from stormlens.operators import forecast as FC
 from stormlens.operators import risk as RK
-from stormlens.operators.clean import cut_range, fill_level
+from stormlens.operators.clean import fill_level
 from stormlens.operators.features import unpivot_forecast
+from stormlens.operators.impute import knn_impute
 from stormlens.plans import fixture as fx
 from stormlens.plans.feature_queries import UPLOAD_SQL, UPLOAD_STATIONS, upload_wide
+from stormlens.plans.impute_queries import WIDE_SQL, knn_sql, long_sql
 from stormlens.plans.registry import register
 from stormlens.session import cut_lineage
 
 
+def even_sql(expr: str, digits: int) -> str:
+    """Banker's rounding of a value from 0 on, on whole numbers of 1e-10."""
+    x, unit = f"CAST(round(({expr}) * 1e10) AS BIGINT)", 10 ** (10 - digits)
+    return (f"(({x} // {unit}) + CASE WHEN {x} % {unit} > {unit // 2} OR ({x} % {unit} = {unit // 2} "
+            f"AND ({x} // {unit}) % 2 = 1) THEN 1 ELSE 0 END) / 1e{digits}")
+
+
 def clip_sql(expr: str, scale: float, lo, hi, gain: float = 1.0) -> str:
     x = f"({expr}) / {scale}e0" + (f" * {gain}e0" if gain != 1.0 else "")
     x = f"least({hi}e0, {x})"
@@ -37,8 +48,8 @@ def severity_sql(expr: str) -> str:
 
 CLIP80 = clip_sql("rain_mm", 80, 0.05, 0.95)
 SCORED_SQL = UPLOAD_SQL + f""",
-scored AS (SELECT obs_date, station, round_even(rain_mm, 1) AS rain_mm,
-                  round_even({CLIP80}, 4) AS risk, {level_sql(CLIP80)} AS level FROM fc)"""
+scored AS (SELECT obs_date, station, {even_sql("rain_mm", 1)} AS rain_mm,
+                  {even_sql(CLIP80, 4)} AS risk, {level_sql(CLIP80)} AS level FROM fc)"""
 FC_SPEC = "obs_date:d station:s rain_mm:f risk:f level:s"
 
 
@@ -90,7 +101,7 @@ def x3_rain_category(spark, sf_dir):
 
 
 @register("x7_pct_text", fx.sql(body="""
-SELECT station, round_even(avg(rain_mm), 2) AS mean_rain,
+SELECT station, """ + even_sql("avg(rain_mm)", 2) + """ AS mean_rain,
        printf('%.1f', count_if(rain_mm > 50) * 100.0 / count(*)) || '%' AS pct_heavy
 FROM grid GROUP BY station"""), "station:s mean_rain:f pct_heavy:s")
 def x7_pct_text(spark, sf_dir):
@@ -186,9 +197,8 @@ def x10_next_day(spark, sf_dir):
 
 # --- monthly series and forecasts ------------------------------------------------
 
-HIST_END = "2001-07-31"
-MONTHLY_SQL = f"""
-hist AS (SELECT * FROM grid WHERE obs_date <= DATE '{HIST_END}'),
+MONTHLY_SQL = WIDE_SQL + "," + knn_sql("wide", fx.STATIONS) + f""",
+hist AS ({long_sql("k_out", fx.STATIONS)}),
 st_month AS (SELECT station, CAST(date_trunc('month', obs_date) AS DATE) AS month,
                     coalesce(sum(rain_mm), 0e0) AS station_total FROM hist GROUP BY 1, 2),
 monthly AS (SELECT 'network' AS series, month, sum(station_total) AS total FROM st_month GROUP BY month),
@@ -197,10 +207,19 @@ clim AS (SELECT 'network' AS series, station, month(obs_date) AS cal_month, avg(
 
 
 def _hist(spark, sf_dir):
-    # The history panel feeds several aggregates (monthly totals, climatology and
-    # its station list): materialise it once in the shared checkpoint folder
-    # instead of re-deriving it from the raw scan for every consumer.
-    return cut_lineage(cut_range(fx.grid(spark, sf_dir), fx.START, HIST_END))
+    """The whole history, gaps imputed first (a missing day isn't a dry one)."""
+    return knn_impute(fx.grid(spark, sf_dir), fx.STATIONS).drop("imputed")
+
+
+def _hist_once(spark, sf_dir):
+    """``_hist`` written once for the forecasts, which read it twice (totals and climatology)."""
+    return cut_lineage(_hist(spark, sf_dir))
+
+
+def next_month(spark, sf_dir):
+    """The first month after the history's last."""
+    last = fx.bounds(spark, sf_dir)[1]
+    return (last.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
 
 
 @register("a15_monthly_totals", fx.sql(MONTHLY_SQL, body="SELECT * FROM monthly"),
@@ -222,11 +241,10 @@ def a16_climatology(spark, sf_dir):
     return FC.monthly_climatology(_hist(spark, sf_dir))
 
 
-FC_START = "2001-08-01"
 SEASONAL_SQL = MONTHLY_SQL + f""",
 cm AS (SELECT series, month(month) AS cal_month, avg(total) AS pred FROM monthly GROUP BY 1, 2),
 fut AS (SELECT 'network' AS series,
-               CAST(DATE '{FC_START}' + to_months(CAST(k AS INTEGER)) AS DATE) AS month
+               CAST((SELECT date_trunc('month', max(obs_date)) FROM hist) + to_months(CAST(k + 1 AS INTEGER)) AS DATE) AS month
         FROM range(36) t(k)),
 mfc AS (SELECT f.series, f.month, cm.pred, cm.pred * 0.7 AS lower, cm.pred * 1.3 AS upper
         FROM fut f LEFT JOIN cm ON cm.series = f.series AND cm.cal_month = month(f.month))"""
@@ -236,7 +254,7 @@ mfc AS (SELECT f.series, f.month, cm.pred, cm.pred * 0.7 AS lower, cm.pred * 1.3
           "series:s month:d pred:f lower:f upper:f")
 def p1_seasonal_mean(spark, sf_dir):
     monthly = FC.monthly_totals(_hist(spark, sf_dir), "sum")
-    return FC.seasonal_mean_forecast(monthly, FC_START, 36)
+    return FC.seasonal_mean_forecast(monthly, next_month(spark, sf_dir), 36)
 
 
 DISAGG_SQL = SEASONAL_SQL + """,
@@ -258,8 +276,8 @@ SELECT series, obs_date, station,
        greatest(target * CASE WHEN csum > 0 THEN clim / csum ELSE 1.0 / cn END, 0e0) AS rain_mm FROM dj"""),
           "series:s obs_date:d station:s rain_mm:f")
 def p3_disaggregate_share(spark, sf_dir):
-    hist = _hist(spark, sf_dir)
-    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), FC_START, 36)
+    hist = _hist_once(spark, sf_dir)
+    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), next_month(spark, sf_dir), 36)
     return FC.disaggregate(mfc, FC.monthly_climatology(hist), mode="share")
 
 
@@ -268,8 +286,8 @@ SELECT series, obs_date, station,
        greatest(clim * CASE WHEN csum > 0 THEN target / cmean ELSE target END, 0e0) AS rain_mm FROM dj"""),
           "series:s obs_date:d station:s rain_mm:f")
 def p3_disaggregate_scale(spark, sf_dir):
-    hist = _hist(spark, sf_dir)
-    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), FC_START, 36)
+    hist = _hist_once(spark, sf_dir)
+    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), next_month(spark, sf_dir), 36)
     return FC.disaggregate(mfc, FC.monthly_climatology(hist), mode="scale")
 
 
@@ -280,12 +298,12 @@ LIN50 = clip_sql("rain_mm", 50, None, 1.0, 0.8)
 dd AS (SELECT obs_date, station,
               greatest(target * CASE WHEN csum > 0 THEN clim / csum ELSE 1.0 / cn END, 0e0) AS rain_mm
        FROM dj)""", body=f"""
-SELECT obs_date, station, round_even(rain_mm, 1) AS rain_mm, round_even({LIN50}, 4) AS risk,
+SELECT obs_date, station, {even_sql("rain_mm", 1)} AS rain_mm, {even_sql(LIN50, 4)} AS risk,
        {level_sql('rain_mm', (10, 20, 50))} AS level FROM dd"""), FC_SPEC)
 def p4_score_disaggregated(spark, sf_dir):
     """P4 on the simple hybrid path: lin50 risk, level from rain depth."""
-    hist = _hist(spark, sf_dir)
-    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), FC_START, 36)
+    hist = _hist_once(spark, sf_dir)
+    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), next_month(spark, sf_dir), 36)
     daily = FC.disaggregate(mfc, FC.monthly_climatology(hist), mode="share")
     return RK.score_forecast(daily, "lin50", level_by="rain").select(
         "obs_date", "station", "rain_mm", "risk", "level")

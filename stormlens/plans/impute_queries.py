@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stormlens.operators import impute as I
-from stormlens.operators import prep as E
 from stormlens.operators.features import to_long, to_wide
 from stormlens.plans import fixture as fx
 from stormlens.plans.registry import register
@@ -59,19 +58,49 @@ WIDE_SQL = "wide AS (SELECT obs_date, " + ", ".join(
 WIDE_SPEC = "obs_date:d " + " ".join(f"{s}:f" for s in ST)
 
 
+def long_sql(out: str, stations) -> str:
+    return " UNION ALL ".join(f"SELECT '{s}' AS station, obs_date, \"{s}\" AS rain_mm FROM {out}" for s in stations)
+
+
 @register("i4_knn_impute", fx.sql(WIDE_SQL, knn_sql("wide", ST), body="SELECT * FROM k_out"), WIDE_SPEC)
 def i4_knn_impute(spark, sf_dir):
     """I4 + I5: KNN (k=5, distance weights) over the five stations, clipped at 0."""
     return I.knn_impute_wide(to_wide(fx.grid(spark, sf_dir), ST), ST, k=5)
 
 
-@register("i4_knn_impute_long", fx.sql(WIDE_SQL, knn_sql("wide", ST), body="""
-SELECT station, count_if(rain_mm IS NULL) AS n_filled, count(*) AS n_days
-FROM grid GROUP BY station"""), "station:s n_filled:i n_days:i")
+@register("i4_knn_impute_long", fx.sql(WIDE_SQL, knn_sql("wide", ST), "ko AS (" + long_sql("k_out", ST) + ")", body="""
+SELECT g.station, g.obs_date, ko.rain_mm, CAST(g.rain_mm IS NULL AS INT) AS imputed
+FROM grid g JOIN ko ON ko.station = g.station AND ko.obs_date = g.obs_date"""), "station:s obs_date:d rain_mm:f imputed:i")
 def i4_knn_impute_long(spark, sf_dir):
-    """I4 on the long panel: the number of cells filled per station (none stays missing)."""
-    out = I.knn_impute(fx.grid(spark, sf_dir), ST, k=5)
-    return out.groupBy("station").agg(F.sum("imputed").alias("n_filled"), F.count(F.lit(1)).alias("n_days"))
+    """I4 on the long panel: every cell with its value and whether it was filled."""
+    return I.knn_impute(fx.grid(spark, sf_dir), ST, k=5)
+
+
+def _lowered(df):
+    """Daily values less 5 mm, so that observed values below 0 exist."""
+    return df.withColumn("rain_mm", F.col("rain_mm") - 5.0)
+
+
+@register("i4_knn_clip_paths", fx.sql("low AS (SELECT station, obs_date, rain_mm - 5e0 AS rain_mm FROM grid)",
+                                      WIDE_SQL.replace("FROM grid", "FROM low"), knn_sql("wide", ST),
+                                      "ko AS (" + long_sql("k_out", ST) + ")", """
+gapless AS (SELECT station, obs_date, CASE WHEN rain_mm < 0 THEN 0e0 ELSE rain_mm END AS rain_mm FROM low
+            WHERE obs_date IN (SELECT obs_date FROM low GROUP BY obs_date HAVING count(rain_mm) = count(*)))""", body="""
+SELECT p.path, ko.* FROM ko, (SELECT unnest(['wide', 'list', 'region']) AS path) p
+UNION ALL SELECT 'gapless', * FROM gapless"""), "path:s station:s obs_date:d rain_mm:f")
+def i4_knn_clip_paths(spark, sf_dir):
+    """I4 + I5 with negative observed values: the wide, the list and the region path, and a
+    frame without a gap, all clip in the same way."""
+    low = _lowered(fx.grid(spark, sf_dir))
+    wide = to_wide(low, ST)
+    paths = {"wide": to_long(I.knn_impute_wide(wide, ST), ST), "list": I.knn_impute(low, ST),
+             "region": I.knn_impute(low.withColumn("region", F.lit("r")), region_col="region"),
+             "gapless": to_long(I.knn_impute_wide(wide.dropna(subset=list(ST)), ST), ST)}
+    out = None
+    for name, df in paths.items():
+        part = df.select(F.lit(name).alias("path"), "station", "obs_date", "rain_mm")
+        out = part if out is None else out.union(part)
+    return out
 
 
 @register("i6_interpolate", fx.sql(f"""
@@ -132,26 +161,7 @@ UNION ALL SELECT 'mean', avg(rmse_linear), avg(rmse_knn), sum(n_hidden),
 def i7_imputation_backtest(spark, sf_dir):
     """Hide 10 % of each station's values on complete days, impute them by
     linear interpolation (row positions) and by KNN, RMSE per station and mean."""
-    wide = to_wide(fx.grid(spark, sf_dir), ST)
-    comp = wide.dropna(subset=list(ST)).withColumn("dn", F.datediff("obs_date", F.lit("1970-01-01")))
-    hidden = E.hide_mask(comp, "dn", list(ST), 0.1)
-    tst = hidden.select("obs_date", *[F.when(F.col(f"hide_{s}") == 1, None).otherwise(F.col(s)).alias(s)
-                                      for s in ST])
-    truth = hidden.unpivot(["obs_date"], list(ST), "station", "v").join(
-        hidden.select("obs_date", *[F.col(f"hide_{s}").alias(s) for s in ST])
-        .unpivot(["obs_date"], list(ST), "station", "h"), ["obs_date", "station"]).filter("h = 1")
-    lin = I.interpolate_linear(to_long(tst, ST, value_col="v"), "v", by="position", out="lin")
-    knn = to_long(I.knn_impute_wide(tst, ST, k=5), ST, value_col="knn")
-    j = truth.join(lin.select("station", "obs_date", "lin"), ["station", "obs_date"]) \
-        .join(knn, ["station", "obs_date"])
-    per = j.groupBy("station").agg(
-        F.sqrt(F.avg(F.pow(F.col("lin") - F.col("v"), 2))).alias("rmse_linear"),
-        F.sqrt(F.avg(F.pow(F.col("knn") - F.col("v"), 2))).alias("rmse_knn"),
-        F.count(F.lit(1)).alias("n_hidden"))
-    best = F.when(F.col("rmse_knn") < F.col("rmse_linear"), "knn").otherwise("linear")
-    mean = per.agg(F.lit("mean").alias("station"), F.avg("rmse_linear").alias("rmse_linear"),
-                   F.avg("rmse_knn").alias("rmse_knn"), F.sum("n_hidden").alias("n_hidden"))
-    return per.withColumn("best", best).unionByName(mean.withColumn("best", best))
+    return I.imputation_backtest(to_wide(fx.grid(spark, sf_dir), ST), ST)
 
 
 # --- many regions at once ---------------------------------------------------------------
@@ -163,10 +173,11 @@ ALL_GRID_SQL = f"""
 cleaned_all AS (SELECT station_id AS station, CAST(substr(data_timestamp, 1, 10) AS DATE) AS obs_date,
                        CASE WHEN rain_mm = 9999e0 THEN NULL WHEN rain_mm = 8888e0 THEN 0e0
                             ELSE rain_mm END AS rain_mm FROM readings),
-daily_all AS (SELECT station, obs_date, avg(rain_mm) AS rain_mm FROM cleaned_all
-              WHERE obs_date BETWEEN DATE '{fx.START}' AND DATE '{fx.END}' GROUP BY station, obs_date),
+daily_all AS (SELECT station, obs_date, avg(rain_mm) AS rain_mm FROM cleaned_all GROUP BY station, obs_date),
+days_all AS (SELECT CAST(unnest(generate_series((SELECT min(obs_date) FROM cleaned_all), (SELECT max(obs_date) FROM cleaned_all),
+                                                INTERVAL 1 DAY)) AS DATE) AS obs_date),
 grid_all AS (SELECT s.station, d.obs_date, a.rain_mm
-             FROM (SELECT DISTINCT station FROM daily_all) s CROSS JOIN days d
+             FROM (SELECT DISTINCT station FROM daily_all) s CROSS JOIN days_all d
              LEFT JOIN daily_all a ON a.station = s.station AND a.obs_date = d.obs_date),
 wide_a AS (SELECT obs_date, {", ".join(f"avg(CASE WHEN station = '{s}' THEN rain_mm END) AS \"{s}\"" for s in REGION_A)}
            FROM grid_all GROUP BY obs_date),
@@ -174,14 +185,10 @@ wide_b AS (SELECT obs_date, {", ".join(f"avg(CASE WHEN station = '{s}' THEN rain
            FROM grid_all GROUP BY obs_date),"""
 
 
-def _long_sql(out: str, stations) -> str:
-    return " UNION ALL ".join(f"SELECT '{s}' AS station, obs_date, \"{s}\" AS rain_mm FROM {out}" for s in stations)
-
-
 @register("i4_knn_impute_regions", fx.sql(ALL_GRID_SQL + knn_sql("wide_a", REGION_A, prefix="ka") + ","
                                           + knn_sql("wide_b", REGION_B, prefix="kb").lstrip("\n"),
-                                          body=_long_sql("ka_out", REGION_A) + " UNION ALL "
-                                          + _long_sql("kb_out", REGION_B)),
+                                          body=long_sql("ka_out", REGION_A) + " UNION ALL "
+                                          + long_sql("kb_out", REGION_B)),
           "station:s obs_date:d rain_mm:f")
 def i4_knn_impute_regions(spark, sf_dir):
     """I4 over every station of the network, each region (id prefix) imputed from
@@ -189,7 +196,7 @@ def i4_knn_impute_regions(spark, sf_dir):
     from stormlens.operators.calendar import densify
     from stormlens.operators.clean import to_station_days
     from stormlens.operators.impute import knn_impute
-    g = densify(to_station_days(fx.readings(spark, sf_dir)), fx.START, fx.END)
+    g = densify(to_station_days(fx.readings(spark, sf_dir)), *fx.bounds(spark, sf_dir, everything=True))
     g = g.withColumn("region", F.substring("station", 1, 4))
     return knn_impute(g, k=5, region_col="region").select("station", "obs_date", "rain_mm")
 
@@ -197,7 +204,7 @@ def i4_knn_impute_regions(spark, sf_dir):
 # --- flagship on the imputed calendar (the studied step chain: impute → features → label) ---
 
 IMPUTED_FLAGSHIP_SQL = fx.sql(WIDE_SQL, knn_sql("wide", ST).lstrip("\n"), """
-ig AS (""" + _long_sql("k_out", ST) + """),
+ig AS (""" + long_sql("k_out", ST) + """),
 feats AS (
   SELECT *, lag(rain_mm, 1) OVER w AS lag1, lag(rain_mm, 2) OVER w AS lag2, lag(rain_mm, 3) OVER w AS lag3,
          avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7,

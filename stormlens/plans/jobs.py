@@ -34,18 +34,15 @@ FEATURES = ["bulan", "hari_tahun", "hari_minggu", "lag1", "lag2", "lag3", "roll7
 
 
 def prepare_panel(readings: DataFrame, start, end, prefix: str | None = None, targets=None,
-                  region_prefix_len: int | None = None, k: int = 5) -> DataFrame:
+                  region_prefix_len: int = 4, k: int = 5) -> DataFrame:
     """Labelled long panel of the target stations (all stations when None).
 
-    ``region_prefix_len`` imputes every region (stations sharing that many leading
-    id characters) from its own stations; by default the panel is one region."""
+    Every region (stations sharing ``region_prefix_len`` leading id characters) is
+    imputed from its own stations."""
     r = filter_prefix(readings, "station_id", prefix) if prefix else readings
     grid = densify(to_station_days(r), start, end)
-    if region_prefix_len:
-        grid = grid.withColumn("_region", F.substring("station", 1, region_prefix_len))
-        panel = knn_impute(grid, k=k, region_col="_region").drop("_region", "imputed")
-    else:
-        panel = knn_impute(grid, k=k).drop("imputed")
+    grid = grid.withColumn("_region", F.substring("station", 1, region_prefix_len))
+    panel = knn_impute(grid, k=k, region_col="_region").drop("_region", "imputed")
     panel = cut_lineage(panel)
     feats = build_features(panel, targets=targets, members=targets, rolls=(7, 30))
     return drop_incomplete(label_extreme(feats), ["rain_mm"] + FEATURES)

@@ -17,12 +17,13 @@ from stormlens.operators import evaluate as V
 from stormlens.operators import forecast as FC
 from stormlens.operators import model as M
 from stormlens.operators import prep as E
-from stormlens.operators.clean import cut_range, drop_incomplete
+from stormlens.operators.clean import drop_incomplete
 from stormlens.operators.features import build_features, features_with_seed
 from stormlens.operators.label import label_extreme
 from stormlens.operators.resample import smote
 from stormlens.operators.seasonal_ar import seasonal_ar_forecast
 from stormlens.plans import fixture as fx
+from stormlens.plans.forecast_queries import next_month
 from stormlens.plans.registry import register
 from stormlens.session import cut_lineage, ensure_checkpoint_dir
 
@@ -36,7 +37,7 @@ SMOTE_FEATURES = ["lag1", "roll7", "roll30", "nbr_lag1_avg", "nbr_roll7_avg"]
 def imputed_grid(spark, sf_dir):
     """The dense calendar with gaps filled by KNN (as the trainer does before any feature)."""
     from stormlens.operators.impute import knn_impute
-    return _memo(("imputed", _app(spark), sf_dir), lambda: cut_lineage(
+    return _memo(("imputed", _state(spark, sf_dir)), lambda: cut_lineage(
         knn_impute(fx.grid(spark, sf_dir), fx.STATIONS).drop("imputed")))
 
 
@@ -46,8 +47,7 @@ def labelled_panel(spark, sf_dir):
     lab = label_extreme(feats)
     lab = drop_incomplete(lab, ["rain_mm"] + NUMERIC)
     lab = E.one_hot(lab, ["station"], levels={"station": fx.TARGETS}, prefix={"station": "STASIUN"})
-    return lab.withColumn("rid", F.datediff("obs_date", F.lit("1970-01-01")) * 10
-                          + F.substring("station", 5, 1).cast("int"))
+    return lab.withColumn("rid", F.xxhash64("station", "obs_date"))
 
 
 # Fitted artifacts are deterministic functions of (session, data folder): the
@@ -62,6 +62,16 @@ def _memo(key, build):
     return _MEMO[key]
 
 
+def _state(spark, sf_dir) -> tuple:
+    """What the readings' files are now: new data in the same folder is a new key."""
+    jvm, found = spark.sparkContext._jvm, []
+    for f in fx.readings(spark, sf_dir).inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        s = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+        found.append((f, s.getLen(), s.getModificationTime()))
+    return (_app(spark), sf_dir, *sorted(found))
+
+
 def clear_memo() -> None:
     _MEMO.clear()
 
@@ -71,7 +81,7 @@ def _app(spark) -> str:
 
 
 def model_frames(spark, sf_dir):
-    return _memo(("frames", _app(spark), sf_dir), lambda: _model_frames(spark, sf_dir))
+    return _memo(("frames", _state(spark, sf_dir)), lambda: _model_frames(spark, sf_dir))
 
 
 def trained_gbt(spark, sf_dir):
@@ -79,7 +89,7 @@ def trained_gbt(spark, sf_dir):
     def build():
         train, test = model_frames(spark, sf_dir)
         return train, test, _gbt(train)
-    return _memo(("gbt", _app(spark), sf_dir), build)
+    return _memo(("gbt", _state(spark, sf_dir)), build)
 
 
 def _model_frames(spark, sf_dir):
@@ -231,7 +241,10 @@ def e10_smote(spark, sf_dir):
     return out.filter("synthetic = 1").select("_syn_index", *SMOTE_FEATURES)
 
 
-@register("e10_smote_balance")
+@register("e10_smote_balance", fx.sql(SMOTE_SQL, body="""
+SELECT label, CASE WHEN label = 1 THEN (SELECT n_maj FROM cnt) ELSE count(*) END AS n_rows,
+       CASE WHEN label = 1 THEN (SELECT n_maj - n_min FROM cnt) ELSE 0 END AS n_synthetic
+FROM tr GROUP BY label"""), "label:i n_rows:i n_synthetic:i")
 def e10_smote_balance(spark, sf_dir):
     """Class counts before / after over-sampling (parity after)."""
     out = smote(_smote_train(spark, sf_dir), SMOTE_FEATURES, "rid", k=5)
@@ -263,6 +276,54 @@ def m10_attribution_direction(spark, sf_dir):
     return AT.attribution_direction(_attr(spark, sf_dir), FEATURES)
 
 
+# M9-M11 on an attribution table that SQL can build as well: linear parts of a made-up score.
+TABLE_FEATURES = ["lag1", "lag2", "roll7"]
+ATTR_SQL = """
+attr AS (SELECT station, obs_date, lag1, lag2, roll7, 0.04 * lag1 - 0.1 AS phi_lag1, -0.02 * lag2 AS phi_lag2,
+              0.01 * roll7 * roll7 - 0.3 * lag1 AS phi_roll7
+       FROM (SELECT *, lag(rain_mm, 1) OVER w AS lag1, lag(rain_mm, 2) OVER w AS lag2,
+                    avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7
+             FROM grid WINDOW w AS (PARTITION BY station ORDER BY obs_date)) q
+       WHERE lag1 IS NOT NULL AND lag2 IS NOT NULL AND roll7 IS NOT NULL),
+al AS (SELECT 'lag1' AS feature, lag1 AS x, phi_lag1 AS phi FROM attr UNION ALL SELECT 'lag2', lag2, phi_lag2 FROM attr
+       UNION ALL SELECT 'roll7', roll7, phi_roll7 FROM attr),
+sm AS (SELECT feature, avg(abs(phi)) AS mean_abs FROM al GROUP BY feature),
+share AS (SELECT feature, mean_abs, mean_abs * 100.0 / (SELECT sum(mean_abs) FROM sm) AS share_pct FROM sm),
+less AS (SELECT feature, mean_abs * 100.0 / (SELECT sum(mean_abs) FROM sm WHERE feature <> 'lag2') AS share_pct
+         FROM sm WHERE feature <> 'lag2')"""
+
+
+def _attr_table(spark, sf_dir):
+    from stormlens.operators.features import add_lags, add_rolling
+    f = add_rolling(add_lags(fx.grid(spark, sf_dir), (1, 2)), (7,)).dropna(subset=TABLE_FEATURES)
+    return f.select("station", "obs_date", *TABLE_FEATURES, (F.col("lag1") * 0.04 - 0.1).alias("phi_lag1"),
+                    (F.col("lag2") * -0.02).alias("phi_lag2"),
+                    (F.col("roll7") * F.col("roll7") * 0.01 - F.col("lag1") * 0.3).alias("phi_roll7"))
+
+
+@register("m9_summary_of_table", fx.sql(ATTR_SQL, body="SELECT * FROM share"), "feature:s mean_abs:f share_pct:f")
+def m9_summary_of_table(spark, sf_dir):
+    return AT.attribution_summary(_attr_table(spark, sf_dir), TABLE_FEATURES)
+
+
+@register("m10_direction_of_table", fx.sql(ATTR_SQL, body="""
+SELECT feature, corr(x, phi) AS corr, CASE WHEN corr(x, phi) > 0 THEN 'up=extreme' WHEN corr(x, phi) < 0 THEN 'up=normal' END AS direction
+FROM al GROUP BY feature"""), "feature:s corr:f direction:s")
+def m10_direction_of_table(spark, sf_dir):
+    return AT.attribution_direction(_attr_table(spark, sf_dir), TABLE_FEATURES)
+
+
+@register("m11_compare_tables", fx.sql(ATTR_SQL, body="""
+SELECT o.feature, o.share_pct AS old_share, n.share_pct AS new_share,
+       CASE WHEN n.share_pct IS NULL THEN 'N/A' ELSE printf('%.2f', n.share_pct) END AS new_share_text
+FROM share o LEFT JOIN less n USING (feature)"""), "feature:s old_share:f new_share:f new_share_text:s")
+def m11_compare_tables(spark, sf_dir):
+    """M11 on the table: a later model without ``lag2`` (N/A there)."""
+    t = _attr_table(spark, sf_dir)
+    return AT.compare_attribution(AT.attribution_summary(t, TABLE_FEATURES),
+                                  AT.attribution_summary(t, [c for c in TABLE_FEATURES if c != "lag2"]))
+
+
 @register("m11_compare_attribution")
 def m11_compare_attribution(spark, sf_dir):
     """Shares of the full model against a model without the neighbour features."""
@@ -277,10 +338,10 @@ def m11_compare_attribution(spark, sf_dir):
 @register("p2_seasonal_ar")
 def p2_seasonal_ar(spark, sf_dir):
     """Seasonal ARMA (order chosen by AIC) on the network's monthly totals, 36 months."""
-    hist = cut_range(fx.grid(spark, sf_dir), fx.START, "2001-07-31")
+    hist = imputed_grid(spark, sf_dir)
     monthly = FC.monthly_totals(hist, "sum")
     per_station = FC.monthly_totals(hist.withColumn("series", F.col("station")), "sum", series_col="series")
-    return seasonal_ar_forecast(monthly.unionByName(per_station), "2001-08-01", 36)
+    return seasonal_ar_forecast(monthly.unionByName(per_station), next_month(spark, sf_dir), 36)
 
 
 @register("p5_score_forecast_model")
@@ -290,11 +351,9 @@ def p5_score_forecast_model(spark, sf_dir):
     training parameters; levels from the probability."""
     from stormlens.functions.calendar import add_calendar
     from stormlens.functions.risk import risk_level
-    from stormlens.operators.impute import knn_impute
-    g = fx.grid(spark, sf_dir)
     # history as the forecast job uses it: KNN-imputed, so the seeded features are complete
-    hist = cut_lineage(knn_impute(cut_range(g, fx.START, "2001-07-31"), fx.STATIONS).drop("imputed"))
-    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), "2001-08-01", 12)
+    hist = imputed_grid(spark, sf_dir)
+    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), next_month(spark, sf_dir), 36)
     daily = FC.disaggregate(mfc, FC.monthly_climatology(hist)).select("station", "obs_date", "rain_mm")
     daily = daily.filter(F.col("station").isin(*fx.TARGETS))
     feats = features_with_seed(hist.filter(F.col("station").isin(*fx.TARGETS)), daily, seed_days=365,

@@ -34,32 +34,32 @@ def a1_describe_all(spark, sf_dir):
 SELECT name, count(rain_mm) AS n_days, count(DISTINCT year(obs_date)) AS n_years,
        min(rain_mm) AS min, max(rain_mm) AS max, avg(rain_mm) AS mean,
        quantile_cont(rain_mm, 0.5) AS median, stddev_samp(rain_mm) AS std
-FROM named WHERE rain_mm IS NOT NULL GROUP BY name"""),
+FROM named_all WHERE rain_mm IS NOT NULL GROUP BY name"""),
           "name:s n_days:i n_years:i min:f max:f mean:f median:f std:f")
 def a2_station_stats(spark, sf_dir):
-    return P.station_stats(fx.named(spark, sf_dir))
+    return P.station_stats(fx.named_all(spark, sf_dir))
 
 
 @register("a3_annual_means", fx.sql(body="""
 SELECT s.name, s.year, a.annual_mean, CAST(a.annual_mean IS NOT NULL AS INT) AS available,
        avg(a.annual_mean) OVER (PARTITION BY s.name) AS mean_of_annual_means
-FROM (SELECT DISTINCT name, unnest(generate_series(1995, 2002)) AS year FROM named
+FROM (SELECT DISTINCT name, unnest(generate_series(1995, 2002)) AS year FROM named_all
       WHERE rain_mm IS NOT NULL) s
-LEFT JOIN (SELECT name, year(obs_date) AS year, avg(rain_mm) AS annual_mean FROM named
+LEFT JOIN (SELECT name, year(obs_date) AS year, avg(rain_mm) AS annual_mean FROM named_all
            WHERE rain_mm IS NOT NULL GROUP BY 1, 2) a ON a.name = s.name AND a.year = s.year"""),
           "name:s year:i annual_mean:f available:i mean_of_annual_means:f")
 def a3_annual_means(spark, sf_dir):
-    return P.annual_means(fx.named(spark, sf_dir), 1995, 2002)
+    return P.annual_means(fx.named_all(spark, sf_dir), 1995, 2002)
 
 
 @register("a4_network_summary", fx.sql("""
-per AS (SELECT name, avg(rain_mm) AS m, max(rain_mm) AS mx, min(rain_mm) AS mn FROM named
+per AS (SELECT name, avg(rain_mm) AS m, max(rain_mm) AS mx, min(rain_mm) AS mn FROM named_all
         WHERE rain_mm IS NOT NULL GROUP BY name)""", body="""
 SELECT avg(m) AS mean_of_means, max(mx) AS max_of_max, min(mn) AS min_of_min,
        count_if(m > 20) AS n_mean_above, count_if(m < 5) AS n_mean_below FROM per"""),
           "mean_of_means:f max_of_max:f min_of_min:f n_mean_above:i n_mean_below:i")
 def a4_network_summary(spark, sf_dir):
-    return P.network_summary(fx.named(spark, sf_dir))
+    return P.network_summary(fx.named_all(spark, sf_dir))
 
 
 @register("a5_completeness", fx.sql(body="""
@@ -137,12 +137,13 @@ def a11_null_gate(spark, sf_dir):
 @register("a12_coverage", fx.sql(body="""
 SELECT station, count(DISTINCT obs_date) AS n_dates,
        count(DISTINCT CASE WHEN rain_mm IS NOT NULL THEN obs_date END) AS n_valid_dates,
-       2405 - count(DISTINCT obs_date) AS n_absent,
-       (2405 - count(DISTINCT CASE WHEN rain_mm IS NOT NULL THEN obs_date END)) * 100.0 / 2405 AS pct_missing
-FROM cleaned GROUP BY station"""),
+       any_value(n) - count(DISTINCT obs_date) AS n_absent,
+       (any_value(n) - count(DISTINCT CASE WHEN rain_mm IS NOT NULL THEN obs_date END)) * 100.0 / any_value(n) AS pct_missing
+FROM cleaned, (SELECT count(*) AS n FROM days) t GROUP BY station"""),
           "station:s n_dates:i n_valid_dates:i n_absent:i pct_missing:f")
 def a12_coverage(spark, sf_dir):
-    return P.coverage(fx.cleaned(spark, sf_dir), (fx.END - fx.START).days + 1)
+    lo, hi = fx.bounds(spark, sf_dir)
+    return P.coverage(fx.cleaned(spark, sf_dir), (hi - lo).days + 1)
 
 
 @register("a13_zero_null_counts", fx.sql(body="""
@@ -228,18 +229,18 @@ def a25_clamp_date(spark, sf_dir):
 
 
 @register("o1_top_values", fx.sql(body="""
-SELECT station_id, data_timestamp, rain_mm FROM named WHERE rain_mm IS NOT NULL
+SELECT station_id, data_timestamp, rain_mm FROM readings WHERE rain_mm IS NOT NULL
 ORDER BY rain_mm DESC, station_id, data_timestamp LIMIT 20"""),
           "station_id:s data_timestamp:s rain_mm:f")
 def o1_top_values(spark, sf_dir):
-    return P.top_values(fx.named(spark, sf_dir), "rain_mm", 20).select("station_id", "data_timestamp", "rain_mm")
+    return P.top_values(fx.readings(spark, sf_dir), "rain_mm", 20).select("station_id", "data_timestamp", "rain_mm")
 
 
 @register("o2_top_stations", fx.sql(body="""
-SELECT name, avg(rain_mm) AS mean FROM named WHERE rain_mm IS NOT NULL GROUP BY name
-ORDER BY mean DESC, name LIMIT 3"""), "name:s mean:f")
+SELECT name, avg(rain_mm) AS mean FROM named_all WHERE rain_mm IS NOT NULL GROUP BY name
+ORDER BY mean DESC, name LIMIT 10"""), "name:s mean:f")
 def o2_top_stations(spark, sf_dir):
-    return P.top_stations(fx.named(spark, sf_dir), 3)
+    return P.top_stations(fx.named_all(spark, sf_dir), 10)
 
 
 @register("o4_preview_tail", fx.sql(body="""

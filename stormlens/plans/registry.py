@@ -16,11 +16,9 @@ from pyspark.sql import types as T
 
 from stormlens.session import ship_package
 
-# Means of 0.1 mm readings over 2^k days land EXACTLY on a 6-digit rounding
-# midpoint (e.g. 22.6384375); two engines summing in different orders then round
-# to different sides. Both sides add this fixed shift before rounding, which moves
-# the rounding boundary off the decimal grid such values live on.
-ROUND_SHIFT = 3.7e-8
+# Means of 0.1 mm readings over 2^k days land exactly on a 6-digit rounding midpoint
+# (e.g. 22.6384375). Both sides first go to a decimal of 10 digits, which takes away
+# what differs by the order of summation, and then round that decimal half up.
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -38,7 +36,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(t, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double") + F.lit(ROUND_SHIFT), 6)
+            c = F.round(c.cast("double").cast("decimal(38,10)"), 6).cast("double")
         elif isinstance(t, T.ArrayType):
             c = F.array_join(c.cast("array<string>"), ",")
         cols.append(c.alias(f.name))
@@ -49,7 +47,7 @@ _KIND = {
     "s": "{c}",
     "d": "CAST({c} AS VARCHAR)",
     "i": "CAST({c} AS BIGINT)",
-    "f": "round(CAST({c} AS DOUBLE) + 3.7e-8, 6)",
+    "f": "CAST(round(CAST(CAST({c} AS DOUBLE) AS DECIMAL(38, 10)), 6) AS DOUBLE)",
     "a": "array_to_string({c}, ',')",
 }
 

@@ -46,10 +46,13 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only if unset."""
+    """Return the shared checkpoint folder. Only a local master (tests) may leave it unset
+    and gets a scratch folder; on a cluster executors could not share one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="stormlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -7,6 +7,7 @@ values the way the original data-frame code did.
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,22 +52,54 @@ def _canonical(df: DataFrame) -> DataFrame:
     return nan_to_null(renamed, ["rain_mm"])
 
 
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """{header: files} of the CSV files that ``path`` (a file, a folder or a glob) names. Only
+    the first line of each file is read, through Spark's file systems."""
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(conf)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for status in fs.globStatus(top) or []:
+        inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for f in inner:
+            name = f.getPath().getName()
+            if f.isDirectory() or name.startswith(("_", ".")):
+                continue
+            stream = jvm.java.io.InputStreamReader(fs.open(f.getPath()), "UTF-8")
+            line = jvm.java.io.BufferedReader(stream)
+            try:
+                first = line.readLine()
+            finally:
+                line.close()
+            header = tuple(next(csv.reader([(first or "").lstrip("\ufeff")]), []))
+            found.setdefault(header, []).append(f.getPath().toString())
+    return found
+
+
 def read_readings(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
     """Read every yearly export and union them by column name.
 
-    ``paths`` is a glob or a list of globs. Files with the same header are read in
-    one scan (the file source splits them across tasks); groups with different
-    headers are unioned by name with missing columns as NULL.
-    """
+    ``paths`` is a glob or a list of globs. CSV files are grouped by their header, so files
+    under one glob may differ in the order and the set of their columns; each group is
+    one scan, groups are unioned by name with missing columns as NULL. Files without
+    any line hold no rows."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     frames = []
     for p in paths:
-        reader = spark.read.format(fmt)
-        if fmt == "csv":
-            # All-string read: types are applied once in _canonical, never inferred.
-            reader = reader.option("header", True).option("inferSchema", False)
-        frames.append(_canonical(reader.load(p)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        if fmt != "csv":
+            frames.append(_canonical(spark.read.format(fmt).load(p)))
+            continue
+        for header, files in csv_headers(spark, p).items():
+            if header:
+                # All-string read: types are applied once in _canonical, never inferred.
+                schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+                frames.append(_canonical(spark.read.schema(schema).option("header", True).csv(files)))
+    if not frames:
+        raise FileNotFoundError(f"no readings under {paths}")
+    columns = [f.name for f in READINGS_SCHEMA.fields]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).select(
+        *columns, *sorted({c for f in frames for c in f.columns} - set(columns)))
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,

@@ -10,8 +10,9 @@ from stormlens.sources.readings import load_fixture_readings
 
 def test_jobs_end_to_end(spark):
     r = load_fixture_readings(spark, SF_ORACLE)
-    labelled = jobs.prepare_panel(r, fx.START, fx.END, prefix=fx.PREFIX, targets=fx.TARGETS)
-    n_days = (fx.END - fx.START).days + 1
+    lo, hi = fx.bounds(spark, SF_ORACLE)
+    labelled = jobs.prepare_panel(r, lo, hi, prefix=fx.PREFIX, targets=fx.TARGETS)
+    n_days = (hi - lo).days + 1
     # the imputed calendar is complete, so only the first 3 days (no lag3) drop out
     assert labelled.count() == len(fx.TARGETS) * (n_days - 3)
     assert labelled.filter(F.col("rain_mm").isNull()).count() == 0

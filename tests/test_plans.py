@@ -32,13 +32,17 @@ def test_flagship_threshold_is_a_window(spark):
     # the lag / rolling windows), not in a second aggregate branch joined back
     assert any(line.lstrip("+- :").startswith("Window") and "percentile" in line
                for line in plan.splitlines())
-    # raw readings are read for the daily aggregate and for the station list only
-    assert plan.count("FileScan parquet") <= 2
+    assert plan.count("FileScan parquet") == 1
 
 
-def test_neighbour_means_do_not_rescan(spark):
-    plan = _plan(spark, "w8_neighbour_all")
-    assert plan.count("FileScan parquet") <= 2
+@pytest.mark.parametrize("name", ["j3_densify", "w8_neighbour_all", "a21_class_balance", "i6_interpolate"])
+def test_readings_are_scanned_once(spark, name):
+    assert _plan(spark, name).count("FileScan parquet") == 1
+
+
+def test_interpolation_has_no_frame_to_the_end(spark):
+    plan = _plan(spark, "i6_interpolate")
+    assert "unboundedfollowing" not in plan.lower()
 
 
 def test_knn_donor_dedup_limits_before_the_shuffle(spark):

@@ -204,3 +204,68 @@ def test_boosted_trees_beat_the_prior(spark, toy):
     pos, neg = scored[scored.label == 1]["proba"], scored[scored.label == 0]["proba"]
     auc = (pos.to_numpy()[:, None] > neg.to_numpy()[None, :]).mean()
     assert auc > 0.8
+
+
+def test_knn_clip_is_one_rule_without_and_with_gaps(spark):
+    """Negative values are clipped in every path, also when nothing is missing."""
+    import datetime as dt
+
+    from stormlens.operators import impute as I
+    from stormlens.operators.features import to_wide
+
+    day = [dt.date(2020, 1, 1) + dt.timedelta(days=k) for k in range(3)]
+    for last in (2.0, None):
+        rows = [(s, d, v) for s, vs in (("a", [-1.0, 3.0, last]), ("b", [-4.0, 5.0, 1.0])) for d, v in zip(day, vs)]
+        df = spark.createDataFrame(rows, "station string, obs_date date, rain_mm double")
+        wide = {r.obs_date: (r.a, r.b) for r in I.knn_impute_wide(to_wide(df, ["a", "b"]), ["a", "b"]).collect()}
+        long = {(r.station, r.obs_date): r.rain_mm for r in I.knn_impute(df, ["a", "b"]).collect()}
+        region = {(r.station, r.obs_date): r.rain_mm for r in I.knn_impute(df.selectExpr("*", "'x' as region"), region_col="region").collect()}
+        assert long == region == {(s, d): wide[d][k] for d in day for k, s in enumerate(("a", "b"))}
+        assert wide[day[0]] == (0.0, 0.0) and None not in long.values()
+
+
+def test_densify_keeps_stations_without_a_reading_in_range(spark):
+    import datetime as dt
+
+    from stormlens.operators.calendar import densify
+
+    d = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    rows = [("in", d(3), 1.0), ("in", d(3), 3.0), ("in", d(5), 4.0), ("before", d(-9), 7.0), ("before", d(-2), 7.0), ("after", d(30), 7.0),
+            ("both", d(-1), 7.0), ("both", d(4), 2.0), ("both", d(12), 7.0), ("undated", None, 7.0)]
+    got = densify(spark.createDataFrame(rows, "station string, obs_date date, rain_mm double"), d(0), d(9)).collect()
+    want = {(s, d(n)): None for s in ("in", "before", "after", "both", "undated") for n in range(10)}
+    want |= {("in", d(3)): 2.0, ("in", d(5)): 4.0, ("both", d(4)): 2.0}
+    assert len(got) == 50 and {(r.station, r.obs_date): r.rain_mm for r in got} == want
+
+
+def test_folds_and_masks_take_any_integer_key(spark):
+    from stormlens.operators import prep as E
+
+    keys = [2 ** 62 + 3 * k for k in range(40)] + [10 ** 13 + k for k in range(40)] + list(range(20))
+    df = spark.createDataFrame([(k, i % 3 // 2) for i, k in enumerate(keys)], "rid long, label int")
+    folds = E.stratified_folds(df, "rid", "label", k=5, seed=3).groupBy("label", "fold").count().collect()
+    for label in (0, 1):
+        sizes = [r["count"] for r in folds if r.label == label]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    assert E.hide_mask(df, "rid", ["label"], 0.1).selectExpr("sum(hide_label)").first()[0] == 10
+
+
+def test_smote_needs_enough_neighbours(spark):
+    import pytest
+
+    from stormlens.operators.resample import smote
+
+    df = spark.createDataFrame([(k, float(k), int(k < 3)) for k in range(20)], "rid long, x double, label int")
+    with pytest.raises(ValueError, match="6 minority rows"):
+        smote(df, ["x"], "rid", k=5)
+
+
+def test_map_names_by_dictionary_and_by_frame(spark):
+    from stormlens.operators.clean import map_names
+
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "name string")
+    names = {"a": "A"}
+    frame = spark.createDataFrame(list(names.items()), "k string, v string")
+    for given in (names, frame):
+        assert {(r.name, r.s) for r in map_names(df, given, out="s").collect()} == {("a", "A"), ("b", None), (None, None)}
+        assert {(r.name, r.s) for r in map_names(df, given, out="s", keep_unmatched=True).collect()} == {("a", "A"), ("b", "b"), (None, None)}

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import numpy as np
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -15,25 +14,26 @@ VALUES = st.lists(st.one_of(st.none(), st.sampled_from([0.0, 0.05, 0.1, 0.2, 3.0
                   min_size=1, max_size=60)
 
 
-def _wet_run_pandas(v: pd.Series) -> pd.Series:
-    is_rain = (v.shift(1) > 0).astype(int)
-    grp = (is_rain != is_rain.shift()).cumsum()
-    return is_rain.groupby(grp).cumsum() * is_rain
+def _days_back(values, day, goes_on):
+    """How many days right before ``day`` go on without a break, walking back from the eve."""
+    n = 0
+    while day - n > 0 and goes_on(values[day - n - 1]):
+        n += 1
+    return n
 
 
-def _dry_run_pandas(v: pd.Series) -> pd.Series:
-    flag = (v > 0.1).astype(int)
-    out, count = [], 0
-    for f in flag:
-        count = count + 1 if f == 0 else 0
-        out.append(count)
-    return pd.Series(out, index=v.index, dtype="float64").shift(1)
+def _wet_runs(values):
+    return [_days_back(values, i, lambda x: x is not None and x > 0) for i in range(len(values))]
+
+
+def _dry_runs(values):
+    """Unknown on the first day; a missing value doesn't break a dry run."""
+    return [np.nan if i == 0 else _days_back(values, i, lambda x: x is None or not x > 0.1) for i in range(len(values))]
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(VALUES)
 def test_runs_match_row_by_row_definitions(spark, values):
-    v = pd.Series([np.nan if x is None else x for x in values], dtype="float64")
     rows = [("s", D0 + dt.timedelta(days=i), None if x is None else float(x)) for i, x in enumerate(values)]
     df = spark.createDataFrame(rows, "station string, obs_date date, rain_mm double")
     plain = FE.add_dry_run(FE.add_wet_run(df)).orderBy("obs_date").toPandas()
@@ -41,8 +41,7 @@ def test_runs_match_row_by_row_definitions(spark, values):
     dry = F.coalesce(F.col("rain_mm") > 0.1, F.lit(False))
     chunked = FE.run_before_chunked(FE.run_before_chunked(df, ~wet, "consec_rain", False, chunk_days=7),
                                     dry, "dry_days", True, chunk_days=7).orderBy("obs_date").toPandas()
-    exp_wet = _wet_run_pandas(v).to_numpy(float)
-    exp_dry = _dry_run_pandas(v).to_numpy(float)
+    exp_wet, exp_dry = np.array(_wet_runs(values), float), np.array(_dry_runs(values), float)
     for got in (plain, chunked):
         assert np.array_equal(got["consec_rain"].to_numpy(float), exp_wet)
         assert np.array_equal(got["dry_days"].to_numpy(float), exp_dry, equal_nan=True)
