@@ -6,20 +6,17 @@ so stripe and row-index statistics and the Bloom filter on the id let a reader s
 any number of tasks may read different stripes at once. Counts are columns of their own:
 positions come from them without reading a token.
 
-The tokenizer is the given vocabulary file in the tokenizers library. Texts are encoded in
-chunks that end where this kind of vocabulary (byte-level, pieces of letters, digits or marks, a
-space starts a piece) always splits: before a single space, around a single line end, between
-a letter and marks. A chunk's ids are kept for its next occurrence. Texts with other runs of
-white space or special strings are encoded whole.
+The tokenizer is the given vocabulary file (byte-level: pieces of letters, digits or marks, a
+space starts a piece) in the tokenizers library. Texts are encoded in chunks that end where
+such a vocabulary always splits, and a chunk's ids are kept for its next occurrence under
+its 64-bit hash (among ten million chunks of one process, two clash with a chance of 3e-6).
 
 Defined results: a null text is an empty one (the end id only); rows with one id stand
 together in an order fixed by their texts; a null id comes first; an empty table is written
 as an empty folder with the schema.
 """
 
-import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,49 +24,111 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stormlens.llm.arrays import hash_spans, slices
+
 END = 2
-CACHE = 300_000
-LONGEST = 40
 SCHEMA = "id long, n_tokens int, ids array<int>, part int, pos int"
-LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: A full stop or comma that doesn't stand between a letter and white space.
-ODD_MARK = re.compile(rf"[.,](?:(?<![{LETTER}][.,])|(?=[^ \n]))")
-#: A run of letters and the marks after it are always pieces of their own.
-WORD_AND_MARKS = re.compile(rf"( ?[{LETTER}]+)([.,;:!?#$%&*|]+)\Z")
-
-
-class Encoder(dict):
-    """Chunk of text -> its ids as little-endian 32-bit bytes. Holds the chunks met most recently:
-    when ``CACHE`` are known they become the older half, which is dropped at the next turn."""
+MOST_IDS = 12_000_000
+
+_SOLID = (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
+_WORD = np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123)])
+_MARK = _SOLID & ~_WORD
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks begin: at each text, and inside texts where a byte-level vocabulary always
+    begins a piece - at a single space or line end between two visible characters, after
+    such a line end, and at a mark after a letter or digit. Visible characters, letters and
+    digits are those of ASCII, and À to ÿ but for × and ÷; next to others nothing is cut. A text with
+    the beginning of a special string (``<|``) is one chunk."""
+    n = len(data)
+    begin = np.zeros(n + 1, bool)
+    begin[offsets] = True
+    if n > 2:
+        before, now, after = data[:-2], data[1:-1], data[2:]
+        lead = np.zeros(n, bool)  # second byte of a Latin letter: 0xC3 and a byte of 0x80-0xBF without the two signs
+        lead[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        first = np.zeros(n, bool)
+        first[:-1] = lead[1:]
+        between = (_SOLID[before] | lead[:-2]) & (_SOLID[after] | first[2:])
+        line = (now == 0x0A) & between
+        begin[1:n - 1] |= ((now == 0x20) & between) | line | (_MARK[now] & (_WORD[before] | lead[:-2]))
+        begin[2:n] |= line
+    special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)) if n > 1 else ()
+    for text in np.unique(np.searchsorted(offsets, special, "right") - 1):
+        begin[offsets[text] + 1:offsets[text + 1]] = False
+    return np.flatnonzero(begin[:n])
+
+
+class Encoder:
+    """Bytes of texts -> token ids, a slice of texts at a time. The ids of chunks met before
+    are found by the chunk's 64-bit hash in sorted arrays; when more than ``MOST_IDS`` ids are
+    held, all are dropped and collected anew."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.older = Tokenizer.from_file(path), {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
-        if ids is None:
-            parts = WORD_AND_MARKS.match(chunk)
-            ids = self[parts[1]] + self[parts[2]] if parts else self.whole(chunk)
-        if len(chunk) <= LONGEST:
-            if len(self) >= CACHE:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        blanks = text.count(" ") + text.count("\n")
-        if len(text.split()) != blanks + 1 or "<|" in text or "\0" in text:  # white space other than single ones inside
-            return self.whole(text)
-        if not ODD_MARK.search(text):
-            text = text.replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0")
-        return b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0")))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.clear()
+
+    def clear(self) -> None:
+        self.old = self.new = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.pool, self.held = np.zeros(1 << 16, np.int32), 0
+
+    def whole(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
+        """Encode chunks and keep their ids; ``hashes`` rise and are not known yet."""
+        ids = self.whole(chunks)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((x for i in ids for x in i), np.int32, int(counts.sum()))
+        while self.held + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.held:self.held + len(flat)] = flat
+        at = self.held + np.cumsum(counts) - counts
+        self.held += len(flat)
+        self.new = self._merged(self.new, (hashes, at, counts))
+        if len(self.new[0]) > 1 << 16:
+            self.old = self._merged(self.old, self.new)
+            self.new = tuple(x[:0] for x in self.new)
+
+    @staticmethod
+    def _merged(a, b):
+        place = np.searchsorted(a[0], b[0])
+        return tuple(np.insert(x, place, y) for x, y in zip(a, b))
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known, where the ids begin, how many) of each hash."""
+        known, at, counts = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        for h, where, n in (self.old, self.new):
+            if len(h):
+                i = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
+                hit = h[i] == hashes
+                known |= hit
+                at[hit], counts[hit] = where[i[hit]], n[i[hit]]
+        return known, at, counts
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts with ``end`` after each, where each text's ids begin and the last end)."""
+        if self.held > MOST_IDS:
+            self.clear()
+        starts = chunk_starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        hashes, first, back = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        known, at, counts = self.find(hashes)
+        if not known.all():
+            missing = first[~known]
+            self.learn(hashes[~known], [data[a:b].tobytes() for a, b in zip(starts[missing], ends[missing])])
+            _, at, counts = self.find(hashes)
+        n = counts[back]
+        ids = self.pool[np.repeat(at[back] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        text = np.searchsorted(offsets, starts, "right") - 1
+        by_text = np.bincount(text, weights=n, minlength=len(offsets) - 1).astype(np.int64) if len(n) else np.zeros(len(offsets) - 1, np.int64)
+        bounds = np.concatenate([[0], np.cumsum(by_text + 1)])
+        out = np.full(bounds[-1], end, np.int32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(by_text)), by_text)] = ids
+        return out, bounds
 
 
 _encoders: dict[str, Encoder] = {}
@@ -96,19 +155,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id",
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        encode, last = encoder(tokenizer).encode, array("I", [end]).tobytes()
-        part, pos = TaskContext.get().partitionId(), 0
+        own, part, pos = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                b = batch.slice(a, 512)
-                ids = [encode(t.as_py()) + last for t in b.column("text")]
-                ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+            for row, data, offsets in slices(batch.column("text")):
+                ids, bounds = own.encode(data, offsets, end)
+                n = len(offsets) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.array(np.diff(ends), pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))),
-                     pa.array([part] * len(ids), pa.int32()), pa.array(np.arange(pos, pos + len(ids)), pa.int32())],
+                    [batch.column("id").slice(row, n), pa.array(np.diff(bounds), pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),
+                     pa.array(np.full(n, part), pa.int32()), pa.array(np.arange(pos, pos + n), pa.int32())],
                     names=["id", "n_tokens", "ids", "part", "pos"])
-                pos += len(ids)
+                pos += n
 
     t.mapInArrow(run, SCHEMA).write.option("orc.stripe.size", stripe_mb << 20).option("orc.create.index", "true") \
         .option("orc.row.index.stride", 1000).option("orc.bloom.filter.columns", "id").option("orc.bloom.filter.fpp", 0.01) \

@@ -2,9 +2,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from stormlens.llm import queries, token_store
+from stormlens.llm.arrays import utf8
 from stormlens.llm.storage import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,20 +21,37 @@ def want(texts):
     return [t.encode(x or "", add_special_tokens=False).ids + [token_store.END] for x in texts]
 
 
+def ids_of(encoder, texts):
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    ids, bounds = encoder.encode(data, offsets, token_store.END)
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+EDGES = ["it's, he's. They're", "a_b, c_. d", "x.y .z ,w", "one.\nTwo,\nthree", "3.14, 2.5. 7,", "αβγ, δ. abcδ. ²x. x².", "é́. a\u0301, b",
+         "a.\u00a0b c", "end..", "and&&& then### it!! 'tis' 's. x'.", "\0a b.", "×. ÷, a× b÷.", "Größe. été, ÿ\nß", "a \n b", "\n\na\n\n", "x\u2019. y\u2014, z",
+         "a <b |c <|d", "\u3000a b\u2003 c", "don't!won't", "¿qué? ¡no!"]
+
+
 def test_chunks_give_the_ids_of_whole_texts(prose):
-    texts = [x or "" for x in ODD] + [prose(k) for k in range(5)]
-    texts += ["it's, he's. They're", "a_b, c_. d", "x.y .z ,w", "one.\nTwo,\nthree", "3.14, 2.5. 7,", "αβγ, δ. abcδ. ²x. x².", "é́. a\u0301, b", "a.\u00a0b c", "end..", "and&&& then### it!! 'tis' 's. x'.", "\0a b."]
+    texts = ODD + EDGES + [prose(k) + "." for k in range(5)]
     encoder = token_store.Encoder(PATH)
     for _ in range(2):
-        assert [np.frombuffer(encoder.encode(t), "<u4").tolist() + [token_store.END] for t in texts] == want(texts)
+        assert ids_of(encoder, texts) == want(texts)
+    assert ids_of(encoder, []) == [] and ids_of(encoder, [None, ""]) == [[token_store.END]] * 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZé×ñ7 .,'!_\n\t<|\u00a0\u0301漢\u2019"), max_size=30), max_size=4))
+def test_any_text_gives_the_ids_of_the_whole_text(texts):
+    assert ids_of(token_store.encoder(PATH), texts) == want(texts)
 
 
 def test_a_small_memory_changes_nothing(prose, monkeypatch):
-    monkeypatch.setattr(token_store, "CACHE", 5)
+    monkeypatch.setattr(token_store, "MOST_IDS", 50)
     texts = [prose(k) + ". " + prose(k + 1, 9) + ", x" for k in range(5)]
     encoder = token_store.Encoder(PATH)
-    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() + [token_store.END] for t in texts] == want(texts)
-    assert len(encoder) <= 5 and len(encoder.older) <= 5
+    for t in texts:
+        assert ids_of(encoder, [t]) == want([t])
 
 
 def test_files_round_trip_in_order_and_prune_by_id(spark, documents):
