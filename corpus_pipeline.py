@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormlens.llm import decontaminate, language_id, mixing, ngram_join, token_store
-from stormlens.llm.storage import materialise, scratch_path
-from stormlens.session import ship_package
+from stormlens.llm.storage import materialise, prepare, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_CONFIDENCE = 0.5
@@ -20,7 +19,7 @@ MIN_CONFIDENCE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told go on, with the predicted language; those without
     a letter and those below the least confidence go."""
-    ship_package(spark)
+    prepare(spark)
     found = language_id.language_id(docs.select(*COLUMNS))
     kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_CONFIDENCE))
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -29,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the least id (of repeated
     rows of that id, the first by text). Documents without words have no copies and stay."""
-    ship_package(spark)
+    prepare(spark)
     groups = ngram_join.jaccard_components(docs).filter("doc_id = component_id or component_id is null")
     chosen = groups.select(F.col("doc_id").alias("kept_id")).distinct()
     rows = docs.select(*COLUMNS).join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
@@ -38,19 +37,19 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item within its error budget go."""
-    ship_package(spark)
+    prepare(spark)
     return decontaminate.drop_leaks(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, or once to three times."""
-    ship_package(spark)
+    prepare(spark)
     return mixing.mixed_rows(docs.select(*COLUMNS))
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids as ORC in the shared folder, and one row for each document from those files."""
-    ship_package(spark)
+    prepare(spark)
     path = scratch_path(spark, "tokens")
     token_store.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.digest(spark, path)

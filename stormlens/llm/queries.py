@@ -13,8 +13,7 @@ from stormlens.llm import decontaminate, line_templates, mixing, page_text, qual
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
-from stormlens.llm.storage import scratch_path
-from stormlens.session import ship_package
+from stormlens.llm.storage import prepare, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,7 +22,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

@@ -6,7 +6,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stormlens.session import ensure_checkpoint_dir
+from stormlens.session import ensure_checkpoint_dir, ship_package
+
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package known to the Python workers, and bound the rows of an Arrow batch: rows
+    are whole documents here, and a batch is held several times on its way."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
