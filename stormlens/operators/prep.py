@@ -6,8 +6,8 @@ returns a handful of numbers per column (like an MLlib estimator's summary);
 ``apply_*`` is then a pure column expression, code-generated, no join.
 
 Orderings that must be global use per-bucket counts instead of one sort: the
-k-th distinct date comes from distinct-date counts per year plus a window over
-one year's dates (``dates_at_ranks``); row ranks for stratified folds and the hide
+k-th distinct date comes from one aggregate by year (``distinct_dates``), exact quantiles
+from histograms (``exact_quantiles``); row ranks for stratified folds and the hide
 mask use ``bucketed_rank`` (buckets monotone in the order key, per-bucket counts
 give each bucket's offset, rows ranked inside their bucket) - no step sorts
 everything in one task.
@@ -18,20 +18,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormlens.session import cut_lineage
-
 
 # --- exact scalers ------------------------------------------------------------------
 
+def exact_quantiles(df: DataFrame, cols, probs, buckets: int = 4096) -> dict:
+    """{column: [exact linear quantiles]} by distributed counts: one aggregate for the ranges,
+    one for a histogram of ``buckets`` even ranges per column, and one that counts the
+    distinct values of only those ranges in which a wanted rank lies. Equal values are one
+    count, so no task holds the rows of a column. None for a column without values."""
+    cols, probs = list(cols), list(probs)
+    if not cols:
+        return {}
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]))) \
+        .filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    span = {r["c"]: r for r in long.groupBy("c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).collect()}
+    if not span:
+        return {c: [None] * len(probs) for c in cols}
+    pick = lambda f: F.element_at(F.create_map(*[F.lit(x) for c, r in span.items() for x in (c, f(r))]), F.col("c"))
+    width = pick(lambda r: float(r["hi"] - r["lo"]) or 1.0)
+    long = long.withColumn("b", F.least(F.floor((F.col("v") - pick(lambda r: float(r["lo"]))) / width * buckets), F.lit(buckets - 1)).cast("long"))
+    hist: dict = {}
+    for r in sorted(long.groupBy("c", "b").count().collect()):  # at most ``buckets`` rows a column
+        hist.setdefault(r["c"], []).append((r["b"], r["count"]))
+    places, wanted = {}, set()
+    for c, r in span.items():
+        for p in probs:
+            at = p * (r["n"] - 1)
+            for rank in {int(at), min(int(at) + 1, r["n"] - 1)}:
+                before = 0
+                for b, n in hist[c]:
+                    if rank < before + n:
+                        places[c, rank] = (b, rank - before)
+                        wanted.add((c, b))
+                        break
+                    before += n
+    some = long.filter(F.struct("c", "b").isin([F.struct(F.lit(c).alias("c"), F.lit(b).cast("long").alias("b")) for c, b in sorted(wanted)]))
+    upto = F.sum("n").over(Window.partitionBy("c", "b").orderBy("v"))
+    values = some.groupBy("c", "b", "v").agg(F.count("*").alias("n")).withColumn("upto", upto)
+    ranks = F.array(*[F.struct(F.lit(c).alias("c2"), F.lit(b).cast("long").alias("b2"), F.lit(k).cast("long").alias("k")) for c, b, k in sorted({(c, *x) for (c, _), x in places.items()})])
+    hits = values.withColumn("r", F.explode(ranks)).filter(
+        "c = r.c2 and b = r.b2 and r.k < upto and r.k >= upto - n").select("c", "b", "r.k", "v").collect()  # a value a rank
+    found = {(r["c"], r["b"], r["k"]): r["v"] for r in hits}
+    out = {}
+    for i, c in enumerate(cols):
+        if i not in span:
+            out[c] = [None] * len(probs)
+            continue
+        n, q = span[i]["n"], []
+        for p in probs:
+            at = p * (n - 1)
+            lo, hi = (found[i, *places[i, k]] for k in (int(at), min(int(at) + 1, n - 1)))
+            q.append(lo + (hi - lo) * (at - int(at)))
+        out[c] = q
+    return out
+
+
 def fit_robust(fit_df: DataFrame, cols) -> dict:
     """E1 fit: exact median and IQR (linear quantiles) per column."""
-    aggs = [F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in cols]
-    row = fit_df.agg(*aggs).first()
     out = {}
-    for c in cols:
-        q = row[c] or [None, None, None]
+    for c, q in exact_quantiles(fit_df, cols, (0.25, 0.5, 0.75)).items():
         iqr = None if q[0] is None else q[2] - q[0]
-        out[c] = (q[1], iqr if iqr else 1.0)  # zero spread → scale 1 (sklearn rule)
+        out[c] = (q[1], iqr if iqr else 1.0)  # zero spread → scale 1
     return out
 
 
@@ -126,42 +173,17 @@ def ranked_dates(df: DataFrame, date_col: str = "obs_date") -> DataFrame:
     return bucketed_rank(d, date_col, F.year(date_col))
 
 
-def year_counts(df: DataFrame, date_col: str = "obs_date"):
-    """(distinct dates with their year, [(year, number of distinct dates)]) - the
-    second is one row per calendar year, collected by one small aggregate."""
-    # the distinct dates (one row per calendar day) are read twice - here and by
-    # the pick - so they are materialised once instead of re-deriving the panel
-    d = cut_lineage(df.select(F.col(date_col).alias("_d")).distinct().withColumn("_y", F.year("_d")))
-    per_year = sorted((r["_y"], r["n"]) for r in d.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect())
-    return d, per_year
-
-
-def dates_at_ranks(d: DataFrame, per_year, ranks) -> list:
-    """The distinct dates at the given 1-based ranks, exactly: the per-year counts
-    locate each rank's year and offset, and one window over the distinct dates of
-    only those years (<= 366 each) picks them."""
-    wanted, before = {}, 0
-    for y, c in per_year:
-        for k in ranks:
-            if before < k <= before + c:
-                wanted[(y, k - before)] = k
-        before += c
-    if not wanted:
-        return [None for _ in ranks]
-    years = sorted({y for y, _ in wanted})
-    rn = F.row_number().over(Window.partitionBy("_y").orderBy("_d"))
-    rows = d.filter(F.col("_y").isin(years)).withColumn("_r", rn) \
-        .filter(F.struct("_y", "_r").isin([F.struct(F.lit(y), F.lit(r)) for y, r in wanted])) \
-        .select("_y", "_r", "_d").collect()
-    found = {wanted[(r["_y"], r["_r"])]: r["_d"] for r in rows}
-    return [found.get(k) for k in ranks]
+def distinct_dates(df: DataFrame, date_col: str = "obs_date") -> list:
+    """The distinct dates in order: one aggregate, one row a calendar year (366 dates at most)."""
+    rows = df.groupBy(F.year(date_col)).agg(F.collect_set(date_col).alias("d")).collect()
+    return sorted(d for r in rows for d in r["d"])
 
 
 def split_date(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date"):
     """The cut date = the (int(n·frac)+1)-th smallest distinct date (one value)."""
-    d, per_year = year_counts(df, date_col)
-    n = sum(c for _, c in per_year)
-    return dates_at_ranks(d, per_year, [int(n * frac) + 1])[0]
+    dates = distinct_dates(df, date_col)
+    k = int(len(dates) * frac)
+    return dates[k] if k < len(dates) else None
 
 
 def date_split(df: DataFrame, frac: float = 0.8, date_col: str = "obs_date") -> DataFrame:
@@ -200,11 +222,10 @@ def time_folds(df: DataFrame, n_splits: int = 5, date_col: str = "obs_date") ->
     ``n_dates // (n_splits+1)`` dates at the end; fold i trains on every earlier
     date. Adds ``fold`` (0..n_splits-1 for test blocks, -1 for train-only dates)."""
     # fit: the first date of every test block (n_splits values), then a literal CASE
-    d, per_year = year_counts(df, date_col)
-    n = sum(c for _, c in per_year)
-    ts = n // (n_splits + 1)
-    start = n - ts * n_splits
-    bounds = dates_at_ranks(d, per_year, [start + i * ts + 1 for i in range(n_splits)])
+    dates = distinct_dates(df, date_col)
+    ts = len(dates) // (n_splits + 1)
+    start = len(dates) - ts * n_splits
+    bounds = [dates[start + i * ts] if start + i * ts < len(dates) else None for i in range(n_splits)]
     d = F.col(date_col)
     fold = F.lit(-1)
     for i, b in enumerate(bounds):

@@ -269,3 +269,23 @@ def test_map_names_by_dictionary_and_by_frame(spark):
     for given in (names, frame):
         assert {(r.name, r.s) for r in map_names(df, given, out="s").collect()} == {("a", "A"), ("b", None), (None, None)}
         assert {(r.name, r.s) for r in map_names(df, given, out="s", keep_unmatched=True).collect()} == {("a", "A"), ("b", "b"), (None, None)}
+
+
+def test_exact_quantiles_equal_numpy(spark):
+    import numpy as np
+
+    from stormlens.operators import prep as E
+
+    r = np.random.default_rng(0)
+    columns = {"a": r.exponential(5, 997), "b": np.zeros(997), "c": r.integers(-3, 4, 997).astype(float), "d": np.full(997, np.nan),
+               "e": np.r_[r.normal(size=996), 1e9]}
+    rows = [tuple(None if np.isnan(x) else float(x) for x in t) for t in zip(*columns.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    for buckets in (1, 7, 4096):
+        got = E.exact_quantiles(df, list(columns), (0.0, 0.25, 0.5, 0.95, 1.0), buckets)
+        for c, v in columns.items():
+            if c == "d":
+                assert got[c] == [None] * 5
+            else:
+                assert np.allclose(got[c], np.quantile(v, [0.0, 0.25, 0.5, 0.95, 1.0]), rtol=1e-12)
+    assert E.exact_quantiles(df.limit(0), ["a"], (0.5,)) == {"a": [None]}
