@@ -25,6 +25,20 @@ def score_forecast(daily: DataFrame, variant: str = "clip100", level_by: str = "
                               "rain_mm": round_half_even("rain_mm", rain_digits)})
 
 
+def score_forecast_model(history: DataFrame, daily: DataFrame, score=None, seed_days: int = 365, rolls=(7, 30),
+                         variant: str = "unit100", **features) -> DataFrame:
+    """P5: risk of a daily forecast. Features of the forecast days are rebuilt with the end of
+    the history as seed (W11); rows with all of them get a probability from ``score`` (feature
+    rows → rows with ``proba``) and its level. Without a model the rain depth decides by
+    ``variant``."""
+    from stormlens.operators.features import features_with_seed
+
+    f = features_with_seed(history, daily, seed_days=seed_days, rolls=rolls, **features)
+    f = f.dropna(subset=[c for c in f.columns if c.startswith(("lag", "roll", "nbr_"))] + ["rain_mm"])
+    f = f.withColumn("proba", rain_to_risk("rain_mm", variant)) if score is None else score(f)
+    return f.select("obs_date", "station", "rain_mm", F.col("proba").alias("risk"), risk_level("proba").alias("level"))
+
+
 def modal_level(group_cols, df: DataFrame, level_col: str = "level") -> DataFrame:
     """Most frequent level per group; ties go to the more severe level.
 

@@ -193,19 +193,21 @@ def j5_day_over_day(spark, sf_dir):
 hist AS (SELECT * FROM grid WHERE obs_date < DATE '2001-07-01'),
 fut AS (SELECT * FROM grid WHERE obs_date >= DATE '2001-07-01'),
 seed AS (SELECT h.*, true AS is_seed FROM hist h
-         WHERE h.obs_date >= DATE '2001-07-01' - INTERVAL 30 DAY),
+         WHERE h.obs_date >= DATE '2001-07-01' - INTERVAL 365 DAY),
 b AS (SELECT * FROM seed UNION ALL SELECT *, false AS is_seed FROM fut),
-f AS (SELECT station, obs_date, is_seed, lag(rain_mm, 1) OVER w AS lag1,
-             avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7 FROM b {W})""", body="""
-SELECT a.station, a.obs_date, a.lag1, a.roll7, avg(o.lag1) AS nbr_lag1_avg, avg(o.roll7) AS nbr_roll7_avg
+f AS (SELECT station, obs_date, is_seed, lag(rain_mm, 1) OVER w AS lag1, lag(rain_mm, 2) OVER w AS lag2, lag(rain_mm, 3) OVER w AS lag3,
+             avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7,
+             avg(rain_mm) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS roll30,
+             avg(rain_mm) OVER (w ROWS BETWEEN 365 PRECEDING AND 1 PRECEDING) AS roll365 FROM b {W})""", body="""
+SELECT a.station, a.obs_date, a.lag1, a.lag2, a.lag3, a.roll7, a.roll30, a.roll365, avg(o.lag1) AS nbr_lag1_avg, avg(o.roll7) AS nbr_roll7_avg
 FROM f a LEFT JOIN f o ON o.obs_date = a.obs_date AND o.station <> a.station
-WHERE NOT a.is_seed GROUP BY a.station, a.obs_date, a.lag1, a.roll7"""), NBR_SPEC)
+WHERE NOT a.is_seed GROUP BY ALL"""), "station:s obs_date:d lag1:f lag2:f lag3:f roll7:f roll30:f roll365:f nbr_lag1_avg:f nbr_roll7_avg:f")
 def w11_seeded_features(spark, sf_dir):
     g = fx.grid(spark, sf_dir)
     hist = g.filter(F.col("obs_date") < F.lit("2001-07-01").cast("date"))
     fut = g.filter(F.col("obs_date") >= F.lit("2001-07-01").cast("date"))
-    out = FE.features_with_seed(hist, fut, seed_days=30, rolls=(7,), lags=(1,))
-    return out.select("station", "obs_date", "lag1", "roll7", "nbr_lag1_avg", "nbr_roll7_avg")
+    out = FE.features_with_seed(hist, fut, seed_days=365, rolls=(7, 30, 365))
+    return out.select("station", "obs_date", "lag1", "lag2", "lag3", "roll7", "roll30", "roll365", "nbr_lag1_avg", "nbr_roll7_avg")
 
 
 WIDE_SPEC = "obs_date:d " + " ".join(f"{s}:f" for s in fx.STATIONS)

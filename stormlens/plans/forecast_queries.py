@@ -307,3 +307,20 @@ def p4_score_disaggregated(spark, sf_dir):
     daily = FC.disaggregate(mfc, FC.monthly_climatology(hist), mode="share")
     return RK.score_forecast(daily, "lin50", level_by="rain").select(
         "obs_date", "station", "rain_mm", "risk", "level")
+
+
+UNIT100 = clip_sql("rain_mm", 100, 0, 1)
+
+
+@register("p5_score_forecast_fallback", fx.sql(DISAGG_SQL + f""",
+dd AS (SELECT obs_date, station,
+              greatest(target * CASE WHEN csum > 0 THEN clim / csum ELSE 1.0 / cn END, 0e0) AS rain_mm
+       FROM dj WHERE station IN {fx.in_list(fx.TARGETS)})""", body=f"""
+SELECT obs_date, station, rain_mm, {UNIT100} AS risk, {level_sql(UNIT100)} AS level FROM dd"""), FC_SPEC)
+def p5_score_forecast_fallback(spark, sf_dir):
+    """P5 without a model: the rain depth decides on the rows whose features are complete."""
+    hist = _hist_once(spark, sf_dir)
+    mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), next_month(spark, sf_dir), 36)
+    daily = FC.disaggregate(mfc, FC.monthly_climatology(hist)).select("station", "obs_date", "rain_mm")
+    mine = F.col("station").isin(*fx.TARGETS)
+    return RK.score_forecast_model(hist.filter(mine), daily.filter(mine), targets=fx.TARGETS, members=fx.TARGETS)

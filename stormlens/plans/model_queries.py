@@ -18,7 +18,7 @@ from stormlens.operators import forecast as FC
 from stormlens.operators import model as M
 from stormlens.operators import prep as E
 from stormlens.operators.clean import drop_incomplete
-from stormlens.operators.features import build_features, features_with_seed
+from stormlens.operators.features import build_features
 from stormlens.operators.label import label_extreme
 from stormlens.operators.resample import smote
 from stormlens.operators.seasonal_ar import seasonal_ar_forecast
@@ -350,21 +350,22 @@ def p5_score_forecast_model(spark, sf_dir):
     rebuilt from the last 365 days of the imputed history (W11) and scaled with the
     training parameters; levels from the probability."""
     from stormlens.functions.calendar import add_calendar
-    from stormlens.functions.risk import risk_level
+    from stormlens.operators.risk import score_forecast_model
     # history as the forecast job uses it: KNN-imputed, so the seeded features are complete
     hist = imputed_grid(spark, sf_dir)
     mfc = FC.seasonal_mean_forecast(FC.monthly_totals(hist, "sum"), next_month(spark, sf_dir), 36)
     daily = FC.disaggregate(mfc, FC.monthly_climatology(hist)).select("station", "obs_date", "rain_mm")
     daily = daily.filter(F.col("station").isin(*fx.TARGETS))
-    feats = features_with_seed(hist.filter(F.col("station").isin(*fx.TARGETS)), daily, seed_days=365,
-                               rolls=(7, 30), targets=fx.TARGETS, members=fx.TARGETS)
-    feats = E.one_hot(add_calendar(feats) if "bulan" not in feats.columns else feats, ["station"],
-                      levels={"station": fx.TARGETS}, prefix={"station": "STASIUN"})
     lab = E.date_split(labelled_panel(spark, sf_dir))
     train = lab.filter("split = 'train'")
     params = E.fit_robust(train, NUMERIC)
     train = E.class_weights(E.apply_scaler(train, params), mode="ratio", out="weight_ratio")
     model = _gbt(train)
-    scored = M.score(model, E.apply_scaler(feats, params))
-    return scored.select("obs_date", "station", "rain_mm", F.col("proba").alias("risk"),
-                         risk_level("proba").alias("level"))
+
+    def score(feats):
+        feats = E.one_hot(add_calendar(feats) if "bulan" not in feats.columns else feats, ["station"],
+                          levels={"station": fx.TARGETS}, prefix={"station": "STASIUN"})
+        return M.score(model, E.apply_scaler(feats, params))
+
+    return score_forecast_model(hist.filter(F.col("station").isin(*fx.TARGETS)), daily, score,
+                                targets=fx.TARGETS, members=fx.TARGETS)
