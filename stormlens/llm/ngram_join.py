@@ -103,7 +103,8 @@ def document_sets(docs: DataFrame, id: str, text: str, words: int = WORDS) -> Da
 
 
 def heavy_ngrams(sets: DataFrame, total: int) -> np.ndarray:
-    """The sorted n-grams that make up more than ``HEAVY`` of all; 1 / HEAVY of them at most."""
+    """The sorted n-grams that make up more than ``HEAVY`` of all; 1 / HEAVY of them at most
+    (8 MB)."""
     def unpack(batches):
         for batch in batches:
             for x in batch.column(0):
@@ -112,7 +113,7 @@ def heavy_ngrams(sets: DataFrame, total: int) -> np.ndarray:
 
     counts = sets.filter("heavy is not null").select("heavy").mapInArrow(unpack, "h long, c long")
     found = counts.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= max(MIN_HEAVY, HEAVY * total))
-    return np.sort(np.array([r.h for r in found.select("h").collect()], np.int64).view(np.uint64))
+    return np.sort(found.select("h").toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def column_blocks(docs: DataFrame, text: str, heavy: np.ndarray, blocks: int, words: int = WORDS) -> DataFrame:

@@ -38,7 +38,10 @@ footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section s
 CONTAINERS = frozenset("article aside body details dialog div dl fieldset figure footer form header html li main menu nav ol section span table td tr ul p".split())
 MARKS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies
 consent disclaimer footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo
-related share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets""".split())
+related search share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets""".split())
+#: The marks that count on an article element, which often carries the names of its surroundings.
+ARTICLE_MARKS = frozenset("ad ads advert comment comments promo related sponsored teaser".split())
+ABOUT_OTHERS = frozenset("with has no without is not".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
@@ -51,6 +54,9 @@ def is_frame(name: str, attributes: str) -> bool:
     """Whether an element says that it isn't part of the article."""
     if name in FRAME:
         return True
+    if name in ("html", "body", "main"):
+        return False
+    marks = ARTICLE_MARKS if name == "article" else MARKS
     for key, value in _NAMED.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "role":
@@ -61,13 +67,15 @@ def is_frame(name: str, attributes: str) -> bool:
         elif key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
-        elif key in ("class", "id") and any(w in MARKS for w in _WORD.findall(value)):
-            return True
+        elif key in ("class", "id"):
+            for words in map(_WORD.findall, value.split()):
+                if words and words[0] not in ABOUT_OTHERS and not marks.isdisjoint(words):
+                    return True
     return False
 
 
 def page_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, in an article, in a frame element) of each block of a page that has text."""
+    """(text, in an article or main element, in a frame element) of each block with text."""
     lines: list[tuple[str, bool, bool]] = []
     open_: list[tuple[str, bool, bool]] = []  # container, article, frame: as they hold inside it
     text: list[str] = []
@@ -77,7 +85,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         if text:
             line = _SPACE.sub(" ", entities.unescape("".join(text))).strip()
             if line:
-                lines.append((line, article and not frame, frame))
+                lines.append((line, article, frame))
             text.clear()
 
     at = 0
@@ -122,7 +130,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
                         _, article, frame = open_[-1] if open_ else ("", False, False)
                     continue
             flush()
-            article = article or (name in ("article", "main") and not marked)
+            article = article or name in ("article", "main")
             frame = frame or marked
             open_.append((name, article, frame))
     flush()
@@ -204,7 +212,7 @@ def frame_lines(pages: DataFrame, id: str = "page_id", url: str = "url", html: s
     nearest page. ``key`` is a hash of the page's html, so that repeated ids are told apart."""
     def run(batches):
         for batch in batches:
-            hashes = [[_hash(t) for t, article, _ in page_lines(h.as_py() or "") if not article] for h in batch.column("html")]
+            hashes = [[_hash(t) for t, article, frame in page_lines(h.as_py() or "") if frame or not article] for h in batch.column("html")]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "key", "host", "path")] + [pa.array(hashes, pa.list_(pa.int64()))],
                                              names=["id", "key", "host", "path", "lines"])
 
@@ -229,6 +237,19 @@ def frame_lines(pages: DataFrame, id: str = "page_id", url: str = "url", html: s
         .filter(F.size("gone") > 0).dropDuplicates(["id", "key"])
 
 
+def main_lines(lines: list[tuple[str, bool, bool]], gone: set[int]) -> list[str]:
+    """The page's text from its lines; ``gone`` numbers those outside articles that are shared.
+    A page with an article is that article; one whose article stands in a frame element is
+    what has more text, that article or the rest."""
+    inside = [t for t, article, frame in lines if article and not frame]
+    if inside:
+        return inside
+    outside = [(t, frame) for t, article, frame in lines if frame or not article]
+    framed = [t for t, article, _ in lines if article]
+    rest = [t for k, (t, frame) in enumerate(outside) if not frame and k not in gone]
+    return framed if sum(map(len, framed)) > sum(map(len, rest)) else rest
+
+
 def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every page."""
     gone = materialise(frame_lines(pages, id, url, html), "frames").withColumnsRenamed({"id": "__id", "key": "__key"})
@@ -237,16 +258,7 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
         for batch in batches:
             texts = []
             for page, drop in zip(batch.column("html"), batch.column("gone")):
-                drop, kept, k = set(drop.as_py() or ()), [], 0
-                for line, article, frame in page_lines(page.as_py() or ""):
-                    if article:
-                        kept.append((line, True))
-                        continue
-                    if not frame and k not in drop:
-                        kept.append((line, False))
-                    k += 1
-                whole = any(a for _, a in kept)  # a page with an article is that article
-                texts.append("\n".join(t for t, a in kept if a or not whole))
+                texts.append("\n".join(main_lines(page_lines(page.as_py() or ""), set(drop.as_py() or ()))))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 

@@ -16,7 +16,7 @@ def pages(spark):
 
 
 def article(page):
-    return "\n".join(t for t, a, _ in pt.page_lines(page) if a)
+    return "\n".join(pt.main_lines(pt.page_lines(page), set()))
 
 
 @pytest.mark.parametrize("page, want", [
@@ -26,6 +26,9 @@ def article(page):
     ("<article><header>h</header><p>a</p><!-- <p>no</p> --><p class=notice>n</p><p>b</p><div style='display: none'>x</div><ul><li>i<li>j</ul></article>", "a\nb\ni\nj"),
     ("<article><p>a</p></article><article class=comment><p>reader</p></article><div class='sidebar'><article><p>teaser</p></article></div>", "a"),
     ("<ARTICLE><P>Up<BR/>per</P><p title='a>b'>q</p><select><option>o</select></ARTICLE>", "Up per\nq"),
+    ("<body class='has-sidebar home'><div class='with-sidebar'><article class='post sidebar-left'><p>x</article></div><div class='sidebar'>s", "x"),
+    ("<div class=sidebar><article><p>only one</article></div><nav>n</nav>", "only one"),
+    ("<div><p>the long text of the page</p></div><aside><article>teaser</article></aside>", "the long text of the page"),
     ("<article>loose text<p>tail &am</article>", "loose text\ntail &am"),
     ("<article><p>1 < 2 and 3 > 2</p><p>unclosed", "1 < 2 and 3 > 2\nunclosed"),
 ])
