@@ -59,6 +59,7 @@ def days_in_month(d) -> Column:
 def add_calendar(df: DataFrame, date_col: str = "obs_date") -> DataFrame:
     """X1 + X2: month, day of year, weekday (Mon=0), year and season columns."""
     d = F.col(date_col)
+    # Column names of the feature table that trained models expect.
     return df.withColumns({
         "bulan": F.month(d),
         "hari_tahun": F.dayofyear(d),

@@ -228,6 +228,7 @@ def day_over_day(panel: DataFrame, date, value_col: str = "rain_mm") -> DataFram
         F.coalesce(F.max(F.when(F.col("obs_date") == F.date_sub(d, 1), F.col(value_col))),
                    F.lit(0.0)).alias("yesterday"))
     per = per.withColumn("change", F.col("today") - F.col("yesterday"))
+    # The labels of the change classes (rising, falling, stable).
     # Network mean change as a scalar subquery (computed once, inlined).
     m = per.agg(F.avg("change")).scalar()
     return per.withColumn("mean_change", m).withColumn(

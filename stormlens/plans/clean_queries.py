@@ -182,10 +182,10 @@ def f10_incomplete_rows(spark, sf_dir):
 
 
 @register("f11_present", fx.sql(body="""
-SELECT obs_date AS "TANGGAL", station AS "STASIUN", rain_mm AS "Curah_Hujan_mm"
-FROM grid"""), "TANGGAL:d STASIUN:s Curah_Hujan_mm:f")
+SELECT obs_date AS "day", station AS "gauge", rain_mm AS "depth_mm"
+FROM grid"""), "day:d gauge:s depth_mm:f")
 def f11_present(spark, sf_dir):
-    return C.present(fx.grid(spark, sf_dir), {"obs_date": "TANGGAL", "station": "STASIUN", "rain_mm": "Curah_Hujan_mm"})
+    return C.present(fx.grid(spark, sf_dir), {"obs_date": "day", "station": "gauge", "rain_mm": "depth_mm"})
 
 
 # --- cleaning -------------------------------------------------------------------
