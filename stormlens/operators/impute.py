@@ -192,8 +192,8 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
     A region's day-vector is an array over its stations (ordered by station id),
     built by one (region, day) aggregate - no wide pivot, so the number of regions
     and stations is unbounded; a vector holds one region's stations. Tiles are
-    (region, receiver block, donor block); blocks come from a row number inside
-    the region (a region holds at most one distinct vector per calendar day).
+    (region, receiver block, donor block); a vector's block is its hash modulo the
+    region's number of blocks (a region holds at most one vector per calendar day).
     Returns the panel with ``value_col`` filled and ``imputed`` flags.
     """
     base = panel.select(F.col(region_col).cast("string").alias("region"), "station", "obs_date",
@@ -221,23 +221,17 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
     gap = F.exists("vec", lambda x: x.isNull())
     receivers = vec.filter(gap).select("region", "rkey", "vec").distinct()
 
-    def blocks(df, order, name):
-        rn = F.row_number().over(by_region.orderBy(F.xxhash64(order), order))
-        return df.withColumns({name: F.floor((rn - 1) / block).cast("int"),
-                               f"n_{name}": F.ceil(F.count(F.lit(1)).over(by_region) / block).cast("int")})
-
-    # each block table is read twice (its block counts, its replication): materialise
-    # once - bounded by one distinct vector per (region, day)
-    rec_b = cut_lineage(blocks(receivers, "rkey", "rb"))
-    don_b = cut_lineage(blocks(donors, "ddate", "db"))
-    # per-region block counts (one row per region), under fresh names for the joins
-    # (one row per region each)
-    n_db = don_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_db").alias("_nd"))
-    n_rb = rec_b.groupBy(F.col("region").alias("_rg")).agg(F.max("n_rb").alias("_nr"))
-    rec_x = rec_b.drop("n_rb").join(n_db, F.col("region") == F.col("_rg")) \
-        .withColumn("db", F.explode(F.sequence(F.lit(0), F.col("_nd") - 1))).drop("_rg", "_nd")
-    don_x = don_b.drop("n_db").join(n_rb, F.col("region") == F.col("_rg")) \
-        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1))).drop("_rg", "_nr")
+    # tiles are sized by one aggregate per region (upper bounds of the de-duplicated counts);
+    # a vector's block is a hash of it, so neither side is ranked or stored
+    size = vec.groupBy(F.col("region").alias("_rg")).agg(
+        F.greatest(F.ceil(F.count_if(gap) / block), F.lit(1)).cast("int").alias("_nr"),
+        F.ceil(F.count("*") / block).cast("int").alias("_nd"))
+    rec_x = receivers.join(size, F.col("region") == F.col("_rg")) \
+        .withColumn("rb", F.pmod(F.xxhash64("rkey"), F.col("_nr")).cast("int")) \
+        .withColumn("db", F.explode(F.sequence(F.lit(0), F.col("_nd") - 1))).drop("_rg", "_nd", "_nr")
+    don_x = donors.join(size, F.col("region") == F.col("_rg")) \
+        .withColumn("db", F.pmod(F.xxhash64("ddate"), F.col("_nd")).cast("int")) \
+        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1))).drop("_rg", "_nr", "_nd")
     # fresh attribute ids on both sides (both descend from the same vector frame)
     rec_x = rec_x.select(*[F.col(c).alias(c) for c in rec_x.columns])
     don_x = don_x.select(*[F.col(c).alias(c) for c in don_x.columns])
