@@ -141,16 +141,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
         return None
     languages = sorted(counts)
     idf = np.zeros(1 << bits)
-    rows = {r.bucket: r.n for r in document_frequencies(docs.select("text"), bits).collect()}  # 2**bits + 1 at most
-    total = rows.pop(-1, 0)
-    seen = np.fromiter(rows, np.int64, len(rows))
-    idf[seen] = SCALE * (np.log((1 + total) / (1 + np.fromiter(rows.values(), np.float64, len(rows)))) + 1)
+    found = document_frequencies(docs.select("text"), bits).toArrow()  # 2**bits + 1 rows at most
+    seen, n = found.column("bucket").to_numpy(), found.column("n").to_numpy()
+    idf[seen[seen >= 0]] = SCALE * (np.log((1 + n[seen < 0].sum()) / (1 + n[seen >= 0])) + 1)
 
     share = F.lit(0.0)
     for name, n in counts.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, sample_rows / len(counts) / n))).otherwise(share)
     draw = F.pmod(F.xxhash64("id", "lang", F.substring("text", 1, 64)), F.lit(1 << 30)) / float(1 << 30)
-    picked = docs.filter(draw < share).limit(2 * sample_rows)
+    picked = docs.filter(draw < share)
 
     def vectors(batches):
         for batch in batches:
@@ -160,14 +159,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
                  pa.array([i.astype("<u4").tobytes() for i, _ in found], pa.binary()),
                  pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], names=["lang", "id", "i", "x"])
 
-    sample = picked.mapInArrow(vectors, "lang string, id string, i binary, x binary").collect()  # bounded by sample_rows
+    sample = picked.mapInArrow(vectors, "lang string, id string, i binary, x binary") \
+        .limit(2 * sample_rows).toArrow()
     number = {name: k for k, name in enumerate(languages)}
-    sample = sorted(sample, key=lambda r: (hash_order(r["id"]), r["id"] or "", r["lang"], bytes(r["i"])))
-    vecs = []
-    for r in sample:
-        i = np.frombuffer(r["i"], "<u4").astype(np.int64)
-        vecs.append((i, np.frombuffer(r["x"], "<f4").astype(np.float64) * idf[i]))
-    marks = np.array([number[r["lang"]] for r in sample], np.int64)
+    ids, names, inner = sample.column("id").to_pylist(), sample.column("lang").to_pylist(), sample.column("i").to_pylist()
+    order = sorted(range(len(ids)), key=lambda k: (hash_order(ids[k]), ids[k] or "", names[k], inner[k]))
+    outer = sample.column("x").to_pylist()
+    del sample
+    vecs = []  # half-size numbers: this stands in the driver
+    for k in order:
+        i = np.frombuffer(inner[k], "<u4")
+        vecs.append((i, np.frombuffer(outer[k], "<f4") * idf[i].astype(np.float32)))
+        inner[k] = outer[k] = None
+    marks = np.array([number[names[k]] for k in order], np.int64)
     cut = len(vecs) // 5
     w = fit_ftrl(vecs[cut:], marks[cut:], len(languages), 1 << bits, -(-steps // max(1, len(vecs) - cut)))
     heat = temperature(np.array([x @ w[i] for i, x in vecs[:cut]]).reshape(cut, len(languages)), marks[:cut])

@@ -124,9 +124,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
                  pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], names=["id", "mark", "i", "x"])
 
     texts = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "id")
-    sample = texts.mapInArrow(run, "id string, mark long, i binary, x binary").collect()  # bounded by sample_rows
-    sample.sort(key=lambda r: (zlib.crc32(b"order:" + r["id"].encode()), r["id"], bytes(r["i"])))
-    rows = [(np.frombuffer(r["i"], "<i4").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(np.float64)) for r in sample]
+    sample = texts.mapInArrow(run, "id string, mark long, i binary, x binary").toArrow().to_pylist()  # bounded by sample_rows
+    sample.sort(key=lambda r: (zlib.crc32(b"order:" + r["id"].encode()), r["id"], r["i"]))
+    rows = [(np.frombuffer(r["i"], "<i4"), np.frombuffer(r["x"], "<f4")) for r in sample]
     return fit(rows, np.array([min(1, max(0, r["mark"])) for r in sample], np.float64), bits)
 
 

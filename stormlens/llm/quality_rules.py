@@ -98,8 +98,9 @@ def ngram_counts(docs: DataFrame, text: str, target: str, bits: int = BITS) -> D
 def log_ratios(counts: DataFrame, bits: int = BITS, smoothing: float = SMOOTHING) -> np.ndarray:
     """Log p_target / p_raw of every bucket in millionths; an array of fixed length."""
     table = np.zeros((2, 1 << bits), np.float64)
-    for r in counts.collect():  # at most 2**bits rows
-        table[:, r.bucket] = r.raw, r.target
+    found = counts.toArrow()  # at most 2**bits rows
+    for k, name in enumerate(("raw", "target")):
+        table[k, found.column("bucket").to_numpy()] = found.column(name).to_numpy()
     if not table[1].any():
         return np.zeros(1 << bits, np.int64)
     raw, target = (np.log((t + smoothing) / (t.sum() + smoothing * len(t))) for t in table)
