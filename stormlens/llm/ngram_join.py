@@ -11,9 +11,10 @@ set's signature. Every link between different classes with
    exist) are found beforehand and never gathered in one place.
 2. Size-derived bounds. With the rarest n-grams first, two sets that link share one of the
    first n - ceil(0.8 n) + 1 n-grams of either; classes that share none are never compared.
-3. Row blocks. Classes connected by such n-grams form a group. Each group is cut into blocks of
-   ``BLOCK`` classes, and each pair of blocks is one matrix product over their shared
-   n-grams; pairs below the bound are discarded and a spanning forest of the links is kept.
+3. Row blocks. Classes connected by such n-grams form a group. A group of up to ``BLOCK`` classes is
+   one matrix product over their shared n-grams; a larger one is cut into blocks, with a
+   product for each pair of blocks but those whose classes all link to the group's centre.
+   Pairs below the bound are discarded and a spanning forest of the links is kept.
 
 Signatures and n-grams are 64-bit hashes: a wrong link needs a clash of two of them.
 
@@ -260,6 +261,36 @@ def _products(percent: int):
     return run
 
 
+def large_groups(members: DataFrame, block: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For groups of more than ``block`` classes: (links to the group's centre, the pairs of
+    blocks that are still to be multiplied). The centre is the class with the largest share of
+    n-grams in common with others, for near copies their original. Classes that link to it
+    are one component, so they needn't be compared with each other, only with the rest."""
+    centre = members.groupBy("root").agg(F.max_by(
+        F.struct("sig", "n", "shared"), F.struct(F.octet_length("shared") / F.col("n"), F.col("sig"))).alias("c"))
+
+    def judge(batches):
+        for batch in batches:
+            linked = []
+            for x, y, m, n in zip(*(batch.column(c) for c in ("shared", "c_shared", "n", "c_n"))):
+                both = len(np.intersect1d(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), assume_unique=True))
+                linked.append(100 * both >= percent * (m.as_py() + n.as_py() - both))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("sig", "n", "shared", "root", "c_sig")] + [pa.array(linked, pa.bool_())],
+                                             names=["sig", "n", "shared", "root", "c_sig", "linked"])
+
+    judged = materialise(members.join(centre, "root").select(
+        "sig", "n", "shared", "root", F.col("c.sig").alias("c_sig"), F.col("c.n").alias("c_n"), F.col("c.shared").alias("c_shared"))
+        .mapInArrow(judge, "sig long, n long, shared binary, root long, c_sig long, linked boolean"), "judged")
+    counts = judged.groupBy("root").agg(F.ceil(F.count_if("linked") / block).cast("int").alias("nl"),
+                                        F.ceil(F.count_if(~F.col("linked")) / block).cast("int").alias("nr"))
+    at = F.when(F.col("linked"), F.pmod(F.xxhash64("sig"), F.col("nl"))).otherwise(F.col("nl") + F.pmod(F.xxhash64("sig"), F.col("nr")))
+    every, rest = F.sequence(F.lit(0), F.col("nl") + F.col("nr") - 1), F.sequence(F.col("nl"), F.col("nl") + F.col("nr") - 1)
+    others = F.when(~F.col("linked"), every).when(F.col("nr") > 0, rest)
+    pairs = judged.join(counts, "root").withColumns({"at": at.cast("int"), "other": F.explode(others)}) \
+        .select("sig", "n", "shared", "root", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"))
+    return judged.filter("linked and sig <> c_sig").select(F.col("sig").alias("a"), F.col("c_sig").alias("b")), pairs
+
+
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS,
                        percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``."""
@@ -277,14 +308,15 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     postings = candidates.select("sig", F.explode("prefix").alias("h"))
     lead = postings.groupBy("h").agg(F.min("sig").alias("lead"), F.count("*").alias("m")).filter("m > 1")
     groups = materialise(connected_components(postings.join(lead, "h").filter("sig <> lead").select("sig", "lead").distinct()), "groups")
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
-    placed = candidates.select("sig", "n", "shared").join(groups.join(sizes, "root").withColumnRenamed("node", "sig"), "sig") \
-        .withColumn("at", F.pmod(F.xxhash64("sig"), F.col("nb")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
-        .select("sig", "n", "shared", "root", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"))
-    bins = F.when((F.col("lo") == 0) & (F.col("hi") == 0), F.pmod(F.xxhash64("root"), F.lit(blocks * 4))) \
-        .otherwise(F.xxhash64("root", "lo", "hi"))  # small groups share a task call; each block pair of a large one has its own
-    links = placed.withColumn("bin", bins).groupBy("bin").applyInPandas(_products(percent), "a long, b long")
+    sizes = groups.groupBy("root").agg(F.count("*").alias("members"))
+    members = candidates.select("sig", "n", "shared").join(groups.join(sizes, "root").withColumnRenamed("node", "sig"), "sig")
+    small = members.filter(F.col("members") <= block).select("sig", "n", "shared", "root", F.lit(0).alias("lo"), F.lit(0).alias("hi")) \
+        .withColumn("bin", F.pmod(F.xxhash64("root"), F.lit(blocks * 4)))  # small groups share a task call
+    links = small.groupBy("bin").applyInPandas(_products(percent), "a long, b long")
+    if (sizes.agg(F.max("members")).first()[0] or 0) > block:
+        stars, pairs = large_groups(members.filter(F.col("members") > block), block, percent)
+        pairs = pairs.withColumn("bin", F.xxhash64("root", "lo", "hi"))  # each pair of blocks has its own
+        links = links.union(stars).union(pairs.groupBy("bin").applyInPandas(_products(percent), "a long, b long"))
     linked = connected_components(links)
 
     classes = own.filter("n_shingles > 0").groupBy("sig").agg(F.min("id").alias("least"))
