@@ -26,8 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least id (of repeated
-    rows of that id, the first by text). Documents without words have no copies and stay."""
+    """One document of each group of near copies stays: the one with the least id. Rows that are
+    equal in id and text are one document; documents without words have no copies and stay."""
     prepare(spark)
     groups = ngram_join.jaccard_components(docs).filter("doc_id = component_id or component_id is null")
     chosen = groups.select(F.col("doc_id").alias("kept_id")).distinct()
