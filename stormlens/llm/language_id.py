@@ -23,7 +23,7 @@ from stormlens.llm.arrays import with_columns
 
 BITS = 16
 ORDERS = 3
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 4000
 STEPS = 24_000
 SCALE = 30.0
 ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.05, 1e-4
@@ -162,15 +162,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     sample = picked.mapInArrow(vectors, "lang string, id string, i binary, x binary") \
         .limit(2 * sample_rows).toArrow()
     number = {name: k for k, name in enumerate(languages)}
-    ids, names, inner = sample.column("id").to_pylist(), sample.column("lang").to_pylist(), sample.column("i").to_pylist()
-    order = sorted(range(len(ids)), key=lambda k: (hash_order(ids[k]), ids[k] or "", names[k], inner[k]))
-    outer = sample.column("x").to_pylist()
+    sample = sample.combine_chunks()
+    ids, names = sample.column("id").to_pylist(), sample.column("lang").to_pylist()
+    # all vectors stay in two arrays; a row is a view of its part
+    buckets, bounds = _joined(sample.column("i"), "<u4")
+    values = _joined(sample.column("x"), "<f4")[0] * idf.astype(np.float32)[buckets]
     del sample
-    vecs = []  # half-size numbers: this stands in the driver
-    for k in order:
-        i = np.frombuffer(inner[k], "<u4")
-        vecs.append((i, np.frombuffer(outer[k], "<f4") * idf[i].astype(np.float32)))
-        inner[k] = outer[k] = None
+    parts = [slice(p, q) for p, q in zip(bounds[:-1], bounds[1:])]
+    order = sorted(range(len(ids)), key=lambda k: (hash_order(ids[k]), ids[k] or "", names[k], buckets[parts[k]].tobytes()))
+    vecs = [(buckets[parts[k]], values[parts[k]]) for k in order]
     marks = np.array([number[names[k]] for k in order], np.int64)
     cut = len(vecs) // 5
     w = fit_ftrl(vecs[cut:], marks[cut:], len(languages), 1 << bits, -(-steps // max(1, len(vecs) - cut)))
@@ -178,6 +178,16 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     return LanguageModel(languages, (w * idf[:, None]).astype(np.float32), heat, bits)
 
 
+def _joined(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of a binary column, where each row's begin and the last one's end)."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    return np.frombuffer(data.tobytes(), kind), (offsets - offsets[0]) // 4
+
+
 def hash_order(id: str | None) -> int:
     """A fixed shuffling of the sample, so that neighbours in it are unrelated."""
     import zlib
