@@ -1,6 +1,6 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Character 1- to 3-grams of the lower-cased text are hashed into ``2**bits`` buckets; a
+Character 1- to 3-grams of the lower-cased text (what isn't a letter is a space) are hashed into ``2**bits`` buckets; a
 document's vector is term frequency (share of its n-grams) times inverse document
 frequency. Document frequencies cover all training documents. Weights are fitted with
 follow-the-regularised-leader (per-coordinate rates, L1 and L2 penalties) on a bounded,
@@ -29,13 +29,23 @@ SCALE = 30.0
 ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.05, 1e-4
 UNKNOWN = "und"
 _PIECE = 1 << 20
+#: Code points below 0x250 that are no letters count as spaces, and so do the blocks of general and CJK punctuation.
+_BLANK = np.array([not chr(c).isalpha() for c in range(0x250)])
+
+
+def _letters(cp: np.ndarray) -> np.ndarray:
+    low = np.minimum(cp, 0x24F)
+    other = (cp >= 0x2000) & (cp < 0x2070) | (cp >= 0x3000) & (cp < 0x3040)
+    return np.where(_BLANK[low] & (cp < 0x250) | other, np.uint32(32), cp)
 
 
 def _grams(text: str, bits: int):
-    """Bucket arrays of all n-grams of a text, piece by piece (pieces overlap by the order)."""
+    """Bucket arrays of all n-grams of a text, digits and marks as spaces, piece by piece
+    (pieces overlap by the order)."""
     text = text.lower()
     for a in range(0, max(len(text), 1), _PIECE):
         cp = np.frombuffer(text[a:a + _PIECE + ORDERS - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
+        cp = _letters(cp)
         own = min(_PIECE, len(text) - a)
         h = np.zeros(len(cp), np.uint32)
         for n in range(1, ORDERS + 1):
