@@ -6,8 +6,8 @@ source takes whole epochs first; the rest of its target is taken from its docume
 order of an exponential key -ln(u) / w, where u is a fixed hash of the document and the
 seed, and w its quality weight: as long as a document's middle lies within the rest, it is taken.
 
-Prefix sums are split: keys are cut into ranges of about ``ROWS`` documents by the value of
-exp(-key); ranges are added up first, documents only within their range, so a source that
+Prefix sums are split: keys are cut into ranges of about ``ROWS`` documents of all sources by the
+value of exp(-key / mean key), which is about even; ranges are added up first, documents only within their range, so a source that
 holds a third of all rows is many groups.
 
 Defined results: a null text has size 0; a null source is a source of its own, the last; a
@@ -24,7 +24,7 @@ from stormlens.llm.storage import materialise
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
-ROWS = 20_000
+ROWS = 5_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -70,8 +70,9 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
                        (-F.log(u) / (quality_weight(text) if weight is None else weight)).alias("key"),
                        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("tie"))
     rows = materialise(rows, "mix-rows")
-    ranges = max(1, -(-rows.count() // ROWS))
-    rows = rows.withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * ranges))
+    n, mean = rows.agg(F.count("*"), F.avg("key")).first()
+    ranges = max(1, -(-n // ROWS))  # where ranges are cut doesn't show in the result
+    rows = rows.withColumn("range", F.floor((1 - F.exp(-F.col("key") / (mean or 1.0))) * ranges))
     blocks = rows.groupBy("source", "range").agg(F.sum("size").alias("sum"))
     sizes = blocks.groupBy("source").agg(F.sum("sum").alias("source_size"))
     goal = targets(sizes, weights, max_epochs, share)
