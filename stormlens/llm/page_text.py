@@ -1,22 +1,29 @@
 """HTML extraction by nearest-URL page differencing.
 
-A page is read into lines (the text of its blocks in page order). Pages are ordered by host and
-path; each is paired with that neighbour of the same host whose path has the longer beginning
-in common (ties: the one before). The lines of both that stand outside an article are
-aligned by longest common subsequence; lines that both share are the site's frame and are
-deleted, and so are lines inside an element that says it is not the article (navigation,
-header, footer, aside, form, or a class or id such as ad, notice, sidebar, comments).
-Lines inside an article or main element are its text and stay, also when a copy of the article
-stands at the next URL. Where a page has no such element, the alignment decides alone.
+A page is read into lines (the text of its blocks in page order). Lines inside an element that
+says it is not the article (navigation, header, footer, aside, form, or a class or id such as
+ad, notice, sidebar, comments) go. All other lines are decided by alignment (longest common
+subsequence) with the pages beside it in the order of host and path, two before and two after
+on the same host:
+
+* a line outside ``article`` and ``main`` goes if the nearest page has it too (the one next to it
+  whose path has the longer beginning in common; ties: the one before);
+* a line inside such an element goes if at least ``SEVERAL`` of the pages beside it have it, which
+  must differ from each other, so that chance or one more print of the article deletes nothing.
+
+A page that is a copy says nothing about what is frame: a neighbour is passed over if the lines that
+it shares with the page hold at least ``COPY`` of the characters of both (of the article's, where
+that has half of the text). A page whose article stands in a frame element is what has more
+text, that article or the rest.
 
 The order is exact at any size: pages are dealt by ranges of (host, path, id), neighbours
 are taken within a range, and the first and last page of each range close the gaps. Only
 hashes of lines travel; the text is read again for the result.
 
 Defined results: a null or empty html gives an empty text; a url without host counts as host
-"" and is paired like any other; a page alone on its host keeps every line that no element
-marks; repeated rows are neighbours of each other and so share all; unclosed elements end
-with their parent; an unclosed comment, script or style takes the rest of the page.
+"" and is paired like any other; a page alone on its host, or beside nothing but copies, keeps
+every line that no element marks; unclosed elements end with their parent; an unclosed
+comment, script or style takes the rest of the page.
 """
 
 import html as entities
@@ -28,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stormlens.llm.arrays import with_columns
 from stormlens.llm.storage import materialise
 from stormlens.llm.url_filter import parts
 
@@ -44,6 +52,9 @@ ARTICLE_MARKS = frozenset("ad ads advert comment comments promo related sponsore
 ABOUT_OTHERS = frozenset("with has no without is not".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
+SEVERAL = 2
+COPY = 0.9
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
@@ -207,46 +218,84 @@ def _same_beginning(a, b):
     return F.when(n < 1, F.lit(0)).when(F.size(differs) > 0, F.element_at(differs, 1) - 1).otherwise(n)
 
 
+class Page:
+    """The unmarked lines of a page: hashes, numbers of characters, whether inside an article."""
+
+    def __init__(self, page: dict):
+        self.lines, self.sizes = np.array(page["lines"], np.int64), np.array(page["sizes"], np.int64)
+        self.inside = np.array(page["inside"], bool)
+        main = self.inside if 2 * self.sizes[self.inside].sum() >= self.sizes.sum() else np.ones(len(self.lines), bool)
+        self.main, self.weights = self.lines[main], self.sizes[main]
+
+    def copies(self, other: "Page") -> bool:
+        least = COPY * max(self.weights.sum(), other.weights.sum())
+        if self.weights[np.isin(self.main, other.main)].sum() < least:
+            return False
+        return bool(self.weights[common_lines(self.main, other.main)].sum() >= least)
+
+    def gone(self, others: list["Page"]) -> np.ndarray:
+        """The numbers of the lines that go; ``others``: pages beside it, the nearest first."""
+        distinct: list[Page] = []
+        for other in others:
+            if not any(other.copies(x) for x in (self, *distinct)):
+                distinct.append(other)
+        if not distinct:
+            return np.zeros(0, np.int64)
+        shared = np.array([common_lines(self.lines, x.lines) for x in distinct])
+        return np.flatnonzero(np.where(self.inside, shared.sum(0) >= SEVERAL, shared[0]))
+
+
+_PAGE = "struct<lines:array<bigint>,sizes:array<int>,inside:array<boolean>>"
+
+
+def _key(url: str, html: str):
+    return F.xxhash64(F.coalesce(F.col(url), F.lit("")), F.lit(0), F.col(html))
+
+
+def beside(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``others``: up to two pages before and two after on the same host, nearest first."""
+    one = neighbours(rows, order, "host", ["path", "page"])
+    before, after = _same_beginning(F.col("prev_path"), F.col("path")), _same_beginning(F.col("next_path"), F.col("path"))
+    one = one.withColumn("later", F.coalesce(after > before, F.col("prev_page").isNull())).drop("prev_path", "next_path")
+    two = neighbours(one, order, "host", ["prev_page", "next_page"])
+    sides = [F.array("prev_page", "next_page"), F.array("prev_prev_page", "next_next_page")]
+    others = F.concat(*[F.when(F.col("later"), F.reverse(x)).otherwise(x) for x in sides])
+    return two.select(*rows.columns, F.array_compact(others).alias("others"))
+
+
 def frame_lines(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(id, key, gone): the numbers of the lines outside articles that each page shares with its
-    nearest page. ``key`` is a hash of the page's html, so that repeated ids are told apart."""
+    """(id, key, gone): the numbers of each page's unmarked lines that the pages beside it delete.
+    ``key`` is a hash of url and html, so that repeated ids are told apart."""
     def run(batches):
         for batch in batches:
-            hashes = [[_hash(t) for t, article, frame in page_lines(h.as_py() or "") if frame or not article] for h in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "key", "host", "path")] + [pa.array(hashes, pa.list_(pa.int64()))],
-                                             names=["id", "key", "host", "path", "lines"])
+            found = [[(_hash(t), len(t), article) for t, article, frame in page_lines(h.as_py() or "") if not frame] for h in batch.column("html")]
+            fields = [pa.array([[x[k] for x in f] for f in found], pa.list_(t)) for k, t in enumerate((pa.int64(), pa.int32(), pa.bool_()))]
+            yield with_columns(batch, ("html",), page=pa.StructArray.from_arrays(fields, names=["lines", "sizes", "inside"]))
 
-    rows = pages.select(F.col(id).cast("long").alias("id"), F.xxhash64(html).alias("key"), F.coalesce(F.col(url), F.lit("")).alias("__url"), F.col(html).alias("html"))
+    rows = pages.select(F.col(id).cast("long").alias("id"), _key(url, html).alias("key"), F.coalesce(F.col(url), F.lit("")).alias("__url"), F.col(html).alias("html"))
     host, path = parts(F.col("__url"))
     lined = rows.select("id", "key", host.alias("host"), path.alias("path"), "html") \
-        .mapInArrow(run, "id long, key long, host string, path string, lines array<long>")
-    paired = neighbours(lined, ["host", "path", "id", "key"], "host", ["path", "lines"])
-    before, after = _same_beginning(F.col("prev_path"), F.col("path")), _same_beginning(F.col("next_path"), F.col("path"))
-    nearest = F.when(F.col("prev_lines").isNull(), F.col("next_lines")).when(F.col("next_lines").isNull(), F.col("prev_lines")) \
-        .when(after > before, F.col("next_lines")).otherwise(F.col("prev_lines"))
+        .mapInArrow(run, f"id long, key long, host string, path string, page {_PAGE}").filter(F.size("page.lines") > 0)
+    paired = beside(lined, ["host", "path", "id", "key"])
 
     def align(batches):
         for batch in batches:
-            gone = []
-            for a, b in zip(batch.column("lines"), batch.column("other")):
-                a, b = np.array(a.as_py() or [], np.int64), np.array(b.as_py() or [], np.int64)
-                gone.append(np.flatnonzero(common_lines(a, b)).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(gone, pa.list_(pa.int32()))], names=["id", "key", "gone"])
+            gone = [Page(a).gone([Page(b) for b in others or ()]).tolist()
+                    for a, others in zip(batch.column("page").to_pylist(), batch.column("others").to_pylist())]
+            yield with_columns(batch, ("page", "others"), gone=pa.array(gone, pa.list_(pa.int32())))
 
-    return paired.select("id", "key", "lines", nearest.alias("other")).mapInArrow(align, "id long, key long, gone array<int>") \
+    return paired.select("id", "key", "page", "others").mapInArrow(align, "id long, key long, gone array<int>") \
         .filter(F.size("gone") > 0).dropDuplicates(["id", "key"])
 
 
 def main_lines(lines: list[tuple[str, bool, bool]], gone: set[int]) -> list[str]:
-    """The page's text from its lines; ``gone`` numbers those outside articles that are shared.
-    A page with an article is that article; one whose article stands in a frame element is
-    what has more text, that article or the rest."""
-    inside = [t for t, article, frame in lines if article and not frame]
-    if inside:
-        return inside
-    outside = [(t, frame) for t, article, frame in lines if frame or not article]
+    """The page's text from its lines; ``gone`` numbers the unmarked ones that the alignment deletes.
+    Where an article stands in a frame element only, it is what has more text, that article or the rest."""
+    unmarked = [(t, article) for t, article, frame in lines if not frame]
+    rest = [t for k, (t, _) in enumerate(unmarked) if k not in gone]
+    if any(article for _, article in unmarked):
+        return rest
     framed = [t for t, article, _ in lines if article]
-    rest = [t for k, (t, frame) in enumerate(outside) if not frame and k not in gone]
     return framed if sum(map(len, framed)) > sum(map(len, rest)) else rest
 
 
@@ -262,7 +311,7 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 
-    rows = pages.select(F.col(id).cast("long").alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), F.xxhash64(html).alias("key"))
+    rows = pages.select(F.col(id).cast("long").alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), _key(url, html).alias("key"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
     return joined.select("id", "url", "html", "gone").mapInArrow(run, "id long, url string, text string, n_chars long") \
         .withColumnsRenamed({"id": id, "url": url})

@@ -69,6 +69,16 @@ def test_shared_lines_go_where_no_element_names_the_article(spark, pages):
     assert pt.extract(pages([])).count() == 0
 
 
+def test_the_alignment_decides_about_lines_beside_and_inside_articles(spark, pages):
+    page = "<div>Site</div><article><h1>Title {k}</h1><p>teaser {k}</p><p>Follow us</p></article><div>the long body {k}</div><div>All rights</div>"
+    rows = [(k, f"http://h.org/a/{k}", page.format(k=k)) for k in range(12)]
+    rows += [(20 + k, f"http://two.org/{k}", f"<div>Site</div><article><p>own {k}</p><p>said twice</p></article>") for k in range(2)]
+    got = {r.page_id: r.text for r in pt.extract(pages(rows)).collect()}
+    for k in range(12):
+        assert got[k] == f"Title {k}\nteaser {k}\nthe long body {k}"
+    assert got[20] == "own 0\nsaid twice" and got[21] == "own 1\nsaid twice"  # one other page is no proof inside an article
+
+
 def test_neighbours_do_not_depend_on_the_ranges(spark, pages):
     keys = spark.createDataFrame([(f"h{k % 4}", f"/p{k * 7 % 50:02d}", k) for k in range(200)] + [("h1", "/p00", 500)] * 3, "host string, path string, id long")
     before = spark.conf.get("spark.sql.shuffle.partitions")
