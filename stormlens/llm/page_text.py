@@ -11,10 +11,12 @@ on the same host:
 * a line inside such an element goes if at least ``SEVERAL`` of the pages beside it have it, which
   must differ from each other, so that chance or one more print of the article deletes nothing.
 
-A page that is a copy says nothing about what is frame: a neighbour is passed over if the lines that
-it shares with the page hold at least ``COPY`` of the characters of both (of the article's, where
-that has half of the text). A page whose article stands in a frame element is what has more
-text, that article or the rest.
+Copies say nothing about each other. Two pages are copies if the lines that they share hold at least
+``COPY`` of the characters of both (of the article's, where that has half of the text). A run of pages
+of which each is a copy of the one before counts as its first page: only first pages are
+neighbours, and all pages of a run are compared with the same ones. A neighbour that is a copy
+of the page all the same is passed over. A page whose article stands in a frame element is what
+has more text, that article or the rest.
 
 The order is exact at any size: pages are dealt by ranges of (host, path, id), neighbours
 are taken within a range, and the first and last page of each range close the gaps. Only
@@ -218,6 +220,19 @@ def _same_beginning(a, b):
     return F.when(n < 1, F.lit(0)).when(F.size(differs) > 0, F.element_at(differs, 1) - 1).otherwise(n)
 
 
+def filled(rows: DataFrame, order: list[str], column: str) -> DataFrame:
+    """``rows`` with nulls of ``column`` taken from the last row before that has a value; ranges as in
+    ``neighbours``."""
+    parts_ = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialise(rows.repartitionByRange(parts_, *order).withColumn("__range", F.spark_partition_id()), "ordered")
+    inside = W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    last = F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order)))
+    across = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # one row a range
+    edges = dealt.groupBy("__range").agg(last.alias("last")).select("__range", F.last("last", ignorenulls=True).over(across).alias("__before"))
+    found = dealt.withColumn("__last", F.last(column, ignorenulls=True).over(inside)).join(edges, "__range")
+    return found.withColumn(column, F.coalesce("__last", "__before")).drop("__range", "__last", "__before")
+
+
 class Page:
     """The unmarked lines of a page: hashes, numbers of characters, whether inside an article."""
 
@@ -276,7 +291,18 @@ def frame_lines(pages: DataFrame, id: str = "page_id", url: str = "url", html: s
     host, path = parts(F.col("__url"))
     lined = rows.select("id", "key", host.alias("host"), path.alias("path"), "html") \
         .mapInArrow(run, f"id long, key long, host string, path string, page {_PAGE}").filter(F.size("page.lines") > 0)
-    paired = beside(lined, ["host", "path", "id", "key"])
+    order = ["host", "path", "id", "key"]
+
+    def begin(batches):
+        for batch in batches:
+            more = [b is not None and Page(a).copies(Page(b)) for a, b in zip(batch.column("page").to_pylist(), batch.column("prev_page").to_pylist())]
+            yield with_columns(batch, ("prev_page",), more=pa.array(more, pa.bool_()))
+
+    runs = neighbours(lined, order, "host", ["page"]).drop("next_page") \
+        .mapInArrow(begin, f"id long, key long, host string, path string, page {_PAGE}, more boolean")
+    runs = materialise(runs, "runs")
+    firsts = beside(runs.filter(~F.col("more")), order)
+    paired = filled(firsts.unionByName(runs.filter("more"), allowMissingColumns=True), [*order, "more"], "others")
 
     def align(batches):
         for batch in batches:

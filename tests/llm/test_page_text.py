@@ -79,6 +79,29 @@ def test_the_alignment_decides_about_lines_beside_and_inside_articles(spark, pag
     assert got[20] == "own 0\nsaid twice" and got[21] == "own 1\nsaid twice"  # one other page is no proof inside an article
 
 
+def test_copies_do_not_delete_each_other(spark, pages, prose):
+    frame = "<div>Site</div><div>Home | Shop</div>{}<div>All rights</div>"
+    body = [f"{prose(k, 12)}" for k in range(12)]
+    text = "".join(f"<p>{x}</p>" for x in body)
+    rows = [(k, f"http://h.org/b/1?print={k}", frame.format(text)) for k in range(40)]  # one text under many queries
+    rows += [(50 + k, f"http://h.org/b/1?seen={k}", frame.format(text + f"<p>seen {k}</p>")) for k in range(40)]
+    rows += [(100 + k, f"http://h.org/{x}/2", frame.format(f"<p>{prose(100 + k, 40)}</p>")) for k, x in enumerate("ac")]
+    rows += [(200 + k, "http://copies.org/1", frame.format(text)) for k in range(3)] + [(210, "http://copies.org/1", frame.format(text))] * 2
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("2", "30"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted((r.page_id, r.text) for r in pt.extract(pages(rows)).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    got = dict(found[0])
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    for k in range(40):
+        assert got[k] == "\n".join(body) and got[50 + k] == "\n".join([*body, f"seen {k}"])
+    assert got[100] == prose(100, 40) and got[101] == prose(101, 40)
+    whole = "\n".join(["Site", "Home | Shop", *body, "All rights"])
+    assert all(got[k] == whole for k in (200, 201, 202, 210))  # nothing but copies: no evidence
+
+
 def test_neighbours_do_not_depend_on_the_ranges(spark, pages):
     keys = spark.createDataFrame([(f"h{k % 4}", f"/p{k * 7 % 50:02d}", k) for k in range(200)] + [("h1", "/p00", 500)] * 3, "host string, path string, id long")
     before = spark.conf.get("spark.sql.shuffle.partitions")
