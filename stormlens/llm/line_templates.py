@@ -6,7 +6,8 @@ holds the lines that agree so far. A template is a line with its variable fields
 tokens with digits, and, within a leaf, tokens that are not frequent at their place (in fewer
 than ``min_docs`` documents or ``share`` of the leaf's). A generalised template must keep at
 least ``similarity`` of its tokens. A template that recurs in at least ``min_docs`` different
-document texts (copies of a whole text count once) is dropped from every document.
+document texts (copies of a whole text count once) is dropped from every document; one of more than
+``LONG`` tokens from ``LONG_DOCS`` texts on, as no such line recurs by chance.
 
 DataFrame operations only. Lines travel as hashes; (template, text) pairs are made distinct
 before they are counted, so a line that a third of all documents hold is many small counts.
@@ -23,6 +24,8 @@ from stormlens.llm.storage import materialise
 
 LEAD = 3
 MIN_DOCS = 10
+LONG = 50
+LONG_DOCS = 2
 SHARE = 0.05
 SIMILARITY = 0.6
 FIELD = "<*>"
@@ -49,6 +52,11 @@ def lines(docs: DataFrame, id: str, text: str, similarity: float) -> DataFrame:
         F.xxhash64("line", F.lit(0)).alias("template"), (F.col("size") - fields >= similarity * F.col("size")).alias("plain"))
 
 
+def needed(min_docs: int) -> Column:
+    """In how many texts a line of ``size`` tokens must recur."""
+    return F.when(F.col("size") > LONG, min(LONG_DOCS, min_docs)).otherwise(min_docs)
+
+
 def in_texts(rows: DataFrame, *key: str) -> DataFrame:
     """(key, texts): in how many different texts each key occurs."""
     return rows.select(*key, "text_hash").distinct().groupBy(*key).agg(F.count("*").alias("texts"))
@@ -68,13 +76,13 @@ def tokens_of(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFra
 
 
 def generalised(tokens: DataFrame, min_docs: int, share: float, similarity: float) -> DataFrame:
-    """(id, text_hash, pos, template): the lines of frequent leaves with their rare tokens generalised."""
-    often = in_texts(tokens, "leaf", "at", "token").withColumnRenamed("texts", "token_texts").filter(F.col("token_texts") >= min_docs)
+    """(id, text_hash, pos, size, template): the lines of frequent leaves with their rare tokens generalised."""
+    often = in_texts(tokens, "leaf", "size", "at", "token").filter(F.col("texts") >= needed(min_docs)).withColumnRenamed("texts", "token_texts").drop("size")
     kept = tokens.join(often, ["leaf", "at", "token"]).filter(F.col("token_texts") >= share * F.col("leaf_texts"))
     shape = kept.groupBy("id", "text_hash", "pos", "size", "leaf").agg(
         F.count("*").alias("kept"), F.sum(F.xxhash64("at", "token") % (1 << 40)).alias("shape"))
     return shape.filter(F.col("kept") >= similarity * F.col("size")) \
-        .select("id", "text_hash", "pos", F.xxhash64("leaf", "kept", "shape").alias("template"))
+        .select("id", "text_hash", "pos", "size", F.xxhash64("leaf", "kept", "shape").alias("template"))
 
 
 def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, share: float = SHARE,
@@ -82,13 +90,13 @@ def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs:
     """(id, text_hash, pos): the lines whose template recurs, each once. Texts are read once for
     the hashes of all lines and once for the tokens of lines in frequent leaves."""
     found = materialise(lines(docs, id, text, similarity), "lines")
-    often = in_texts(found.filter("plain"), "template").filter(F.col("texts") >= min_docs).select("template")
+    often = in_texts(found.filter("plain"), "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
     literal = found.join(often, "template").select("id", "text_hash", "pos")
     rest = found.join(often, "template", "left_anti")
-    leaves = in_texts(rest, "leaf").filter(F.col("texts") >= min_docs).withColumnRenamed("texts", "leaf_texts")
+    leaves = in_texts(rest, "leaf", "size").filter(F.col("texts") >= needed(min_docs)).withColumnRenamed("texts", "leaf_texts").drop("size")
     tokens = materialise(tokens_of(docs, rest.join(leaves, "leaf"), id, text), "tokens")
     general = materialise(generalised(tokens, min_docs, share, similarity), "general")
-    often = in_texts(general, "template").filter(F.col("texts") >= min_docs).select("template")
+    often = in_texts(general, "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
     return literal.union(general.join(often, "template").select("id", "text_hash", "pos")).distinct()
 
 

@@ -31,6 +31,15 @@ def test_chance_agreement_is_no_template(spark, documents, prose):
     assert all(r.n_dropped == 0 for r in lt.drop_recurring_lines(documents(rows)).collect())
 
 
+def test_long_passages_go_from_two_texts_on(spark, documents, prose):
+    rows = [(k, f"{prose(k, 30)}\n{prose(500 + k // 2, 60)}\n{prose(700 + k // 2, 40)}") for k in range(8)]
+    rows += [(20 + k, f"{prose(20 + k, 30)}\n{prose(800, 30)} name{'xyz'[k]} {prose(801, 30)}") for k in range(3)]  # with a field
+    got = {r.doc_id: r.text for r in lt.drop_recurring_lines(documents(rows)).collect()}
+    for k in range(8):
+        assert got[k] == f"{prose(k, 30)}\n{prose(700 + k // 2, 40)}"
+    assert all(got[20 + k] == prose(20 + k, 30) for k in range(3))
+
+
 def test_empty_table(spark, documents):
     assert lt.drop_recurring_lines(documents([])).count() == 0
 
