@@ -5,7 +5,8 @@ Lines are parsed like log messages. The tree's first level is the number of toke
 holds the lines that agree so far. A template is a line with its variable fields generalised:
 tokens with digits, and, within a leaf, tokens that are not frequent at their place (in fewer
 than ``min_docs`` documents or ``share`` of the leaf's). A generalised template must keep at
-least ``similarity`` of its tokens. A template that recurs in at least ``min_docs`` different
+least ``similarity`` of its tokens; a line below that is its own template as it stands, so that
+'Page 3' goes where it recurs and 'Page 4' does not go with it. A template that recurs in at least ``min_docs`` different
 document texts (copies of a whole text count once) is dropped from every document; one of more than
 ``LONG`` tokens from ``LONG_DOCS`` texts on, as no such line recurs by chance.
 
@@ -41,15 +42,15 @@ def tidy(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, id: str, text: str, similarity: float) -> DataFrame:
-    """(id, text_hash, pos, size, leaf, template, plain): one row a line that isn't blank;
-    plain: enough of its tokens are no fields."""
+    """(id, text_hash, pos, size, leaf, template): one row a line that isn't blank; the template is
+    that of the tidied line if enough of its tokens are no fields, else that of the untouched line."""
     exploded = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line")) \
-        .withColumn("line", tidy(F.col("line"))).filter("line <> ''")
+        .withColumnRenamed("line", "raw").withColumn("line", tidy(F.col("raw"))).filter("line <> ''")
     size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     fields = F.when(F.col("line").contains(FIELD), (F.length("line") - F.length(F.replace("line", F.lit(FIELD), F.lit("")))) / len(FIELD)).otherwise(0)
+    template = F.when(F.col("size") - fields >= similarity * F.col("size"), F.xxhash64("line", F.lit(0))).otherwise(F.xxhash64("raw", F.lit(1)))
     return exploded.withColumn("size", size).select(
-        "id", "text_hash", "pos", "size", F.xxhash64("size", F.substring_index("line", " ", LEAD)).alias("leaf"),
-        F.xxhash64("line", F.lit(0)).alias("template"), (F.col("size") - fields >= similarity * F.col("size")).alias("plain"))
+        "id", "text_hash", "pos", "size", F.xxhash64("size", F.substring_index("line", " ", LEAD)).alias("leaf"), template.alias("template"))
 
 
 def needed(min_docs: int) -> Column:
@@ -90,7 +91,7 @@ def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs:
     """(id, text_hash, pos): the lines whose template recurs, each once. Texts are read once for
     the hashes of all lines and once for the tokens of lines in frequent leaves."""
     found = materialise(lines(docs, id, text, similarity), "lines")
-    often = in_texts(found.filter("plain"), "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
+    often = in_texts(found, "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
     literal = found.join(often, "template").select("id", "text_hash", "pos")
     rest = found.join(often, "template", "left_anti")
     leaves = in_texts(rest, "leaf", "size").filter(F.col("texts") >= needed(min_docs)).withColumnRenamed("texts", "leaf_texts").drop("size")

@@ -40,6 +40,13 @@ def test_long_passages_go_from_two_texts_on(spark, documents, prose):
     assert all(got[20 + k] == prose(20 + k, 30) for k in range(3))
 
 
+def test_verbatim_lines_need_no_plain_tokens(spark, documents, prose):
+    fixed = ["Page 3", "Version 2.0", "3 May 2021", "Page 3 of 10", "2024-01-01"]
+    rows = [(k, "\n".join([prose(k, 30), *fixed, f"Part {k}"])) for k in range(12)]
+    got = {r.doc_id: r.text for r in lt.drop_recurring_lines(documents(rows)).collect()}
+    assert got == {k: f"{prose(k, 30)}\nPart {k}" for k in range(12)}
+
+
 def test_empty_table(spark, documents):
     assert lt.drop_recurring_lines(documents([])).count() == 0
 
