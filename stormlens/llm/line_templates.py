@@ -3,8 +3,12 @@
 Lines are parsed like log messages. The tree's first level is the number of tokens, the next
 ``LEAD`` levels are the leading tokens (a token with a digit is a variable field, ``<*>``); a leaf
 holds the lines that agree so far. A template is a line with its variable fields generalised:
-tokens with digits, and, within a leaf, tokens that are not frequent at their place (in fewer
-than ``min_docs`` documents or ``share`` of the leaf's). A generalised template must keep at
+tokens with digits, and tokens that vary within a group of lines. Groups begin as leaves; tokens
+that are in too few of a group's texts are fields of their lines, and lines that keep less than
+``similarity`` of their tokens leave. A group of which all lines have enough tokens in common is a
+template; any other is split by the token at the place where its most frequent token that isn't in
+all lines stands (rare tokens there stay together). Counts are absolute and within the group, so
+the size of a leaf does not matter. A template must keep at
 least ``similarity`` of its tokens; a line below that is its own template as it stands, so that
 'Page 3' goes where it recurs and 'Page 4' does not go with it. A template that recurs in at least ``min_docs`` different
 document texts (copies of a whole text count once) is dropped from every document; one of more than
@@ -27,7 +31,6 @@ LEAD = 3
 MIN_DOCS = 10
 LONG = 50
 LONG_DOCS = 2
-SHARE = 0.05
 SIMILARITY = 0.6
 FIELD = "<*>"
 
@@ -64,47 +67,65 @@ def in_texts(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def tokens_of(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, text_hash, pos, size, leaf, leaf_texts, at, token): the plain tokens of the wanted lines,
+    """(id, text_hash, pos, size, group, tokens): the plain tokens (at, token) of the wanted lines,
     read again from their documents; rows equal in id and text count once."""
     wanted = wanted.groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")) \
-        .agg(F.collect_set(F.struct("pos", "size", "leaf", "leaf_texts")).alias("lines"))
+        .agg(F.collect_set(F.struct("pos", "size", F.col("leaf").alias("group"))).alias("lines"))
     texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     found = texts.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))) \
         .dropDuplicates(["id", "text_hash"]).withColumn("split", F.split("text", "\n", -1))
     picked = found.select("id", "text_hash", F.explode(F.transform("lines", lambda x: F.struct(x.alias("where"), F.get("split", x["pos"]).alias("line")))).alias("x"))
-    line = picked.select("id", "text_hash", F.col("x.where.*"), F.posexplode(F.split(tidy(F.col("x.line")), " ", -1)).alias("at", "token"))
-    return line.filter(F.col("token") != FIELD).withColumn("token", F.xxhash64("token"))
-
-
-def generalised(tokens: DataFrame, min_docs: int, share: float, similarity: float) -> DataFrame:
-    """(id, text_hash, pos, size, template): the lines of frequent leaves with their rare tokens generalised."""
-    often = in_texts(tokens, "leaf", "size", "at", "token").filter(F.col("texts") >= needed(min_docs)).withColumnRenamed("texts", "token_texts").drop("size")
-    kept = tokens.join(often, ["leaf", "at", "token"]).filter(F.col("token_texts") >= share * F.col("leaf_texts"))
-    shape = kept.groupBy("id", "text_hash", "pos", "size", "leaf").agg(
-        F.count("*").alias("kept"), F.sum(F.xxhash64("at", "token") % (1 << 40)).alias("shape"))
-    return shape.filter(F.col("kept") >= similarity * F.col("size")) \
-        .select("id", "text_hash", "pos", "size", F.xxhash64("leaf", "kept", "shape").alias("template"))
-
-
-def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, share: float = SHARE,
-              similarity: float = SIMILARITY) -> DataFrame:
+    tokens = F.transform(F.split(tidy(F.col("x.line")), " ", -1), lambda t, at: F.struct(at.alias("at"), F.xxhash64(t).alias("token")))
+    return picked.select("id", "text_hash", F.col("x.where.*"), F.filter(tokens, lambda x: x["token"] != F.xxhash64(F.lit(FIELD))).alias("tokens"))
+
+
+LINE = ("id", "text_hash", "pos", "size", "group")
+
+
+def settle(open_: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """The lines (as by ``tokens_of``) that may still be in a template, without their rare tokens, and
+    what becomes of their group: ``common`` of its tokens are in all lines, else it is split at ``cut``."""
+    each = open_.select(*LINE, F.explode("tokens").alias("x")).select(*LINE, "x.*")
+    lines = lambda rows, *key: rows.select(*key, "text_hash", "pos").distinct().groupBy(*key, "text_hash").agg(F.count("*").alias("n")) \
+        .groupBy(*key).agg(F.count("*").alias("texts"), F.sum("n").alias("lines"))
+    often = materialise(lines(each, "group", "size", "at", "token").filter(F.col("texts") >= needed(min_docs)).drop("size"), "often")
+    groups = lines(open_, "group", "size").filter(F.col("texts") >= needed(min_docs)).select("group", F.col("lines").alias("all"))
+    varies = F.when(F.col("lines") < F.col("all"), F.struct("texts", -F.col("at"), "token"))
+    groups = often.join(groups, "group").groupBy("group").agg(F.count(F.when(F.col("lines") == F.col("all"), 1)).alias("common"), F.max_by("at", varies).alias("cut"))
+    kept = each.join(often.select("group", "at", "token"), ["group", "at", "token"]).groupBy(*LINE).agg(F.collect_list(F.struct("at", "token")).alias("tokens"))
+    return kept.filter(F.size("tokens") >= similarity * F.col("size")).join(groups, "group")
+
+
+def generalised(tokens: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """(id, text_hash, pos): the lines whose template with fields recurs. Every round settles a group
+    or one place of it; few lines outlive the first."""
+    found = tokens.select("id", "text_hash", "pos").limit(0)
+    while not tokens.isEmpty():
+        settled = materialise(settle(tokens, min_docs, similarity), "settled")
+        agrees = F.col("common") >= similarity * F.col("size")
+        found = found.union(settled.filter(agrees).select("id", "text_hash", "pos"))
+        there = F.get(F.filter("tokens", lambda x: x["at"] == F.col("cut")), F.lit(0))["token"]
+        tokens = settled.filter(~agrees & F.col("cut").isNotNull()) \
+            .select("id", "text_hash", "pos", "size", F.xxhash64("group", "cut", F.coalesce(there, F.lit(0))).alias("group"), "tokens")
+    return found
+
+
+def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
     """(id, text_hash, pos): the lines whose template recurs, each once. Texts are read once for
     the hashes of all lines and once for the tokens of lines in frequent leaves."""
     found = materialise(lines(docs, id, text, similarity), "lines")
     often = in_texts(found, "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
     literal = found.join(often, "template").select("id", "text_hash", "pos")
     rest = found.join(often, "template", "left_anti")
-    leaves = in_texts(rest, "leaf", "size").filter(F.col("texts") >= needed(min_docs)).withColumnRenamed("texts", "leaf_texts").drop("size")
-    tokens = materialise(tokens_of(docs, rest.join(leaves, "leaf"), id, text), "tokens")
-    general = materialise(generalised(tokens, min_docs, share, similarity), "general")
-    often = in_texts(general, "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
-    return literal.union(general.join(often, "template").select("id", "text_hash", "pos")).distinct()
+    leaves = in_texts(rest, "leaf", "size").filter(F.col("texts") >= needed(min_docs)).select("leaf")
+    tokens = materialise(tokens_of(docs, rest.join(leaves, "leaf"), id, text).filter(F.size("tokens") >= similarity * F.col("size")), "tokens")
+    return literal.union(generalised(tokens, min_docs, similarity)).distinct()
 
 
-def drop_recurring_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, share: float = SHARE,
+def drop_recurring_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
                          similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` (all columns) with the recurring lines gone from the text, n_lines and n_dropped."""
-    gone = recurring(docs, id, text, min_docs, share, similarity) \
+    gone = recurring(docs, id, text, min_docs, similarity) \
         .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("pos").alias("__gone"))
     marked = docs.drop("n_lines", "n_dropped").withColumn("__text", F.xxhash64(text))
     joined = marked.join(gone, F.col(id).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left")

@@ -47,6 +47,15 @@ def test_verbatim_lines_need_no_plain_tokens(spark, documents, prose):
     assert got == {k: f"{prose(k, 30)}\nPart {k}" for k in range(12)}
 
 
+def test_a_template_does_not_depend_on_the_rest_of_its_leaf(spark, documents, prose):
+    city = lambda k: f"city{'abcdefghijklmnopqrstuvwxyz'[k % 26]}"
+    planted = [(k, f"{prose(k, 30)}\nwe sell in {city(k)} and {prose(900 + k, 1)} at very low prices") for k in range(24)]
+    others = [(100 + k, f"{prose(100 + k, 30)}\nwe sell in {prose(2000 + k, 8)}") for k in range(900)]  # 24 of 924 are below 5 %
+    for rows in (planted, planted + others):
+        got = {r.doc_id: r.text for r in lt.drop_recurring_lines(documents(rows)).collect()}
+        assert got == {k: prose(k, 30) if k < 100 else t for k, t in rows}
+
+
 def test_empty_table(spark, documents):
     assert lt.drop_recurring_lines(documents([])).count() == 0
 
