@@ -8,8 +8,9 @@ distinct continuations (Witten-Bell). A URL's score adds up log P_accepted - log
 longest run known at each character, divided by their number. The verdict compares it with
 the point between both samples' mean scores, weighted by their spreads.
 
-DataFrame operations only. A model keeps the ``MODEL_ROWS`` most frequent runs of each length (the
-bound of what is broadcast); counts cover all URLs. Scores are sums of whole millionths.
+DataFrame operations only. The models keep every run; the ratio is looked up once for each distinct
+run by joins without a hint, so nothing is cut to fit a broadcast. Scores are sums of whole
+millionths.
 
 Defined results: a null url or one without ``://`` has an empty host and path, no rule and
 score 0; an empty text scores 0; with no accepted or no rejected URL every URL without a rule
@@ -28,7 +29,6 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
 ORDER = 4
 SYMBOLS = 64
-MODEL_ROWS = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,7 +56,7 @@ def _runs(rows: DataFrame, order: int) -> DataFrame:
         .withColumn("run", F.substring(padded, F.col("at"), F.lit(order + 1)))
 
 
-def train(samples: DataFrame, order: int = ORDER, rows: int = MODEL_ROWS) -> list[DataFrame]:
+def train(samples: DataFrame, order: int = ORDER) -> list[DataFrame]:
     """By length from 1 on: (run, ratio), ratio in millionths. ``samples``: __line, accepted."""
     own = [F.sum(F.col("accepted").cast("long")).alias("a"), F.sum((~F.col("accepted")).cast("long")).alias("r")]
     longest = materialise(_runs(samples, order).groupBy("run").agg(*own), "url-runs")
@@ -75,26 +75,29 @@ def train(samples: DataFrame, order: int = ORDER, rows: int = MODEL_ROWS) -> lis
         for k in "ar":
             found = found.withColumn(f"p{k}", F.when(F.col(f"n{k}") > 0, (F.col(k) + F.col(f"t{k}") * F.col(f"p{k}0")) / (F.col(f"n{k}") + F.col(f"t{k}")))
                                      .otherwise(F.col(f"p{k}0")))
-        shorter = materialise(found.select("run", (F.col("a") + F.col("r")).alias("n"), "pa", "pr"), "url-model")
-        tables.append(shorter.orderBy(F.desc("n"), "run").limit(rows)
-                      .select("run", F.round(F.log(F.col("pa") / F.col("pr")) * 1e6).cast("long").alias("ratio")))
+        shorter = materialise(found.select("run", "pa", "pr"), "url-model")
+        tables.append(shorter.select("run", F.round(F.log(F.col("pa") / F.col("pr")) * 1e6).cast("long").alias("ratio")))
     return tables
 
 
 def score(rows: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFrame:
-    """``keys`` and the score of each row by its ``__line``. Every lookup table has a bounded
-    number of rows; characters of a row are added up before the only shuffle."""
+    """``keys`` and the score of each row by its ``__line``: the distinct runs get their ratios, then
+    each character that of its run."""
     order = len(tables) - 1
-    found = _runs(rows.withColumn("__row", F.monotonically_increasing_id()), order)
+    rows = materialise(rows.withColumn("__row", F.monotonically_increasing_id()), "url-rows")
+    each = _runs(rows.select("__row", "__line"), order).select("__row", "run")
+    found = each.select("run").distinct()
     for n, table in enumerate(tables, 1):
         table = table.select(F.col("run").alias(f"run{n}"), F.col("ratio").alias(f"ratio{n}"))
-        found = found.withColumn(f"run{n}", F.substring("run", order + 2 - n, n)).join(F.broadcast(table), f"run{n}", "left")
+        found = found.withColumn(f"run{n}", F.substring("run", order + 2 - n, n)).join(table, f"run{n}", "left")
     best = F.coalesce(*[F.col(f"ratio{n}") for n in range(len(tables), 0, -1)], F.lit(0))
-    return found.groupBy("__row", *keys).agg((F.sum(best) / F.count("*") / 1e6).alias("score")).drop("__row")
+    ratios = materialise(found.select("run", best.alias("ratio")), "url-ratios")
+    scores = each.join(ratios, "run").groupBy("__row").agg((F.sum("ratio") / F.count("*") / 1e6).alias("score"))
+    return rows.join(scores, "__row").select(*keys, "score")
 
 
 def url_filter(pages: DataFrame, id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES,
-               order: int = ORDER, rows: int = MODEL_ROWS) -> DataFrame:
+               order: int = ORDER) -> DataFrame:
     """(id, host, path, rule, verdict, score) of every row of ``pages``."""
     urls = pages.select(F.col(id).alias("page"), F.coalesce(F.col(url), F.lit("")).alias("__url"))
     host, path = parts(F.col("__url"))
@@ -104,7 +107,7 @@ def url_filter(pages: DataFrame, id: str = "page_id", url: str = "url", rules: S
         .withColumn("__line", F.regexp_replace(F.concat("host", "path", F.lit("$")), r"\p{Nd}", "0"))
     samples = urls.filter("by_rule is not null").select("__line", (F.col("by_rule") == "allow").alias("accepted"))
     keys = ["page", "host", "path", "rule", "by_rule"]
-    scored = materialise(score(urls, train(samples, order, rows), keys), "url-scores")
+    scored = materialise(score(urls, train(samples, order), keys), "url-scores")
     found = {r.by_rule: r for r in scored.filter("by_rule is not null").groupBy("by_rule")
              .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).collect()}
     threshold = F.lit(float("-inf"))

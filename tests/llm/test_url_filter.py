@@ -91,6 +91,14 @@ def test_one_side_or_none(spark, pages):
     assert uf.url_filter(pages([])).count() == 0
 
 
+def test_every_run_is_kept(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [letters[k % 26] + letters[k // 26 % 26] + letters[k // 676 % 26] + letters[k * 7 % 26] + letters[k * 11 // 26 % 26] for k in range(17_000)]
+    samples = spark.createDataFrame([(n, k % 2 == 0) for k, n in enumerate(names)], "__line string, accepted boolean")
+    runs = {("^" * uf.ORDER + n)[k:k + uf.ORDER + 1] for n in names for k in range(len(n))}
+    assert len(runs) > 20_000 and uf.train(samples)[-1].count() == len(runs)
+
+
 def test_query_on_all_pages(spark, sf):
     got = queries.QUERIES["op10_url_filter"](spark, sf)
     plan = got._jdf.queryExecution().toString()
