@@ -13,7 +13,8 @@ of text, each broadcast to one scan of the documents; the bound doesn't grow wit
 
 Defined results: null and empty texts match nothing; items of fewer than ``MIN_BYTES``
 normalised bytes are too short to tell a leak and match nothing; repeated rows give repeated
-matches; repeated items match each under its own id (once for equal pairs of id and text).
+matches; repeated items match each under its own id (once for equal pairs of id and text); items
+without an id count like others and are reported with a null item_id.
 """
 
 import numpy as np
@@ -151,7 +152,7 @@ def item_blocks(items: DataFrame, id: str, text: str, block_bytes: int = BLOCK_B
     size = t.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size * 2 // block_bytes) or 1
     for k in range(blocks):
-        yield sorted((r.id, r.text) for r in t.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect() if r.id is not None)
+        yield sorted(((r.id, r.text) for r in t.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id",

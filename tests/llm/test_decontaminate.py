@@ -62,6 +62,14 @@ def test_blocks_of_items_change_nothing(spark, documents, prose, monkeypatch):
     assert sorted(map(tuple, dec.find_leaks(docs, items).collect())) == one and len(one) == 5
 
 
+def test_items_without_an_id_count(spark, documents, prose):
+    items = spark.createDataFrame([(None, prose(1, 30)), (None, prose(2, 30)), (3, prose(3, 30))], ITEMS)
+    docs = documents([(k, prose(50 + k, 40) + " " + prose(k, 30)) for k in range(1, 5)])
+    got = sorted((r.doc_id, r.item_id) for r in dec.find_leaks(docs, items).collect())
+    assert got == [(1, None), (2, None), (3, 3)]
+    assert [r.doc_id for r in dec.drop_leaks(docs, items).collect()] == [4]
+
+
 def test_empty_tables(spark, documents, prose):
     none = spark.createDataFrame([], ITEMS)
     assert dec.find_leaks(documents([(1, prose(1))]), none).count() == 0
