@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stormlens.llm import decontaminate, line_templates, mixing, page_text, quality_classifier, token_store, url_filter
+from stormlens.llm import decontaminate, line_templates, mixing, page_text, quality_classifier, secret_ledger, token_store, url_filter
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
@@ -126,3 +126,10 @@ def op9(spark, sf_dir):
 @query("op10_url_filter")
 def op10(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query("op13_secret_ledger")
+def op13(spark, sf_dir):
+    """A first scan: the ledger is a new folder."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_ledger.digest(secret_ledger.scan(docs, scratch_path(spark, "ledger")))
