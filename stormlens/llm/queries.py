@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from stormlens.llm import decontaminate, line_templates, mixing, page_text, quality_classifier, secret_ledger, token_store, url_filter
+from stormlens.llm import decontaminate, hard_negatives, line_templates, merkle, mixing, page_text, quality_classifier, secret_ledger, token_store, url_filter
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
 from stormlens.llm import quality_rules as rules
@@ -67,6 +67,59 @@ FROM (SELECT doc_id, size, source_size, target, p.start, CASE WHEN source_size >
 """
 
 
+def merkle_sql(source_levels: int = 15, top_levels: int = 8) -> str:
+    """The same tree level by level; trees of up to 3 ** levels nodes. A tree of one node stays as it is. SQL has no
+    crc32, so its register is folded over the digits of the id; the crc is even if the register's last bit is set."""
+    part = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    head = " || ".join(part.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    register = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT)),
+      lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1))))"""
+    steps = [f"""d AS MATERIALIZED (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, sha256({head} || {part.format('text')}) AS leaf,
+    CASE WHEN ({register}) & 1 = 1 THEN sha256({head} || {part.format("replace(text, chr(10), '')")}) END AS tampered
+  FROM documents),
+n0 AS MATERIALIZED (
+  SELECT *, leaf AS node, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+f0 AS MATERIALIZED (SELECT doc_id, tree, leaf, coalesce(tampered, leaf) AS fold, '' AS proof, pos AS slot FROM n0)"""]
+
+    def level(i: int) -> None:
+        steps.append(f"""r{i} AS MATERIALIZED (SELECT tree, pos // 3 AS pos, any_value(n) AS n, list(node ORDER BY pos) AS kids FROM n{i} GROUP BY tree, pos // 3),
+n{i + 1} AS MATERIALIZED (SELECT tree, pos, (n + 2) // 3 AS n, CASE WHEN n > 1 THEN sha256(array_to_string(kids, '')) ELSE kids[1] END AS node FROM r{i}),
+s{i} AS (SELECT f.*, n, array_to_string(kids[1:slot % 3], '') AS l, array_to_string(kids[slot % 3 + 2:], '') AS r FROM f{i} AS f JOIN r{i} AS k ON f.tree = k.tree AND slot // 3 = pos),
+f{i + 1} AS MATERIALIZED (
+  SELECT * EXCLUDE (fold, proof, slot, n, l, r), CASE WHEN n > 1 THEN sha256(l || fold || r) ELSE fold END AS fold, proof || l || r AS proof, slot // 3 AS slot FROM s{i})""")
+
+    for i in range(source_levels):
+        level(i)
+    top = source_levels + 1
+    steps.append(f"""subroots AS MATERIALIZED (SELECT tree AS of, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM n{source_levels}),
+n{top} AS MATERIALIZED (SELECT '' AS tree, pos, n, node FROM subroots),
+f{top} AS MATERIALIZED (SELECT f.* EXCLUDE (tree, slot), '' AS tree, node AS subroot, pos AS slot FROM f{source_levels} AS f JOIN subroots ON tree = of)""")
+    for i in range(top, top + top_levels):
+        level(i)
+    last = top + top_levels
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = node AS verified
+FROM f{last} AS f JOIN n{last} AS n ON f.tree = n.tree"""
+
+
+#: All anchors against all rows.
+NEGATIVES_SQL = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r AS a JOIN r AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -128,6 +181,22 @@ def op10(spark, sf_dir):
     return url_filter.url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+@query("op11_merkle_manifest", merkle_sql())
+def op11(spark, sf_dir):
+    """Documents whose id has an even crc32 lost the line ends of their text since the manifest was made."""
+    docs = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    now = F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.verify(merkle.build(docs, now={"text": now}))
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, label=label, anchors=F.col("id") % 50 == 0)
+
+
 @query("op13_secret_ledger")
 def op13(spark, sf_dir):
     """A first scan: the ledger is a new folder."""
