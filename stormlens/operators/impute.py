@@ -16,17 +16,25 @@ KNN imputation - execution plan
   by ``row_number <= k`` per vector, planned as a partial WindowGroupLimit before
   the shuffle - the all-dry vector that covers a large share of days never lands
   whole in one task;
-* receivers (distinct vectors with a gap) and donors are split into blocks of at
-  most ``block`` rows; every (receiver block, donor block) tile is one cogroup
-  task that computes the distances with numpy and emits only its local top-k per
-  (receiver, station): no (receiver, donor) pair is ever materialised as a row;
-* a ``row_number <= k`` over (distance, date) merges the tiles' candidates (at
-  most k × donor blocks per cell), then a weighted mean and a join back.
+* donors, and receivers (distinct vectors with a gap), are packed into blocks of
+  ``block`` rows of one region, equal patterns of present stations and neighbours
+  on a space-filling curve together; a block is one record with the least and greatest
+  value and the number of values of each station (its box);
+* the gaps between two boxes, at the stations that all their rows have, bound the
+  distance of all their rows from below. First every receiver block meets
+  only its nearest donor blocks, as many as hold k donors of each missing station;
+  the k-th distance found there, per receiver block and station, bounds what a
+  further donor must beat, and only the donor blocks whose box is that near are
+  searched next (equal bounds too, as ties go by date). Blocks that can't hold a
+  neighbour are never read with a receiver: no donor is skipped by a cap;
+* a task searches one receiver block and the donor blocks it is paired with (packed
+  records, no pair rows) in numpy and emits k candidates per (receiver, station); a
+  ``row_number <= k`` over (distance, date) merges both passes, then a weighted mean
+  and a join back.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
@@ -43,12 +51,6 @@ def _vec_key(cols):
     return F.to_json(F.array(*[F.col(f"`{c}`") for c in cols]))
 
 
-def _empty_candidates() -> pd.DataFrame:
-    return pd.DataFrame({"rkey": pd.Series(dtype=str), "col": pd.Series(dtype="int32"),
-                         "dist": pd.Series(dtype="float64"), "ddate": pd.Series(dtype="int32"),
-                         "val": pd.Series(dtype="float64")})
-
-
 def _topk(R: np.ndarray, D: np.ndarray, rkeys: np.ndarray, dates: np.ndarray, k: int) -> pd.DataFrame:
     """Exact top-k donors per (receiver, missing column) for one tile.
 
@@ -81,41 +83,127 @@ def _topk(R: np.ndarray, D: np.ndarray, rkeys: np.ndarray, dates: np.ndarray, k:
         out.append(pd.DataFrame({"rkey": rkeys[ri[rows]], "col": np.int32(c),
                                  "dist": dsel[rows, ranks], "ddate": dates[didx].astype("int32"),
                                  "val": D[didx, c]}))
-    return pd.concat(out, ignore_index=True) if out else _empty_candidates()
-
-
-def _tile_kernel(p: int, k: int):
-    vcols = [f"v{j}" for j in range(p)]
-
-    def kernel(_key, rec: pd.DataFrame, don: pd.DataFrame) -> pd.DataFrame:
-        if rec.empty or don.empty:
-            return _empty_candidates()
-        don = don.sort_values("ddate", kind="stable")
-        R = rec[vcols].to_numpy(dtype="float64", na_value=np.nan)
-        D = don[vcols].to_numpy(dtype="float64", na_value=np.nan)
-        return _topk(R, D, rec["rkey"].to_numpy(), don["ddate"].to_numpy(), k)
-    return kernel
-
-
-def _array_kernel(k: int):
-    """Tile kernel for region vectors stored as arrays (one region per tile)."""
-    def kernel(key, rec: pd.DataFrame, don: pd.DataFrame) -> pd.DataFrame:
-        if rec.empty or don.empty:
-            out = _empty_candidates()
-        else:
-            don = don.sort_values("ddate", kind="stable")
-            R = np.array([np.asarray(v, dtype="float64") for v in rec["vec"]], dtype="float64")
-            D = np.array([np.asarray(v, dtype="float64") for v in don["vec"]], dtype="float64")
-            out = _topk(R, D, rec["rkey"].to_numpy(), don["ddate"].to_numpy(), k)
-        out.insert(0, "region", pd.Series([key[0]] * len(out), dtype=str))
-        return out
-    return kernel
-
-
-CAND_SCHEMA = "rkey string, col int, dist double, ddate int, val double"
-
-
-def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
+    return pd.concat(out, ignore_index=True) if out else None
+
+
+CAND_SCHEMA = "region string, rkey string, col int, dist double, ddate int, val double"
+BLOCK_SCHEMA = "region string, side string, block long, n int, names array<string>, dates array<int>, vals array<double>, " \
+    "lo array<double>, hi array<double>, have array<int>"
+BLOCK = 64
+SLACK = 1e-9  # bounds and distances round differently
+CUTS = [i / 16 for i in range(1, 16)]
+
+
+def _packed(vectors: DataFrame, block: int) -> DataFrame:
+    """One record per block of (region, side, name, ddate, vec) rows: ``block`` vectors of one region and
+    side in the order of their patterns of present stations, then of a curve that interleaves
+    the bits of the values' sixteenths at their station (where a block is cut changes how much is
+    pruned, not the result). A region has at most one vector per calendar day, which bounds the window."""
+    places = vectors.filter("side = 'd'").select("region", F.posexplode("vec").alias("j", "v")).groupBy("region", "j") \
+        .agg(F.percentile_approx("v", CUTS, 1000).alias("cuts")).groupBy(F.col("region").alias("_region")) \
+        .agg(F.array_sort(F.collect_list(F.struct("j", "cuts"))).alias("_cuts"))
+    level = F.zip_with("vec", "_cuts", lambda v, c: F.size(F.filter(c["cuts"], lambda x: x < v)))
+    pattern = F.array_join(F.transform("vec", lambda v: v.isNotNull().cast("int").cast("string")), "")
+    curve = F.concat(*[F.array_join(F.transform("_level", lambda x: F.shiftright(x, bit).bitwiseAND(F.lit(1)).cast("string")), "") for bit in (3, 2, 1, 0)])
+    place = F.row_number().over(Window.partitionBy("region", "side").orderBy("_pattern", "_curve", "ddate", "name"))
+    rows = vectors.join(places, F.col("region") == F.col("_region")).withColumn("_pattern", pattern).withColumn("_level", level).withColumn("_curve", curve) \
+        .withColumn("block", F.floor((place - 1) / block)).select("region", "side", "block", "name", "ddate", "vec")
+
+    def pack(key, rows):
+        rows = rows.sort_values(["ddate", "name"], kind="stable")
+        V = np.array([np.asarray(v, dtype="float64") for v in rows["vec"]], dtype="float64")
+        seen = [c[~np.isnan(c)] for c in V.T]
+        return pd.DataFrame({"region": [key[0]], "side": [key[1]], "block": [key[2]], "n": [len(rows)], "names": [rows["name"].tolist()],
+                             "dates": [rows["ddate"].tolist()], "vals": [V.ravel()], "lo": [[c.min() if c.size else None for c in seen]],
+                             "hi": [[c.max() if c.size else None for c in seen]], "have": [[c.size for c in seen]]})
+
+    blocks = rows.groupBy("region", "side", "block").applyInPandas(pack, BLOCK_SCHEMA)
+    return blocks.withColumn("box", F.arrays_zip("lo", "hi", "have")).drop("lo", "hi", "have")
+
+
+def _box_bound(a, an, b, bn):
+    """Lower bound of the distance of any row of one box to any row of the other: the gaps at stations
+    that all rows of both have, over as many stations as any two rows can share; NULL where they share none."""
+    gap = F.aggregate(F.zip_with(a, b, lambda x, y: F.when((x["have"] == an) & (y["have"] == bn), F.greatest(F.lit(0.0), y["lo"] - x["hi"], x["lo"] - y["hi"])).otherwise(0.0)),
+                      F.lit(0.0), lambda s, g: s + g * g)
+    share = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x["have"] > 0) & (y["have"] > 0)), lambda both: both))
+    return F.when(share > 0, F.sqrt(F.size(a) / share * gap) * (1 - SLACK))
+
+
+def _block_pairs(receivers: DataFrame, donors: DataFrame) -> DataFrame:
+    """(region, rblock, dblock, nr, nd, bound, cols) for the pairs of blocks of a region whose rows can share a
+    station; ``cols`` are the stations (col, miss, have) that ``miss`` receivers lack and ``have`` donors have."""
+    r = receivers.select("region", F.col("block").alias("rblock"), F.col("n").alias("nr"), F.col("box").alias("rbox"))
+    d = donors.select("region", F.col("block").alias("dblock"), F.col("n").alias("nd"), F.col("box").alias("dbox"))
+    cols = F.filter(F.zip_with("rbox", F.transform("dbox", lambda y, j: F.struct(j.alias("col"), y["have"].alias("have"))), lambda x, y: F.struct(
+        y["col"].alias("col"), (F.col("nr") - x["have"]).alias("miss"), y["have"].alias("have"))), lambda c: (c["miss"] > 0) & (c["have"] > 0))
+    return r.join(d, "region").withColumn("bound", _box_bound(F.col("rbox"), F.col("nr"), F.col("dbox"), F.col("nd"))).withColumn("cols", cols) \
+        .filter(F.col("bound").isNotNull() & (F.size("cols") > 0)).drop("rbox", "dbox")
+
+
+PAIR = ["region", "rblock", "dblock"]
+
+
+def _nearest_blocks(pairs: DataFrame, k: int) -> DataFrame:
+    """For every receiver block and missing station, the donor blocks of least bound that hold k donors."""
+    each = pairs.select(*PAIR, "nr", "nd", "bound", F.inline("cols"))
+    before = Window.partitionBy("region", "rblock", "col").orderBy("bound", "dblock").rowsBetween(Window.unboundedPreceding, -1)
+    near = each.withColumn("_before", F.coalesce(F.sum("have").over(before), F.lit(0))).filter(F.col("_before") < k)
+    return near.select(*PAIR, "nr", "nd").distinct()
+
+
+def _further_blocks(pairs: DataFrame, near: DataFrame, found: DataFrame, receivers: DataFrame, k: int) -> DataFrame:
+    """The pairs that may still hold one of the k nearest: their bound is not above the k-th distance
+    found so far for some receiver of the block and station (no limit where fewer than k were found)."""
+    rank = F.row_number().over(Window.partitionBy("region", "rkey", "col").orderBy("dist", "ddate"))
+    kth = found.withColumn("_r", rank).filter(F.col("_r") == k).select("region", "rkey", "col", "dist")
+    members = receivers.select("region", F.col("block").alias("rblock"), F.explode("names").alias("rkey"))
+    limit = members.join(kth, ["region", "rkey"]).groupBy("region", "rblock", "col").agg(F.count("*").alias("_full"), F.max("dist").alias("_limit"))
+    open_ = pairs.join(near.select(*PAIR), PAIR, "left_anti").select(*PAIR, "nr", "nd", "bound", F.inline("cols")) \
+        .join(limit, ["region", "rblock", "col"], "left") \
+        .filter(F.col("_limit").isNull() | (F.col("_full") < F.col("miss")) | (F.col("bound") <= F.col("_limit")))
+    return open_.select(*PAIR, "nr", "nd").distinct()
+
+
+def _searched(pairs: DataFrame, receivers: DataFrame, donors: DataFrame, k: int) -> DataFrame:
+    """The k nearest donors of every receiver and missing station, among the donor blocks that its block is paired
+    with. A task holds one receiver block and at most its region's donors."""
+    r = receivers.select("region", F.col("block").alias("rblock"), F.col("names").alias("rnames"), F.col("vals").alias("rvals"))
+    d = donors.select(F.col("region").alias("_region"), F.col("block").alias("_block"), F.col("dates").alias("ddates"), F.col("vals").alias("dvals"))
+    asked = pairs.join(d, (F.col("region") == F.col("_region")) & (F.col("dblock") == F.col("_block"))) \
+        .select(F.col("region").alias("_region"), F.col("rblock").alias("_rblock"), "ddates", "dvals")
+
+    def search(key, rec, don):
+        out = None
+        if len(rec) and len(don):
+            names = np.array(rec["rnames"][0], dtype=object)
+            R = np.array(rec["rvals"][0], dtype="float64").reshape(len(names), -1)
+            dates = np.concatenate(don["ddates"].tolist())
+            D = np.concatenate(don["dvals"].tolist()).astype("float64").reshape(len(dates), -1)
+            order = np.argsort(dates, kind="stable")
+            out = _topk(R, D[order], names, dates[order], k)
+        if out is None:
+            out = pd.DataFrame({"rkey": np.array([], object), "col": np.array([], "int32"), "dist": np.array([], float), "ddate": np.array([], "int32"), "val": np.array([], float)})
+        out.insert(0, "region", np.array([key[0]] * len(out), dtype=object))
+        return out.astype({"region": object, "rkey": object})
+
+    return r.groupBy("region", "rblock").cogroup(asked.groupBy("_region", "_rblock")).applyInPandas(search, CAND_SCHEMA)
+
+
+def _candidates(receivers: DataFrame, donors: DataFrame, k: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(candidates, searched pairs of blocks): the k nearest donors of every (receiver, missing station) are
+    among the candidates. ``receivers``: (region, name, ddate, vec), distinct vectors; ``donors`` likewise."""
+    both = receivers.withColumn("side", F.lit("r")).unionByName(donors.withColumn("side", F.lit("d")))
+    packed = cut_lineage(_packed(both, block))
+    receivers, donors = packed.filter("side = 'r'"), packed.filter("side = 'd'")
+    pairs = cut_lineage(_block_pairs(receivers, donors))
+    near = _nearest_blocks(pairs, k)
+    first = cut_lineage(_searched(near, receivers, donors, k))
+    more = _further_blocks(pairs, near, first, receivers, k)
+    return first.unionByName(_searched(more, receivers, donors, k)), near.unionByName(more)
+
+
+def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = BLOCK,
                     key: str = "obs_date", clip_min: float | None = 0.0) -> DataFrame:
     """I4 on a wide frame ``(key, c1..cp)``: returns the same frame with gaps filled."""
     cols = list(cols)
@@ -128,28 +216,14 @@ def knn_impute_wide(wide: DataFrame, cols, k: int = 5, block: int = 1024,
     base = cut_lineage(base.withColumn("rkey", _vec_key(vnames)))
     any_gap = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in vnames])
     # one job: column means over the whole frame (fallback when no donor has a
-    # defined distance) and the row counts that size the tiles (upper bounds of the
-    # de-duplicated receiver / donor counts - smaller blocks, same exact result)
-    stats = base.agg(*[F.avg(n).alias(n) for n in vnames], F.count(F.lit(1)).alias("_rows"),
-                     F.count_if(any_gap).alias("_gaps")).first()
+    # defined distance) and whether there is a gap
+    stats = base.agg(*[F.avg(n).alias(n) for n in vnames], F.count_if(any_gap).alias("_gaps")).first()
     means = stats
 
-    # donors: at most k representatives (earliest dates) per distinct vector
-    wv = Window.partitionBy("rkey").orderBy("_key")
-    donors = (base.withColumn("_r", F.row_number().over(wv)).filter(F.col("_r") <= k)
-              .select(F.datediff("_key", F.lit("1970-01-01")).alias("ddate"), *vnames))
-    receivers = base.filter(any_gap).select("rkey", *vnames).distinct()
-
-    n_rec, n_don = stats["_gaps"], stats["_rows"]
-    if n_rec == 0:  # nothing to fill; the frame is clipped all the same
+    if stats["_gaps"] == 0:  # nothing to fill; the frame is clipped all the same
         return base.select(F.col("_key").alias(key), *[_clipped(F.col(v[c]), clip_min).alias(c) for c in cols])
-    nr, nd = max(1, math.ceil(n_rec / block)), max(1, math.ceil(n_don / block))
-    rec_x = receivers.withColumn("rb", F.pmod(F.xxhash64("rkey"), F.lit(nr))) \
-        .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(nd - 1))))
-    don_x = donors.withColumn("db", F.pmod(F.xxhash64("ddate"), F.lit(nd))) \
-        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))))
-    cands = rec_x.groupBy("rb", "db").cogroup(don_x.groupBy("rb", "db")) \
-        .applyInPandas(_tile_kernel(p, k), CAND_SCHEMA)
+    vec = base.select(F.lit("").alias("region"), F.col("_key").alias("obs_date"), F.array(*vnames).alias("vec"), "rkey", any_gap.alias("_gap"))
+    cands, _ = _candidates(*_sides(vec, k), k, block)
 
     est = _weighted_estimates(cands, ["rkey"], k)
     est_wide = est.groupBy("rkey").pivot("col", list(range(p))).agg(F.first("est"))
@@ -182,18 +256,38 @@ def _weighted_estimates(cands: DataFrame, keys, k: int) -> DataFrame:
         (F.sum(F.col("_w") * F.col("val")) / F.sum("_w")).alias("est"))
 
 
-REGION_CAND_SCHEMA = "region string, " + CAND_SCHEMA
+def _sides(vec: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(receivers, donors) of the day-vectors (region, obs_date, vec, rkey, _gap): distinct vectors with a gap,
+    and at most k representatives (earliest dates) of each vector."""
+    day = F.datediff("obs_date", F.lit("1970-01-01"))
+    rank = F.row_number().over(Window.partitionBy("region", "rkey").orderBy("obs_date"))
+    donors = vec.withColumn("_r", rank).filter(F.col("_r") <= k).select("region", F.lit("").alias("name"), day.alias("ddate"), "vec")
+    receivers = vec.filter("_gap").select("region", F.col("rkey").alias("name"), F.lit(0).alias("ddate"), "vec").distinct()
+    return receivers, donors
+
+
+def knn_search_report(panel: DataFrame, k: int = 5, block: int = BLOCK, value_col: str = "rain_mm") -> DataFrame:
+    """How much of I4's search a panel (station, obs_date, value) needs: receivers x donors, and the pairs of rows
+    whose distance is evaluated, with the packed rows that are sent for it."""
+    cells = panel.select("station", "obs_date", F.col(value_col).cast("double").alias("_v"))
+    vec = cells.groupBy("obs_date").agg(F.array_sort(F.collect_list(F.struct("station", "_v"))).alias("_s")) \
+        .select(F.lit("").alias("region"), "obs_date", F.transform("_s", lambda x: x["_v"]).alias("vec"))
+    vec = cut_lineage(vec.withColumn("rkey", F.to_json("vec")).withColumn("_gap", F.exists("vec", lambda x: x.isNull())))
+    receivers, donors = _sides(vec, k)
+    _, pairs = _candidates(receivers, donors, k, block)
+    searched = pairs.agg(F.sum(F.col("nr").cast("long") * F.col("nd")).alias("evaluated_pairs"), F.sum(F.col("nr") + F.col("nd")).alias("packed_rows"), F.count("*").alias("block_pairs"))
+    return receivers.agg(F.count("*").alias("receivers")).join(donors.agg(F.count("*").alias("donors"))).join(searched) \
+        .withColumn("all_pairs", F.col("receivers") * F.col("donors"))
 
 
-def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5, block: int = 1024,
+def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5, block: int = BLOCK,
                        value_col: str = "rain_mm", clip_min: float | None = 0.0) -> DataFrame:
     """I4 for many regions at once, each imputed from its own stations only.
 
     A region's day-vector is an array over its stations (ordered by station id),
     built by one (region, day) aggregate - no wide pivot, so the number of regions
-    and stations is unbounded; a vector holds one region's stations. Tiles are
-    (region, receiver block, donor block); a vector's block is its hash modulo the
-    region's number of blocks (a region holds at most one vector per calendar day).
+    and stations is unbounded; a vector holds one region's stations (and a region at
+    most one vector per calendar day).
     Returns the panel with ``value_col`` filled and ``imputed`` flags.
     """
     base = panel.select(F.col(region_col).cast("string").alias("region"), "station", "obs_date",
@@ -215,28 +309,8 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
     vec = vec.select("region", "obs_date", F.transform(last, lambda x: x["_v"]).alias("vec"))
     vec = cut_lineage(vec.withColumn("rkey", F.to_json("vec")))
 
-    donors = (vec.withColumn("_r", F.row_number().over(Window.partitionBy("region", "rkey").orderBy("obs_date")))
-              .filter(F.col("_r") <= k)
-              .select("region", F.datediff("obs_date", F.lit("1970-01-01")).alias("ddate"), "vec"))
     gap = F.exists("vec", lambda x: x.isNull())
-    receivers = vec.filter(gap).select("region", "rkey", "vec").distinct()
-
-    # tiles are sized by one aggregate per region (upper bounds of the de-duplicated counts);
-    # a vector's block is a hash of it, so neither side is ranked or stored
-    size = vec.groupBy(F.col("region").alias("_rg")).agg(
-        F.greatest(F.ceil(F.count_if(gap) / block), F.lit(1)).cast("int").alias("_nr"),
-        F.ceil(F.count("*") / block).cast("int").alias("_nd"))
-    rec_x = receivers.join(size, F.col("region") == F.col("_rg")) \
-        .withColumn("rb", F.pmod(F.xxhash64("rkey"), F.col("_nr")).cast("int")) \
-        .withColumn("db", F.explode(F.sequence(F.lit(0), F.col("_nd") - 1))).drop("_rg", "_nd", "_nr")
-    don_x = donors.join(size, F.col("region") == F.col("_rg")) \
-        .withColumn("db", F.pmod(F.xxhash64("ddate"), F.col("_nd")).cast("int")) \
-        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1))).drop("_rg", "_nr", "_nd")
-    # fresh attribute ids on both sides (both descend from the same vector frame)
-    rec_x = rec_x.select(*[F.col(c).alias(c) for c in rec_x.columns])
-    don_x = don_x.select(*[F.col(c).alias(c) for c in don_x.columns])
-    cands = rec_x.groupBy("region", "rb", "db").cogroup(don_x.groupBy("region", "rb", "db")) \
-        .applyInPandas(_array_kernel(k), REGION_CAND_SCHEMA)
+    cands, _ = _candidates(*_sides(vec.withColumn("_gap", gap), k), k, block)
     est = _weighted_estimates(cands, ["region", "rkey"], k)
 
     # back to (station, day): receiver days × their estimated columns
@@ -250,7 +324,7 @@ def knn_impute_regions(panel: DataFrame, region_col: str = "region", k: int = 5,
                       (F.col("_v").isNull() & val.isNotNull()).cast("int").alias("imputed"))
 
 
-def knn_impute(panel: DataFrame, stations=None, k: int = 5, block: int = 1024,
+def knn_impute(panel: DataFrame, stations=None, k: int = 5, block: int = BLOCK,
                value_col: str = "rain_mm", clip_min: float | None = 0.0,
                region_col: str | None = None) -> DataFrame:
     """I4 on the long panel. With ``region_col`` every region is imputed from its

@@ -71,6 +71,24 @@ def test_knn_impute_matches_bruteforce_with_ties(spark):
     assert not np.isnan(got).any()
 
 
+def test_knn_prunes_blocks_and_stays_exact(spark):
+    """Days in clusters far from each other: most blocks of donors are never searched, the result is brute force's."""
+    rng = np.random.default_rng(8)
+    centre = rng.uniform(0, 200, (12, 1)) + rng.uniform(0, 20, (12, 3))
+    V = np.round(centre[rng.integers(0, 12, 3000)] + rng.normal(0, 0.5, (3000, 3)), 1)
+    gaps = rng.random((3000, 3)) < 0.12
+    gaps[gaps.sum(1) > 1] = False
+    V[gaps] = np.nan
+    days = pd.date_range("2001-01-01", periods=3000).date
+    wide = spark.createDataFrame([(d, *[None if np.isnan(x) else float(x) for x in row]) for d, row in zip(days, V)],
+                                 "obs_date date, a double, b double, c double")
+    got = I.knn_impute_wide(wide, ["a", "b", "c"], k=5, block=16).orderBy("obs_date").toPandas()[["a", "b", "c"]].to_numpy(float)
+    np.testing.assert_allclose(got, np.maximum(_knn_bruteforce(V, 5), 0), atol=1e-9)
+    report = I.knn_search_report(I.to_long(wide, ["a", "b", "c"]), block=16).first()
+    assert report.evaluated_pairs < 0.5 * report.all_pairs
+    assert report.packed_rows < 0.5 * -(-report.receivers // 16) * -(-report.donors // 16) * 32
+
+
 def test_interpolation_matches_pandas(spark):
     rng = np.random.default_rng(3)
     v = rng.random(40) * 10
