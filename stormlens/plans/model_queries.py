@@ -23,7 +23,7 @@ from stormlens.operators.label import label_extreme
 from stormlens.operators.resample import smote
 from stormlens.operators.seasonal_ar import seasonal_ar_forecast
 from stormlens.plans import fixture as fx
-from stormlens.plans.forecast_queries import next_month
+from stormlens.plans.forecast_queries import MONTHLY_SQL, next_month
 from stormlens.plans.registry import register
 from stormlens.session import cut_lineage, ensure_checkpoint_dir
 
@@ -335,9 +335,71 @@ def m11_compare_attribution(spark, sf_dir):
     return AT.compare_attribution(full, red)
 
 
-@register("p2_seasonal_ar")
+def solve_sql(name: str, src: str, keys: str, n: int) -> str:
+    """CTEs that solve the equations ``src({keys}, i, j, v)`` (j = n + 1 the right side) by elimination, one step a
+    CTE; result ``{name}(keys, i, coef)``. The diagonal is scaled to 1; a pivot up to 1e-10 gives 0."""
+    same = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys.split(", "))
+    own = lambda a: ", ".join(f"{a}.{k}" for k in keys.split(", "))
+    steps = [f"""{name}_scale AS MATERIALIZED (SELECT {keys}, i, CASE WHEN v > 0 THEN sqrt(v) ELSE CAST('inf' AS DOUBLE) END AS w FROM {src} WHERE i = j),
+{name}_0 AS MATERIALIZED (SELECT {own('a')}, a.i, a.j, a.v / r.w / coalesce(c.w, 1e0) AS v FROM {src} a JOIN {name}_scale r ON {same('a', 'r')} AND a.i = r.i
+        LEFT JOIN {name}_scale c ON {same('a', 'c')} AND a.j = c.i)"""]
+    for k in range(1, n + 1):
+        steps.append(f"""{name}_{k} AS MATERIALIZED (SELECT {own('a')}, a.i, a.j,
+        CASE WHEN a.i = {k} THEN CASE WHEN p.v > 1e-10 THEN a.v / p.v ELSE 0e0 END WHEN p.v > 1e-10 THEN a.v - c.v / p.v * r.v ELSE a.v END AS v
+        FROM {name}_{k - 1} a JOIN {name}_{k - 1} p ON {same('a', 'p')} AND p.i = {k} AND p.j = {k}
+        JOIN {name}_{k - 1} r ON {same('a', 'r')} AND r.i = {k} AND r.j = a.j JOIN {name}_{k - 1} c ON {same('a', 'c')} AND c.i = a.i AND c.j = {k})""")
+    steps.append(f"{name} AS MATERIALIZED (SELECT {own('a')}, a.i, a.v / s.w AS coef FROM {name}_{n} a JOIN {name}_scale s ON {same('a', 's')} AND a.i = s.i WHERE a.j = {n + 1})")
+    return ",\n".join(steps)
+
+
+def seasonal_ar_sql(horizon: int = 36, season: int = 12, long_ar: int = 13) -> str:
+    """P2 from ``monthly2(series, month, total)``: both least-squares fits as unpivoted equations, the forecast as a recursion."""
+    lags = ", ".join(f"lag(z, {k}) OVER w" for k in range(1, long_ar + 1))
+    return f"""
+dz AS MATERIALIZED (SELECT series, month, total AS y, total - lag(total, {season}) OVER w AS z FROM monthly2 WINDOW w AS (PARTITION BY series ORDER BY month)),
+lz AS MATERIALIZED (SELECT *, [{lags}] AS x FROM dz WINDOW w AS (PARTITION BY series ORDER BY month)),
+ok AS MATERIALIZED (SELECT *, z IS NOT NULL AND len(list_filter(x, lambda v: v IS NULL)) = 0 AS whole FROM lz),
+leq AS MATERIALIZED (SELECT series, i, j, sum(x[i] * CASE WHEN j > {long_ar} THEN z ELSE x[j] END) AS v
+        FROM (SELECT *, count(*) OVER (PARTITION BY series) AS n FROM ok WHERE whole), range(1, {long_ar + 1}) a(i), range(1, {long_ar + 2}) b(j)
+        WHERE n > {long_ar + 2} GROUP BY series, i, j),
+{solve_sql("lc", "leq", "series", long_ar)},
+lcoef AS (SELECT series, list(coef ORDER BY i) AS b FROM lc GROUP BY series),
+ez AS MATERIALIZED (SELECT o.series, month, y, z, CASE WHEN whole AND b IS NOT NULL THEN z - list_dot_product([coalesce(v, 0e0) FOR v IN x], b) WHEN z IS NOT NULL THEN 0e0 END AS e
+        FROM ok o LEFT JOIN lcoef USING (series)),
+reg AS MATERIALIZED (SELECT *, [lag(z, 1) OVER w, lag(e, 1) OVER w, lag(z, {season}) OVER w, lag(e, {season}) OVER w] AS x FROM ez WINDOW w AS (PARTITION BY series ORDER BY month)),
+grid16 AS (SELECT CAST(p * 8 + q * 4 + sp * 2 + sq AS INTEGER) AS idx, [p, q, sp, sq] AS fl FROM range(2) a(p), range(2) b(q), range(2) c(sp), range(2) d(sq)),
+each16 AS MATERIALIZED (SELECT series, idx, fl, z, [CASE WHEN fl[k] = 1 THEN x[k] ELSE 0e0 END FOR k IN [1, 2, 3, 4]] AS x FROM reg, grid16
+        WHERE z IS NOT NULL AND len([k FOR k IN [1, 2, 3, 4] IF fl[k] = 1 AND x[k] IS NULL]) = 0),
+cnt16 AS (SELECT series, idx, fl, count(*) AS n, list_sum(fl) AS k FROM each16 GROUP BY series, idx, fl HAVING count(*) > list_sum(fl) + 1),
+oeq AS MATERIALIZED (SELECT series, idx, i, j, sum(x[i] * CASE WHEN j > 4 THEN z ELSE x[j] END) AS v FROM each16 JOIN cnt16 USING (series, idx), range(1, 5) a(i), range(1, 6) b(j)
+        GROUP BY series, idx, i, j),
+{solve_sql("oc", "oeq", "series, idx", 4)},
+ocoef AS (SELECT series, idx, list(coef ORDER BY i) AS b FROM oc GROUP BY series, idx),
+fit16 AS (SELECT t.series, t.idx, any_value(c.fl) AS fl, any_value(b) AS b, any_value(n) AS n, any_value(k) AS k, sum(pow(z - list_dot_product(x, b), 2)) AS sse
+        FROM each16 t JOIN cnt16 c ON t.series = c.series AND t.idx = c.idx JOIN ocoef o ON t.series = o.series AND t.idx = o.idx GROUP BY t.series, t.idx),
+aic16 AS (SELECT *, n * ln(greatest(sse, 1e-300) / n) + 2 * k AS aic FROM fit16),
+best16 AS MATERIALIZED (SELECT * FROM aic16 QUALIFY row_number() OVER (PARTITION BY series ORDER BY round(aic, 9), idx) = 1),
+tails AS (SELECT series, max(month) AS last, list(y ORDER BY month) AS y, list(coalesce(z, 0e0) ORDER BY month) AS z, list(coalesce(e, 0e0) ORDER BY month) AS e FROM ez GROUP BY series),
+fc AS MATERIALIZED (WITH RECURSIVE f AS (
+        SELECT series, 0 AS h, b, y, z, e, [0e0 FOR v IN y] AS py, [0e0 FOR v IN y] AS pz, [0e0 FOR v IN y] AS pe FROM tails JOIN best16 USING (series)
+        UNION ALL SELECT series, h + 1, b, list_append(y, zt + y[-{season}]), list_append(z, zt), list_append(e, 0e0), list_append(py, pt + py[-{season}]), list_append(pz, pt),
+               list_append(pe, CASE WHEN h = 0 THEN 1e0 ELSE 0e0 END)
+        FROM (SELECT *, b[1] * z[-1] + b[2] * e[-1] + b[3] * z[-{season}] + b[4] * e[-{season}] AS zt,
+                     b[1] * pz[-1] + b[2] * pe[-1] + b[3] * pz[-{season}] + b[4] * pe[-{season}] + CASE WHEN h = 0 THEN 1e0 ELSE 0e0 END AS pt FROM f WHERE h < {horizon}))
+        SELECT series, h, y[-1] AS pred, sum(pow(py[-1], 2)) OVER (PARTITION BY series ORDER BY h) AS psi2 FROM f WHERE h > 0),
+p2 AS (SELECT f.series, CAST(date_trunc('month', last) + to_months(CAST(h AS INTEGER)) AS DATE) AS month, pred, 1.96e0 * sqrt(sse / n * psi2) AS half,
+              '(' || fl[1] || ',0,' || fl[2] || ')x(' || fl[3] || ',1,' || fl[4] || ',{season})' AS model_order, aic
+       FROM fc f JOIN best16 USING (series) JOIN tails USING (series))"""
+
+
+P2_SQL = MONTHLY_SQL + """,
+monthly2 AS (SELECT series, month, total FROM monthly UNION ALL SELECT station, month, station_total FROM st_month),""" + seasonal_ar_sql()
+
+
+@register("p2_seasonal_ar", fx.sql(P2_SQL, body="SELECT series, month, pred, pred - half AS lower, pred + half AS upper, model_order, aic FROM p2"),
+          "series:s month:d pred:f lower:f upper:f model_order:s aic:f")
 def p2_seasonal_ar(spark, sf_dir):
-    """Seasonal ARMA (order chosen by AIC) on the network's monthly totals, 36 months."""
+    """Seasonal ARMA (order chosen by AIC) on the monthly totals of the network and of each station, 36 months."""
     hist = imputed_grid(spark, sf_dir)
     monthly = FC.monthly_totals(hist, "sum")
     per_station = FC.monthly_totals(hist.withColumn("series", F.col("station")), "sum", series_col="series")

@@ -191,6 +191,27 @@ def test_seasonal_ar_repeats_pure_season(spark):
     assert np.allclose(fc["pred"].to_numpy(), pattern, atol=1e-6)
 
 
+def test_seasonal_ar_coefficients_are_least_squares(spark):
+    """The folded elimination against numpy on a design with an explained column and on a well-posed one."""
+    from stormlens.operators.seasonal_ar import _sums, solved
+    rng = np.random.default_rng(4)
+    X = rng.normal(0, [1, 50, 0.01], (60, 3))
+    y = X @ [2.0, -0.3, 40] + rng.normal(0, 0.1, 60)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(X, y)], "a double, b double, c double, y double")
+    x = [F.col("a"), F.col("b"), F.col("c")]
+    got = df.agg(_sums(x, F.col("y")).alias("s")).select(solved(F.col("s"), 3)).first()[0]
+    assert np.allclose(got, np.linalg.lstsq(X, y, rcond=None)[0], rtol=1e-9)
+    twice = [F.col("a"), F.col("a") * 2, F.lit(0.0)]
+    got = df.agg(_sums(twice, F.col("y")).alias("s")).select(solved(F.col("s"), 3)).first()[0]
+    assert np.allclose(got, [X[:, 0] @ y / (X[:, 0] @ X[:, 0]), 0, 0])
+
+
+def test_seasonal_ar_short_series(spark):
+    rows = [("short", dt.date(2000, k + 1, 1), 1.0) for k in range(12)] + [("year", dt.date(2000 + k // 12, k % 12 + 1, 1), float(k % 12)) for k in range(16)]
+    out = seasonal_ar_forecast(spark.createDataFrame(rows, "series string, month date, total double"), "2001-05-01", 3).orderBy("month").collect()
+    assert [(r.series, str(r.month), r.pred) for r in out] == [("year", "2001-05-01", 4.0), ("year", "2001-06-01", 5.0), ("year", "2001-07-01", 6.0)]
+
+
 def _newton_logistic(X, y, s, iters=50):
     """Independent solve of  ½‖w‖² + Σ s_i · logloss_i  (intercept not penalised)."""
     n, p = X.shape
