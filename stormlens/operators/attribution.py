@@ -2,9 +2,12 @@
 
 M8 computes exact Shapley values of the model margin with the path-dependent
 conditional expectation (a split on a feature outside the coalition averages its
-children by training cover). Per tree, only the features the tree splits on
-matter, so a depth-3 tree needs at most 2^7 coalitions; each coalition's value is
-evaluated for a whole Arrow batch of rows at once with numpy. The node table of
+children by training cover). A tree is the sum of its leaves, and a leaf's game knows only
+the m features on its path: feature j lets through z_j (its share of training cover along
+the path) outside the coalition and o_j (1 where the row takes all its turns, else 0) inside. The
+coefficients of prod_j (z_j + o_j t) count coalitions by size; they are extended feature by feature,
+and one feature is unwound at a time to weigh the coalitions without it. That is
+leaves x depth^2 operations, each for a whole Arrow batch of rows at once with numpy. The node table of
 the fitted model (trees × nodes, a few KB) is read from its saved Parquet data and
 shipped to the tasks; rows are processed by ``mapInPandas`` where they live.
 Σ φ + base = margin holds exactly (up to float rounding).
@@ -12,7 +15,6 @@ shipped to the tasks; rows are processed by ``mapInPandas`` where they live.
 
 from __future__ import annotations
 
-import itertools
 import math
 import os
 import uuid
@@ -43,47 +45,68 @@ def tree_tables(gbt_model) -> tuple[list[dict], list[float]]:
     return [trees[t] for t in order], list(est.treeWeights)
 
 
-def _tree_value(nodes: dict, X: np.ndarray, coalition: frozenset) -> np.ndarray:
-    def ev(nid):
-        pred, cover, left, right, feat, thr = nodes[nid]
+def leaf_paths(nodes: dict):
+    """(value, {feature: (z, turns)}) of every leaf of a tree; turns are (threshold, whether to its left)."""
+    def walk(nid, path):
+        value, cover, left, right, feat, thr = nodes[nid]
         if left < 0:
-            return np.full(X.shape[0], pred)
-        a, b = ev(left), ev(right)
-        if feat in coalition:
-            return np.where(X[:, feat] <= thr, a, b)
-        cl, cr = nodes[left][1], nodes[right][1]
-        return (cl * a + cr * b) / (cl + cr)
-    return ev(0)
+            yield value, path
+            return
+        both = nodes[left][1] + nodes[right][1]
+        for child, is_left in ((left, True), (right, False)):
+            z, turns = path.get(feat, (1.0, ()))
+            yield from walk(child, path | {feat: (z * nodes[child][1] / both, (*turns, (thr, is_left)))})
+
+    yield from walk(0, {})
+
+
+def extended(z: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Coefficients of prod_j (z_j + o_j t), lowest first; z: m numbers, o: m x rows."""
+    poly = np.zeros((len(z) + 1, o.shape[1]))
+    poly[0] = 1.0
+    for j in range(len(z)):
+        poly[1:j + 2] = z[j] * poly[1:j + 2] + o[j] * poly[:j + 1]
+        poly[0] *= z[j]
+    return poly
+
+
+def unwound(poly: np.ndarray, z: float, o: np.ndarray) -> np.ndarray:
+    """``poly`` without one factor z + o t: from the highest power where o is 1, divided by z where it is 0."""
+    out = np.empty((poly.shape[0] - 1, poly.shape[1]))
+    rest = poly[-1]
+    for k in range(out.shape[0] - 1, -1, -1):
+        out[k] = np.where(o > 0, rest, poly[k] / z)
+        rest = poly[k] - z * rest
+    return out
 
 
 def shapley_batch(trees, weights, X: np.ndarray, n_features: int):
     """(phi[n, p], base, margin[n]) for a batch of rows."""
-    phi = np.zeros((X.shape[0], n_features))
-    base = 0.0
-    margin = np.zeros(X.shape[0])
+    phi, base, margin = np.zeros((X.shape[0], n_features)), 0.0, np.zeros(X.shape[0])
     for nodes, w in zip(trees, weights):
-        feats = sorted({v[4] for v in nodes.values() if v[2] >= 0})
-        m = len(feats)
-        vals = {}
-        for r in range(m + 1):
-            for sub in itertools.combinations(feats, r):
-                vals[frozenset(sub)] = _tree_value(nodes, X, frozenset(sub))
-        base += w * float(vals[frozenset()][0]) if X.shape[0] else 0.0
-        margin += w * vals[frozenset(feats)]
-        for i in feats:
-            rest = [f for f in feats if f != i]
-            for r in range(len(rest) + 1):
-                coef = math.factorial(r) * math.factorial(m - r - 1) / math.factorial(m)
-                for sub in itertools.combinations(rest, r):
-                    s = frozenset(sub)
-                    phi[:, i] += w * coef * (vals[s | {i}] - vals[s])
+        for value, path in leaf_paths(nodes):
+            feats, m = list(path), len(path)
+            z = np.array([path[f][0] for f in feats])
+            o = np.array([np.logical_and.reduce([(X[:, f] <= thr) == is_left for thr, is_left in path[f][1]]) for f in feats], dtype=float).reshape(m, X.shape[0])
+            base += w * value * z.prod()
+            margin += w * value * o.prod(axis=0)
+            share = np.array([math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)])
+            poly = extended(z, o)
+            for j, f in enumerate(feats):
+                without = unwound(poly, z[j], o[j]) if z[j] > 0 else extended(np.delete(z, j), np.delete(o, j, axis=0))
+                phi[:, f] += w * value * (o[j] - z[j]) * (share @ without)
     return phi, base, margin
 
 
 def tree_attribution(model, df: DataFrame, features, keep=("obs_date", "station")) -> DataFrame:
     """M8: per-row attribution ``phi_<feature>`` plus ``base`` and ``margin``."""
+    return attribute(*tree_tables(model), df, features, keep)
+
+
+def attribute(trees, weights, df: DataFrame, features, keep=("obs_date", "station")) -> DataFrame:
+    """M8 for node tables: a tree is {id: (value, cover, left, right, feature, threshold)} with root 0 and
+    left -1 at a leaf; rows go left up to the threshold."""
     features = list(features)
-    trees, weights = tree_tables(model)
     keep = [c for c in keep if c in df.columns]
     p = len(features)
 

@@ -255,7 +255,7 @@ def _attr(spark, sf_dir):
     def build():
         train, test, model = trained_gbt(spark, sf_dir)
         return cut_lineage(AT.tree_attribution(model, test, FEATURES))
-    return _memo(("attr", _app(spark), sf_dir), build)
+    return _memo(("attr", _state(spark, sf_dir)), build)
 
 
 @register("m8_attribution")
@@ -301,6 +301,69 @@ def _attr_table(spark, sf_dir):
                     (F.col("roll7") * F.col("roll7") * 0.01 - F.col("lag1") * 0.3).alias("phi_roll7"))
 
 
+# --- M8 on fixed trees: two of depth 7, their nodes by rule (SQL states the same rules) ---------------
+
+DEEP = ["lag1", "lag2", "lag3", "lag7", "roll7", "roll30", "month", "day"]
+DEEP_WEIGHTS = [1.0, 0.1]
+
+
+def deep_tree(t: int) -> dict:
+    """Nodes 1 to 255 of a heap; node n has the children 2n and 2n + 1."""
+    cover = {n: 1 + (13 * n + 7 * t) % 19 for n in range(128, 256)}
+    for n in range(127, 0, -1):
+        cover[n] = cover[2 * n] + cover[2 * n + 1]
+    nodes = {}
+    for n in range(1, 256):
+        f = (5 * n + 3 * t + n // 4) % 8
+        thr = {6: n % 12 + 0.5, 7: 7 * n % 30 + 0.5}.get(f, (37 * n + 11 * t) % 50 / 2.0)
+        nodes[n - 1] = (0.0, cover[n], 2 * n - 1, 2 * n, f, thr) if n < 128 else (((29 * n + 17 * t) % 41 - 20) / 10.0, cover[n], -1, -1, -1, 0.0)
+    return nodes
+
+
+DEEP_SQL = f"""
+deep AS MATERIALIZED (SELECT station, obs_date, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DEEP)}, [{", ".join(f"CAST({c} AS DOUBLE)" for c in DEEP)}] AS x
+  FROM (SELECT station, obs_date, month(obs_date) AS month, day(obs_date) AS day, {", ".join(f"lag(rain_mm, {k}) OVER w AS lag{k}" for k in (1, 2, 3, 7))},
+          avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7, avg(rain_mm) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS roll30
+        FROM grid WINDOW w AS (PARTITION BY station ORDER BY obs_date))
+  WHERE {" AND ".join(f"{c} IS NOT NULL" for c in DEEP)}),
+leafs AS (SELECT t, l, 1 + (13 * l + 7 * t) % 19 AS cover, ((29 * l + 17 * t) % 41 - 20) / 10e0 AS v FROM range(128, 256) a(l), range(2) b(t)),
+cov AS MATERIALIZED (SELECT t, l >> s AS n, sum(cover) AS cover FROM leafs, range(8) c(s) GROUP BY t, n),
+turn AS (SELECT t, l, l >> s AS child, l >> (s + 1) AS n FROM leafs, range(7) c(s)),
+turnf AS MATERIALIZED (SELECT r.t, r.l, (5 * r.n + 3 * r.t + r.n // 4) % 8 AS f, r.child % 2 = 0 AS is_left, c.cover / p.cover AS frac,
+    CASE (5 * r.n + 3 * r.t + r.n // 4) % 8 WHEN 6 THEN r.n % 12 + 0.5e0 WHEN 7 THEN 7 * r.n % 30 + 0.5e0 ELSE (37 * r.n + 11 * r.t) % 50 / 2e0 END AS thr
+  FROM turn r JOIN cov c ON c.t = r.t AND c.n = r.child JOIN cov p ON p.t = r.t AND p.n = r.n),
+fz AS MATERIALIZED (SELECT t, l, f, product(frac) AS z, row_number() OVER (PARTITION BY t, l ORDER BY f) - 1 AS pos, count(*) OVER (PARTITION BY t, l) AS m FROM turnf GROUP BY t, l, f),
+sub AS MATERIALIZED (SELECT t, l, any_value(m) AS m, s, product(CASE WHEN (s >> pos) & 1 = 0 THEN z ELSE 1e0 END) AS rest FROM fz, range(128) r(s) WHERE s < (1 << m) GROUP BY t, l, s),
+seen AS MATERIALIZED (SELECT station, obs_date, t, l, CAST(sum(CASE WHEN o THEN 1 << pos ELSE 0 END) AS BIGINT) AS mask
+  FROM (SELECT station, obs_date, r.t, r.l, any_value(z.pos) AS pos, bool_and((x[r.f + 1] <= thr) = is_left) AS o
+        FROM deep, turnf r JOIN fz z ON z.t = r.t AND z.l = r.l AND z.f = r.f GROUP BY station, obs_date, r.t, r.l, r.f)
+  GROUP BY station, obs_date, t, l),
+masks AS MATERIALIZED (SELECT DISTINCT t, l, mask FROM seen),
+part AS MATERIALIZED (SELECT k.t, k.l, k.mask, f.f,
+    any_value((k.mask >> pos) & 1) - any_value(z) AS gain,
+    sum(s.rest / z * (gamma(bit_count(s.s) + 1) * gamma(f.m - bit_count(s.s)) / gamma(f.m + 1))) AS weight
+  FROM masks k JOIN fz f ON f.t = k.t AND f.l = k.l JOIN sub s ON s.t = k.t AND s.l = k.l AND s.s & ~k.mask = 0 AND (s.s >> pos) & 1 = 0
+  GROUP BY k.t, k.l, k.mask, f.f),
+phis AS (SELECT station, obs_date, f, sum(CASE WHEN e.t = 0 THEN 1e0 ELSE 0.1e0 END * v * gain * weight) AS phi
+  FROM seen e JOIN part p ON p.t = e.t AND p.l = e.l AND p.mask = e.mask JOIN leafs ON leafs.t = e.t AND leafs.l = e.l GROUP BY station, obs_date, f),
+tops AS (SELECT station, obs_date, sum(CASE WHEN e.t = 0 THEN 1e0 ELSE 0.1e0 END * v * CASE WHEN mask = (1 << m) - 1 THEN 1 ELSE 0 END) AS margin,
+    sum(CASE WHEN e.t = 0 THEN 1e0 ELSE 0.1e0 END * v * rest) AS base
+  FROM seen e JOIN sub ON sub.t = e.t AND sub.l = e.l AND sub.s = 0 JOIN leafs ON leafs.t = e.t AND leafs.l = e.l GROUP BY station, obs_date)"""
+
+
+@register("m8_attribution_of_trees", fx.sql(DEEP_SQL, body=f"""
+SELECT station, obs_date, any_value(margin) AS margin, any_value(base) AS base, {", ".join(f"coalesce(sum(CASE WHEN f = {j} THEN phi END), 0e0) AS phi_{c}" for j, c in enumerate(DEEP))}
+FROM phis JOIN tops USING (station, obs_date) GROUP BY station, obs_date"""),
+          "station:s obs_date:d margin:f base:f " + " ".join(f"phi_{c}:f" for c in DEEP))
+def m8_attribution_of_trees(spark, sf_dir):
+    """M8 on two fixed trees of depth 7 over eight features of the dense calendar."""
+    from stormlens.operators.features import add_lags, add_rolling
+    f = add_rolling(add_lags(fx.grid(spark, sf_dir), (1, 2, 3, 7)), (7, 30)) \
+        .withColumns({"month": F.month("obs_date").cast("double"), "day": F.day("obs_date").cast("double")}).dropna(subset=DEEP)
+    out = AT.attribute([deep_tree(0), deep_tree(1)], DEEP_WEIGHTS, f.select("station", "obs_date", *DEEP), DEEP)
+    return out.select("station", "obs_date", "margin", "base", *[f"phi_{c}" for c in DEEP])
+
+
 @register("m9_summary_of_table", fx.sql(ATTR_SQL, body="SELECT * FROM share"), "feature:s mean_abs:f share_pct:f")
 def m9_summary_of_table(spark, sf_dir):
     return AT.attribution_summary(_attr_table(spark, sf_dir), TABLE_FEATURES)

@@ -2,6 +2,7 @@
 of the distributed algorithms on small fixtures)."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -122,6 +123,46 @@ def test_tree_attribution_is_additive(spark, toy):
     assert np.allclose(1.0 / (1.0 + np.exp(-2.0 * margin)), raw.loc[margin.index], atol=1e-9)
 
 
+def _coalition_value(nodes, X, inside, nid=0):
+    pred, _, left, right, feat, thr = nodes[nid]
+    if left < 0:
+        return np.full(len(X), pred)
+    a, b = _coalition_value(nodes, X, inside, left), _coalition_value(nodes, X, inside, right)
+    if feat in inside:
+        return np.where(X[:, feat] <= thr, a, b)
+    return (nodes[left][1] * a + nodes[right][1] * b) / (nodes[left][1] + nodes[right][1])
+
+
+def test_deep_attribution_equals_all_coalitions():
+    """Depth 7 with 15 features against the definition over all 2^15 coalitions."""
+    rng = np.random.default_rng(5)
+    nodes, covers = {}, {}
+    for n in range(255, 0, -1):
+        covers[n] = int(rng.integers(1, 9)) if n > 127 else covers[2 * n] + covers[2 * n + 1]
+        nodes[n - 1] = (float(rng.normal()), covers[n], -1, -1, -1, 0.0) if n > 127 else (0.0, covers[n], 2 * n - 1, 2 * n, n % 15 if n < 16 else int(rng.integers(15)), float(rng.normal()))
+    X = rng.normal(size=(4, 15))
+    phi, base, margin = AT.shapley_batch([nodes], [1.0], X, 15)
+    values = [_coalition_value(nodes, X, {f for f in range(15) if s >> f & 1}) for s in range(1 << 15)]
+    V = np.array(values)
+    sizes = np.array([bin(s).count("1") for s in range(1 << 15)])
+    share = np.array([math.factorial(k) * math.factorial(14 - k) / math.factorial(15) for k in range(15)])
+    for f in range(15):
+        without = np.flatnonzero((np.arange(1 << 15) >> f & 1) == 0)
+        want = share[sizes[without]] @ (V[without | 1 << f] - V[without])
+        assert np.allclose(phi[:, f], want, atol=1e-9)
+    assert np.allclose(base, V[0]) and np.allclose(margin, V[-1]) and np.allclose(phi.sum(1) + base, margin)
+
+
+def test_attribution_with_empty_branches():
+    """A branch without training rows has a share of 0."""
+    nodes = {0: (0.0, 4, 1, 2, 0, 0.0), 1: (0.0, 0, 3, 4, 1, 0.0), 2: (2.0, 4, -1, -1, -1, 0.0), 3: (5.0, 1, -1, -1, -1, 0.0), 4: (7.0, 1, -1, -1, -1, 0.0)}
+    X = np.array([[-1.0, -1.0], [-1.0, 1.0], [1.0, -1.0]])
+    phi, base, margin = AT.shapley_batch([nodes], [1.0], X, 2)
+    V = [_coalition_value(nodes, X, s) for s in (set(), {0}, {1}, {0, 1})]
+    assert np.allclose(phi[:, 0], (V[1] - V[0] + V[3] - V[2]) / 2) and np.allclose(phi[:, 1], (V[2] - V[0] + V[3] - V[1]) / 2)
+    assert np.allclose(margin, V[3]) and np.allclose(base, V[0])
+
+
 def test_smote_parity_and_segments(spark, toy):
     feats = ["x1", "x2"]
     out = smote(toy.select("rid", "label", *feats), feats, "rid", k=5)
