@@ -7,7 +7,7 @@ returns a handful of numbers per column (like an MLlib estimator's summary);
 
 Orderings that must be global use per-bucket counts instead of one sort: the
 k-th distinct date comes from one aggregate by year (``distinct_dates``), exact quantiles
-from histograms (``exact_quantiles``); row ranks for stratified folds and the hide
+from sketches and counts (``quantiles``); row ranks for stratified folds and the hide
 mask use ``bucketed_rank`` (buckets monotone in the order key, per-bucket counts
 give each bucket's offset, rows ranked inside their bucket) - no step sorts
 everything in one task.
@@ -18,59 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stormlens.operators.quantiles import ACCURACY, column_quantiles
 
 # --- exact scalers ------------------------------------------------------------------
 
-def exact_quantiles(df: DataFrame, cols, probs, buckets: int = 4096) -> dict:
-    """{column: [exact linear quantiles]} by distributed counts: one aggregate for the ranges,
-    one for a histogram of ``buckets`` even ranges per column, and one that counts the
-    distinct values of only those ranges in which a wanted rank lies. Equal values are one
-    count, so no task holds the rows of a column. None for a column without values."""
-    cols, probs = list(cols), list(probs)
-    if not cols:
-        return {}
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]))) \
-        .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    span = {r["c"]: r for r in long.groupBy("c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).collect()}
-    if not span:
-        return {c: [None] * len(probs) for c in cols}
-    pick = lambda f: F.element_at(F.create_map(*[F.lit(x) for c, r in span.items() for x in (c, f(r))]), F.col("c"))
-    width = pick(lambda r: float(r["hi"] - r["lo"]) or 1.0)
-    long = long.withColumn("b", F.least(F.floor((F.col("v") - pick(lambda r: float(r["lo"]))) / width * buckets), F.lit(buckets - 1)).cast("long"))
-    hist: dict = {}
-    for r in sorted(long.groupBy("c", "b").count().collect()):  # at most ``buckets`` rows a column
-        hist.setdefault(r["c"], []).append((r["b"], r["count"]))
-    places, wanted = {}, set()
-    for c, r in span.items():
-        for p in probs:
-            at = p * (r["n"] - 1)
-            for rank in {int(at), min(int(at) + 1, r["n"] - 1)}:
-                before = 0
-                for b, n in hist[c]:
-                    if rank < before + n:
-                        places[c, rank] = (b, rank - before)
-                        wanted.add((c, b))
-                        break
-                    before += n
-    some = long.filter(F.struct("c", "b").isin([F.struct(F.lit(c).alias("c"), F.lit(b).cast("long").alias("b")) for c, b in sorted(wanted)]))
-    upto = F.sum("n").over(Window.partitionBy("c", "b").orderBy("v"))
-    values = some.groupBy("c", "b", "v").agg(F.count("*").alias("n")).withColumn("upto", upto)
-    ranks = F.array(*[F.struct(F.lit(c).alias("c2"), F.lit(b).cast("long").alias("b2"), F.lit(k).cast("long").alias("k")) for c, b, k in sorted({(c, *x) for (c, _), x in places.items()})])
-    hits = values.withColumn("r", F.explode(ranks)).filter(
-        "c = r.c2 and b = r.b2 and r.k < upto and r.k >= upto - n").select("c", "b", "r.k", "v").collect()  # a value a rank
-    found = {(r["c"], r["b"], r["k"]): r["v"] for r in hits}
-    out = {}
-    for i, c in enumerate(cols):
-        if i not in span:
-            out[c] = [None] * len(probs)
-            continue
-        n, q = span[i]["n"], []
-        for p in probs:
-            at = p * (n - 1)
-            lo, hi = (found[i, *places[i, k]] for k in (int(at), min(int(at) + 1, n - 1)))
-            q.append(lo + (hi - lo) * (at - int(at)))
-        out[c] = q
-    return out
+def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = ACCURACY) -> dict:
+    """{column: [exact linear quantiles]}, None for a column without values (``quantiles.column_quantiles``)."""
+    return column_quantiles(df, cols, probs, accuracy)
 
 
 def fit_robust(fit_df: DataFrame, cols) -> dict:

@@ -1,9 +1,8 @@
 """Profiling and aggregation operators.
 
 Everything is a grouped hash aggregate (partial per task, final after one
-shuffle on the group key). Exact quantiles use ``percentile`` whose buffer is a
-value → count map: its size grows with the number of DISTINCT values in a group
-(rain depths are recorded to 0.1 mm), not with the number of rows.
+shuffle on the group key). Exact quantiles of raw rows come from sketches and one
+counting pass (``quantiles``); A23, over one station's calendar days, uses ``percentile``.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormlens.operators.clean import NULL_CODES, ZERO_CODES
+from stormlens.operators.quantiles import quantiles_by
 
 
 def _by(by):
@@ -21,24 +21,21 @@ def _by(by):
 def describe_exact(df: DataFrame, col: str, by=None) -> DataFrame:
     """A1: count, mean, sample std, min, exact linear quartiles, max."""
     c = F.col(col)
-    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    aggs = [F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"), q.alias("_q"), F.max(c).alias("max")]
-    g = df.groupBy(*_by(by)).agg(*aggs)
+    g = quantiles_by(df, _by(by), c, (0.25, 0.5, 0.75), F.count(c).alias("count"), F.avg(c).alias("mean"),
+                     F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
     return g.select(*_by(by), "count", "mean", "std", "min",
-                    F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                    F.col("_q")[2].alias("p75"), "max")
+                    F.get("q", F.lit(0)).alias("p25"), F.get("q", F.lit(1)).alias("p50"),
+                    F.get("q", F.lit(2)).alias("p75"), "max")
 
 
 def station_stats(df: DataFrame, by: str = "name", value_col: str = "rain_mm",
                   ts_col: str = "obs_date") -> DataFrame:
     """A2: per station - days with data, years with data, min, max, mean, median, std."""
     v = F.col(value_col)
-    valid = df.filter(v.isNotNull())
-    return valid.groupBy(by).agg(
-        F.count(v).alias("n_days"), F.count_distinct(F.year(ts_col)).alias("n_years"),
-        F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"),
-        F.median(v).alias("median"), F.stddev_samp(v).alias("std"))
+    g = quantiles_by(df.filter(v.isNotNull()), [by], v, (0.5,),
+                     F.count(v).alias("n_days"), F.count_distinct(F.year(ts_col)).alias("n_years"),
+                     F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+    return g.select(by, "n_days", "n_years", "min", "max", "mean", F.get("q", F.lit(0)).alias("median"), "std")
 
 
 def annual_means(df: DataFrame, y0: int, y1: int, by: str = "name",

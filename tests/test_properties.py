@@ -351,6 +351,27 @@ def test_map_names_by_dictionary_and_by_frame(spark):
         assert {(r.name, r.s) for r in map_names(df, given, out="s", keep_unmatched=True).collect()} == {("a", "A"), ("b", "b"), (None, None)}
 
 
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_quantiles_by_group_equal_numpy(spark, accuracy):
+    """Groups of all sizes, one with most rows, an outlier of 1e300, ties, nulls and NaN; with a coarse sketch the
+    brackets are narrower than the groups."""
+    from stormlens.operators.quantiles import column_quantiles, quantiles_by
+    rng = np.random.default_rng(9)
+    groups = {"hot": np.append(rng.lognormal(0, 3, 20_000), [1e300, -1e300]), "ties": np.repeat([0.0, 0.1, 7.5], [4000, 1500, 900]),
+              "few": np.array([3.0, -1.0]), "one": np.array([5.0]), None: rng.normal(size=333), "even": np.arange(4000.0)}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("empty", None), ("few", None), ("one", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    probs = (0.0, 0.05, 0.25, 0.5, 0.75, 0.999, 1.0)
+    got = {r.g: (r.n, r.q) for r in quantiles_by(df, ["g"], F.col("v"), probs, F.count("*").alias("n"), accuracy=accuracy).collect()}
+    assert got.keys() == {*groups, "empty"} and got["empty"] == (1, None) and got["few"][0] == 3
+    for g, v in groups.items():
+        assert np.allclose(got[g][1], np.quantile(v, probs), rtol=1e-12)
+    whole = np.concatenate(list(groups.values()))
+    assert np.allclose(quantiles_by(df, [], F.col("v"), probs, accuracy=accuracy).first().q, np.quantile(whole, probs), rtol=1e-12)
+    both = column_quantiles(df.withColumn("w", F.col("v") * 0 + 2).withColumn("z", F.lit(None).cast("double")), ["v", "w", "z"], probs, accuracy)
+    assert np.allclose(both["v"], np.quantile(whole, probs), rtol=1e-12) and both["w"] == [2.0] * 7 and both["z"] == [None] * 7
+
+
 def test_exact_quantiles_equal_numpy(spark):
     import numpy as np
 
