@@ -2,20 +2,20 @@
 
 Lines are parsed like log messages. The tree's first level is the number of tokens, the next
 ``LEAD`` levels are the leading tokens (a token with a digit is a variable field, ``<*>``); a leaf
-holds the lines that agree so far. A template is a line with its variable fields generalised:
-tokens with digits, and tokens that vary within a group of lines. Groups begin as leaves; tokens
-that are in too few of a group's texts are fields of their lines, and lines that keep less than
-``similarity`` of their tokens leave. A group of which all lines have enough tokens in common is a
-template; any other is split by the token at the place where its most frequent token that isn't in
-all lines stands (rare tokens there stay together). Counts are absolute and within the group, so
-the size of a leaf does not matter. A template must keep at
-least ``similarity`` of its tokens; a line below that is its own template as it stands, so that
+holds the lines that agree so far. In a leaf, a token that stands at its place in lines of fewer than
+``min_docs`` texts is a field too: counts are absolute, so the size of a leaf does not matter. That gives a
+line's template. One more level makes it coarser: a place where more than ``FAN`` tokens are frequent is a
+field as a whole, so that a field with few, frequent values does not part a template. Either template must keep at
+least ``similarity`` of the line's tokens; a line below that is its own template as it stands, so that
 'Page 3' goes where it recurs and 'Page 4' does not go with it. A template that recurs in at least ``min_docs`` different
 document texts (copies of a whole text count once) is dropped from every document; one of more than
 ``LONG`` tokens from ``LONG_DOCS`` texts on, as no such line recurs by chance.
 
-DataFrame operations only. Lines travel as hashes; (template, text) pairs are made distinct
-before they are counted, so a line that a third of all documents hold is many small counts.
+DataFrame operations only. Texts are read once for their lines, which travel as hashes, and once for the
+result. The tree works on distinct lines with their number of texts; (line, text) pairs are made
+distinct before they are counted, so a line that a third of all documents hold is many small
+counts; the leading tokens, which a whole leaf shares, are not counted at all. The verdict
+is a set of lines, joined to their places once.
 
 Defined results: a null text gives null and no lines; an empty text stays; blank lines are
 never dropped; rows equal in id and text are treated alike; text borders are \\n; an empty
@@ -32,6 +32,7 @@ MIN_DOCS = 10
 LONG = 50
 LONG_DOCS = 2
 SIMILARITY = 0.6
+FAN = 3
 FIELD = "<*>"
 
 
@@ -45,15 +46,19 @@ def tidy(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, id: str, text: str, similarity: float) -> DataFrame:
-    """(id, text_hash, pos, size, leaf, template): one row a line that isn't blank; the template is
-    that of the tidied line if enough of its tokens are no fields, else that of the untouched line."""
-    exploded = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line")) \
-        .withColumnRenamed("line", "raw").withColumn("line", tidy(F.col("raw"))).filter("line <> ''")
-    size = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    fields = F.when(F.col("line").contains(FIELD), (F.length("line") - F.length(F.replace("line", F.lit(FIELD), F.lit("")))) / len(FIELD)).otherwise(0)
-    template = F.when(F.col("size") - fields >= similarity * F.col("size"), F.xxhash64("line", F.lit(0))).otherwise(F.xxhash64("raw", F.lit(1)))
-    return exploded.withColumn("size", size).select(
-        "id", "text_hash", "pos", "size", F.xxhash64("size", F.substring_index("line", " ", LEAD)).alias("leaf"), template.alias("template"))
+    """(id, text_hash, pos, size, leaf, line, plain, tail): one row a line that isn't blank. ``line`` is the hash
+    of the tidied line if enough of its tokens are no fields, else that of the untouched line; ``plain`` counts the
+    leading tokens that are no fields, ``tail`` holds hashes of the others (0 for a field)."""
+    exploded = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "raw")) \
+        .withColumn("tidy", tidy(F.col("raw"))).filter("tidy <> ''").withColumn("tokens", F.split("tidy", " ", -1))
+    size = F.size("tokens")
+    count = lambda x: (F.length(x) - F.length(F.replace(x, F.lit(FIELD), F.lit("")))) / len(FIELD)
+    lead = F.substring_index("tidy", " ", LEAD)
+    fields = F.when(F.col("tidy").contains(FIELD), count(F.col("tidy"))).otherwise(0)
+    own = F.when(size - fields >= similarity * size, F.xxhash64("tidy", F.lit(0))).otherwise(F.xxhash64("raw", F.lit(1)))
+    plain = F.least(size, F.lit(LEAD)) - F.when(lead.contains(FIELD), count(lead)).otherwise(0).cast("int")
+    tail = F.transform(F.slice("tokens", F.lit(LEAD + 1), F.greatest(size - LEAD, F.lit(0))), lambda t: F.when(t == FIELD, 0).otherwise(F.hash(t)))
+    return exploded.select("id", "text_hash", "pos", size.alias("size"), F.xxhash64(size, lead).alias("leaf"), own.alias("line"), plain.alias("plain"), tail.alias("tail"))
 
 
 def needed(min_docs: int) -> Column:
@@ -66,60 +71,39 @@ def in_texts(rows: DataFrame, *key: str) -> DataFrame:
     return rows.select(*key, "text_hash").distinct().groupBy(*key).agg(F.count("*").alias("texts"))
 
 
-def tokens_of(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, text_hash, pos, size, group, tokens): the plain tokens (at, token) of the wanted lines,
-    read again from their documents; rows equal in id and text count once."""
-    wanted = wanted.groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")) \
-        .agg(F.collect_set(F.struct("pos", "size", F.col("leaf").alias("group"))).alias("lines"))
-    texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    found = texts.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))) \
-        .dropDuplicates(["id", "text_hash"]).withColumn("split", F.split("text", "\n", -1))
-    picked = found.select("id", "text_hash", F.explode(F.transform("lines", lambda x: F.struct(x.alias("where"), F.get("split", x["pos"]).alias("line")))).alias("x"))
-    tokens = F.transform(F.split(tidy(F.col("x.line")), " ", -1), lambda t, at: F.struct(at.alias("at"), F.xxhash64(t).alias("token")))
-    return picked.select("id", "text_hash", F.col("x.where.*"), F.filter(tokens, lambda x: x["token"] != F.xxhash64(F.lit(FIELD))).alias("tokens"))
-
-
-LINE = ("id", "text_hash", "pos", "size", "group")
-
-
-def settle(open_: DataFrame, min_docs: int, similarity: float) -> DataFrame:
-    """The lines (as by ``tokens_of``) that may still be in a template, without their rare tokens, and
-    what becomes of their group: ``common`` of its tokens are in all lines, else it is split at ``cut``."""
-    each = open_.select(*LINE, F.explode("tokens").alias("x")).select(*LINE, "x.*")
-    lines = lambda rows, *key: rows.select(*key, "text_hash", "pos").distinct().groupBy(*key, "text_hash").agg(F.count("*").alias("n")) \
-        .groupBy(*key).agg(F.count("*").alias("texts"), F.sum("n").alias("lines"))
-    often = materialise(lines(each, "group", "size", "at", "token").filter(F.col("texts") >= needed(min_docs)).drop("size"), "often")
-    groups = lines(open_, "group", "size").filter(F.col("texts") >= needed(min_docs)).select("group", F.col("lines").alias("all"))
-    varies = F.when(F.col("lines") < F.col("all"), F.struct("texts", -F.col("at"), "token"))
-    groups = often.join(groups, "group").groupBy("group").agg(F.count(F.when(F.col("lines") == F.col("all"), 1)).alias("common"), F.max_by("at", varies).alias("cut"))
-    kept = each.join(often.select("group", "at", "token"), ["group", "at", "token"]).groupBy(*LINE).agg(F.collect_list(F.struct("at", "token")).alias("tokens"))
-    return kept.filter(F.size("tokens") >= similarity * F.col("size")).join(groups, "group")
-
-
-def generalised(tokens: DataFrame, min_docs: int, similarity: float) -> DataFrame:
-    """(id, text_hash, pos): the lines whose template with fields recurs. Every round settles a group
-    or one place of it; few lines outlive the first."""
-    found = tokens.select("id", "text_hash", "pos").limit(0)
-    while not tokens.isEmpty():
-        settled = materialise(settle(tokens, min_docs, similarity), "settled")
-        agrees = F.col("common") >= similarity * F.col("size")
-        found = found.union(settled.filter(agrees).select("id", "text_hash", "pos"))
-        there = F.get(F.filter("tokens", lambda x: x["at"] == F.col("cut")), F.lit(0))["token"]
-        tokens = settled.filter(~agrees & F.col("cut").isNotNull()) \
-            .select("id", "text_hash", "pos", "size", F.xxhash64("group", "cut", F.coalesce(there, F.lit(0))).alias("group"), "tokens")
-    return found
+def templates(distinct: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """(line, size, template): the finer and the coarser template of each distinct line (line, size, leaf, plain, tail, texts), where
+    they keep enough of its tokens."""
+    each = distinct.select("line", "leaf", "size", "texts", F.posexplode("tail").alias("at", "token")).filter("token <> 0")
+    often = each.groupBy("leaf", "at", "token").agg(F.sum("texts").alias("texts"), F.first("size").alias("size")) \
+        .filter(F.col("texts") >= needed(min_docs)).select("leaf", "at", "token")
+    often = materialise(often, "often")
+    wide = often.groupBy("leaf", "at").agg((F.count("*") <= FAN).alias("narrow"))
+    known = often.join(wide, ["leaf", "at"])
+    kept = each.select("line", "leaf", "at", "token").join(known, ["leaf", "at", "token"])
+    own, narrow = F.xxhash64("at", "token") % (1 << 40), F.col("narrow")
+    shape = kept.groupBy("line").agg(F.count("*").alias("n0"), F.sum(own).alias("s0"), F.count_if(narrow).alias("n1"), F.coalesce(F.sum(F.when(narrow, own)), F.lit(0)).alias("s1"))
+    both = distinct.select("line", "leaf", "size", "plain").join(shape, "line", "left").na.fill(0, ["n0", "s0", "n1", "s1"]) \
+        .select("line", "size", "leaf", F.inline(F.array(*[F.struct((F.col("plain") + F.col(f"n{k}")).alias("kept"), F.col(f"s{k}").alias("shape")) for k in (0, 1)])))
+    return both.filter(F.col("kept") >= similarity * F.col("size")).select("line", "size", F.xxhash64("leaf", "kept", "shape").alias("template")).distinct()
 
 
 def recurring(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, text_hash, pos): the lines whose template recurs, each once. Texts are read once for
-    the hashes of all lines and once for the tokens of lines in frequent leaves."""
+    """(id, text_hash, pos): the lines whose template recurs."""
     found = materialise(lines(docs, id, text, similarity), "lines")
-    often = in_texts(found, "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
-    literal = found.join(often, "template").select("id", "text_hash", "pos")
-    rest = found.join(often, "template", "left_anti")
-    leaves = in_texts(rest, "leaf", "size").filter(F.col("texts") >= needed(min_docs)).select("leaf")
-    tokens = materialise(tokens_of(docs, rest.join(leaves, "leaf"), id, text).filter(F.size("tokens") >= similarity * F.col("size")), "tokens")
-    return literal.union(generalised(tokens, min_docs, similarity)).distinct()
+    pairs = found.select("line", "size", "leaf", "text_hash").distinct()
+    counted = materialise(pairs.groupBy("line", "size", "leaf").agg(F.count("*").alias("texts")), "counted")
+    literal = counted.filter(F.col("texts") >= needed(min_docs)).select("line")
+    rest = counted.filter(F.col("texts") < needed(min_docs))
+    leaves = rest.groupBy("leaf", "size").agg(F.sum("texts").alias("texts")).filter(F.col("texts") >= needed(min_docs)).select("leaf")
+    open_ = rest.join(leaves, "leaf").select("line", "texts")
+    tails = found.filter(F.size("tail") > 0).select("line", "text_hash", "size", "leaf", "plain", "tail").join(open_, "line")
+    tails = materialise(tails.dropDuplicates(["line", "text_hash"]), "tails")
+    distinct = tails.drop("text_hash").dropDuplicates(["line"])
+    named = materialise(templates(distinct, min_docs, similarity), "templates")
+    often = in_texts(tails.select("line", "text_hash").join(named, "line"), "template", "size").filter(F.col("texts") >= needed(min_docs)).select("template")
+    verdict = literal.union(named.join(often, "template").select("line")).distinct()
+    return found.select("id", "text_hash", "pos", "line").join(verdict, "line").select("id", "text_hash", "pos")
 
 
 def drop_recurring_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,

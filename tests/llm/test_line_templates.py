@@ -75,3 +75,61 @@ def test_query_drops_every_literal_line_that_recurs(spark, sf):
 def test_only_dataframe_operations(spark, sf):
     plan = queries.QUERIES["op8_line_templates"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapInArrow" not in plan and "Pandas" not in plan
+
+
+def brute(texts, min_docs, similarity=0.6):
+    """The tree by loops over distinct texts: {text: positions that go}."""
+    import re
+
+    need = lambda size: min(lt.LONG_DOCS, min_docs) if size > lt.LONG else min_docs
+    parsed, holders = {}, defaultdict(set)
+    for t in set(texts):
+        for pos, raw in enumerate(t.split("\n")):
+            tokens = ["<*>" if re.search("[0-9]", x) else x for x in re.sub(r"[ \t\x0b\f\r]+", " ", raw).strip(" ").split(" ")]
+            if tokens == [""]:
+                continue
+            line = tuple(tokens) if sum(x != "<*>" for x in tokens) >= similarity * len(tokens) else raw
+            parsed[t, pos] = line, tokens
+            holders[line].add(t)
+    gone_lines = {line for (t, pos), (line, tokens) in parsed.items() if len(holders[line]) >= need(len(tokens))}
+    leaves = defaultdict(dict)
+    for line, tokens in parsed.values():
+        if line not in gone_lines:
+            leaves[len(tokens), tuple(tokens[:3])][line] = tokens
+    named = defaultdict(set)
+    for (size, lead), held in leaves.items():
+        if sum(len(holders[x]) for x in held) < need(size):
+            continue
+        count = defaultdict(int)
+        for line, tokens in held.items():
+            for at, x in enumerate(tokens):
+                count[at, x] += len(holders[line]) if x != "<*>" else 0
+        often = {k for k, n in count.items() if n >= need(size) and k[0] >= 3}
+        narrow = {k for k in often if sum(a == k[0] for a, _ in often) <= lt.FAN}
+        for line, tokens in held.items():
+            for keep in (often, narrow):
+                shape = tuple(x if (at < 3 and x != "<*>") or (at, x) in keep else None for at, x in enumerate(tokens))
+                if size > 3 and sum(x is not None for x in shape) >= similarity * size:
+                    named[shape].add(line)
+    for shape, held in named.items():
+        if len({t for line in held for t in holders[line]}) >= need(len(shape)):
+            gone_lines |= held
+    return {t: {pos for (u, pos), (line, _) in parsed.items() if u == t and line in gone_lines} for t in set(texts)}
+
+
+def test_tree_equals_brute_force(spark, documents, prose):
+    import random
+
+    r = random.Random(6)
+    days, names = ["Mon", "Tue", "Wed", "Thu", "Fri"], ["Ann", "Bob", "Cy", "Di"]
+    makers = [lambda: f"filed on {r.choice(days)} by {r.choice(names)} for the record office", lambda: f"Page {r.randrange(4)}", lambda: f"total  {r.randrange(99)} items sold to {prose(r.randrange(50), 1)} in town ",
+              lambda: "All rights reserved.", lambda: prose(r.randrange(10 ** 6), r.randrange(1, 9)), lambda: f"we sell in {prose(r.randrange(9), 1)} and {prose(r.randrange(9), 1)} now", lambda: "", lambda: "\t ",
+              lambda: f"{prose(77, 30)} {r.choice(days)} {prose(78, 30)}", lambda: f"a b c {r.choice('defgh')} {r.choice('ijklm')} {r.choice('nopqr')} {r.choice('stuvw')} x y z"]
+    texts = ["\n".join(r.choice(makers)() for _ in range(r.randrange(1, 7))) for _ in range(150)]
+    texts += texts[:20]
+    want = brute(texts, 6)
+    out = lt.drop_recurring_lines(documents(list(enumerate(texts))), min_docs=6).collect()
+    assert sum(map(len, want.values())) > 100
+    for row in out:
+        t = texts[row.doc_id]
+        assert row.n_dropped == len(want[t]) and row.text == "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[t])
