@@ -4,8 +4,8 @@ Character 1- to 3-grams of the lower-cased text (what isn't a letter is a space)
 document's vector is term frequency (share of its n-grams) times inverse document
 frequency. Document frequencies cover all training documents. Weights are fitted with
 follow-the-regularised-leader (per-coordinate rates, L1 and L2 penalties) on a bounded,
-hash-chosen sample (``sample_rows`` over all languages, evenly by language), one fifth of
-which only sets the temperature of the softmax.
+hash-chosen sample of distinct rows (``sample_rows`` over all languages, evenly by language),
+one fifth of which only sets the temperature of the softmax.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; no training
 row gives ``und`` for every text; languages are whatever non-null values the training rows
@@ -17,13 +17,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormlens.llm.arrays import with_columns
+from stormlens.llm.storage import materialise
 
 BITS = 16
 ORDERS = 3
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 STEPS = 24_000
 SCALE = 30.0
 ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.05, 1e-4
@@ -141,12 +143,13 @@ class LanguageModel:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id", bits: int = BITS,
           sample_rows: int = SAMPLE_ROWS, steps: int = STEPS) -> LanguageModel | None:
-    """Fit on ``docs`` (the training documents). The sample is drawn by a hash of the id and
-    the text, about ``sample_rows`` / languages rows of each language, 2 * ``sample_rows`` at most;
-    it is gone over as often as ``steps`` updates need."""
+    """Fit on ``docs`` (the training documents). The sample is ``sample_rows`` / languages distinct
+    rows of each language, the first in the order of a hash of id, language and text, so it is the same in every
+    run and copies of a row count once; it is gone over as often as ``steps`` updates need."""
     docs = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).alias("lang")) \
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}  # one row a language
+    distinct = materialise(docs.select("id", "lang", F.xxhash64("text").alias("hash")).distinct(), "language-rows")
+    counts = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}  # one row a language
     if not counts:
         return None
     languages = sorted(counts)
@@ -155,11 +158,17 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     seen, n = found.column("bucket").to_numpy(), found.column("n").to_numpy()
     idf[seen[seen >= 0]] = SCALE * (np.log((1 + n[seen < 0].sum()) / (1 + n[seen >= 0])) + 1)
 
+    each = -(-sample_rows // len(counts))
     share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, sample_rows / len(counts) / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64("id", "lang", F.substring("text", 1, 64)), F.lit(1 << 30)) / float(1 << 30)
-    picked = docs.filter(draw < share)
+    for name, n in counts.items():  # about twice as many as wanted and 100 more, of which the first are taken
+        share = F.when(F.col("lang") == name, F.lit((2 * each + 100) / n)).otherwise(share)
+    draw = F.pmod(F.xxhash64("id", "lang", "hash"), F.lit(1 << 40))
+    first = F.row_number().over(W.partitionBy("lang").orderBy("draw", "id", "hash")) <= each
+    chosen = distinct.withColumn("draw", draw).filter(F.col("draw") < share * float(1 << 40)).withColumn("first", first).filter("first") \
+        .select(F.col("id").alias("__id"), F.col("lang").alias("__lang"), "hash")
+    picked = docs.withColumn("text_hash", F.xxhash64("text")) \
+        .join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("__id")) & (F.col("lang") == F.col("__lang")) & (F.col("text_hash") == F.col("hash"))) \
+        .dropDuplicates(["id", "lang", "text_hash"])  # at most ``each`` rows a language
 
     def vectors(batches):
         for batch in batches:
@@ -169,8 +178,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
                  pa.array([i.astype("<u4").tobytes() for i, _ in found], pa.binary()),
                  pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], names=["lang", "id", "i", "x"])
 
-    sample = picked.mapInArrow(vectors, "lang string, id string, i binary, x binary") \
-        .limit(2 * sample_rows).toArrow()
+    sample = picked.select("lang", "id", "text").mapInArrow(vectors, "lang string, id string, i binary, x binary").toArrow()
     number = {name: k for k, name in enumerate(languages)}
     sample = sample.combine_chunks()
     ids, names = sample.column("id").to_pylist(), sample.column("lang").to_pylist()
@@ -185,7 +193,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "do
     cut = len(vecs) // 5
     w = fit_ftrl(vecs[cut:], marks[cut:], len(languages), 1 << bits, -(-steps // max(1, len(vecs) - cut)))
     heat = temperature(np.array([x @ w[i] for i, x in vecs[:cut]]).reshape(cut, len(languages)), marks[:cut])
-    return LanguageModel(languages, (w * idf[:, None]).astype(np.float32), heat, bits)
+    del vecs, parts, buckets, values
+    pa.default_memory_pool().release_unused()
+    w *= idf[:, None]
+    return LanguageModel(languages, w.astype(np.float32), heat, bits)
 
 
 def _joined(column, kind: str) -> tuple[np.ndarray, np.ndarray]:

@@ -53,6 +53,18 @@ def test_defined_results(spark, documents):
     assert {r.lang_pred for r in lid.language_id(documents([(1, "text"), (2, None)])).collect()} == {"und"}
 
 
+def test_copies_count_once_in_the_sample(spark, documents, prose, monkeypatch):
+    """Four rows repeated 500 times beside 300 distinct ones of their language: the sample holds the language's bound of distinct rows."""
+    seen = {}
+    monkeypatch.setattr(lid, "fit_ftrl", lambda rows, marks, *a, **k: seen.update(rows=len(rows), marks=list(marks)) or np.zeros((a[1], a[0])))
+    rows = [(k % 4, f"copy {k % 4} of a text", "aa") for k in range(2000)] + [(10 + k, prose(k, 12), "aa") for k in range(300)] + [(900 + k, prose(k, 12), "bb") for k in range(300)]
+    for docs in (documents(rows), documents(rows[::-1]).repartition(5)):
+        lid.train(docs, sample_rows=100)
+        assert seen["rows"] == 80 and 25 <= seen["marks"].count(0) <= 55
+        first = seen.setdefault("first", seen["marks"])
+        assert seen["marks"] == first
+
+
 def test_query_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.QUERIES["op9_language_id"](spark, sf).collect()
