@@ -112,8 +112,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     """Fit on at most ``sample_rows`` of ``labels`` (already without held-out ids)."""
     marks = labels.filter(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id).alias("id")).agg(F.max(label).alias("mark"))
     share = sample_rows / max(1, marks.count())
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = marks.filter(draw < 0.95 * share).limit(sample_rows) if share < 1 else marks
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    chosen = marks.filter(draw < 0.95 * share * (1 << 30)).orderBy(draw, "id").limit(sample_rows) if share < 1 else marks
 
     def run(batches):
         for batch in batches:
@@ -123,7 +123,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
                  pa.array([i.astype("<i4").tobytes() for i, _ in found], pa.binary()),
                  pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], names=["id", "mark", "i", "x"])
 
-    texts = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "id")
+    texts = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "id") \
+        .groupBy("id", "mark").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # of an id with many rows, one
     sample = texts.mapInArrow(run, "id string, mark long, i binary, x binary").toArrow().to_pylist()  # bounded by sample_rows
     sample.sort(key=lambda r: (zlib.crc32(b"order:" + r["id"].encode()), r["id"], r["i"]))
     rows = [(np.frombuffer(r["i"], "<i4"), np.frombuffer(r["x"], "<f4")) for r in sample]

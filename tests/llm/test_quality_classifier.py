@@ -54,3 +54,13 @@ def test_query_on_held_out_labels(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
     held = [(r.predicted, labels[r.doc_id]) for r in out if r.held_out and r.doc_id in labels]
     assert len(held) > 50 and np.mean([a == b for a, b in held]) > 0.95
+
+
+def test_a_labelled_id_with_many_rows_is_one_row_of_the_sample(spark, documents, prose, monkeypatch):
+    seen = []
+    monkeypatch.setattr(qc, "fit", lambda rows, marks, bits: seen.append((len(rows), list(marks))))
+    rows = [(k, prose(k, 30)) for k in range(20)] + [(3, prose(1000 + k, 30)) for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    qc.train(documents(rows), labels, sample_rows=100)
+    qc.train(documents(rows[::-1]).repartition(3), labels, sample_rows=100)
+    assert seen[0] == seen[1] and seen[0][0] == 20
