@@ -11,7 +11,7 @@ value of exp(-key / mean key), which is about even; ranges are added up first, d
 holds a third of all rows is many groups.
 
 Defined results: a null text has size 0; a null source is a source of its own, the last; a
-source of size 0 has target 0 and takes nothing; rows that are equal in id and text share a
+source of size 0 has target 0 and takes nothing; a null id is told apart by its text; rows that are equal in id and text share a
 key and are told apart by order alone; an empty table gives an empty result.
 """
 
@@ -64,7 +64,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS,
         max_epochs: int = MAX_EPOCHS, share: float = 1.0, seed: str = SEED, weight: Column | None = None) -> DataFrame:
     """(id, source, size, source_size, target, copies, taken) for every row of ``docs``."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id).cast("string"), F.lit("null")), F.lit(":" + seed))), 1, 12), 16, 10)
+    name = F.coalesce(F.col(id).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    bits = F.conv(F.substring(F.md5(F.concat(name, F.lit(":" + seed))), 1, 12), 16, 10)
     u = (bits.cast("double") + 0.5) / float(1 << 48)
     rows = docs.select(F.col(id).alias("id"), F.col(source).alias("source"), text_size(text).alias("size"),
                        (-F.log(u) / (quality_weight(text) if weight is None else weight)).alias("key"),

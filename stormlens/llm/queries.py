@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from stormlens.llm import decontaminate, hard_negatives, line_templates, merkle, mixing, page_text, quality_classifier, secret_ledger, token_store, url_filter
 from stormlens.llm import language_id as lid
 from stormlens.llm import ngram_join as join
@@ -38,7 +36,7 @@ MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, greatest(length(coalesce(text, '')), 1) AS n,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':mix-1'), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+    (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) || ':mix-1'), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
   FROM documents),
 k AS (
   SELECT *, -ln(u) / (4.0::DOUBLE
@@ -132,6 +130,8 @@ def op1(spark, sf_dir):
 
 @query("op2_token_orc")
 def op2(spark, sf_dir):
+    import public_tokenizers
+
     path = scratch_path(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.digest(spark, path)

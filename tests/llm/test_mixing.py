@@ -40,13 +40,13 @@ def test_targets_fill_up(spark, sizes):
 def test_taken_is_epochs_and_a_sorted_prefix(spark, documents, prose, monkeypatch):
     monkeypatch.setattr(mixing, "ROWS", 7)
     rows = [(k, prose(k, 1 + k * 7 % 90), None, "hot" if k % 2 else f"s{k % 6}") for k in range(120)]
-    rows += [(500, None, None, None), (501, "", None, "s0"), (502, "w " * 40, None, None), (3, rows[3][1], None, "hot"), (None, "a b c", None, "s2")]
+    rows += [(500, None, None, None), (501, "", None, "s0"), (502, "w " * 40, None, None), (3, rows[3][1], None, "hot"), (None, "a b c", None, "s2"), (None, "d e", None, "s2")]
     docs = documents(rows)
     out = mixing.mix(docs).collect()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     by = defaultdict(list)
     for i, t, _, s in rows:
-        u = (int(hashlib.md5(f"{'null' if i is None else i}:{mixing.SEED}".encode()).hexdigest()[:12], 16) + 0.5) / 2 ** 48
+        u = (int(hashlib.md5(f"{'null:' + hashlib.md5((t or '').encode()).hexdigest() if i is None else i}:{mixing.SEED}".encode()).hexdigest()[:12], 16) + 0.5) / 2 ** 48
         by[s].append((-math.log(u) / 4.0, i if i is not None else -1, size(t)))
     goal = filled({s: sum(x[2] for x in v) for s, v in by.items()})
     want = []
