@@ -5,7 +5,6 @@ columns of documents (the last one: the token table). The caller writes each sta
 Parquet and reads them again; ``run`` does that in the shared folder.
 """
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +26,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the least id. Rows that are
-    equal in id and text are one document; documents without words have no copies and stay."""
+    equal in id and text are one document, rows of one id with other texts are others; documents without
+    words have no copies and stay."""
     prepare(spark)
-    groups = ngram_join.jaccard_components(docs).filter("doc_id = component_id or component_id is null")
-    chosen = groups.select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(*COLUMNS).join(chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    docs = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    groups = ngram_join.jaccard_components(docs.select("row_key", "text"), id="row_key").select("row_key", "component_id").distinct()
+    ids = docs.select("doc_id", "row_key").distinct().join(groups, "row_key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first"))
+    rows = docs.join(first.select(F.col("first.row_key").alias("row_key")), "row_key", "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def remove_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,6 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids as ORC in the shared folder, and one row for each document from those files."""
+    import public_tokenizers
+
     prepare(spark)
     path = scratch_path(spark, "tokens")
     token_store.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
