@@ -8,8 +8,9 @@ on the same host:
 
 * a line outside ``article`` and ``main`` goes if the nearest page has it too (the one next to it
   whose path has the longer beginning in common; ties: the one before);
-* a line inside such an element goes if at least ``SEVERAL`` of the pages beside it have it, which
-  must differ from each other, so that chance or one more print of the article deletes nothing.
+* a line inside such an element goes if the articles of all pages beside it, at least ``SEVERAL`` that
+  differ from each other, begin or end with it too (or with a run of lines that it belongs to), so that
+  neither a sentence that recurs nor one more print of the article deletes anything.
 
 Copies say nothing about each other. Two pages are copies if the lines that they share hold at least
 ``COPY`` of the characters of both (of the article's, where that has half of the text). A run of pages
@@ -56,6 +57,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 
 SEVERAL = 2
 COPY = 0.9
+MATCHES = 16
+RANGE_ROWS = 5000
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -150,42 +153,89 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
     return lines
 
 
-def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which elements of a are in a longest common subsequence of a and b."""
+def _chain(x: list, y: list) -> list[int]:
+    """Hunt and Szymanski: places in x of a longest common subsequence, by the longest rising chain of matches."""
+    import bisect
+
+    where: dict = {}
+    for j in range(len(y) - 1, -1, -1):
+        where.setdefault(y[j], []).append(j)
+    tails: list[int] = []
+    links: list = []
+    for i, v in enumerate(x):
+        for j in where.get(v, ()):
+            k = bisect.bisect_left(tails, j)
+            link = (i, links[k - 1] if k else None)
+            if k == len(tails):
+                tails.append(j)
+                links.append(link)
+            else:
+                tails[k], links[k] = j, link
+    link, out = links[-1] if links else None, []
+    while link is not None:
+        out.append(link[0])
+        link = link[1]
+    return out
+
+
+def _lengths(x: list, y: list) -> np.ndarray:
+    """Length of the longest common subsequence of x and each beginning of y; the bits of one integer hold a row."""
+    masks: dict = {}
+    for j, v in enumerate(y):
+        masks[v] = masks.get(v, 0) | 1 << j
+    full = (1 << len(y)) - 1
+    row = full
+    for v in x:
+        hit = row & masks.get(v, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(y)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _halved(x: list, y: list, first: int, out: list[int]) -> None:
+    """Hirschberg: places (from ``first`` on) in x of a longest common subsequence, in linear space."""
+    work = [(x, y, first)]
+    while work:
+        x, y, first = work.pop()
+        if not x or not y:
+            continue
+        if len(x) == 1:
+            if x[0] in y:
+                out.append(first)
+            continue
+        mid = len(x) // 2
+        cut = int((_lengths(x[:mid], y) + _lengths(x[mid:][::-1], y[::-1])[::-1]).argmax())
+        work += [(x[:mid], y[:cut], first), (x[mid:], y[cut:], first + mid)]
+
+
+def common_lines(a, b) -> np.ndarray:
+    """Which elements of a are in a longest common subsequence of a and b. Few matches are chained one by one; with
+    many (repeated lines) rows of bits are halved, so neither time nor memory grows with the number of matches."""
+    a, b = [int(v) for v in a], [int(v) for v in b]
     shared = np.zeros(len(a), bool)
-    left = 0
-    while left < min(len(a), len(b)) and a[left] == b[left]:
-        shared[left] = True
+    left, least = 0, min(len(a), len(b))
+    while left < least and a[left] == b[left]:
         left += 1
     right = 0
-    while right < min(len(a), len(b)) - left and a[len(a) - 1 - right] == b[len(b) - 1 - right]:
-        shared[len(a) - 1 - right] = True
+    while right < least - left and a[-1 - right] == b[-1 - right]:
         right += 1
-    x, y = a[left:len(a) - right], b[left:len(b) - right]
-    keep_x, keep_y = np.flatnonzero(np.isin(x, y)), np.flatnonzero(np.isin(y, x))
-    x, y = x[keep_x], y[keep_y]
-    if len(x) and len(y):
-        # Hunt-Szymanski: longest increasing chain of matches, linear in their number of rows
-        import bisect
-
-        where: dict[int, list[int]] = {}
-        for j in range(len(y) - 1, -1, -1):
-            where.setdefault(int(y[j]), []).append(j)
-        tails: list[int] = []
-        links: list = []
-        for i, v in enumerate(x.tolist()):
-            for j in where.get(int(v), ()):
-                k = bisect.bisect_left(tails, j)
-                link = (i, links[k - 1] if k else None)
-                if k == len(tails):
-                    tails.append(j)
-                    links.append(link)
-                else:
-                    tails[k], links[k] = j, link
-        link = links[-1] if links else None
-        while link is not None:
-            shared[left + keep_x[link[0]]] = True
-            link = link[1]
+    shared[:left] = True
+    shared[len(a) - right:] = True
+    rest = b[left:len(b) - right]
+    counts: dict = {}
+    for v in rest:
+        counts[v] = counts.get(v, 0) + 1
+    places = [k for k in range(left, len(a) - right) if a[k] in counts]
+    x = [a[k] for k in places]
+    known = set(x)
+    y = [v for v in rest if v in known]
+    if x and y:
+        found: list[int] = []
+        if sum(counts[v] for v in x) <= MATCHES * (len(x) + len(y)):
+            found = _chain(x, y)
+        else:
+            _halved(x, y, 0, found)
+        shared[[places[k] for k in found]] = True
     return shared
 
 
@@ -195,12 +245,16 @@ def _hash(line: str) -> int:
     return xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) >> 1
 
 
+def ranges(rows: DataFrame) -> int:
+    """Into how many ranges rows are dealt; where they are cut doesn't show in the result."""
+    return max(1, -(-rows.count() // RANGE_ROWS))
+
+
 def neighbours(keys: DataFrame, order: list[str], within: str, carry: list[str]) -> DataFrame:
     """``keys`` with the ``carry`` columns of the row before and after in the order (prev_*,
     next_*), null where that row has another ``within``. Ranges are sorted on their own; the
     first and last rows of all ranges (two a range) fill in what lies across a border."""
-    parts_ = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = materialise(keys.repartitionByRange(parts_, *order).withColumn("__range", F.spark_partition_id()), "ordered")
+    dealt = materialise(keys.repartitionByRange(ranges(keys), *order).withColumn("__range", F.spark_partition_id()), "ordered")
     inside = W.partitionBy("__range").orderBy(*order)
     here = F.struct(within, *carry)
     rows = dealt.withColumns({"__prev": F.lag(here).over(inside), "__next": F.lead(here).over(inside)})
@@ -223,8 +277,7 @@ def _same_beginning(a, b):
 def filled(rows: DataFrame, order: list[str], column: str) -> DataFrame:
     """``rows`` with nulls of ``column`` taken from the last row before that has a value; ranges as in
     ``neighbours``."""
-    parts_ = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = materialise(rows.repartitionByRange(parts_, *order).withColumn("__range", F.spark_partition_id()), "ordered")
+    dealt = materialise(rows.repartitionByRange(ranges(rows), *order).withColumn("__range", F.spark_partition_id()), "ordered")
     inside = W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     last = F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*order)))
     across = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # one row a range
@@ -237,16 +290,34 @@ class Page:
     """The unmarked lines of a page: hashes, numbers of characters, whether inside an article."""
 
     def __init__(self, page: dict):
-        self.lines, self.sizes = np.array(page["lines"], np.int64), np.array(page["sizes"], np.int64)
-        self.inside = np.array(page["inside"], bool)
-        main = self.inside if 2 * self.sizes[self.inside].sum() >= self.sizes.sum() else np.ones(len(self.lines), bool)
-        self.main, self.weights = self.lines[main], self.sizes[main]
+        self.lines, self.sizes, self.inside = page["lines"], page["sizes"], page["inside"]
+        self.known = frozenset(self.lines)
+        article = sum(n for n, a in zip(self.sizes, self.inside) if a)
+        main = self.inside if 2 * article >= sum(self.sizes) else [True] * len(self.lines)
+        self.main = [v for v, m in zip(self.lines, main) if m]
+        self.weights = [n for n, m in zip(self.sizes, main) if m]
+        self.weight = sum(self.weights)
 
     def copies(self, other: "Page") -> bool:
-        least = COPY * max(self.weights.sum(), other.weights.sum())
-        if self.weights[np.isin(self.main, other.main)].sum() < least:
+        least = COPY * max(self.weight, other.weight)
+        there = frozenset(other.main)
+        if sum(n for v, n in zip(self.main, self.weights) if v in there) < least:
             return False
-        return bool(self.weights[common_lines(self.main, other.main)].sum() >= least)
+        return bool(np.array(self.weights)[common_lines(self.main, other.main)].sum() >= least)
+
+    def edges(self, others: list["Page"]) -> list[int]:
+        """The numbers of the lines with which the article and those of all ``others`` begin, or end."""
+        own, theirs = self.article(), [x.article() for x in others]
+        out = []
+        for sign in (1, -1):
+            for k, place in enumerate(own[::sign]):
+                if not all(k < len(t) and x.lines[t[::sign][k]] == self.lines[place] for t, x in zip(theirs, others)):
+                    break
+                out.append(place)
+        return out
+
+    def article(self) -> list[int]:
+        return [k for k, inside in enumerate(self.inside) if inside]
 
     def gone(self, others: list["Page"]) -> np.ndarray:
         """The numbers of the lines that go; ``others``: pages beside it, the nearest first."""
@@ -254,10 +325,15 @@ class Page:
         for other in others:
             if not any(other.copies(x) for x in (self, *distinct)):
                 distinct.append(other)
-        if not distinct:
-            return np.zeros(0, np.int64)
-        shared = np.array([common_lines(self.lines, x.lines) for x in distinct])
-        return np.flatnonzero(np.where(self.inside, shared.sum(0) >= SEVERAL, shared[0]))
+        out = np.zeros(len(self.lines), bool)
+        if distinct:
+            if any(v in distinct[0].known and not a for v, a in zip(self.lines, self.inside)):
+                out = common_lines(self.lines, distinct[0].lines) & ~np.array(self.inside, bool)
+            edges = self.edges(distinct) if len(distinct) >= SEVERAL else []
+            if edges:
+                shared = np.logical_and.reduce([common_lines(self.lines, x.lines) for x in distinct])
+                out[edges] |= shared[edges]
+        return np.flatnonzero(out)
 
 
 _PAGE = "struct<lines:array<bigint>,sizes:array<int>,inside:array<boolean>>"
@@ -291,6 +367,7 @@ def frame_lines(pages: DataFrame, id: str = "page_id", url: str = "url", html: s
     host, path = parts(F.col("__url"))
     lined = rows.select("id", "key", host.alias("host"), path.alias("path"), "html") \
         .mapInArrow(run, f"id long, key long, host string, path string, page {_PAGE}").filter(F.size("page.lines") > 0)
+    lined = materialise(lined, "page-lines")
     order = ["host", "path", "id", "key"]
 
     def begin(batches):
@@ -310,7 +387,7 @@ def frame_lines(pages: DataFrame, id: str = "page_id", url: str = "url", html: s
                     for a, others in zip(batch.column("page").to_pylist(), batch.column("others").to_pylist())]
             yield with_columns(batch, ("page", "others"), gone=pa.array(gone, pa.list_(pa.int32())))
 
-    return paired.select("id", "key", "page", "others").mapInArrow(align, "id long, key long, gone array<int>") \
+    return paired.select("id", "key", "page", "others").repartition(ranges(lined), "key").mapInArrow(align, "id long, key long, gone array<int>") \
         .filter(F.size("gone") > 0).dropDuplicates(["id", "key"])
 
 

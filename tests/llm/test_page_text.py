@@ -50,6 +50,26 @@ def test_alignment_is_a_longest_common_subsequence():
         assert all(x in rest for x in found.tolist())
 
 
+def test_long_pages_of_repeated_lines(monkeypatch):
+    """Two lines many thousand times: as fast as short pages, and as long a subsequence as any."""
+    import time
+
+    began = time.time()
+    assert pt.common_lines(np.full(50_000, 7), np.full(40_000, 7)).sum() == 40_000
+    r = np.random.default_rng(1)
+    a, b = r.integers(0, 2, 6000), r.integers(0, 2, 8000)
+    found = a[pt.common_lines(a, b)]
+    rest = iter(b.tolist())
+    assert all(x in rest for x in found.tolist()) and time.time() - began < 30
+    assert len(found) == pt._lengths(a.tolist(), b.tolist())[-1]
+    monkeypatch.setattr(pt, "MATCHES", 0)  # rows of bits for all
+    for _ in range(200):
+        a, b = r.integers(0, 6, r.integers(0, 25)).tolist(), r.integers(0, 6, r.integers(0, 25)).tolist()
+        halved, chained = [a[k] for k in np.flatnonzero(pt.common_lines(a, b))], pt._chain(a, b)
+        rest = iter(b)
+        assert len(halved) == len(chained) and all(x in rest for x in halved)
+
+
 def test_shared_lines_go_where_no_element_names_the_article(spark, pages):
     frame = "<div>Site</div><div>Home | Shop</div>{}<div>All rights</div>"
     rows = [(k, f"http://h.org/a/{k}", frame.format(f"<div>body {k}</div><div>more {k}</div>")) for k in range(30)]
@@ -113,6 +133,13 @@ def test_neighbours_do_not_depend_on_the_ranges(spark, pages):
     assert found[0] == found[1] == found[2] and len(found[0]) == 203
 
 
+def test_recurring_sentences_inside_articles_stay(spark, pages, prose):
+    rows = [(k, f"http://h.org/a/{k}", f"<article><p>{prose(k, 9)}</p><p>said again</p><p>{prose(50 + k, 9)}</p><p>Share this</p></article>") for k in range(9)]
+    got = {r.page_id: r.text for r in pt.extract(pages(rows)).collect()}
+    assert got == {k: f"{prose(k, 9)}\nsaid again\n{prose(50 + k, 9)}" for k in range(9)}
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
 def test_query_gives_the_articles(spark, sf):
     got = {r.page_id: r.text for r in queries.QUERIES["op6_page_text"](spark, sf).collect()}
     source = spark.read.parquet(f"{sf}/pages.parquet").collect()
