@@ -200,6 +200,31 @@ def test_knn_join_matches_bruteforce(spark, toy):
         assert list(got[got.lid == lid].sort_values("rank")["rid"]) == exp
 
 
+@pytest.mark.parametrize("k, exclude_self", [(4, True), (3, False)])
+def test_knn_join_by_pivots_is_exact_and_sends_little(spark, k, exclude_self):
+    """Clusters, one point many times (ties by id, a cell above a tile), an outlier, few rows on one side."""
+    from stormlens.operators.neighbours import replicated
+    rng = np.random.default_rng(11)
+    X = rng.uniform(0, 1000, (20, 2))[rng.integers(0, 20, 1500)] + rng.normal(0, 1, (1500, 2))
+    X[:300] = X[0]
+    X[-1] = [1e7, -1e7]
+    right = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "rid long, a double, b double").repartition(5)
+    left = right if exclude_self else spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(rng.uniform(-100, 1100, (200, 2)))], "rid long, a double, b double")
+    Y = X if exclude_self else left.orderBy("rid").toPandas()[["a", "b"]].to_numpy()
+    got = knn_join(left, right, "rid", "rid", ["a", "b"], k=k, exclude_self=exclude_self, block=50).toPandas()
+    d = np.sqrt((Y[:, None, 0] - X[None, :, 0]) ** 2 + (Y[:, None, 1] - X[None, :, 1]) ** 2)
+    if exclude_self:
+        np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1, kind="stable")[:, :k]
+    have = got.sort_values(["lid", "rank"])["rid"].to_numpy().reshape(-1, k)
+    assert have.shape == want.shape and (have == want).all()
+    if exclude_self:
+        assert replicated(left, right, "rid", "rid", ["a", "b"], k=k, exclude_self=True, block=50) < 6  # of 30 cells
+    none = right.limit(0)
+    assert knn_join(none, right, "rid", "rid", ["a", "b"]).count() == 0 and knn_join(left, none, "rid", "rid", ["a", "b"]).count() == 0
+    assert knn_join(left.limit(3), right.limit(2), "rid", "rid", ["a", "b"], k=5).count() == 6
+
+
 def test_time_folds_never_train_on_later_dates(spark, toy):
     folded = E.time_folds(toy, n_splits=3)
     for i in range(3):
