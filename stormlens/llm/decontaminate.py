@@ -5,14 +5,16 @@ A test item leaks into a document when some substring of the document is within
 UTF-8: lower case, every run of ASCII characters other than letters and digits one space).
 With an error budget of k, an item is split into k + 1 pieces; k edits leave one piece intact,
 so every leak shows an exact piece hit. Hits are found on the bytes of whole texts (8-byte
-windows against a sorted key table), checked on the whole piece, and the window around each
+windows against a sorted key table, then at most two more windows of the piece), and the window around each
 one is verified by Myers' bit-parallel edit distance.
 
 The test items are a stated query set: they are read in blocks of at most ``BLOCK_BYTES``
 of text, each broadcast to one scan of the documents; the bound doesn't grow with either table.
 
-Defined results: null and empty texts match nothing; items of fewer than ``MIN_BYTES``
-normalised bytes are too short to tell a leak and match nothing; repeated rows give repeated
+An item so short that its budget is 0 matches exactly and as whole words only; a rate that would
+make pieces shorter than 8 bytes is an error.
+
+Defined results: null and empty texts match nothing, nor do items without a letter or digit; repeated rows give repeated
 matches; repeated items match each under its own id (once for equal pairs of id and text); items
 without an id count like others and are reported with a null item_id.
 """
@@ -25,7 +27,6 @@ from pyspark.sql import functions as F
 from stormlens.llm.arrays import LOWER
 
 RATE = 0.06
-MIN_BYTES = 24
 KEY = 8
 PIECE_BYTES = 24
 BLOCK_BYTES = 4_000_000
@@ -85,14 +86,16 @@ class Pieces:
     """The pieces of a block of items, sorted by their first 8 bytes."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.items, keys, rows = [], [], []
+        self.items, self.short, keys, rows = [], [], [], []
         for item, text in items:
             b = trimmed(text)
-            if len(b) < MIN_BYTES:
+            if len(b) < KEY:
+                if len(b):
+                    self.short.append((item, b" " + b.tobytes() + b" "))
                 continue
             budget = int(rate * len(b))
-            while budget and len(b) // (budget + 1) < KEY:
-                budget -= 1
+            if len(b) // (budget + 1) < KEY:
+                raise ValueError(f"at a rate of {rate} pieces are shorter than {KEY} bytes")
             cuts = np.linspace(0, len(b), budget + 2).astype(int)
             for a, z in zip(cuts[:-1], cuts[1:]):
                 w = windows(b[a:min(z, a + PIECE_BYTES)])
@@ -129,13 +132,21 @@ class Pieces:
     def leaks(self, b: np.ndarray):
         """(item id, distance, begin, end) of the best match of every leaked item in a text."""
         best: dict[int, tuple[int, int, int]] = {}
-        item, begin = self.hits(b)
+        item, begin = self.hits(b) if len(self.keys) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         order = np.lexsort((begin, item))
         a = 0
         while a < len(order):
             i = int(item[order[a]])
             _, pattern, budget = self.items[i]
             z = a + 1  # hits close to each other share one window
+            if not budget:
+                first = int(begin[order[a]])
+                end = first + len(pattern)
+                whole = (first == 0 or b[first - 1] == 0x20) and (end >= len(b) or b[end] == 0x20)
+                if i not in best and whole and b[first:end].tobytes() == pattern:
+                    best[i] = (0, first, end)
+                a = z
+                continue
             while z < len(order) and item[order[z]] == i and begin[order[z]] - begin[order[z - 1]] <= 2 * budget + 1:
                 z += 1
             first = max(0, int(begin[order[a]]) - budget)
@@ -143,7 +154,11 @@ class Pieces:
             if found <= budget and (i not in best or found < best[i][0]):
                 best[i] = (found, max(0, first + end - len(pattern)), first + end)
             a = z
-        return [(self.items[i][0], *best[i]) for i in sorted(best)]
+        out = [(self.items[i][0], *best[i]) for i in sorted(best)]
+        if self.short:
+            padded = b" " + b.tobytes() + b" "
+            out += [(item, 0, at, at + len(word) - 2) for item, word in self.short if (at := padded.find(word)) >= 0]
+        return out
 
 
 def item_blocks(items: DataFrame, id: str, text: str, block_bytes: int = BLOCK_BYTES):
@@ -169,7 +184,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str
                 rows = []
                 for key, t in zip(batch.column(0), batch.column(1)):
                     t = t.as_py()
-                    if t and len(pieces.keys):
+                    if t:
                         rows += [(key.as_py(), *r) for r in pieces.leaks(normalise(t))]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(5)],
                                                  names=["id", "item_id", "distance", "begin", "end"])
@@ -190,7 +205,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
             pieces = shared.value
             for batch in batches:
                 texts = (t.as_py() for t in batch.column(text))
-                yield batch.filter(pa.array([not (t and len(pieces.keys) and pieces.leaks(normalise(t))) for t in texts], pa.bool_()))
+                yield batch.filter(pa.array([not (t and pieces.leaks(normalise(t))) for t in texts], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from stormlens.llm import decontaminate as dec
@@ -70,6 +71,16 @@ def test_items_without_an_id_count(spark, documents, prose):
     assert [r.doc_id for r in dec.drop_leaks(docs, items).collect()] == [4]
 
 
+def test_short_items_match_exactly_as_words(spark, documents, prose):
+    items = spark.createDataFrame([(1, "cat"), (2, "red house"), (3, "?!"), (4, "big red house"), (5, "a big red house here")], ITEMS)
+    docs = documents([(1, "the cat sat"), (2, "concatenate"), (3, "A RED  house!"), (4, "tired houses red housing"), (5, "cat"), (6, "a bigred house"), (7, "one big red house"), (8, "a big rad house here")])
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in dec.find_leaks(docs, items).collect())
+    assert got == [(1, 1, 0), (3, 2, 0), (5, 1, 0), (7, 2, 0), (7, 4, 0), (8, 5, 1)]
+    assert [r.doc_id for r in dec.drop_leaks(docs, items).orderBy("doc_id").collect()] == [2, 4, 6]
+    with pytest.raises(ValueError):
+        dec.Pieces([(1, "some words of a test item")], 0.2)
+
+
 def test_empty_tables(spark, documents, prose):
     none = spark.createDataFrame([], ITEMS)
     assert dec.find_leaks(documents([(1, prose(1))]), none).count() == 0
