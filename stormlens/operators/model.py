@@ -14,9 +14,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stormlens.session import cut_lineage
+
 
 def _pipeline(features, estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
@@ -45,6 +47,80 @@ def fit_forest(train: DataFrame, features, label: str = "label", weight: str = "
     return _pipeline(features, rf).fit(train)
 
 
+#: P(X <= k) of a Poisson variable of mean 1, k = 0 to 9.
+POISSON = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
+           0.9994058151824183, 0.9999167588507119, 0.9999897508033253, 0.999998874797402, 0.9999998885745217)
+
+
+def bag_draws(key, bags: int) -> Column:
+    """How often a row is in each of ``bags`` bootstrap samples: Poisson numbers by a hash of its key and the bag, so a
+    sample is the same however the rows lie, and no row moves for it."""
+    def draws(b):
+        u = F.conv(F.substring(F.md5(F.concat(key, F.lit(":"), b.cast("string"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+        return F.size(F.filter(F.array(*map(F.lit, POISSON)), lambda c: c <= u))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(bags - 1)), draws)
+
+
+def bag_class_weights(train: DataFrame, key, bags: int, label: str = "label") -> DataFrame:
+    """(bag, label, n_drawn, class_weight): ``balanced_subsample`` - n / (2 n_class) within each bag. One aggregate of
+    ``bags`` partial sums a class."""
+    return _class_weights(train, label, bag_draws(key, bags), bags)
+
+
+def _class_weights(train: DataFrame, label: str, draws: Column, bags: int) -> DataFrame:
+    drawn = train.select(F.col(label).alias("label"), draws.alias("d"))
+    sums = drawn.groupBy("label").agg(*[F.sum(F.get("d", F.lit(b))).alias(f"b{b}") for b in range(bags)]) \
+        .select("label", F.posexplode(F.array(*[F.col(f"b{b}") for b in range(bags)])).alias("bag", "n_drawn"))
+    total = F.sum("n_drawn").over(Window.partitionBy("bag"))
+    return sums.withColumn("class_weight", total / (2.0 * F.col("n_drawn"))).select("bag", "label", "n_drawn", "class_weight")
+
+
+def fit_balanced_forest(train: DataFrame, features, key, label: str = "label", num_trees: int = 20, max_depth: int = 5,
+                        min_instances: int = 10, seed: int = 42, parallel: int = 4) -> list[PipelineModel]:
+    """M2 with ``balanced_subsample``: one tree a bag of Poisson draws, each row weighted by its draws and the class
+    weight within the bag, sqrt(features) tried at each split. A model a tree; ``score_votes`` averages them."""
+    train = cut_lineage(train.select(*features, label, bag_draws(key, num_trees).alias("_draws")))
+    own = {(r["bag"], r["label"]): r["class_weight"] for r in _class_weights(train, label, F.col("_draws"), num_trees).collect()}  # a row a bag and class
+
+    def fit(b: int) -> PipelineModel:
+        weight = F.lit(0.0)
+        for (bag, cls), w in own.items():
+            if bag == b:
+                weight = F.when(F.col(label) == F.lit(cls), F.lit(w)).otherwise(weight)
+        n = F.get("_draws", F.lit(b))
+        rows = train.filter(n > 0).withColumn("_weight", n * weight)
+        tree = RandomForestClassifier(labelCol=label, weightCol="_weight", numTrees=1, bootstrap=False, subsamplingRate=1.0, featureSubsetStrategy="sqrt",
+                                      maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed + b)
+        return _pipeline(features, tree).fit(rows)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(fit, range(num_trees)))
+
+
+def score_votes(models: list[PipelineModel], df: DataFrame, t: float = 0.5) -> DataFrame:
+    """M5 for a list of models: the mean of their probabilities, and the class at threshold ``t``."""
+    out = df.withColumn("_votes", F.lit(0.0))
+    for model in models:
+        out = model.transform(out).withColumn("_votes", F.col("_votes") + vector_to_array(F.col("probability"))[1]) \
+            .drop("features", "rawPrediction", "probability", "prediction")
+    return out.withColumn("proba", F.col("_votes") / len(models)).withColumn("pred", (F.col("proba") >= t).cast("int")).drop("_votes")
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame, features, label: str = "label", weight: str = "weight") -> DataFrame:
+    """(feature, gradient): the gradient of M1's objective at a fitted model, 0 at its optimum; written out from the
+    objective, without the fitting library."""
+    lr = model.stages[-1]
+    coef = {**dict(zip(features, map(float, lr.coefficients))), "(intercept)": float(lr.intercept)}
+    margin = F.lit(coef["(intercept)"])
+    for c in features:
+        margin = margin + F.lit(coef[c]) * F.col(c)
+    off = F.col(weight) * (1 / (1 + F.exp(-margin)) - F.col(label))
+    total = F.sum(weight)
+    sums = train.agg(*[((F.sum(off * F.col(c)) + F.lit(coef[c])) / total).alias(c) for c in features], (F.sum(off) / total).alias("(intercept)"))
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("gradient")) for c in coef])))
+
+
 def fit_gbt(train: DataFrame, features, label: str = "label", weight: str = "weight",
             max_iter: int = 100, max_depth: int = 3, step: float = 0.01, min_instances: int = 5,
             seed: int = 42) -> PipelineModel:

@@ -14,6 +14,7 @@ from stormlens.operators import evaluate as V
 from stormlens.operators import features as FE
 from stormlens.operators import prep as E
 from stormlens.operators.clean import clean_sentinels
+from stormlens.operators.model import POISSON, bag_class_weights
 from stormlens.plans import fixture as fx
 from stormlens.plans.registry import register
 from stormlens.session import cut_lineage
@@ -302,6 +303,18 @@ def e7_class_weights(spark, sf_dir):
                                   F.first("weight_ratio").alias("weight_ratio"))
 
 
+@register("m2_bag_weights", fx.sql(FEAT_LABEL_SQL, f"""
+drawn AS (SELECT b AS bag, label, len(list_filter([{", ".join(f"CAST({c} AS DOUBLE)" for c in POISSON)}], lambda c: c <= u)) AS d
+          FROM (SELECT b, label, CAST('0x' || substr(md5(station || '|' || CAST(obs_date AS VARCHAR) || ':' || b), 1, 8) AS BIGINT) / 4294967296e0 AS u FROM lab, range(20) r(b))),
+bagn AS (SELECT bag, label, sum(d) AS n_drawn FROM drawn GROUP BY bag, label)""", body="""
+SELECT bag, label, n_drawn, sum(n_drawn) OVER (PARTITION BY bag) / (2e0 * n_drawn) AS class_weight FROM bagn"""),
+          "bag:i label:i n_drawn:i class_weight:f")
+def m2_bag_weights(spark, sf_dir):
+    """M2 with ``balanced_subsample``: draws and class weights of 20 bags."""
+    key = F.concat_ws("|", "station", F.col("obs_date").cast("string"))
+    return bag_class_weights(_labelled(spark, sf_dir), key, 20)
+
+
 @register("e8_time_folds", fx.sql(FEAT_LABEL_SQL, """
 fd AS (SELECT obs_date, CASE WHEN r - 1 >= n - floor(n / 6) * 5 THEN floor((r - 1 - (n - floor(n / 6) * 5))
           / floor(n / 6)) ELSE -1 END AS fold FROM rk)""", body="""

@@ -114,6 +114,23 @@ def m1_logistic(spark, sf_dir):
     return M.coefficient_table(M.fit_logistic(train, FEATURES), FEATURES)
 
 
+@register("m1_logistic_optimum", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*FEATURES, "(intercept)"]) + "]) AS feature, TRUE AS at_optimum", "feature:s at_optimum:i")
+def m1_logistic_optimum(spark, sf_dir):
+    """M1: the fitted model is the optimum of its objective - every partial derivative, taken anew over the
+    training rows, is below 1e-5."""
+    train, _ = model_frames(spark, sf_dir)
+    grad = M.logistic_gradient(M.fit_logistic(train, FEATURES), train, FEATURES)
+    return grad.select("feature", (F.abs("gradient") < 1e-5).alias("at_optimum"))
+
+
+@register("m2_balanced_subsample")
+def m2_balanced_subsample(spark, sf_dir):
+    """M2 with class weights per bag: 20 trees on Poisson bags, votes averaged - metrics at .5."""
+    train, test = model_frames(spark, sf_dir)
+    models = M.fit_balanced_forest(train, FEATURES, F.col("rid").cast("string"))
+    return V.binary_metrics(M.score_votes(models, test), 0.5).withColumn("model", F.lit("balanced_subsample"))
+
+
 @register("m2_forest")
 def m2_forest(spark, sf_dir):
     """M2: balanced random forest (100 trees, depth 5, leaf 10) - metrics at .5."""

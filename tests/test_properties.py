@@ -302,6 +302,26 @@ def test_logistic_matches_the_c1_objective(spark, toy):
     assert np.allclose(got, exp, atol=1e-3)
 
 
+def test_balanced_bags_and_their_vote(spark, toy):
+    """Poisson draws by hash, class weights within each bag, and the mean of the trees' probabilities."""
+    feats, key = ["x1", "x2", "x3"], F.col("rid").cast("string")
+    draws = np.array([r[0] for r in toy.orderBy("rid").select(M.bag_draws(key, 6)).collect()])
+    assert draws.shape == (toy.count(), 6) and abs(draws.mean() - 1) < 0.1 and abs(draws.var() - 1) < 0.2
+    again = np.array([r[0] for r in toy.repartition(3).orderBy("rid").select(M.bag_draws(key, 6)).collect()])
+    assert (draws == again).all()
+    y = np.array([r[0] for r in toy.orderBy("rid").select("label").collect()])
+    got = {(r.bag, r.label): (r.n_drawn, r.class_weight) for r in M.bag_class_weights(toy, key, 6).collect()}
+    for b in range(6):
+        for c in (0, 1):
+            n = draws[y == c, b].sum()
+            assert got[b, c] == (n, pytest.approx(draws[:, b].sum() / (2 * n)))
+    models = M.fit_balanced_forest(toy, feats, key, num_trees=6, max_depth=3)
+    voted = M.score_votes(models, toy, 0.5).orderBy("rid").toPandas()
+    each = [M.score(m, toy).orderBy("rid").toPandas()["proba"].to_numpy() for m in models]
+    assert np.allclose(voted["proba"], np.mean(each, axis=0)) and (voted["pred"] == (voted["proba"] >= 0.5)).all()
+    assert set(voted.columns) == {*toy.columns, "proba", "pred"} and len({tuple(e) for e in each}) == 6
+
+
 def test_boosted_trees_beat_the_prior(spark, toy):
     feats = ["x1", "x2", "x3"]
     weighted = E.class_weights(toy, mode="ratio", out="weight")
