@@ -31,15 +31,48 @@ def add_lags(panel: DataFrame, lags=(1, 2, 3), value_col: str = "rain_mm",
 _ROLL_FN = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum}
 
 
+LINEAR_FROM = 64
+
+
 def add_rolling(panel: DataFrame, windows=(7, 30, 365), fn: str = "mean",
-                value_col: str = "rain_mm", prefix: str | None = None) -> DataFrame:
+                value_col: str = "rain_mm", prefix: str | None = None, linear_from: int = LINEAR_FROM) -> DataFrame:
     """Aggregate of the PREVIOUS n days (today excluded), NULLs skipped,
-    NULL only when all n are missing (``min_periods=1``)."""
+    NULL only when all n are missing (``min_periods=1``).
+
+    A sliding frame is evaluated anew for every row, n values each time. Windows of ``linear_from`` days and
+    more take a constant number of steps a row instead: sums and means are differences of running sums (kept as
+    decimals of ten digits, so nothing is lost by the difference), maxima and minima join the running
+    extreme from the end of one block of n rows with that from the beginning of the next."""
     w = station_window()
     agg = _ROLL_FN[fn]
     prefix = prefix or {"mean": "roll", "max": "max", "min": "min", "sum": "sum"}[fn]
-    return panel.withColumns({f"{prefix}{n}": agg(value_col).over(w.rowsBetween(-n, -1))
-                              for n in windows})
+    short = [n for n in windows if n < linear_from]
+    out = panel.withColumns({f"{prefix}{n}": agg(value_col).over(w.rowsBetween(-n, -1)) for n in short})
+    for n in (n for n in windows if n >= linear_from):
+        if fn in ("mean", "sum"):
+            out = _rolled_sum(out, n, fn, value_col, f"{prefix}{n}")
+        else:
+            out = _rolled_extreme(out, n, agg, F.greatest if fn == "max" else F.least, value_col, f"{prefix}{n}")
+    return out.select(*panel.columns, *[f"{prefix}{n}" for n in windows])
+
+
+def _rolled_sum(panel: DataFrame, n: int, fn: str, value_col: str, out: str) -> DataFrame:
+    w = station_window()
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = panel.withColumns({"_s": F.sum(F.col(value_col).cast("decimal(28,10)")).over(upto), "_c": F.count(value_col).over(upto)})
+    within = lambda c: F.coalesce(F.lag(c, 1).over(w), F.lit(0)) - F.coalesce(F.lag(c, n + 1).over(w), F.lit(0))
+    run = run.withColumns({"_s": within("_s"), "_c": within("_c")})
+    total = F.col("_s").cast("double")
+    return run.withColumn(out, F.when(F.col("_c") > 0, total / F.col("_c") if fn == "mean" else total)).drop("_s", "_c")
+
+
+def _rolled_extreme(panel: DataFrame, n: int, agg, join, value_col: str, out: str) -> DataFrame:
+    w = station_window()
+    blocks = panel.withColumn("_pos", F.row_number().over(w)).withColumn("_block", F.floor((F.col("_pos") - 1) / n))
+    inside = Window.partitionBy("station", "_block")  # clustered by station already: no further exchange
+    upto = lambda order: inside.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = blocks.withColumn("_from", agg(value_col).over(upto(F.desc("_pos")))).withColumn("_to", agg(value_col).over(upto(F.asc("_pos"))))
+    return run.withColumn(out, join(F.lag("_from", n).over(w), F.lag("_to", 1).over(w))).drop("_pos", "_block", "_from", "_to")
 
 
 def add_trend(panel: DataFrame, a: str = "lag1", b: str = "lag2", out: str = "trend") -> DataFrame:

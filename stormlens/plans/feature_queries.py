@@ -67,6 +67,16 @@ def w3_max3(spark, sf_dir):
     return FE.add_rolling(fx.grid(spark, sf_dir), (3,), "max")
 
 
+@register("w3_year_extremes", fx.sql(body=f"""
+SELECT station, obs_date, max(rain_mm) OVER (w ROWS BETWEEN 365 PRECEDING AND 1 PRECEDING) AS max365, min(rain_mm) OVER (w ROWS BETWEEN 365 PRECEDING AND 1 PRECEDING) AS min365,
+       sum(rain_mm) OVER (w ROWS BETWEEN 365 PRECEDING AND 1 PRECEDING) AS sum365 FROM grid {W}"""),
+          "station:s obs_date:d max365:f min365:f sum365:f")
+def w3_year_extremes(spark, sf_dir):
+    """W3 over a year: largest and least value and total of the previous 365 days, in linear time."""
+    p = FE.add_rolling(FE.add_rolling(fx.grid(spark, sf_dir), (365,), "max"), (365,), "min")
+    return FE.add_rolling(p, (365,), "sum").select("station", "obs_date", "max365", "min365", "sum365")
+
+
 @register("w4_trend", fx.sql(body=f"""
 SELECT station, obs_date, lag(rain_mm, 1) OVER w - lag(rain_mm, 2) OVER w AS trend FROM grid {W}"""),
           "station:s obs_date:d trend:f")

@@ -1,8 +1,10 @@
 """Run-length features against row-by-row pandas definitions (property-based)."""
 
 import datetime as dt
+import random
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -45,3 +47,18 @@ def test_runs_match_row_by_row_definitions(spark, values):
     for got in (plain, chunked):
         assert np.array_equal(got["consec_rain"].to_numpy(float), exp_wet)
         assert np.array_equal(got["dry_days"].to_numpy(float), exp_dry, equal_nan=True)
+
+
+@pytest.mark.parametrize("fn", ["mean", "sum", "max", "min"])
+def test_long_windows_equal_sliding_frames(spark, fn):
+    """Linear-time windows against the sliding frame, with gaps, all-missing stretches and windows longer than the history."""
+    r = random.Random(3)
+    start = dt.date(2001, 1, 1)
+    rows = [(s, start + dt.timedelta(k), None if r.random() < 0.3 or 40 < k < 60 else round(r.uniform(-5, 90), 1)) for s, n in (("a", 150), ("b", 1), ("c", 23)) for k in range(n)]
+    panel = spark.createDataFrame(rows, "station string, obs_date date, rain_mm double")
+    sizes = (1, 2, 7, 16, 400)
+    slow = FE.add_rolling(panel, sizes, fn, linear_from=10 ** 6).orderBy("station", "obs_date").toPandas()
+    fast = FE.add_rolling(panel, sizes, fn, linear_from=1).orderBy("station", "obs_date").toPandas()
+    assert list(slow.columns) == list(fast.columns) and len(fast) == len(rows)
+    for c in slow.columns[3:]:
+        assert np.allclose(slow[c], fast[c], atol=1e-9, equal_nan=True)
