@@ -331,6 +331,37 @@ def s3_csv_roundtrip(spark, sf_dir):
     return read_csv_typed(spark, path, schema, date_cols=("obs_date",)).select("station", "obs_date", "rain_mm")
 
 
+@register("o3_sorted_output", fx.sql(body="""
+SELECT row_number() OVER (ORDER BY rain_mm DESC NULLS LAST, station, obs_date) - 1 AS place, station, obs_date, rain_mm FROM grid"""),
+          "place:i station:s obs_date:d rain_mm:f")
+def o3_sorted_output(spark, sf_dir):
+    """O3: the dense panel written with the largest values first, and the place at which each row then lies in the files."""
+    import os
+    import uuid
+
+    from stormlens.session import ensure_checkpoint_dir
+    from stormlens.sources.readings import read_in_order, write_sorted
+    path = os.path.join(ensure_checkpoint_dir(spark), f"sorted-{uuid.uuid4().hex}")
+    write_sorted(fx.grid(spark, sf_dir).select("station", "obs_date", "rain_mm"), path, [F.desc_nulls_last("rain_mm"), "station", "obs_date"])
+    return read_in_order(spark, path).select("place", "station", "obs_date", "rain_mm")
+
+
+@register("f12_feature_columns", fx.sql("""
+feats AS (SELECT station, obs_date, rain_mm, CAST(lag(rain_mm, 1) OVER w AS DOUBLE) AS lag1, CAST(lag(rain_mm, 2) OVER w AS DOUBLE) AS lag2,
+                 avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7
+          FROM grid WINDOW w AS (PARTITION BY station ORDER BY obs_date))""", body="""
+SELECT feature, count(*) AS n, avg(v) AS mean
+FROM (UNPIVOT (SELECT * EXCLUDE (station, obs_date, rain_mm) FROM feats) ON COLUMNS(*) INTO NAME feature VALUE v) GROUP BY feature"""),
+          "feature:s n:i mean:f")
+def f12_feature_columns(spark, sf_dir):
+    """the feature columns of a frame - all but the keys and the value of the day - each with its number of values and mean."""
+    from stormlens.operators import features as FE
+    frame = FE.add_rolling(FE.add_lags(fx.grid(spark, sf_dir), (1, 2)), (7,))
+    names = C.feature_columns(frame, ["station", "obs_date", "rain_mm"])
+    long = frame.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v")) for c in names])))
+    return long.filter("v is not null").groupBy("feature").agg(F.count("*").alias("n"), F.avg("v").alias("mean"))
+
+
 @register("s5_timestamp_to_day", fx.sql(body="""
 SELECT o_orderkey AS rid, CAST(o_orderdate AS DATE) AS obs_date FROM orders"""), "rid:i obs_date:d")
 def s5_timestamp_to_day(spark, sf_dir):

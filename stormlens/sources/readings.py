@@ -10,7 +10,7 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     w.save(path)
 
 
+def write_sorted(df: DataFrame, path: str, order) -> None:
+    """O3: write ``df`` in a total order over all files (range-partitioned, sorted within each file)."""
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a sorted table with ``place``, their number over all files from 0: the sizes of the files before
+    (one row a file) and the row's index within its own, both from the files' metadata."""
+    rows = spark.read.parquet(path).select("*", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("_file"),
+                                           F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.col("_file").alias("_of")).agg(F.count("*").alias("_n")).withColumnRenamed("_of", "_file") \
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return rows.join(sizes, "_file").withColumn("place", F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
+
+
 # ---------------------------------------------------------------------------
 # Portable fixture adapter: the driver's ``orders`` table seen as rain readings.
 # The same mapping is written as SQL in ``plans/fixture.py`` for the DuckDB oracle.
