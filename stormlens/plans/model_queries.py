@@ -23,6 +23,7 @@ from stormlens.operators.label import label_extreme
 from stormlens.operators.resample import smote
 from stormlens.operators.seasonal_ar import seasonal_ar_forecast
 from stormlens.plans import fixture as fx
+from stormlens.plans.eval_queries import FEAT_LABEL_SQL
 from stormlens.plans.forecast_queries import MONTHLY_SQL, next_month
 from stormlens.plans.registry import register
 from stormlens.session import cut_lineage, ensure_checkpoint_dir
@@ -368,17 +369,31 @@ tops AS (SELECT station, obs_date, sum(CASE WHEN e.t = 0 THEN 1e0 ELSE 0.1e0 END
   FROM seen e JOIN sub ON sub.t = e.t AND sub.l = e.l AND sub.s = 0 JOIN leafs ON leafs.t = e.t AND leafs.l = e.l GROUP BY station, obs_date)"""
 
 
+def _deep_scored(spark, sf_dir):
+    from stormlens.operators.features import add_lags, add_rolling
+    f = add_rolling(add_lags(fx.grid(spark, sf_dir), (1, 2, 3, 7)), (7, 30)) \
+        .withColumns({"month": F.month("obs_date").cast("double"), "day": F.day("obs_date").cast("double")}).dropna(subset=DEEP)
+    return AT.attribute([deep_tree(0), deep_tree(1)], DEEP_WEIGHTS, f.select("station", "obs_date", *DEEP), DEEP)
+
+
 @register("m8_attribution_of_trees", fx.sql(DEEP_SQL, body=f"""
 SELECT station, obs_date, any_value(margin) AS margin, any_value(base) AS base, {", ".join(f"coalesce(sum(CASE WHEN f = {j} THEN phi END), 0e0) AS phi_{c}" for j, c in enumerate(DEEP))}
 FROM phis JOIN tops USING (station, obs_date) GROUP BY station, obs_date"""),
           "station:s obs_date:d margin:f base:f " + " ".join(f"phi_{c}:f" for c in DEEP))
 def m8_attribution_of_trees(spark, sf_dir):
     """M8 on two fixed trees of depth 7 over eight features of the dense calendar."""
-    from stormlens.operators.features import add_lags, add_rolling
-    f = add_rolling(add_lags(fx.grid(spark, sf_dir), (1, 2, 3, 7)), (7, 30)) \
-        .withColumns({"month": F.month("obs_date").cast("double"), "day": F.day("obs_date").cast("double")}).dropna(subset=DEEP)
-    out = AT.attribute([deep_tree(0), deep_tree(1)], DEEP_WEIGHTS, f.select("station", "obs_date", *DEEP), DEEP)
-    return out.select("station", "obs_date", "margin", "base", *[f"phi_{c}" for c in DEEP])
+    return _deep_scored(spark, sf_dir).select("station", "obs_date", "margin", "base", *[f"phi_{c}" for c in DEEP])
+
+
+@register("s7_predictions_of_trees", fx.sql(FEAT_LABEL_SQL, DEEP_SQL, body="""
+SELECT obs_date, station, label AS y_true, CAST(1 / (1 + exp(-2 * margin)) >= 0.4 AS INT) AS y_pred, 1 / (1 + exp(-2 * margin)) AS y_pred_proba
+FROM tops JOIN lab USING (station, obs_date)"""), "obs_date:d station:s y_true:i y_pred:i y_pred_proba:f")
+def s7_predictions_of_trees(spark, sf_dir):
+    """M5 + S7: probability, class at threshold 0.4 and the exported columns for the fixed trees."""
+    p = 1 / (1 + F.exp(-2 * F.col("margin")))
+    scored = _deep_scored(spark, sf_dir).select("station", "obs_date", p.alias("proba"), (p >= 0.4).cast("int").alias("pred"))
+    labels = label_extreme(fx.grid(spark, sf_dir)).select("station", "obs_date", "label")
+    return M.predictions_table(scored.join(labels, ["station", "obs_date"]))
 
 
 @register("m9_summary_of_table", fx.sql(ATTR_SQL, body="SELECT * FROM share"), "feature:s mean_abs:f share_pct:f")
