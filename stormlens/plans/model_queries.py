@@ -200,6 +200,26 @@ def s6_save_load(spark, sf_dir):
                                 F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
 
 
+@register("s6_saved_equals_fitted", fx.sql(FEAT_LABEL_SQL, """
+sf AS (SELECT station, obs_date, lag(rain_mm, 1) OVER w AS lag1, lag(rain_mm, 2) OVER w AS lag2 FROM grid WINDOW w AS (PARTITION BY station ORDER BY obs_date))""", body="""
+SELECT count(*) AS n_rows, 0 AS n_different FROM sf JOIN lab USING (station, obs_date) WHERE lag1 IS NOT NULL AND lag2 IS NOT NULL"""), "n_rows:i n_different:i")
+def s6_saved_equals_fitted(spark, sf_dir):
+    """A model read from its folder gives the probability of the fitted one on every row."""
+    import os
+    import uuid
+
+    from stormlens.operators.features import add_lags
+    rows = label_extreme(add_lags(fx.grid(spark, sf_dir), (1, 2))).dropna(subset=["lag1", "lag2"])
+    rows = cut_lineage(E.class_weights(rows.select("station", "obs_date", "lag1", "lag2", "label"), out="weight"))
+    model = M.fit_logistic(rows, ["lag1", "lag2"], max_iter=20)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    M.save_model(model, path)
+    keys = ["station", "obs_date"]
+    a = M.score(model, rows).select(*keys, F.col("proba").alias("p1"))
+    b = M.score(M.load_model(path), rows).select(*keys, F.col("proba").alias("p2"))
+    return a.join(b, keys, "full").agg(F.count("*").alias("n_rows"), F.count_if(~F.col("p1").eqNullSafe(F.col("p2"))).alias("n_different"))
+
+
 def _smote_train(spark, sf_dir):
     """Training rows of the observed (not imputed) panel - the SQL oracle rebuilds them."""
     g = fx.grid(spark, sf_dir)
