@@ -12,8 +12,8 @@ DataFrame operations only. The models keep every run; the ratio is looked up onc
 run by joins without a hint, so nothing is cut to fit a broadcast. Scores are sums of whole
 millionths.
 
-Defined results: a null url or one without ``://`` has an empty host and path, no rule and
-score 0; an empty text scores 0; with no accepted or no rejected URL every URL without a rule
+Defined results: a null url or one without ``://`` has an empty host and path and no rule, and is scored on
+the mark that ends every URL alone; with no accepted or no rejected URL every URL without a rule
 is allowed; repeated rows are judged alike; a score on the threshold is allowed.
 """
 

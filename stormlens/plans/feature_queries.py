@@ -283,6 +283,26 @@ ORACLES["w5_wet_run_chunked"] = ORACLES["w5_wet_run"]
 ORACLES["w6_dry_run_chunked"] = ORACLES["w6_dry_run"]
 
 
+@register("w5_wet_run_of_intervals")
+def w5_wet_run_of_intervals(spark, sf_dir):
+    """W5 from the interval-coded panel (same oracle)."""
+    from stormlens.operators import intervals as IV
+    runs = IV.with_runs(IV.to_intervals(*fx.grid_input(spark, sf_dir)), "consec_rain", ~F.coalesce(F.col("value") > 0, F.lit(False)), False)
+    return IV.days_with_run(runs, "consec_rain")
+
+
+@register("w6_dry_run_of_intervals")
+def w6_dry_run_of_intervals(spark, sf_dir):
+    """W6 from the interval-coded panel (same oracle)."""
+    from stormlens.operators import intervals as IV
+    runs = IV.with_runs(IV.to_intervals(*fx.grid_input(spark, sf_dir)), "dry_days", F.col("value") > 0.1, True)
+    return IV.days_with_run(runs, "dry_days")
+
+
+ORACLES["w5_wet_run_of_intervals"] = ORACLES["w5_wet_run"]
+ORACLES["w6_dry_run_of_intervals"] = ORACLES["w6_dry_run"]
+
+
 @register("u5_upload_csv")
 def u5_upload_csv(spark, sf_dir):
     """U5 + D8 from a file: the wide forecast is written as an upload CSV (date +

@@ -58,9 +58,14 @@ def bounds(spark: SparkSession, sf_dir: str, everything: bool = False) -> tuple[
     return r[0], r[1]
 
 
+def grid_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dt.date, dt.date]:
+    """The region's cleaned readings and the calendar's bounds."""
+    return (cleaned(spark, sf_dir), *bounds(spark, sf_dir))
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense (station, obs_date) calendar with daily means (NULL = no reading)."""
-    return densify(cleaned(spark, sf_dir), *bounds(spark, sf_dir))
+    return densify(*grid_input(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------

@@ -175,6 +175,34 @@ def a14_gap_summary(spark, sf_dir):
     return P.gap_summary(fx.grid(spark, sf_dir))
 
 
+def _intervals(spark, sf_dir):
+    from stormlens.operators.intervals import to_intervals
+    return to_intervals(*fx.grid_input(spark, sf_dir))
+
+
+@register("a14_gaps_of_intervals", fx.sql(GAPS_SQL, body="SELECT * FROM eps"), "station:s gap_start:d gap_end:d gap_len:i")
+def a14_gaps_of_intervals(spark, sf_dir):
+    """A14 on the interval-coded panel: gaps are its rows without a value."""
+    from stormlens.operators import intervals as IV
+    return IV.gaps(_intervals(spark, sf_dir))
+
+
+@register("a14_gap_summary_of_intervals", fx.sql(GAPS_SQL, body="""
+SELECT station, count(*) AS n_gaps, max(gap_len) AS longest_gap,
+       list(gap_len ORDER BY gap_len DESC, gap_start)[1:5] AS top_gaps FROM eps GROUP BY station"""),
+          "station:s n_gaps:i longest_gap:i top_gaps:a")
+def a14_gap_summary_of_intervals(spark, sf_dir):
+    from stormlens.operators import intervals as IV
+    return IV.gap_summary(_intervals(spark, sf_dir))
+
+
+@register("j3_days_of_intervals", fx.sql(body="SELECT * FROM grid"), "station:s obs_date:d rain_mm:f")
+def j3_days_of_intervals(spark, sf_dir):
+    """J3 from the interval-coded panel: days exist at output only."""
+    from stormlens.operators import intervals as IV
+    return IV.days(_intervals(spark, sf_dir))
+
+
 @register("a22_distinct_counts", fx.sql(body="""
 SELECT count(DISTINCT station) AS n_distinct_station, count(DISTINCT obs_date) AS n_distinct_obs_date
 FROM cleaned"""), "n_distinct_station:i n_distinct_obs_date:i")

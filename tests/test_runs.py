@@ -62,3 +62,24 @@ def test_long_windows_equal_sliding_frames(spark, fn):
     assert list(slow.columns) == list(fast.columns) and len(fast) == len(rows)
     for c in slow.columns[3:]:
         assert np.allclose(slow[c], fast[c], atol=1e-9, equal_nan=True)
+
+
+def test_interval_panel_follows_the_readings(spark):
+    """Same days, gaps and runs as the dense calendar, from at most 2r + 1 rows a station."""
+    from stormlens.operators import intervals as IV
+    from stormlens.operators import profile as P
+    from stormlens.operators.calendar import densify
+    r = random.Random(12)
+    lo, hi = dt.date(2000, 1, 1), dt.date(2009, 12, 31)
+    rows = [("a", lo + dt.timedelta(r.randrange(3600)), r.choice([None, 0.0, 0.05, 0.2, 5.0])) for _ in range(300)]
+    rows += [("b", lo, 1.0), ("b", hi, 0.0), ("c", dt.date(1990, 1, 1), 3.0), ("d", None, 1.0), ("e", lo, None), ("e", lo + dt.timedelta(1), 7.0), ("e", lo, 2.0), ("f", dt.date(1999, 5, 5), 1.0), ("f", dt.date(2005, 5, 5), 1.0)]
+    raw = spark.createDataFrame(rows, "station string, obs_date date, rain_mm double")
+    coded, dense = IV.to_intervals(raw, lo, hi), densify(raw, lo, hi)
+    key = lambda df, *c: sorted((tuple(x) for x in df.select(*c).collect()), key=repr)
+    assert key(IV.days(coded), "station", "obs_date", "rain_mm") == key(dense, "station", "obs_date", "rain_mm")
+    assert coded.count() <= 2 * len(rows) + 6 and dense.count() == 6 * 3653
+    assert key(IV.gaps(coded), "station", "gap_start", "gap_end", "gap_len") == key(P.gap_episodes(dense), "station", "gap_start", "gap_end", "gap_len")
+    wet = IV.days_with_run(IV.with_runs(coded, "consec_rain", ~F.coalesce(F.col("value") > 0, F.lit(False)), False), "consec_rain")
+    assert key(wet, "station", "obs_date", "consec_rain") == key(FE.add_wet_run(dense), "station", "obs_date", "consec_rain")
+    dry = IV.days_with_run(IV.with_runs(coded, "dry_days", F.col("value") > 0.1, True), "dry_days")
+    assert key(dry, "station", "obs_date", "dry_days") == key(FE.add_dry_run(dense), "station", "obs_date", "dry_days")
