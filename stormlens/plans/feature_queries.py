@@ -42,6 +42,23 @@ def w1_lags(spark, sf_dir):
     return FE.add_lags(fx.grid(spark, sf_dir), (1, 2, 3))
 
 
+def bucketed_grid(spark, sf_dir):
+    """The dense panel as a bucketed table in the shared folder."""
+    import os
+    import uuid
+
+    from stormlens.session import ensure_checkpoint_dir
+    from stormlens.sources.readings import write_bucketed
+    name = f"panel_{uuid.uuid4().hex}"
+    return write_bucketed(fx.grid(spark, sf_dir), name, os.path.join(ensure_checkpoint_dir(spark), name))
+
+
+@register("s3_bucketed_lags")
+def s3_bucketed_lags(spark, sf_dir):
+    """S3: lags over the station-bucketed panel, read without an exchange (same oracle as W1)."""
+    return FE.add_lags(bucketed_grid(spark, sf_dir), (1, 2, 3))
+
+
 @register("w2_rolling", fx.sql(body=f"""
 SELECT station, obs_date, rain_mm,
        avg(rain_mm) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS roll7,
@@ -261,6 +278,7 @@ def u5_unpivot_forecast(spark, sf_dir):
 
 
 ORACLES["w2_rolling_chunked"] = ORACLES["w2_rolling"]
+ORACLES["s3_bucketed_lags"] = ORACLES["w1_lags"]
 
 
 @register("w5_wet_run_chunked")

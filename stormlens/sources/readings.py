@@ -121,6 +121,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     w.save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, by: str = "station", order=("station", "obs_date"), buckets: int = 8) -> DataFrame:
+    """S3 as a stored layout: a table in ``buckets`` buckets by hash of ``by``, one sorted file each (rows of a key lie
+    together). Windows and joins on ``by`` over tables of as many buckets need no exchange. ``path`` is the
+    folder that the table's files stand in. Returns the table."""
+    spark = df.sparkSession
+    df.repartition(buckets, by).write.mode("overwrite").option("path", path).bucketBy(buckets, by).sortBy(*order).saveAsTable(name)
+    return spark.table(name)
+
+
 def write_sorted(df: DataFrame, path: str, order) -> None:
     """O3: write ``df`` in a total order over all files (range-partitioned, sorted within each file)."""
     df.orderBy(*order).write.mode("overwrite").parquet(path)

@@ -50,3 +50,17 @@ def test_knn_donor_dedup_limits_before_the_shuffle(spark):
     # repeated day-vectors are cut to k rows per vector inside each task first
     assert any("WindowGroupLimit" in line and "Partial" in line for line in plan.splitlines())
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bucketed_panel_needs_no_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from stormlens.operators import features as FE
+    from stormlens.plans.feature_queries import bucketed_grid
+    panel, other = bucketed_grid(spark, SF_ORACLE), bucketed_grid(spark, SF_ORACLE)
+    windows = FE.add_dry_run(FE.add_rolling(FE.add_lags(panel, (1, 2)), (7, 365)))
+    means = other.groupBy("station").agg(F.avg("rain_mm").alias("mean"))
+    joined = windows.join(means.hint("merge"), "station")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert joined.count() == panel.count()
