@@ -200,19 +200,29 @@ def portable_hash(key: Column, seed=0) -> Column:
     return F.pmod(F.pmod(key, F.lit(10007)) * F.lit(7919) + s, F.lit(10007))
 
 
-def _hash_buckets(df: DataFrame, rows_per_bucket: int = 50_000) -> int:
-    """Into how many hash ranges to cut ``df`` so that one holds about that many rows."""
-    return min(10007, max(16, -(-df.count() // rows_per_bucket)))
+ROWS_PER_BUCKET = 50_000
+
+
+def _hash_places(df: DataFrame, key: str, h: Column) -> Column:
+    """A bucket number that rises with (hash, key) and holds about ``ROWS_PER_BUCKET`` rows: ranges of hashes, and where
+    one hash value has more rows than that, ranges of the key within it, so buckets don't grow with the rows."""
+    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    wanted = max(16, -(-n // ROWS_PER_BUCKET))
+    if wanted <= 10007:
+        return F.floor(h * wanted / 10007)
+    parts = -(-wanted // 10007)
+    place = F.floor((F.col(key).cast("double") - float(lo)) / (float(hi) - float(lo) + 1) * parts)
+    return h * parts + F.least(F.greatest(place, F.lit(0)), F.lit(parts - 1))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str = "label", k: int = 5, seed: int = 0) -> DataFrame:
     """Stratified shuffled k folds. Within each class, rows are ordered by a
     portable hash (then the key) and dealt round-robin into k folds, so every fold
-    gets floor/ceil(n_class / k) rows of each class. The rank is bucketed by hash
+    gets floor/ceil(n_class / k) rows of each class. The rank is bucketed by hash and key
     ranges whose number follows the row count, so the hot majority class is ranked
     by many tasks. Any key of an integer type will do."""
     h = portable_hash(F.col(key), seed)
-    r = bucketed_rank(df.withColumn("_h", h), ["_h", key], F.floor(F.col("_h") * _hash_buckets(df) / 10007), [label])
+    r = bucketed_rank(df.withColumn("_h", h), ["_h", key], _hash_places(df, key, F.col("_h")), [label])
     return r.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank")
 
 
@@ -226,8 +236,7 @@ def hide_mask(df: DataFrame, key: str, cols, frac: float = 0.1, seed: int = 0) -
     cols = list(cols)
     keys = df.select(key).withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))))
     h = portable_hash(F.col(key), F.lit(seed) + F.lit(101) * (F.col("_c") + 1))
-    buckets = _hash_buckets(df)
-    r = bucketed_rank(keys.withColumn("_h", h), ["_h", key], F.floor(F.col("_h") * buckets / 10007), ["_c"])
+    r = bucketed_rank(keys.withColumn("_h", h), ["_h", key], _hash_places(df, key, F.col("_h")), ["_c"])
     n = df.agg(F.count(F.lit(1))).scalar()
     flags = r.withColumn("_hide", (F.col("_rank") <= F.floor(n * frac)).cast("int")) \
         .groupBy(key).pivot("_c", list(range(len(cols)))).agg(F.first("_hide"))

@@ -375,6 +375,18 @@ def test_folds_and_masks_take_any_integer_key(spark):
     assert E.hide_mask(df, "rid", ["label"], 0.1).selectExpr("sum(hide_label)").first()[0] == 10
 
 
+def test_folds_do_not_depend_on_the_buckets(spark, monkeypatch):
+    """With far more buckets than hash values, ranks are those of one bucket a hash range."""
+    from stormlens.operators import prep as E
+
+    df = spark.range(0, 60_000, 2).selectExpr("id * 7 - 90000 as rid", "cast(id % 5 = 0 as int) as label")
+    few = E.stratified_folds(df, "rid", "label", k=5, seed=3), E.hide_mask(df, "rid", ["label"], 0.1)
+    before = [sorted(map(tuple, x.collect())) for x in few]
+    monkeypatch.setattr(E, "ROWS_PER_BUCKET", 1)  # three parts a hash value
+    many = E.stratified_folds(df, "rid", "label", k=5, seed=3), E.hide_mask(df, "rid", ["label"], 0.1)
+    assert [sorted(map(tuple, x.collect())) for x in many] == before
+
+
 def test_smote_needs_enough_neighbours(spark):
     import pytest
 
