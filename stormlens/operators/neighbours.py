@@ -77,6 +77,8 @@ def _in_cells(df: DataFrame, id_col: str, features: list[str], pivots: np.ndarra
 def _windows(left: DataFrame, right: DataFrame, pivots: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(least, most) distance to its pivot at which a row of right cell j can be among the k nearest of a row of left cell
     i. A few numbers a cell come to the driver."""
+    known = F.col("away").isNotNull() & ~F.isnan("away")
+    left, right = left.filter(known), right.filter(known)  # a row without some feature has no neighbours
     radius = np.full(len(pivots), -np.inf)
     for r in left.groupBy("cell").agg(F.max("away").alias("radius")).collect():
         radius[r["cell"]] = r["radius"]
@@ -106,7 +108,7 @@ def _sent(right: DataFrame, least: np.ndarray, most: np.ndarray, features: list[
 def _cells(left: DataFrame, right: DataFrame, left_id: str, right_id: str, features: list[str], k: int, block: int):
     """(left rows with their cell, copies of right rows with the cell they are sent to)."""
     n = right.count()
-    some = right.select(*[F.col(c).cast("double").alias(c) for c in features]) \
+    some = right.select(*[F.col(c).cast("double").alias(c) for c in features]).dropna() \
         .orderBy(F.xxhash64(*[F.col(c).cast("double") for c in features])).limit(max(1, min(PIVOTS, n // block)))
     pivots = np.unique(np.array([list(r) for r in some.collect()], dtype="float64").reshape(-1, len(features)), axis=0)  # at most PIVOTS rows
     if not len(pivots):

@@ -220,6 +220,10 @@ def test_knn_join_by_pivots_is_exact_and_sends_little(spark, k, exclude_self):
     assert have.shape == want.shape and (have == want).all()
     if exclude_self:
         assert replicated(left, right, "rid", "rid", ["a", "b"], k=k, exclude_self=True, block=50) < 6  # of 30 cells
+    odd = right.unionByName(spark.createDataFrame([(9000, None, 1.0), (9001, float("nan"), 2.0)], "rid long, a double, b double"))
+    with_odd = knn_join(odd, odd, "rid", "rid", ["a", "b"], k=k, exclude_self=exclude_self, block=50)
+    plain = knn_join(right, right, "rid", "rid", ["a", "b"], k=k, exclude_self=exclude_self, block=50)
+    assert sorted(map(tuple, with_odd.collect())) == sorted(map(tuple, plain.collect()))  # rows without a feature have none and are none
     none = right.limit(0)
     assert knn_join(none, right, "rid", "rid", ["a", "b"]).count() == 0 and knn_join(left, none, "rid", "rid", ["a", "b"]).count() == 0
     assert knn_join(left.limit(3), right.limit(2), "rid", "rid", ["a", "b"], k=5).count() == 6
