@@ -34,7 +34,7 @@ def smote(train: DataFrame, features, id_col: str, label: str = "label", k: int
     base_rows = train.withColumn("synthetic", F.lit(0))
     n_new = n_maj - n_min
     if n_new <= 0:
-        return base_rows
+        return base_rows.withColumn("_syn_index", F.lit(None).cast("long"))
     if n_min <= k:
         raise ValueError(f"{k} neighbours need at least {k + 1} minority rows, there are {n_min}")
     kk = k
